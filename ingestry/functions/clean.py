@@ -1,7 +1,9 @@
-"""Scalar cleaning and parsing expressions (Column -> Column).
+"""Scalar cleaning and parsing expressions.
 
-All of these compile to built-in Catalyst expressions, so they stay inside
-whole-stage codegen; no Python runs per row.
+Each parser is written once as a Spark SQL expression template (`*_sql`, text in,
+text out) and exposed as a Column through `F.expr`. Built-in expressions only, so
+everything stays inside whole-stage codegen; building the plan costs one JVM call
+per expression instead of one per operator node.
 """
 
 from __future__ import annotations
@@ -14,106 +16,154 @@ from ingestry import schema as S
 # Python's str.strip() removes exactly the characters for which str.isspace() is
 # true; derive that set by rule (it includes U+001C..U+001F, which Java's \s lacks)
 # and trim with btrim(), which needs no regex.
-_PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+PY_WHITESPACE = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
 
 # Python's \s in the e-mail pattern is Unicode-aware; make Java's the same.
-_WS = r"\s\x{1c}-\x{1f}"
-_EMAIL = "(?U)" + S.EMAIL_PATTERN.replace(r"\s", _WS)
+_WS_CLASS = r"\s\x{1c}-\x{1f}"
+EMAIL_REGEX = "(?U)" + S.EMAIL_PATTERN.replace(r"\s", _WS_CLASS)
 
-_INT_TEXT = r"^[+-]?[0-9]+$"
-_DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+INT_TEXT = r"^[+-]?[0-9]+$"
+DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 # ISO 8601 with a mandatory zone: extended or basic date, HH[:MM[:SS[.f]]], Z or
 # +HH[:MM[:SS]] (colons optional). One guard regex, then two parse patterns.
-_TS_GUARD = (
+TS_GUARD = (
     r"^[0-9]{4}(-[0-9]{2}-[0-9]{2}T[0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?)?"
     r"|[0-9]{4}T[0-9]{2}([0-9]{2}([0-9]{2}([.,][0-9]+)?)?)?)"
     r"(Z|[+-][0-9]{2}(:?[0-9]{2}(:?[0-9]{2}(\.[0-9]{1,6})?)?)?)$"
 )
-_TS_EXTENDED = "yyyy-MM-dd'T'HH[:mm[:ss[.SSSSSS]]][XXXXX][XX][X]"
-_TS_BASIC = "yyyyMMdd'T'HH[mm[ss[.SSSSSS]]][XXXXX][XX][X]"
+TS_EXTENDED = "yyyy-MM-dd'T'HH[:mm[:ss[.SSSSSS]]][XXXXX][XX][X]"
+TS_BASIC = "yyyyMMdd'T'HH[mm[ss[.SSSSSS]]][XXXXX][XX][X]"
+
+
+def sql_str(value: str) -> str:
+    """A Spark SQL string literal for any text (backslash escapes, \\uXXXX for the rest)."""
+    out = []
+    for ch in value:
+        if ch == "\\":
+            out.append("\\\\")
+        elif ch == "'":
+            out.append("\\'")
+        elif ch.isprintable() and not ch.isspace() or ch == " ":
+            out.append(ch)
+        else:
+            out.append(f"\\u{ord(ch):04x}")
+    return "'" + "".join(out) + "'"
+
+
+def _map_sql(mapping: dict) -> str:
+    parts = []
+    for key, value in mapping.items():
+        parts.append(sql_str(key))
+        parts.append(sql_str(value) if isinstance(value, str) else str(value))
+    return "map(" + ", ".join(parts) + ")"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# ---------------------------------------------------------------- SQL templates
+def clean_text_sql(x: str) -> str:
+    """Stringify, strip like Python's str.strip(), blank -> null."""
+    return f"nullif(btrim(CAST({x} AS STRING), {sql_str(PY_WHITESPACE)}), '')"
 
 
-def clean_text(c: Column | str) -> Column:
-    """Stringify, strip whitespace at both ends like Python's str.strip(), blank -> null."""
-    stripped = F.btrim(_col(c).cast("string"), F.lit(_PY_WHITESPACE))
-    return F.nullif(stripped, F.lit(""))
+def alias_key_sql(t: str) -> str:
+    return f"translate(lower({t}), '- ', '__')"
 
 
-def alias_key(cleaned: Column) -> Column:
-    """Lower-case lookup key with '-' and ' ' folded to '_'."""
-    return F.translate(F.lower(cleaned), "- ", "__")
+def email_sql(t: str) -> str:
+    """`t` is cleaned text."""
+    return f"CASE WHEN lower({t}) RLIKE {sql_str(EMAIL_REGEX)} THEN lower({t}) END"
 
 
-def parse_email(c: Column | str, *, cleaned: bool = False) -> Column:
-    """Lower-cased address when it matches the address pattern, else null."""
-    text = _col(c) if cleaned else clean_text(c)
-    lowered = F.lower(text)
-    return F.when(lowered.rlike(_EMAIL), lowered)
+def status_sql(t: str) -> str:
+    return f"try_element_at({_map_sql(S.STATUS_ALIASES)}, {alias_key_sql(t)})"
 
 
-def _literal_map(mapping: dict) -> Column:
-    items = []
-    for key, value in mapping.items():
-        items.extend([F.lit(key), F.lit(value)])
-    return F.create_map(*items)
+def grade_sql(t: str) -> str:
+    alias = f"try_element_at({_map_sql(S.GRADE_ALIASES)}, {alias_key_sql(t)})"
+    dec = f"try_cast({t} AS DOUBLE)"
+    number = (
+        f"CASE WHEN NOT contains({t}, '.') AND {t} RLIKE {sql_str(INT_TEXT)} THEN {dec} "
+        f"WHEN contains({t}, '.') AND {t} RLIKE {sql_str(DECIMAL_TEXT)} "
+        f"AND {dec} = floor({dec}) THEN {dec} END"
+    )
+    ranged = (
+        f"CASE WHEN ({number}) BETWEEN {S.MIN_GRADE_LEVEL} AND {S.MAX_GRADE_LEVEL} "
+        f"THEN ({number}) END"
+    )
+    return f"CAST(coalesce({alias}, {ranged}) AS SMALLINT)"
 
 
-def parse_grade_level(c: Column | str, *, cleaned: bool = False) -> Column:
-    """Grade as SMALLINT in -1..12 (aliases PK/K, integers, integral decimals), else null.
+def timestamp_raw_sql(t: str) -> str:
+    """Guarded ISO 8601 parse (before the year floor of `timestamp_floor_sql`)."""
+    norm = f"regexp_replace(translate({t}, ',', '.'), {sql_str(r'(\.[0-9]{6})[0-9]+')}, '$1')"
+    return (
+        f"CASE WHEN {t} RLIKE {sql_str(TS_GUARD)} THEN coalesce("
+        f"try_to_timestamp({norm}, {sql_str(TS_EXTENDED)}), "
+        f"try_to_timestamp({norm}, {sql_str(TS_BASIC)})) END"
+    )
 
-    Mirrors Python's int()/float() for ASCII spellings; underscores and
-    non-ASCII digits are rejected (documented divergence).
-    """
-    text = _col(c) if cleaned else clean_text(c)
-    alias = F.try_element_at(_literal_map(S.GRADE_ALIASES), alias_key(text))
-    integral = F.when(~text.contains(".") & text.rlike(_INT_TEXT), text.try_cast("double"))
-    dec = text.try_cast("double")
-    from_decimal = F.when(
-        text.contains(".") & text.rlike(_DECIMAL_TEXT) & (dec == F.floor(dec)),
-        dec,
+
+def timestamp_floor_sql(x: str) -> str:
+    """Year-0001 values with a positive offset fall before 0001-01-01 UTC; Python
+    cannot represent them, we reject them."""
+    return f"CASE WHEN {x} >= TIMESTAMP'0001-01-01 00:00:00' THEN {x} END"
+
+
+def timestamp_sql(t: str) -> str:
+    return timestamp_floor_sql(f"({timestamp_raw_sql(t)})")
+
+
+def iso_utc_sql(ts: str) -> str:
+    """Python `datetime.isoformat()` of a UTC value: seconds, optional 6-digit fraction, +00:00."""
+    micros = f"(unix_micros({ts}) % 1000000)"
+    return (
+        f"concat(date_format({ts}, 'yyyy-MM-dd\\'T\\'HH:mm:ss'), "
+        f"CASE WHEN {micros} != 0 THEN concat('.', lpad(CAST({micros} AS STRING), 6, '0')) "
+        f"ELSE '' END, '+00:00')"
     )
-    number = F.coalesce(integral, from_decimal)
-    in_range = number.between(S.MIN_GRADE_LEVEL, S.MAX_GRADE_LEVEL)
-    return F.coalesce(alias, F.when(in_range, number)).cast("smallint")
 
 
-def parse_enrollment_status(c: Column | str, *, cleaned: bool = False) -> Column:
-    """One of the five canonical statuses via the alias table, else null."""
-    text = _col(c) if cleaned else clean_text(c)
-    return F.try_element_at(_literal_map(S.STATUS_ALIASES), alias_key(text))
+# ---------------------------------------------------------------- Column API
+def _name(c: Column | str) -> str:
+    if isinstance(c, str):
+        return f"`{c}`"
+    raise TypeError("pass a column name; use the *_sql templates for expressions")
+
 
+def clean_text(c: str) -> Column:
+    """P1 as a Column."""
+    return F.expr(clean_text_sql(_name(c)))
 
-def parse_timestamp(c: Column | str, *, cleaned: bool = False) -> Column:
-    """ISO 8601 text with a 'T' and an explicit zone -> UTC TIMESTAMP, else null (P5).
+
+def parse_email(c: str) -> Column:
+    """Lower-cased address when it matches the address pattern, else null."""
+    return F.expr(email_sql(clean_text_sql(_name(c))))
+
+
+def parse_grade_level(c: str) -> Column:
+    """SMALLINT in -1..12 (PK/K aliases, integers, integral decimals), else null.
+
+    Mirrors Python's int()/float() for ASCII spellings; underscores and non-ASCII
+    digits are rejected (documented divergence).
+    """
+    return F.expr(grade_sql(clean_text_sql(_name(c))))
+
+
+def parse_enrollment_status(c: str) -> Column:
+    """One of the five canonical statuses via the alias table, else null."""
+    return F.expr(status_sql(clean_text_sql(_name(c))))
+
+
+def parse_timestamp(c: str) -> Column:
+    """P5: ISO 8601 text with a 'T' and an explicit zone -> UTC TIMESTAMP, else null.
 
     Accepts `Z` / `+HH:MM` / `+HHMM` / `+HH` / `+HH:MM:SS` zones, `HH`, `HH:MM`,
     `HH:MM:SS[.f]` times, `,` as decimal mark, the basic form `YYYYMMDDTHHMMSS`,
     and fractions longer than 6 digits (cut, like Python). Date-only, naive,
     slash dates, epoch numbers and named zones are rejected.
     """
-    text = _col(c) if cleaned else clean_text(c)
-    norm = F.regexp_replace(F.translate(text, ",", "."), r"(\.[0-9]{6})[0-9]+", "$1")
-    parsed = F.when(
-        text.rlike(_TS_GUARD),
-        F.coalesce(
-            F.try_to_timestamp(norm, F.lit(_TS_EXTENDED)),
-            F.try_to_timestamp(norm, F.lit(_TS_BASIC)),
-        ),
-    )
-    # Year-0001 values with a positive offset fall before 0001-01-01 UTC; Python
-    # cannot represent them, we reject them.
-    return F.when(parsed >= F.lit("0001-01-01 00:00:00").cast("timestamp"), parsed)
-
-
-def iso_utc(ts: Column) -> Column:
-    """Python `datetime.isoformat()` of a UTC-aware value: seconds, optional
-    6-digit fraction, `+00:00`."""
-    micros = F.unix_micros(ts) % 1_000_000
-    base = F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
-    frac = F.when(micros != 0, F.concat(F.lit("."), F.lpad(micros.cast("string"), 6, "0")))
-    return F.concat(base, F.coalesce(frac, F.lit("")), F.lit("+00:00"))
+    return F.expr(timestamp_sql(clean_text_sql(_name(c))))
+
+
+def iso_utc(c: str) -> Column:
+    return F.expr(iso_utc_sql(_name(c)))

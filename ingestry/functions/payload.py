@@ -1,99 +1,60 @@
 """Canonical projection (P7), raw payload (P6), transform guard (P8) and the
-quarantine record object (P10)."""
+quarantine record object (P10), as SQL expression text over the parsed columns
+of `rules.classify`."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
 from ingestry import schema as S
-from ingestry.operators import rules as R
 
-_JSON_OPTS = {"ignoreNullFields": "false"}
+_JSON_OPTS = "map('ignoreNullFields', 'false')"
 
 
-def raw_payload_json(file_columns: Sequence[str]) -> Column:
+def raw_payload_sql(file_columns: Sequence[str]) -> str:
     """Source record as received (source spelling and order), bookkeeping keys removed."""
-    return F.to_json(F.struct(*[F.col(c) for c in file_columns]), _JSON_OPTS)
+    if not file_columns:
+        return "'{}'"
+    pairs = ", ".join(f"'{c}', `{c}`" for c in file_columns)
+    return f"to_json(named_struct({pairs}), {_JSON_OPTS})"
 
 
-def record_json(file_columns: Sequence[str]) -> Column:
+def record_sql(file_columns: Sequence[str]) -> str:
     """The quarantined record: source values plus the adapter's bookkeeping keys."""
-    fields = [F.col(c) for c in file_columns]
-    fields.append(F.col(S.EXTRA_COLUMNS))
-    fields.append(F.col(S.ROW_ORDINAL).alias("_source_line"))
-    return F.to_json(F.struct(*fields), _JSON_OPTS)
-
-
-def canonical_columns(source_system: Column | str) -> list[Column]:
-    """The 9 canonical fields + source_system from the parsed columns of `classify`."""
-    system = F.lit(source_system) if isinstance(source_system, str) else source_system
-    c = R.cleaned_name
-    return [
-        F.col(c("student_id")).alias("student_id"),
-        F.col(c("first_name")).alias("first_name"),
-        F.col(c("last_name")).alias("last_name"),
-        F.col("_grade").alias("grade_level"),
-        F.col(c("school_id")).alias("school_id"),
-        F.col("_email").alias("email"),
-        F.col("_status").alias("enrollment_status"),
-        F.col("_ts").alias("updated_at"),
-        F.col(c("guardian_contact")).alias("guardian_contact"),
-        system.alias("source_system"),
-    ]
-
-
-def to_canonical(
-    valid: DataFrame,
-    *,
-    source_system: Column | str,
-    payload: Column,
-    keep: Sequence[str] = (),
-) -> DataFrame:
-    """One select: canonical columns + raw_payload (+ any bookkeeping to keep)."""
-    return valid.select(
-        *[F.col(k) for k in keep],
-        *canonical_columns(source_system),
-        payload.alias("raw_payload"),
-    )
-
+    pairs = [f"'{c}', `{c}`" for c in file_columns]
+    pairs.append(f"'{S.EXTRA_COLUMNS}', `{S.EXTRA_COLUMNS}`")
+    pairs.append(f"'_source_line', `{S.ROW_ORDINAL}`")
+    return f"to_json(named_struct({', '.join(pairs)}), {_JSON_OPTS})"
+
+
+CANONICAL_SQL = (
+    "_c_student_id AS student_id",
+    "_c_first_name AS first_name",
+    "_c_last_name AS last_name",
+    "_grade AS grade_level",
+    "_c_school_id AS school_id",
+    "_email AS email",
+    "_status AS enrollment_status",
+    "_ts AS updated_at",
+    "_c_guardian_contact AS guardian_contact",
+)
 
 NON_NULL_CANONICAL = (
-    "student_id",
-    "first_name",
-    "last_name",
-    "school_id",
-    "email",
-    "enrollment_status",
-    "updated_at",
+    ("student_id", "_c_student_id"),
+    ("first_name", "_c_first_name"),
+    ("last_name", "_c_last_name"),
+    ("school_id", "_c_school_id"),
+    ("email", "_email"),
+    ("enrollment_status", "_status"),
+    ("updated_at", "_ts"),
 )
 
 
-def transform_failure() -> Column:
-    """A validated row whose canonical value is still unusable (never raised)."""
-    checks = [
-        F.when(F.col(c).isNull(), F.lit(f"{c} is not usable")) for c in NON_NULL_CANONICAL
-    ]
-    return F.coalesce(*checks)
-
-
-_PARSED_SOURCE = {
-    "student_id": "_c_student_id",
-    "first_name": "_c_first_name",
-    "last_name": "_c_last_name",
-    "school_id": "_c_school_id",
-    "email": "_email",
-    "enrollment_status": "_status",
-    "updated_at": "_ts",
-}
-
+def transform_failure_sql() -> str:
+    """A validated row whose canonical value is still unusable (never raised).
 
-def transform_failure_of_parsed() -> Column:
-    """P8 evaluated on the parsed columns of `classify` (same result as on the projection)."""
-    checks = [
-        F.when(F.col(_PARSED_SOURCE[c]).isNull(), F.lit(f"{c} is not usable"))
-        for c in NON_NULL_CANONICAL
-    ]
-    return F.coalesce(*checks)
+    Unreachable while the rules and the projection share parsers; kept so a drift
+    is quarantined as TRANSFORM_FAILED instead of failing the job.
+    """
+    whens = " ".join(f"WHEN {src} IS NULL THEN '{name} is not usable'" for name, src in NON_NULL_CANONICAL)
+    return f"CASE {whens} END"

@@ -1,18 +1,19 @@
 """The shared per-batch core: classify -> split -> dedupe -> canonical rows + quarantine.
 
-One declarative plan; nothing is collected. Callers decide whether to persist
-(e.g. write the classified batch to the shared folder) before reusing it.
+One declarative plan; nothing is collected. `Batch` builds each branch only when
+asked, so a query pays only for the plan it uses. Callers that reuse several
+branches in one job write `classified` to the shared folder first (see jobs).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from ingestry import schema as S
+from ingestry.functions import clean as C
 from ingestry.functions import payload as P
 from ingestry.operators import dedupe as D
 from ingestry.operators import rules as R
@@ -32,69 +33,98 @@ QUARANTINE_COLUMNS = (
 BOOKKEEPING = (S.FILE_ORDINAL, S.SOURCE_OBJECT, S.CHUNK_INDEX, S.ROW_ORDINAL)
 
 
-@dataclass
 class Batch:
-    classified: DataFrame
-    rejected: DataFrame
-    marked: DataFrame
-    survivors: DataFrame
-    losers: DataFrame
-    students: DataFrame
-    quarantine: DataFrame
-
-
-def _quarantine_rows(df: DataFrame, source_system: Column, file_columns: Sequence[str]) -> DataFrame:
-    return df.select(
-        source_system.alias("source_system"),
-        F.col(S.SOURCE_OBJECT).alias("source_object"),
-        F.col(S.CHUNK_INDEX).alias("chunk_index"),
-        F.col(S.ROW_ORDINAL).alias("row_ordinal"),
-        F.col("student_id").cast("string").alias("student_id"),
-        F.col(R.REASON),
-        F.col(R.DETAIL),
-        F.col(R.FIELD),
-        P.record_json(file_columns).alias("record"),
-    )
-
-
-def process(
-    records: DataFrame,
-    *,
-    as_of: Column,
-    source_system: str | Column = S.CSV_SOURCE_SYSTEM,
-    file_columns: Sequence[str] = S.CANONICAL_FIELDS,
-    payload: Column | None = None,
-    scope: Sequence[str] = (S.SOURCE_OBJECT, S.CHUNK_INDEX),
-) -> Batch:
+    """Lazy views of one batch of source records."""
+
+    def __init__(
+        self,
+        records: DataFrame,
+        *,
+        as_of: str,
+        source_system: str = S.CSV_SOURCE_SYSTEM,
+        file_columns: Sequence[str] = S.CANONICAL_FIELDS,
+        payload_sql: str | None = None,
+        scope: Sequence[str] = (S.SOURCE_OBJECT, S.CHUNK_INDEX),
+        classified: DataFrame | None = None,
+    ) -> None:
+        self.records = records
+        self.as_of = as_of
+        self.system_sql = source_system if source_system.startswith("`") else C.sql_str(source_system)
+        self.cols = [c for c in file_columns if c in records.columns]
+        self.payload_sql = payload_sql or P.raw_payload_sql(self.cols)
+        self.scope = tuple(scope)
+        if classified is not None:
+            self.__dict__["classified"] = classified
+
+    @cached_property
+    def classified(self) -> DataFrame:
+        return R.classify(self.records, as_of=self.as_of, file_columns=self.cols)
+
+    @cached_property
+    def valid(self) -> DataFrame:
+        return R.split(self.classified)[0]
+
+    @cached_property
+    def rejected(self) -> DataFrame:
+        return R.split(self.classified)[1]
+
+    @cached_property
+    def marked(self) -> DataFrame:
+        return D.mark_chunk_duplicates(self.valid, scope=self.scope)
+
+    @cached_property
+    def survivors(self) -> DataFrame:
+        return D.survivors(self.marked)
+
+    @cached_property
+    def losers(self) -> DataFrame:
+        return D.losers(self.marked)
+
+    @cached_property
+    def students(self) -> DataFrame:
+        keep = [f"`{c}`" for c in BOOKKEEPING if c in self.records.columns]
+        return self.survivors.filter(f"({P.transform_failure_sql()}) IS NULL").selectExpr(
+            *keep,
+            *P.CANONICAL_SQL,
+            f"{self.system_sql} AS source_system",
+            f"{self.payload_sql} AS raw_payload",
+        )
+
+    @cached_property
+    def transform_failed(self) -> DataFrame:
+        tf = P.transform_failure_sql()
+        return self.survivors.filter(f"({tf}) IS NOT NULL").selectExpr(
+            "*",
+        ).selectExpr(
+            *[f"`{c}`" for c in self.survivors.columns if c not in (R.REASON, R.DETAIL, R.FIELD)],
+            f"'{S.TRANSFORM_FAILED}' AS {R.REASON}",
+            f"{tf} AS {R.DETAIL}",
+            f"CAST(NULL AS STRING) AS {R.FIELD}",
+        )
+
+    def _quarantine_rows(self, df: DataFrame) -> DataFrame:
+        return df.selectExpr(
+            f"{self.system_sql} AS source_system",
+            f"`{S.SOURCE_OBJECT}` AS source_object",
+            f"`{S.CHUNK_INDEX}` AS chunk_index",
+            f"`{S.ROW_ORDINAL}` AS row_ordinal",
+            "CAST(student_id AS STRING) AS student_id",
+            R.REASON,
+            R.DETAIL,
+            R.FIELD,
+            f"{P.record_sql(self.cols)} AS record",
+        )
+
+    @cached_property
+    def quarantine(self) -> DataFrame:
+        """Rule rejects + duplicate losers + transform failures."""
+        return (
+            self._quarantine_rows(self.rejected)
+            .unionByName(self._quarantine_rows(self.losers))
+            .unionByName(self._quarantine_rows(self.transform_failed))
+        )
+
+
+def process(records: DataFrame, **kwargs) -> Batch:
     """Validate, dedupe within `scope`, project survivors, and gather every reject."""
-    system = F.lit(source_system) if isinstance(source_system, str) else source_system
-    cols = [c for c in file_columns if c in records.columns]
-    classified = R.classify(records, as_of=as_of, file_columns=cols)
-    valid, rejected = R.split(classified)
-    marked = D.mark_chunk_duplicates(valid, scope=scope)
-    survivors = D.survivors(marked)
-    losers = D.losers(marked)
-    pay = P.raw_payload_json(cols) if payload is None else payload
-    keep = [c for c in BOOKKEEPING if c in records.columns]
-    students = survivors.filter(P.transform_failure_of_parsed().isNull()).select(
-        *[F.col(k) for k in keep],
-        *P.canonical_columns(system),
-        pay.alias("raw_payload"),
-    )
-    # P8 guard on the survivors themselves (no join): unreachable while the rules
-    # and the projection share parsers, kept so a drift is quarantined, not raised.
-    tf = P.transform_failure_of_parsed()
-    flagged = survivors.withColumn("_tf", tf)
-    transform_failed = flagged.filter(F.col("_tf").isNotNull()).withColumns(
-        {
-            R.REASON: F.lit(S.TRANSFORM_FAILED),
-            R.DETAIL: F.col("_tf"),
-            R.FIELD: F.lit(None).cast("string"),
-        }
-    )
-    quarantine = (
-        _quarantine_rows(rejected, system, cols)
-        .unionByName(_quarantine_rows(losers, system, cols))
-        .unionByName(_quarantine_rows(transform_failed, system, cols))
-    )
-    return Batch(classified, rejected, marked, survivors, losers, students, quarantine)
+    return Batch(records, **kwargs)

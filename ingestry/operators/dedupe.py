@@ -10,11 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ingestry import schema as S
-from ingestry.functions.clean import iso_utc
+from ingestry.functions.clean import iso_utc_sql
 from ingestry.operators import rules as R
 
 KEPT_AT = "_kept_at"
@@ -34,39 +34,40 @@ def mark_chunk_duplicates(
     setter  = rm is null or ts >= rm            (row took the lead when it arrived)
     kept_at = setter ? ts of the next setter     (the row that displaced it)
                      : rm                        (lost on arrival to the running best)
+    Both windows share one partitioning and ordering: one exchange, one sort.
     """
-    w = Window.partitionBy(*scope, key).orderBy(order)
-    before = w.rowsBetween(Window.unboundedPreceding, -1)
-    after = w.rowsBetween(1, Window.unboundedFollowing)
-    rm = F.max(ts).over(before)
-    step = valid.withColumn("_rm", rm).withColumn(
-        "_setter", F.col("_rm").isNull() | (F.col(ts) >= F.col("_rm"))
+    part = ", ".join(f"`{c}`" for c in (*scope, key))
+    spec = f"PARTITION BY {part} ORDER BY `{order}`"
+    return (
+        valid.selectExpr("*", f"max(`{ts}`) OVER ({spec} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _rm")
+        .selectExpr("*", f"_rm IS NULL OR `{ts}` >= _rm AS _setter")
+        .selectExpr(
+            "*",
+            f"CASE WHEN _setter THEN first(CASE WHEN _setter THEN `{ts}` END, true) "
+            f"OVER ({spec} ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) "
+            f"ELSE _rm END AS {KEPT_AT}",
+        )
+        .drop("_rm", "_setter")
     )
-    next_setter = F.first(F.when(F.col("_setter"), F.col(ts)), ignorenulls=True).over(after)
-    return step.withColumn(
-        KEPT_AT, F.when(F.col("_setter"), next_setter).otherwise(F.col("_rm"))
-    ).drop("_rm", "_setter")
 
 
 def survivors(marked: DataFrame) -> DataFrame:
     """One row per (scope, key)."""
-    return marked.filter(F.col(KEPT_AT).isNull())
+    return marked.filter(f"{KEPT_AT} IS NULL")
 
 
 def losers(marked: DataFrame, *, ts: str = "_ts") -> DataFrame:
     """Displaced rows with the reference's explanation text."""
-    detail = F.concat(
-        F.lit("duplicate student_id in the same chunk; kept the row updated at "),
-        iso_utc(F.col(KEPT_AT)),
-        F.lit(" instead of "),
-        iso_utc(F.col(ts)),
+    detail = (
+        "concat('duplicate student_id in the same chunk; kept the row updated at ', "
+        f"{iso_utc_sql(KEPT_AT)}, ' instead of ', {iso_utc_sql(ts)})"
     )
-    return marked.filter(F.col(KEPT_AT).isNotNull()).withColumns(
-        {
-            R.REASON: F.lit(S.DUPLICATE_STUDENT_ID),
-            R.DETAIL: detail,
-            R.FIELD: F.lit("student_id"),
-        }
+    cols = [f"`{c}`" for c in marked.columns if c not in (R.REASON, R.DETAIL, R.FIELD)]
+    return marked.filter(f"{KEPT_AT} IS NOT NULL").selectExpr(
+        *cols,
+        f"'{S.DUPLICATE_STUDENT_ID}' AS {R.REASON}",
+        f"{detail} AS {R.DETAIL}",
+        f"'student_id' AS {R.FIELD}",
     )
 
 

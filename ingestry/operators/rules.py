@@ -28,7 +28,7 @@ class Rule:
     reason: str
     field: str | None
     detail: str
-    failed: Column
+    failed: str  # SQL predicate over the parsed columns
 
 
 def cleaned_name(field: str) -> str:
@@ -37,72 +37,64 @@ def cleaned_name(field: str) -> str:
 
 def parsed_columns(df: DataFrame, fields: Sequence[str] = S.CANONICAL_FIELDS) -> DataFrame:
     """Add cleaned text and parsed values once; the cascade and projection reuse them."""
-    cols = {}
-    for f in fields:
-        source = F.col(f) if f in df.columns else F.lit(None).cast("string")
-        cols[cleaned_name(f)] = C.clean_text(source)
-    out = df.withColumns(cols)
-    return out.withColumns(
-        {
-            "_email": C.parse_email(F.col(cleaned_name("email")), cleaned=True),
-            "_status": C.parse_enrollment_status(
-                F.col(cleaned_name("enrollment_status")), cleaned=True
-            ),
-            "_ts": C.parse_timestamp(F.col(cleaned_name("updated_at")), cleaned=True),
-            "_grade": C.parse_grade_level(F.col(cleaned_name("grade_level")), cleaned=True),
-        }
+    cleaned = [
+        f"{C.clean_text_sql(f'`{f}`') if f in df.columns else 'CAST(NULL AS STRING)'} "
+        f"AS {cleaned_name(f)}"
+        for f in fields
+    ]
+    c = cleaned_name
+    return (
+        df.selectExpr("*", *cleaned)
+        .selectExpr(
+            "*",
+            f"{C.email_sql(c('email'))} AS _email",
+            f"{C.status_sql(c('enrollment_status'))} AS _status",
+            f"{C.timestamp_raw_sql(c('updated_at'))} AS _ts_raw",
+            f"{C.grade_sql(c('grade_level'))} AS _grade",
+        )
+        .selectExpr("*", f"{C.timestamp_floor_sql('_ts_raw')} AS _ts")
+        .drop("_ts_raw")
     )
 
 
 def student_rules(
-    as_of: Column,
+    as_of_sql: str,
     *,
     file_columns: Sequence[str],
     extra_col: str = S.EXTRA_COLUMNS,
     is_csv_col: str = S.IS_CSV,
 ) -> list[Rule]:
-    """The reference's rule order. Order decides the reported reason."""
-    any_missing = F.lit(False)
-    for f in file_columns:
-        any_missing = any_missing | F.col(f).isNull()
+    """The reference's rule order (order decides the reported reason); SQL predicates."""
+    any_missing = " OR ".join(f"`{f}` IS NULL" for f in file_columns) or "false"
+    c = cleaned_name
     rules = [
-        Rule(S.MALFORMED_ROW, None, S.DETAIL_MORE_VALUES, F.col(extra_col).isNotNull()),
+        Rule(S.MALFORMED_ROW, None, S.DETAIL_MORE_VALUES, f"`{extra_col}` IS NOT NULL"),
         Rule(
             S.MALFORMED_ROW,
             None,
             S.DETAIL_FEWER_VALUES,
-            F.coalesce(F.col(is_csv_col), F.lit(False)) & any_missing,
+            f"coalesce(`{is_csv_col}`, false) AND ({any_missing})",
         ),
     ]
     for f in S.REQUIRED_FIELDS:
         rules.append(
-            Rule(
-                S.MISSING_REQUIRED_FIELD,
-                f,
-                S.DETAIL_MISSING.format(field=f),
-                F.col(cleaned_name(f)).isNull(),
-            )
+            Rule(S.MISSING_REQUIRED_FIELD, f, S.DETAIL_MISSING.format(field=f), f"{c(f)} IS NULL")
         )
     rules += [
-        Rule(S.INVALID_EMAIL, "email", S.DETAIL_EMAIL, F.col("_email").isNull()),
-        Rule(
-            S.UNKNOWN_ENROLLMENT_STATUS,
-            "enrollment_status",
-            S.DETAIL_STATUS,
-            F.col("_status").isNull(),
-        ),
-        Rule(S.INVALID_TIMESTAMP, "updated_at", S.DETAIL_TIMESTAMP, F.col("_ts").isNull()),
+        Rule(S.INVALID_EMAIL, "email", S.DETAIL_EMAIL, "_email IS NULL"),
+        Rule(S.UNKNOWN_ENROLLMENT_STATUS, "enrollment_status", S.DETAIL_STATUS, "_status IS NULL"),
+        Rule(S.INVALID_TIMESTAMP, "updated_at", S.DETAIL_TIMESTAMP, "_ts IS NULL"),
         Rule(
             S.INVALID_TIMESTAMP,
             "updated_at",
             S.DETAIL_FUTURE,
-            F.col("_ts") > as_of + F.expr(S.FUTURE_SKEW),
+            f"_ts > ({as_of_sql}) + {S.FUTURE_SKEW}",
         ),
         Rule(
             S.INVALID_GRADE_LEVEL,
             "grade_level",
             S.DETAIL_GRADE,
-            F.col(cleaned_name("grade_level")).isNotNull() & F.col("_grade").isNull(),
+            f"{c('grade_level')} IS NOT NULL AND _grade IS NULL",
         ),
     ]
     for f, limit in S.MAX_FIELD_LENGTHS:
@@ -111,35 +103,35 @@ def student_rules(
                 S.FIELD_TOO_LONG,
                 f,
                 S.DETAIL_TOO_LONG.format(field=f, limit=limit),
-                F.coalesce(F.length(F.col(cleaned_name(f))) > limit, F.lit(False)),
+                f"coalesce(char_length({c(f)}) > {limit}, false)",
             )
         )
     return rules
 
 
-def cascade(rules: Sequence[Rule]) -> Column:
-    """1-based index of the first failing rule, or null (a compact CASE WHEN)."""
-    expr = None
-    for i, r in enumerate(rules, start=1):
-        expr = F.when(r.failed, F.lit(i)) if expr is None else expr.when(r.failed, F.lit(i))
-    return expr
+def cascade_sql(rules: Sequence[Rule]) -> str:
+    """1-based index of the first failing rule, or null (one CASE WHEN)."""
+    whens = " ".join(f"WHEN {r.failed} THEN {i}" for i, r in enumerate(rules, start=1))
+    return f"CASE {whens} END"
 
 
-def _lookup(values: Sequence[str | None], idx: Column) -> Column:
-    arr = F.array(*[F.lit(v).cast("string") for v in values])
-    return F.when(idx.isNotNull(), F.element_at(arr, idx))
+def _lookup_sql(values: Sequence[str | None], idx: str) -> str:
+    items = ", ".join("CAST(NULL AS STRING)" if v is None else C.sql_str(v) for v in values)
+    return f"CASE WHEN {idx} IS NOT NULL THEN element_at(array({items}), {idx}) END"
 
 
 def classify(
     df: DataFrame,
     *,
-    as_of: Column | None = None,
+    as_of: str = "current_timestamp()",
     file_columns: Sequence[str] | None = None,
     extra_col: str = S.EXTRA_COLUMNS,
     is_csv_col: str = S.IS_CSV,
 ) -> DataFrame:
-    """Add parsed columns plus `reason_code`, `detail`, `field` (null on valid rows)."""
-    as_of = F.current_timestamp() if as_of is None else as_of
+    """Add parsed columns plus `reason_code`, `detail`, `field` (null on valid rows).
+
+    `as_of` is a SQL expression for the evaluation clock (future-date rule).
+    """
     if extra_col not in df.columns:
         df = df.withColumn(extra_col, F.lit(None).cast("array<string>"))
     if is_csv_col not in df.columns:
@@ -147,29 +139,22 @@ def classify(
     cols = [c for c in (file_columns or S.CANONICAL_FIELDS) if c in df.columns]
     parsed = parsed_columns(df)
     rules = student_rules(as_of, file_columns=cols, extra_col=extra_col, is_csv_col=is_csv_col)
-    verdict = cascade(rules)
-    reasons = [r.reason for r in rules]
-    details = [r.detail for r in rules]
-    fields = [r.field for r in rules]
-    # `_task` (spark_partition_id, nondeterministic) is an optimizer barrier: without
-    # it the split filters below are pushed through this projection with the whole
-    # cascade inlined, evaluating every regex twice and overflowing codegen.
-    return (
-        parsed.withColumn("_verdict", verdict)
-        .withColumns(
-            {
-                REASON: _lookup(reasons, F.col("_verdict")),
-                DETAIL: _lookup(details, F.col("_verdict")),
-                FIELD: _lookup(fields, F.col("_verdict")),
-                "_task": F.spark_partition_id(),
-            }
-        )
-        .drop("_verdict")
-    )
+    # `_task` (spark_partition_id, nondeterministic) is an optimizer barrier: the
+    # split filters reference it, so they are not pushed through this projection
+    # with the whole cascade inlined (double regex work, codegen overflow).
+    return parsed.selectExpr("*", f"{cascade_sql(rules)} AS _rule").selectExpr(
+        "*",
+        f"{_lookup_sql([r.reason for r in rules], '_rule')} AS {REASON}",
+        f"{_lookup_sql([r.detail for r in rules], '_rule')} AS {DETAIL}",
+        f"{_lookup_sql([r.field for r in rules], '_rule')} AS {FIELD}",
+        "spark_partition_id() AS _task",
+    ).drop("_rule")
 
 
 def split(classified: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid, rejected) from one classified plan (V10). Never raises on bad data."""
-    valid = classified.filter(F.col(REASON).isNull())
-    rejected = classified.filter(F.col(REASON).isNotNull())
+    # Referencing `_task` keeps the barrier column alive (a non-null test would be
+    # folded away), so the filters stay above the projection that runs the cascade.
+    valid = classified.filter(f"{REASON} IS NULL AND _task >= 0")
+    rejected = classified.filter(f"{REASON} IS NOT NULL AND _task >= 0")
     return valid, rejected

@@ -1,11 +1,12 @@
 """Relations derived from the driver tables, in Spark.
 
-`dirty_records` turns every `events` row into a landing-file record with
-messy values, using only CASE arithmetic on the row's own columns (so the
-same relation is reproduced by the DuckDB oracle and grows with `events`).
+`dirty_records` turns every `events` row into a landing-file record with messy
+values, using only CASE arithmetic on the row's own columns, so the DuckDB oracle
+reproduces the same relation and its size grows with `events`.
 
 Layout: 500 events per landing file, 100 rows per chunk; even files form the
-already-merged target, odd files the incoming run.
+already-merged target, odd files the incoming run. The expressions are SQL text
+(one JVM call each) rather than Column trees.
 """
 
 from __future__ import annotations
@@ -20,10 +21,11 @@ ROWS_PER_FILE = 500
 CHUNK_SIZE = 100
 # Fixed evaluation clock of the driver queries (the future check compares with it).
 AS_OF = "2024-01-29 12:00:00"
+AS_OF_SQL = f"TIMESTAMP'{AS_OF}'"
 
 
 def as_of() -> Column:
-    return F.lit(AS_OF).cast("timestamp")
+    return F.expr(AS_OF_SQL)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,96 +33,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def _fmt(ts: Column, pattern: str) -> Column:
-    return F.date_format(ts, pattern)
+_ISO = "yyyy-MM-dd\\'T\\'HH:mm:ss"
+_HOUR = "date_trunc('hour', ts)"
 
+DIRTY_RECORD_COLUMNS = [
+    f"CAST(floor(event_id / {ROWS_PER_FILE}) AS BIGINT) AS {S.FILE_ORDINAL}",
+    f"concat('landing/students-', lpad(CAST(CAST(floor(event_id / {ROWS_PER_FILE}) AS BIGINT) AS STRING), 5, '0'), '.csv') AS {S.SOURCE_OBJECT}",
+    f"CAST(event_id % {ROWS_PER_FILE} + 1 AS BIGINT) AS {S.ROW_ORDINAL}",
+    f"CAST(floor((event_id % {ROWS_PER_FILE}) / {CHUNK_SIZE}) + 1 AS BIGINT) AS {S.CHUNK_INDEX}",
+    f"true AS {S.IS_CSV}",
+    f"CASE WHEN event_id % 211 = 17 THEN array('unexpected') END AS {S.EXTRA_COLUMNS}",
+    "event_type AS _feed",
+    "CASE WHEN event_id % 97 = 3 THEN '  ' ELSE concat('S', CAST(user_id AS STRING)) END AS student_id",
+    "CASE WHEN event_id % 53 = 7 THEN '' "
+    "WHEN event_id % 11 = 0 THEN concat('  Ann', CAST(user_id % 13 AS STRING), ' ') "
+    "ELSE concat('Ann', CAST(user_id % 13 AS STRING)) END AS first_name",
+    "concat('Lee', CAST(user_id % 17 AS STRING)) AS last_name",
+    "CASE event_id % 20 WHEN 0 THEN 'K' WHEN 1 THEN 'PK' WHEN 2 THEN 'pre-k' WHEN 3 THEN '09' "
+    "WHEN 4 THEN '10.0' WHEN 5 THEN '9.5' WHEN 6 THEN '14' WHEN 7 THEN 'TK' WHEN 8 THEN '' "
+    "WHEN 9 THEN CASE WHEN event_id % 40 = 9 THEN CAST(NULL AS STRING) ELSE ' 3 ' END "
+    "WHEN 10 THEN '12' WHEN 11 THEN 'Kindergarten' WHEN 12 THEN '-1' WHEN 13 THEN '+5' "
+    "WHEN 14 THEN '1.2e1' WHEN 15 THEN 'Grade 9' "
+    "ELSE CAST(user_id % 12 + 1 AS STRING) END AS grade_level",
+    "CASE WHEN event_id % 89 = 5 THEN repeat('X', 70) "
+    "ELSE concat('SCH-', lpad(CAST(user_id % 7 AS STRING), 2, '0')) END AS school_id",
+    "CASE event_id % 13 WHEN 0 THEN concat(' U', CAST(user_id AS STRING), '@EXAMPLE.EDU ') "
+    "WHEN 1 THEN concat('u', CAST(user_id AS STRING), '(at)example.edu') "
+    "WHEN 2 THEN concat('u', CAST(user_id AS STRING), '@example') "
+    "WHEN 3 THEN concat('u ', CAST(user_id AS STRING), '@example.edu') "
+    "ELSE concat('u', CAST(user_id AS STRING), '@example.edu') END AS email",
+    "CASE event_type WHEN 'view' THEN 'active' WHEN 'click' THEN 'Enrolled' "
+    "WHEN 'purchase' THEN 'Transferred Out' WHEN 'signup' THEN 'graduated' "
+    "ELSE CASE event_id % 7 WHEN 0 THEN 'withdrew' WHEN 1 THEN 'on-leave' "
+    "WHEN 2 THEN 'enrolled_forever' WHEN 3 THEN 'DROPPED' WHEN 4 THEN 'Grad' "
+    "WHEN 5 THEN 'not enrolled' ELSE '' END END AS enrollment_status",
+    f"CASE event_id % 23 "
+    f"WHEN 0 THEN concat(date_format({_HOUR} + INTERVAL 2 HOURS, '{_ISO}'), '+02:00') "
+    f"WHEN 1 THEN date_format({_HOUR}, 'yyyy-MM-dd') "
+    f"WHEN 2 THEN '2099-01-01T00:00:00Z' "
+    f"WHEN 3 THEN concat(date_format({_HOUR}, 'yyyy/MM/dd\\'T\\'HH:mm:ss'), 'Z') "
+    f"WHEN 4 THEN concat(date_format({_HOUR} - INTERVAL 4 HOURS, '{_ISO}'), '-04:00') "
+    f"WHEN 5 THEN date_format({_HOUR}, '{_ISO}') "
+    f"WHEN 6 THEN concat(date_format({_HOUR}, 'yyyy-MM-dd\\'T\\'HH:mm'), 'Z') "
+    f"WHEN 7 THEN concat(date_format({_HOUR}, '{_ISO}'), 'z') "
+    f"ELSE concat(date_format({_HOUR}, '{_ISO}'), 'Z') END AS updated_at",
+    "CASE WHEN event_id % 10 = 0 THEN '' WHEN event_id % 31 = 0 THEN CAST(NULL AS STRING) "
+    "ELSE concat('+1-206-555-', lpad(CAST(user_id % 10000 AS STRING), 4, '0')) END AS guardian_contact",
+]
 
-def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type")
-    eid = F.col("event_id")
-    uid = F.col("user_id")
-    u = uid.cast("string")
-    hour = F.date_trunc("hour", F.col("ts"))
-    iso = "yyyy-MM-dd'T'HH:mm:ss"
 
-    file_ordinal = F.floor(eid / ROWS_PER_FILE).cast("bigint")
-    within = eid % ROWS_PER_FILE
-    grade = (
-        F.when(eid % 20 == 0, "K")
-        .when(eid % 20 == 1, "PK")
-        .when(eid % 20 == 2, "pre-k")
-        .when(eid % 20 == 3, "09")
-        .when(eid % 20 == 4, "10.0")
-        .when(eid % 20 == 5, "9.5")
-        .when(eid % 20 == 6, "14")
-        .when(eid % 20 == 7, "TK")
-        .when(eid % 20 == 8, "")
-        .when(eid % 40 == 9, F.lit(None).cast("string"))
-        .when(eid % 20 == 9, " 3 ")
-        .when(eid % 20 == 10, "12")
-        .when(eid % 20 == 11, "Kindergarten")
-        .when(eid % 20 == 12, "-1")
-        .when(eid % 20 == 13, "+5")
-        .when(eid % 20 == 14, "1.2e1")
-        .when(eid % 20 == 15, "Grade 9")
-        .otherwise((uid % 12 + 1).cast("string"))
-    )
-    status = (
-        F.when(F.col("event_type") == "view", "active")
-        .when(F.col("event_type") == "click", "Enrolled")
-        .when(F.col("event_type") == "purchase", "Transferred Out")
-        .when(F.col("event_type") == "signup", "graduated")
-        .when(eid % 7 == 0, "withdrew")
-        .when(eid % 7 == 1, "on-leave")
-        .when(eid % 7 == 2, "enrolled_forever")
-        .when(eid % 7 == 3, "DROPPED")
-        .when(eid % 7 == 4, "Grad")
-        .when(eid % 7 == 5, "not enrolled")
-        .otherwise("")
-    )
-    updated = (
-        F.when(eid % 23 == 0, F.concat(_fmt(hour + F.expr("INTERVAL 2 HOURS"), iso), F.lit("+02:00")))
-        .when(eid % 23 == 1, _fmt(hour, "yyyy-MM-dd"))
-        .when(eid % 23 == 2, F.lit("2099-01-01T00:00:00Z"))
-        .when(eid % 23 == 3, F.concat(_fmt(hour, "yyyy/MM/dd'T'HH:mm:ss"), F.lit("Z")))
-        .when(eid % 23 == 4, F.concat(_fmt(hour - F.expr("INTERVAL 4 HOURS"), iso), F.lit("-04:00")))
-        .when(eid % 23 == 5, _fmt(hour, iso))
-        .when(eid % 23 == 6, F.concat(_fmt(hour, "yyyy-MM-dd'T'HH:mm"), F.lit("Z")))
-        .when(eid % 23 == 7, F.concat(_fmt(hour, iso), F.lit("z")))
-        .otherwise(F.concat(_fmt(hour, iso), F.lit("Z")))
-    )
-    email = (
-        F.when(eid % 13 == 0, F.concat(F.lit(" U"), u, F.lit("@EXAMPLE.EDU ")))
-        .when(eid % 13 == 1, F.concat(F.lit("u"), u, F.lit("(at)example.edu")))
-        .when(eid % 13 == 2, F.concat(F.lit("u"), u, F.lit("@example")))
-        .when(eid % 13 == 3, F.concat(F.lit("u "), u, F.lit("@example.edu")))
-        .otherwise(F.concat(F.lit("u"), u, F.lit("@example.edu")))
-    )
-    return e.select(
-        file_ordinal.alias(S.FILE_ORDINAL),
-        F.concat(
-            F.lit("landing/students-"), F.lpad(file_ordinal.cast("string"), 5, "0"), F.lit(".csv")
-        ).alias(S.SOURCE_OBJECT),
-        (within + 1).cast("bigint").alias(S.ROW_ORDINAL),
-        (F.floor(within / CHUNK_SIZE) + 1).cast("bigint").alias(S.CHUNK_INDEX),
-        F.lit(True).alias(S.IS_CSV),
-        F.when(eid % 211 == 17, F.array(F.lit("unexpected"))).alias(S.EXTRA_COLUMNS),
-        F.col("event_type").alias("_feed"),
-        F.when(eid % 97 == 3, F.lit("  ")).otherwise(F.concat(F.lit("S"), u)).alias("student_id"),
-        F.when(eid % 53 == 7, F.lit(""))
-        .when(eid % 11 == 0, F.concat(F.lit("  Ann"), (uid % 13).cast("string"), F.lit(" ")))
-        .otherwise(F.concat(F.lit("Ann"), (uid % 13).cast("string")))
-        .alias("first_name"),
-        F.concat(F.lit("Lee"), (uid % 17).cast("string")).alias("last_name"),
-        grade.alias("grade_level"),
-        F.when(eid % 89 == 5, F.lit("X" * 70))
-        .otherwise(F.concat(F.lit("SCH-"), F.lpad((uid % 7).cast("string"), 2, "0")))
-        .alias("school_id"),
-        email.alias("email"),
-        status.alias("enrollment_status"),
-        updated.alias("updated_at"),
-        F.when(eid % 10 == 0, F.lit(""))
-        .when(eid % 31 == 0, F.lit(None).cast("string"))
-        .otherwise(F.concat(F.lit("+1-206-555-"), F.lpad((uid % 10000).cast("string"), 4, "0")))
-        .alias("guardian_contact"),
-    )
+def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    return e.selectExpr(*DIRTY_RECORD_COLUMNS)

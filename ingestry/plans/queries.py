@@ -38,7 +38,7 @@ def _batch(spark: SparkSession, sf_dir: str, *, files: str = "all") -> core.Batc
         recs = recs.filter(F.col(S.FILE_ORDINAL) % 2 == 0)
     elif files == "incoming":
         recs = recs.filter(F.col(S.FILE_ORDINAL) % 2 == 1)
-    return core.process(recs, as_of=X.as_of())
+    return core.process(recs, as_of=X.AS_OF_SQL)
 
 
 def _target(spark: SparkSession, sf_dir: str) -> DataFrame:

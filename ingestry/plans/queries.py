@@ -243,25 +243,29 @@ def _target_out(df: DataFrame) -> DataFrame:
     )
 
 
+RANK_SQL = f"`{S.FILE_ORDINAL}` * 1000000000 + `{S.ROW_ORDINAL}` AS _rank"
+
+
 def _incoming(spark, sf_dir):
-    return _batch(spark, sf_dir, files="incoming").students
+    """Incoming canonical rows with a unique source-order tiebreak `_rank`."""
+    return _batch(spark, sf_dir, files="incoming").students.selectExpr("*", RANK_SQL)
 
 
 @query
 def conditional_upsert(spark, sf_dir):
-    new_target, _ = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of())
+    new_target, _ = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank")
     return _target_out(new_target)
 
 
 @query
 def upsert_actions(spark, sf_dir):
-    _, actions = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of())
+    _, actions = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank")
     return actions.select("student_id", ntz("updated_at").alias("updated_at"), "action", "submitted")
 
 
 @query
 def upsert_counts(spark, sf_dir):
-    _, actions = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of())
+    _, actions = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank")
     return U.upsert_counts(actions)
 
 

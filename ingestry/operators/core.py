@@ -30,7 +30,7 @@ QUARANTINE_COLUMNS = (
     "record",
 )
 
-BOOKKEEPING = (S.FILE_ORDINAL, S.SOURCE_OBJECT, S.CHUNK_INDEX, S.ROW_ORDINAL)
+BOOKKEEPING = (S.FILE_ORDINAL, S.SOURCE_OBJECT, S.CHUNK_INDEX, S.ROW_ORDINAL, "_feed")
 
 
 class Batch:

@@ -294,3 +294,5 @@ def cross_source_latest(spark, sf_dir):
     after_csv, _ = U.conditional_upsert(empty, csv, as_of=X.as_of(), order="_rank")
     after_api, _ = U.conditional_upsert(after_csv, api, as_of=X.as_of(), order="_rank")
     return after_api.select("student_id", ntz("updated_at").alias("updated_at"), "source_system", "email")
+
+from ingestry.plans import queries_ops as _ops  # noqa: E402,F401  (registers the rest)

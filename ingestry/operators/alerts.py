@@ -28,7 +28,7 @@ def pipeline_failures(traces: DataFrame, exceptions: DataFrame, *, minutes: int
         hits.groupBy(F.window("timestamp", f"{minutes} minutes").alias("w"))
         .agg(F.count(F.lit(1)).alias("failures"))
         .filter("failures > 0")
-        .selectExpr("w.start AS window_start", "w.end AS window_end", "failures")
+        .selectExpr("CAST(w.start AS TIMESTAMP_NTZ) AS window_start", "CAST(w.end AS TIMESTAMP_NTZ) AS window_end", "failures")
     )
 
 
@@ -39,7 +39,7 @@ def quarantine_spike(traces: DataFrame, *, threshold: int = 100, hours: int = 1)
         q.groupBy(F.window("timestamp", f"{hours} hours").alias("w"))
         .agg(F.sum(F.expr("try_cast(get_json_object(message, '$.records') AS BIGINT)")).alias("total"))
         .filter(f"total > {threshold}")
-        .selectExpr("w.start AS window_start", "w.end AS window_end", "total")
+        .selectExpr("CAST(w.start AS TIMESTAMP_NTZ) AS window_start", "CAST(w.end AS TIMESTAMP_NTZ) AS window_end", "total")
     )
 
 
@@ -68,6 +68,6 @@ def missed_runs(traces: DataFrame, *, event: str, window_hours: int) -> DataFram
     return counted.filter(
         f"seen = 0 AND hour >= lo + make_dt_interval(0, {window_hours - 1}, 0, 0)"
     ).selectExpr(
-        f"hour - make_dt_interval(0, {window_hours - 1}, 0, 0) AS window_start",
-        "hour + INTERVAL 1 HOUR AS window_end",
+        f"CAST(hour - make_dt_interval(0, {window_hours - 1}, 0, 0) AS TIMESTAMP_NTZ) AS window_start",
+        "CAST(hour + INTERVAL 1 HOUR AS TIMESTAMP_NTZ) AS window_end",
     )

@@ -22,8 +22,8 @@ _NOT_NULL = (
 def violation_checks() -> list[str]:
     checks = [f"CASE WHEN {src} IS NULL THEN '{name}_not_null' END" for name, src in _NOT_NULL]
     checks.append(
-        "CASE WHEN try_cast(_c_grade_level AS INT) NOT BETWEEN "
-        f"{S.MIN_GRADE_LEVEL} AND {S.MAX_GRADE_LEVEL} THEN 'grade_level_range' END"
+        "CASE WHEN _c_grade_level RLIKE '^[+-]?[0-9]+$' AND try_cast(_c_grade_level AS DOUBLE) "
+        f"NOT BETWEEN {S.MIN_GRADE_LEVEL} AND {S.MAX_GRADE_LEVEL} THEN 'grade_level_range' END"
     )
     statuses = ", ".join(f"'{s}'" for s in S.ENROLLMENT_STATUSES)
     checks.append(

@@ -195,7 +195,7 @@ SELECT *, 'duplicate student_id in the same chunk; kept the row updated at ' ||
 FROM marked WHERE kept_at IS NOT NULL
 """
 CTES["students"] = """
-SELECT _file_ordinal, _source_object, _chunk_index, _row_ordinal,
+SELECT _file_ordinal, _source_object, _chunk_index, _row_ordinal, _feed,
   c_student_id AS student_id, c_first_name AS first_name, c_last_name AS last_name,
   p_grade AS grade_level, c_school_id AS school_id, p_email AS email,
   p_status AS enrollment_status, p_ts AS updated_at, c_guardian_contact AS guardian_contact,
@@ -358,6 +358,271 @@ oracle(
 )
 
 
+
+# ---------------------------------------------------------------- S5 / A4 / K4
+CTES["checkpoints"] = """
+SELECT source, watermark FROM (
+  SELECT DISTINCT event_type AS source,
+    CASE event_type WHEN 'view' THEN TIMESTAMP '2024-01-20 00:00:00'
+      WHEN 'click' THEN TIMESTAMP '2024-01-10 00:00:00'
+      WHEN 'purchase' THEN TIMESTAMP '2024-01-25 00:00:00' END AS watermark
+  FROM events) WHERE watermark IS NOT NULL
+"""
+CTES["candidates"] = "SELECT _feed AS source, max(updated_at) AS watermark FROM students GROUP BY _feed"
+oracle(
+    "incremental_extract",
+    (*_STU, "checkpoints"),
+    "SELECT s._source_object AS source_object, s._row_ordinal AS row_ordinal, s.student_id, s._feed AS feed, "
+    "s.updated_at FROM students s LEFT JOIN checkpoints c ON c.source = s._feed "
+    "WHERE c.watermark IS NULL OR s.updated_at > c.watermark",
+)
+oracle("watermark_candidate", (*_STU, "candidates"), "SELECT source, watermark FROM candidates")
+oracle(
+    "watermark_advance",
+    (*_STU, "checkpoints", "candidates"),
+    "SELECT coalesce(o.source, n.source) AS source, o.watermark AS old_watermark, "
+    "greatest(o.watermark, n.watermark) AS watermark, "
+    "coalesce(n.watermark > o.watermark OR (o.watermark IS NULL AND n.watermark IS NOT NULL), false) AS advanced "
+    "FROM checkpoints o FULL OUTER JOIN candidates n ON o.source = n.source",
+)
+
+# ---------------------------------------------------------------- J2 / J3 / J4
+CTES["listing"] = """
+SELECT 'csv' AS source, 'landing/order-' || CAST(o_orderkey AS VARCHAR) || '.csv' AS source_object_id,
+  CAST(o_custkey % 5 AS VARCHAR) || ':5000' AS source_version
+FROM orders
+"""
+CTES["ledger"] = f"""
+SELECT o_orderkey AS run_id, 'csv' AS source,
+  'landing/order-' || CAST(o_orderkey AS VARCHAR) || '.csv' AS source_object_id,
+  CASE WHEN o_orderkey % 10 = 1 THEN '9:5000' ELSE CAST(o_custkey % 5 AS VARCHAR) || ':5000' END AS source_version,
+  CASE o_orderstatus WHEN 'F' THEN 'completed' WHEN 'O' THEN 'running' ELSE 'failed' END AS status,
+  CAST(o_orderkey % 9 AS INTEGER) AS last_chunk,
+  TIMESTAMP '{AS_OF}' - (o_orderkey % 5) * 30 * INTERVAL 1 MINUTE AS started_at
+FROM orders WHERE o_orderkey % 4 <> 0
+"""
+
+
+def _decide(listing: str, ledger: str) -> str:
+    return f"""
+SELECT l.*, g.run_id, g.last_chunk,
+  CASE WHEN g.run_id IS NULL THEN 'new' WHEN g.status = 'failed' THEN 'resumed'
+       WHEN g.status = 'running' AND g.started_at <= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR THEN 'stale_reclaimed'
+       ELSE 'skipped' END AS decision
+FROM {listing} l LEFT JOIN {ledger} g
+  ON l.source = g.source AND l.source_object_id = g.source_object_id AND l.source_version = g.source_version
+"""
+
+
+CTES["decisions"] = _decide("listing", "ledger")
+oracle(
+    "claim_new_files",
+    ("listing", "ledger"),
+    "SELECT l.source_object_id, l.source_version FROM listing l WHERE NOT EXISTS (SELECT 1 FROM ledger g "
+    "WHERE g.source = l.source AND g.source_object_id = l.source_object_id AND g.source_version = l.source_version)",
+)
+oracle(
+    "claim_decision",
+    ("listing", "ledger", "decisions"),
+    "SELECT source_object_id, source_version, run_id, decision, "
+    "CAST(CASE WHEN decision IN ('resumed', 'stale_reclaimed') THEN last_chunk ELSE 0 END AS INTEGER) AS resume_from "
+    "FROM decisions",
+)
+CTES["file_listing"] = """
+SELECT 'csv' AS source, _source_object AS source_object_id, 'v1:100' AS source_version, _file_ordinal AS f
+FROM dirty_records GROUP BY _source_object, _file_ordinal
+"""
+CTES["file_ledger"] = f"""
+SELECT source, source_object_id, source_version, f AS run_id,
+  CASE WHEN f % 3 = 1 THEN 'failed' ELSE 'completed' END AS status,
+  CAST(f % 4 + 1 AS INTEGER) AS last_chunk, TIMESTAMP '{AS_OF}' AS started_at
+FROM file_listing WHERE f % 3 <> 0
+"""
+CTES["file_decisions"] = _decide("file_listing", "file_ledger")
+oracle(
+    "resume_filter",
+    ("dirty_records", "file_listing", "file_ledger", "file_decisions"),
+    "SELECT r._source_object AS source_object, r._chunk_index AS chunk_index, count(*) AS rows "
+    "FROM dirty_records r JOIN file_decisions d ON d.source_object_id = r._source_object "
+    "WHERE d.decision <> 'skipped' AND r._chunk_index > "
+    "CASE WHEN d.decision IN ('resumed', 'stale_reclaimed') THEN d.last_chunk ELSE 0 END GROUP BY 1, 2",
+)
+
+# ---------------------------------------------------------------- A1 / A2
+CTES["quarantine_all"] = """
+SELECT _file_ordinal, _source_object AS source_object, _chunk_index AS chunk_index, _row_ordinal AS row_ordinal,
+  student_id, reason_code, field, detail FROM rejected
+UNION ALL
+SELECT _file_ordinal, _source_object, _chunk_index, _row_ordinal, student_id,
+  'DUPLICATE_STUDENT_ID', 'student_id', dup_detail FROM losers
+"""
+CTES["run_tagged"] = """
+SELECT _source_object AS run, _chunk_index AS chunk, 1 AS rd, 0 AS q, 0 AS v, NULL AS action, NULL::TIMESTAMP AS ts
+FROM dirty_records WHERE _file_ordinal % 2 = 1
+UNION ALL
+SELECT source_object, chunk_index, 0, 1, 0, NULL, NULL FROM quarantine_all WHERE _file_ordinal % 2 = 1
+UNION ALL
+SELECT _source_object, _chunk_index, 0, 0, 1, action, updated_at FROM seq_actions
+"""
+_Q = (*_CLS, "valid", "rejected", "marked", "losers", "survivors", "students", "target", "incoming", "seq_actions", "quarantine_all", "run_tagged")
+oracle(
+    "run_summary",
+    _Q,
+    "SELECT run AS source_object, max(chunk) AS chunks, CAST(sum(rd) AS BIGINT) AS read, CAST(sum(v) AS BIGINT) AS valid, "
+    "CAST(sum(q) AS BIGINT) AS quarantined, count(*) FILTER (WHERE action = 'inserted') AS inserted, "
+    "count(*) FILTER (WHERE action = 'updated') AS updated, count(*) FILTER (WHERE action = 'skipped') AS skipped, "
+    "max(ts) AS max_updated_at FROM run_tagged GROUP BY run",
+)
+oracle(
+    "chunk_progress",
+    _Q,
+    "SELECT run AS source_object, chunk AS last_chunk, "
+    "CAST(sum(rd) OVER w AS BIGINT) AS rows_read, CAST(sum(v) OVER w AS BIGINT) AS rows_valid, "
+    "CAST(sum(q) OVER w AS BIGINT) AS rows_quarantined, CAST(sum(wr) OVER w AS BIGINT) AS rows_written "
+    "FROM (SELECT run, chunk, sum(rd) AS rd, sum(v) AS v, sum(q) AS q, "
+    "count(*) FILTER (WHERE action IN ('inserted', 'updated')) AS wr FROM run_tagged GROUP BY run, chunk) "
+    "WINDOW w AS (PARTITION BY run ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
+)
+
+# ---------------------------------------------------------------- U1 / A3 / V11
+_QU = (*_CLS, "valid", "rejected", "marked", "losers", "quarantine_all")
+oracle("quarantine_union", _QU, "SELECT source_object, chunk_index, row_ordinal, student_id, reason_code, field, detail FROM quarantine_all")
+oracle("quarantine_reason_counts", _QU, "SELECT reason_code, count(*) AS n FROM quarantine_all GROUP BY reason_code")
+_VIOL = [
+    *[f"SELECT _source_object, _row_ordinal, '{n}_not_null' AS violation FROM parsed WHERE {src} IS NULL"
+      for n, src in (("student_id", "c_student_id"), ("first_name", "c_first_name"), ("last_name", "c_last_name"),
+                     ("school_id", "c_school_id"), ("email", "p_email"), ("enrollment_status", "p_status"),
+                     ("updated_at", "p_ts"))],
+    "SELECT _source_object, _row_ordinal, 'grade_level_range' FROM parsed WHERE regexp_full_match(c_grade_level, '[+-]?[0-9]+') "
+    "AND TRY_CAST(c_grade_level AS DOUBLE) NOT BETWEEN -1 AND 12",
+    "SELECT _source_object, _row_ordinal, 'enrollment_status_enum' FROM parsed WHERE lower(c_enrollment_status) "
+    "NOT IN ('active', 'inactive', 'graduated', 'transferred', 'withdrawn')",
+    *[f"SELECT _source_object, _row_ordinal, '{f}_length' FROM parsed WHERE length(c_{f}) > {n}"
+      for f, n in S.MAX_FIELD_LENGTHS if f != "enrollment_status"],
+    "SELECT _source_object, _row_ordinal, 'student_id_unique' FROM parsed WHERE c_student_id IN "
+    "(SELECT c_student_id FROM parsed WHERE c_student_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
+]
+oracle(
+    "constraint_audit",
+    _ALL,
+    "SELECT _source_object AS source_object, _row_ordinal AS row_ordinal, violation FROM ("
+    + " UNION ALL ".join(_VIOL) + ")",
+)
+
+# ---------------------------------------------------------------- M1-M4
+CTES["logs"] = """
+SELECT ts AS timestamp,
+  CASE WHEN event_type = 'error' AND value >= 25 THEN 'exception' ELSE 'trace' END AS item_type,
+  CASE WHEN event_type = 'error' AND value < 25 THEN 'csv.file_failed'
+       WHEN event_type = 'error' THEN 'api.sync_failed'
+       WHEN event_type = 'purchase' THEN 'quarantine.written'
+       WHEN event_type = 'signup' AND value < 10 THEN 'trigger.csv_finished'
+       WHEN event_type = 'view' AND value > 40 THEN 'trigger.api_finished'
+       ELSE 'chunk.persisted' END AS event,
+  TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS records
+FROM events
+"""
+oracle(
+    "alert_failures",
+    ("logs",),
+    "SELECT time_bucket(INTERVAL 5 MINUTE, timestamp) AS window_start, "
+    "time_bucket(INTERVAL 5 MINUTE, timestamp) + INTERVAL 5 MINUTE AS window_end, count(*) AS failures "
+    "FROM logs WHERE item_type = 'exception' OR regexp_matches(event, '(^|[^A-Za-z0-9_])(job_failed|sync_failed|file_failed)($|[^A-Za-z0-9_])') "
+    "GROUP BY 1, 2",
+)
+oracle(
+    "alert_quarantine_spike",
+    ("logs",),
+    "SELECT window_start, window_end, total FROM (SELECT time_bucket(INTERVAL 1 HOUR, timestamp) AS window_start, "
+    "time_bucket(INTERVAL 1 HOUR, timestamp) + INTERVAL 1 HOUR AS window_end, CAST(sum(records) AS BIGINT) AS total "
+    "FROM logs WHERE item_type = 'trace' AND event = 'quarantine.written' GROUP BY 1, 2) WHERE total > 100",
+)
+
+
+def _missed(event: str, hours: int) -> str:
+    return f"""
+SELECT h - INTERVAL {hours - 1} HOUR AS window_start, h + INTERVAL 1 HOUR AS window_end
+FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS h, lo
+      FROM (SELECT date_trunc('hour', min(timestamp)) AS lo, date_trunc('hour', max(timestamp)) AS hi
+            FROM logs WHERE item_type = 'trace')) s
+WHERE h >= lo + INTERVAL {hours - 1} HOUR
+  AND NOT EXISTS (SELECT 1 FROM logs l WHERE l.item_type = 'trace' AND l.event = '{event}'
+                  AND date_trunc('hour', l.timestamp) BETWEEN s.h - INTERVAL {hours - 1} HOUR AND s.h)
+"""
+
+
+oracle("alert_missed_csv_runs", ("logs",), _missed("trigger.csv_finished", 26))
+oracle("alert_missed_api_runs", ("logs",), _missed("trigger.api_finished", 2))
+
+# ---------------------------------------------------------------- S4 / S6 / K6
+oracle("envelope_extract", (), "SELECT conv_id, turn, role, text FROM conversations")
+CTES["page_chain"] = """
+SELECT CAST(floor(page_id / 10) AS BIGINT) AS run_id,
+  CASE WHEN page_id % 43 = 9 AND page_id % 10 > 0 THEN page_id % 10 ELSE page_id % 10 + 1 END AS page,
+  CASE WHEN page_id % 37 = 5 THEN CAST(page_id % 10 + 1 AS VARCHAR) WHEN page_id % 41 = 7 THEN 'abc'
+       WHEN page_id % 10 = 9 THEN NULL ELSE CAST(page_id % 10 + 2 AS VARCHAR) END AS next_page,
+  CASE WHEN page_id % 7 = 3 AND page_id % 10 < 9 THEN 'https://api.example.edu/students?page=' || CAST(page_id % 10 + 2 AS VARCHAR) END AS next_url
+FROM pages
+"""
+CTES["page_links"] = """
+SELECT run_id, page, next_page, next_url,
+  coalesce(TRY_CAST(NULLIF(regexp_extract(next_url, '[?&]page=([0-9]+)', 1), '') AS BIGINT), TRY_CAST(next_page AS BIGINT)) AS nt,
+  next_url IS NULL AND next_page IS NOT NULL AND NOT regexp_full_match(next_page, '[0-9]+') AS bad
+FROM page_chain
+"""
+oracle(
+    "page_chain_audit",
+    ("page_chain", "page_links"),
+    "SELECT run_id, page, 'non_numeric_next' AS problem FROM page_links WHERE bad "
+    "UNION ALL SELECT run_id, page, 'non_advancing_next' FROM page_links WHERE NOT bad AND nt <= page "
+    "UNION ALL SELECT run_id, page, 'repeated_page' FROM page_links GROUP BY run_id, page HAVING count(*) > 1 "
+    "UNION ALL SELECT a.run_id, a.page, 'missing_page' FROM page_links a WHERE a.nt IS NOT NULL AND a.nt > a.page "
+    "AND NOT EXISTS (SELECT 1 FROM page_links b WHERE b.run_id = a.run_id AND b.page = a.nt)",
+)
+CTES["candidates_files"] = """
+SELECT page_id, CASE page_id % 10
+  WHEN 0 THEN '../bad path/students final.csv'
+  WHEN 1 THEN 'Roster ' || CAST(page_id AS VARCHAR) || '.XLSX'
+  WHEN 2 THEN 'scan-' || CAST(page_id AS VARCHAR) || '.pdf'
+  WHEN 3 THEN 'photo_' || CAST(page_id AS VARCHAR) || '.JPG'
+  WHEN 4 THEN 'notes ' || CAST(page_id AS VARCHAR) || '.docx'
+  WHEN 5 THEN 'export_' || CAST(page_id AS VARCHAR) || '.txt'
+  WHEN 6 THEN 'C:\\Users\\staff\\roster ' || CAST(page_id AS VARCHAR) || '.CSV'
+  WHEN 7 THEN '...---'
+  WHEN 8 THEN '__students__' || CAST(page_id AS VARCHAR) || '.csv.'
+  ELSE 'dir/sub/' || 'na' || chr(239) || 've ' || CAST(page_id AS VARCHAR) || '.csv' END AS candidate
+FROM pages
+"""
+CTES["triaged"] = """
+SELECT *, lower(regexp_extract(safe_name, '^.+(\\.[^.]*)$', 1)) AS ext FROM (
+  SELECT *, trim(regexp_replace(regexp_extract(regexp_replace(replace(candidate, '\\', '/'), '/+$', ''), '([^/]*)$', 1),
+                 '[^A-Za-z0-9._-]+', '-', 'g'), '.-_') AS safe_name
+  FROM candidates_files)
+"""
+oracle(
+    "file_triage",
+    ("candidates_files", "triaged"),
+    f"""SELECT page_id, candidate, lower(candidate) LIKE '%.csv' AS eligible,
+  ext = '.csv' AND safe_name <> '' AS accepted,
+  CASE WHEN ext = '.csv' AND safe_name <> '' THEN 'uploads/' || strftime(TIMESTAMP '{AS_OF}', '%Y%m%dT%H%M%SZ')
+       || '-p' || CAST(page_id AS VARCHAR) || '-' || safe_name END AS object_name,
+  CASE WHEN safe_name = '' THEN 'filename is empty' WHEN ext = '.csv' THEN NULL
+       WHEN ext IN ('.xls', '.xlsx', '.xlsm', '.xlsb') THEN 'Excel files are not supported yet. Export as CSV.'
+       WHEN ext = '.pdf' THEN 'PDF files are not supported yet. Export as CSV.'
+       WHEN ext IN ('.bmp', '.gif', '.jpeg', '.jpg', '.png', '.tif', '.tiff', '.webp') THEN 'Image files are not supported yet. Export as CSV.'
+       WHEN ext IN ('.doc', '.docx') THEN 'Word documents are not supported yet. Export as CSV.'
+       ELSE 'uploaded file type is not supported yet. Export as CSV.' END AS message
+FROM triaged""",
+)
+
+# ---------------------------------------------------------------- O3
+_REP = (*_SEQ, "seq_new_target")
+oracle("report_latest", _REP, "SELECT student_id, updated_at, school_id, enrollment_status FROM seq_new_target ORDER BY updated_at DESC, student_id LIMIT 20")
+oracle("report_by_school", _REP, "SELECT student_id, updated_at, school_id, enrollment_status FROM seq_new_target WHERE school_id = 'SCH-03' ORDER BY updated_at DESC, student_id LIMIT 10")
+oracle("report_by_status", _REP, "SELECT student_id, updated_at, school_id, enrollment_status FROM seq_new_target WHERE enrollment_status = 'active' ORDER BY updated_at DESC, student_id LIMIT 10")
+oracle("report_failed_runs", ("ledger",), "SELECT run_id, source_object_id, started_at, last_chunk FROM ledger WHERE status = 'failed' ORDER BY started_at DESC, run_id LIMIT 20")
+
+
 def render(name: str) -> str:
     deps, body = ORACLE[name]
     if not deps:

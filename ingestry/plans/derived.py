@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingestry import schema as S
-from ingestry.session import ensure_session
+from ingestry.session import ensure_session, widen
 
 ROWS_PER_FILE = 500
 CHUNK_SIZE = 100
@@ -83,5 +83,5 @@ DIRTY_RECORD_COLUMNS = [
 
 
 def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events")
+    e = widen(table(spark, sf_dir, "events"))
     return e.selectExpr(*DIRTY_RECORD_COLUMNS)

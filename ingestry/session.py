@@ -60,3 +60,14 @@ def build_local_session(app: str = "ingestry", cores: int = 8, partitions: int =
     )
     spark.sparkContext.setLogLevel("ERROR")
     return ensure_session(spark)
+
+
+def widen(df):
+    """Spread a scan narrower than the cluster (few small files / one row group)
+    over all cores before CPU-heavy per-row work. A no-op at scale, where the
+    scan already has more partitions than cores; never narrows."""
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df

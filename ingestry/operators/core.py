@@ -108,7 +108,8 @@ class Batch:
             f"`{S.SOURCE_OBJECT}` AS source_object",
             f"`{S.CHUNK_INDEX}` AS chunk_index",
             f"`{S.ROW_ORDINAL}` AS row_ordinal",
-            "CAST(student_id AS STRING) AS student_id",
+            ("CAST(student_id AS STRING)" if "student_id" in df.columns else "CAST(NULL AS STRING)")
+            + " AS student_id",
             R.REASON,
             R.DETAIL,
             R.FIELD,

@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 _KEYS = ("correlation_id", "detail", "field", "reason_code", "record", "source_object", "source_system")
 
 
-def as_json_lines(quarantine: DataFrame, *, run_id: str, correlation_id: str) -> DataFrame:
+def as_json_lines(quarantine: DataFrame, *, run_id_col: str, correlation_id: str) -> DataFrame:
     """One JSON object per reject with the reference's 7 keys in sorted order."""
     return quarantine.selectExpr(
         "source_system",
-        f"'{run_id}' AS run_id",
+        f"CAST(`{run_id_col}` AS STRING) AS run_id",
         "chunk_index",
         "to_json(named_struct("
         f"'correlation_id', '{correlation_id}', 'detail', detail, 'field', field, "
@@ -28,10 +28,10 @@ def as_json_lines(quarantine: DataFrame, *, run_id: str, correlation_id: str) ->
     )
 
 
-def write(quarantine: DataFrame, root: str, *, run_id: str, correlation_id: str) -> None:
+def write(quarantine: DataFrame, root: str, *, run_id_col: str, correlation_id: str) -> None:
     """K1: overwrite only the (source_system, run_id, chunk_index) partitions present."""
     (
-        as_json_lines(quarantine, run_id=run_id, correlation_id=correlation_id)
+        as_json_lines(quarantine, run_id_col=run_id_col, correlation_id=correlation_id)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_system", "run_id", "chunk_index")

@@ -1,0 +1,94 @@
+"""CSV adapter edge cases and the golden malformed-file outcome."""
+
+import fixtures as FX
+
+from ingestry.operators import core
+from ingestry.sources import csv as CSV
+
+AS_OF = "TIMESTAMP'2026-08-01 00:00:00'"
+
+
+def _read(spark, landing, files, chunk_size=5000):
+    root = landing(files)
+    groups = CSV.read_landing(spark, CSV.listing_with_ordinals(spark, root), chunk_size=chunk_size)
+    return groups
+
+
+def _process(groups):
+    out = []
+    for header, rows in groups.items():
+        out.append(core.Batch(rows, as_of=AS_OF, file_columns=list(dict.fromkeys(header))))
+    return out
+
+
+def test_malformed_golden(spark, landing):
+    (batch,) = _process(_read(spark, landing, {"m.csv": FX.MALFORMED}))
+    students = batch.students.collect()
+    assert [(s.student_id, str(s.updated_at)) for s in students] == [("T2008", "2026-07-30 09:00:00")]
+    q = sorted((r.row_ordinal, r.student_id, r.reason_code, r.field) for r in batch.quarantine.collect())
+    assert q == [
+        (1, "T2001", "MISSING_REQUIRED_FIELD", "first_name"),
+        (2, "T2002", "INVALID_EMAIL", "email"),
+        (3, "T2003", "INVALID_GRADE_LEVEL", "grade_level"),
+        (4, "T2004", "UNKNOWN_ENROLLMENT_STATUS", "enrollment_status"),
+        (5, "T2005", "INVALID_TIMESTAMP", "updated_at"),
+        (6, "T2006", "MALFORMED_ROW", None),
+        (7, "T2007", "MALFORMED_ROW", None),
+        (9, "T2008", "DUPLICATE_STUDENT_ID", "student_id"),
+    ]
+    dup = [r for r in batch.quarantine.collect() if r.reason_code == "DUPLICATE_STUDENT_ID"][0]
+    assert dup.detail == (
+        "duplicate student_id in the same chunk; kept the row updated at "
+        "2026-07-30T09:00:00+00:00 instead of 2026-07-30T07:00:00+00:00"
+    )
+
+
+def test_chunk_size_two_splits_the_duplicate(spark, landing):
+    (batch,) = _process(_read(spark, landing, {"m.csv": FX.MALFORMED}, chunk_size=2))
+    reasons = [r.reason_code for r in batch.quarantine.collect()]
+    assert len(reasons) == 7 and "DUPLICATE_STUDENT_ID" not in reasons
+    assert sorted(s.student_id for s in batch.students.collect()) == ["T2008", "T2008"]
+
+
+def test_valid_file(spark, landing):
+    (batch,) = _process(_read(spark, landing, {"v.csv": FX.VALID}))
+    rows = {r.student_id: r for r in batch.students.collect()}
+    assert len(rows) == 5 and batch.quarantine.count() == 0
+    assert rows["T1002"].grade_level == 0 and rows["T1002"].enrollment_status == "active"
+    assert rows["T1004"].grade_level is None and rows["T1004"].guardian_contact is None
+    assert '"guardian_contact":""' in rows["T1004"].raw_payload
+    assert rows["T1005"].grade_level == -1
+
+
+def test_spreadsheet_export(spark, landing):
+    (batch,) = _process(_read(spark, landing, {"x.csv": FX.EXPORT.encode("utf-8")}))
+    rows = {r.student_id: r for r in batch.students.collect()}
+    assert sorted(rows) == ["T9001", "T9002", "T9003"]
+    assert rows["T9001"].email == "lia.stone@example.edu"  # last duplicate header wins
+    assert rows["T9001"].last_name == "Stone, Jr."
+    assert rows["T9001"].guardian_contact == "12 Elm St\r\nUnit 4"
+    assert rows["T9001"].first_name == "Lia" and rows["T9001"].grade_level == 10
+    assert rows["T9002"].first_name == "José" and rows["T9003"].last_name == "Öztürk"
+
+
+def test_wrong_schema_rejects_row_by_row(spark, landing):
+    (batch,) = _process(_read(spark, landing, {"w.csv": FX.WRONG_SCHEMA}))
+    assert [(r.reason_code, r.field) for r in batch.quarantine.collect()] == [("MISSING_REQUIRED_FIELD", "student_id")] * 2
+
+
+def test_header_bom_and_padding(spark, landing):
+    groups = _read(spark, landing, {"o.csv": FX.ODD_HEADER.encode("utf-8")})
+    (header,) = groups
+    assert header == ("student_id", "first_name")
+
+
+def test_ragged_rows(spark, landing):
+    (rows,) = _read(spark, landing, {"r.csv": FX.RAGGED}).values()
+    got = {r.student_id: r for r in rows.collect()}
+    assert got["T3001"]._extra_columns == ["extra"]
+    assert got["T3002"].grade_level is None and got["T3002"]._row_ordinal == 2
+
+
+def test_empty_and_ineligible_files(spark, landing):
+    groups = _read(spark, landing, {"e.csv": "", "h.csv": FX.HEADER + "\n", "notes.txt": "a,b\n1,2\n"})
+    assert all(df.count() == 0 for df in groups.values())

@@ -88,16 +88,12 @@ def latest_per_key(
     """
     cols = list(columns or [c for c in df.columns if c != key])
     payload = [c for c in cols if c not in (ts, tiebreak)]
-    best = F.max(F.struct(F.col(ts).alias("_o1"), F.col(tiebreak).alias("_o2"), *payload))
-    aggs = [best.alias("_best")]
+    fields = ", ".join([f"`{ts}` AS _o1", f"`{tiebreak}` AS _o2", *[f"`{c}`" for c in payload]])
+    aggs = [f"max(struct({fields})) AS _best"]
     if count_as:
-        aggs.append(F.count(F.lit(1)).alias(count_as))
-    agg = df.groupBy(key).agg(*aggs)
-    out = agg.select(
-        key,
-        *([count_as] if count_as else []),
-        F.col("_best._o1").alias(ts),
-        F.col("_best._o2").alias(tiebreak),
-        *[F.col(f"_best.{c}").alias(c) for c in payload],
+        aggs.append(f"count(1) AS `{count_as}`")
+    agg = df.groupBy(key).agg(*[F.expr(a) for a in aggs])
+    picked = {ts: "_best._o1", tiebreak: "_best._o2", **{c: f"_best.`{c}`" for c in payload}}
+    return agg.selectExpr(
+        f"`{key}`", *[f"{picked[c]} AS `{c}`" for c in cols], *([f"`{count_as}`"] if count_as else [])
     )
-    return out.select(key, *cols, *([count_as] if count_as else []))

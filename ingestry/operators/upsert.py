@@ -30,18 +30,15 @@ PAYLOAD = tuple(c for c in S.TARGET_COLUMNS if c not in ("ingested_at", "last_wr
 
 def _merge_rows(target: DataFrame, winners: DataFrame, as_of: Column, key: str) -> DataFrame:
     """Full outer join of unique-key sides; `winners` carry `_accept` (bool)."""
-    t = target.alias("t")
-    s = winners.alias("s")
-    joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    take_new = F.coalesce(F.col("s._accept"), F.lit(False))
-    cols = []
-    for c in PAYLOAD:
-        cols.append(F.when(take_new, F.col(f"s.{c}")).otherwise(F.col(f"t.{c}")).alias(c))
-    cols.append(
-        F.when(F.col(f"t.{key}").isNull(), as_of).otherwise(F.col("t.ingested_at")).alias("ingested_at")
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in S.TARGET_COLUMNS])
+    w = winners.select(*[F.col(c).alias(f"s_{c}") for c in (*PAYLOAD, "_accept")])
+    joined = t.join(w, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer").withColumn("_as_of", as_of)
+    take = "coalesce(s__accept, false)"
+    return joined.selectExpr(
+        *[f"CASE WHEN {take} THEN s_{c} ELSE t_{c} END AS {c}" for c in PAYLOAD],
+        f"CASE WHEN t_{key} IS NULL THEN _as_of ELSE t_ingested_at END AS ingested_at",
+        f"CASE WHEN {take} THEN _as_of ELSE t_last_written_at END AS last_written_at",
     )
-    cols.append(F.when(take_new, as_of).otherwise(F.col("t.last_written_at")).alias("last_written_at"))
-    return joined.select(*cols)
 
 
 def conditional_upsert(
@@ -52,25 +49,32 @@ def conditional_upsert(
     key: str = "student_id",
     order: str = S.ROW_ORDINAL,
 ) -> tuple[DataFrame, DataFrame]:
-    """Returns (new_target, actions[key, updated_at, action]).
+    """Returns (new_target, actions[key, updated_at, action, submitted]).
 
     `DISTINCT ON (key) ORDER BY updated_at DESC` first (tie -> larger `order`),
-    then an update only when incoming `updated_at` is strictly greater.
+    then ONE full outer join with the stored table: an update only when the
+    incoming `updated_at` is strictly greater. Both outputs come from that join.
     """
     cols = [*PAYLOAD, order]
     latest = latest_per_key(
         incoming.select(*cols), key=key, ts="updated_at", tiebreak=order, count_as="_n"
     )
-    t = target.select(key, F.col("updated_at").alias("_t_ts"))
-    decided = latest.join(t, key, "left").withColumn(
-        "action",
-        F.when(F.col("_t_ts").isNull(), F.lit(INSERTED))
-        .when(F.col("updated_at") > F.col("_t_ts"), F.lit(UPDATED))
-        .otherwise(F.lit(SKIPPED)),
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in S.TARGET_COLUMNS])
+    w = latest.select(*[F.col(c).alias(f"s_{c}") for c in (*PAYLOAD, "_n")])
+    joined = t.join(w, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer").selectExpr(
+        "*",
+        f"CASE WHEN s_{key} IS NULL THEN NULL WHEN t_{key} IS NULL THEN '{INSERTED}' "
+        f"WHEN s_updated_at > t_updated_at THEN '{UPDATED}' ELSE '{SKIPPED}' END AS action",
+    ).withColumn("_as_of", as_of)
+    take = f"coalesce(action IN ('{INSERTED}', '{UPDATED}'), false)"
+    new_target = joined.selectExpr(
+        *[f"CASE WHEN {take} THEN s_{c} ELSE t_{c} END AS {c}" for c in PAYLOAD],
+        f"CASE WHEN t_{key} IS NULL THEN _as_of ELSE t_ingested_at END AS ingested_at",
+        f"CASE WHEN {take} THEN _as_of ELSE t_last_written_at END AS last_written_at",
+    )
+    actions = joined.filter(f"s_{key} IS NOT NULL").selectExpr(
+        f"s_{key} AS {key}", "s_updated_at AS updated_at", "action", "s__n AS submitted"
     )
-    winners = decided.withColumn("_accept", F.col("action") != SKIPPED)
-    new_target = _merge_rows(target, winners.drop("_t_ts", "action", order, "_n"), as_of, key)
-    actions = decided.select(key, "updated_at", "action", F.col("_n").alias("submitted"))
     return new_target, actions
 
 
@@ -150,13 +154,11 @@ def sequential_upsert(
     """
     actions = sequential_actions(target, survivors, key=key, seq=seq)
     accepted = actions.filter(F.col("action") != SKIPPED)
-    order_struct = F.struct(*[F.col(c) for c in seq])
+    rest = [c for c in PAYLOAD if c != key]
     last = accepted.groupBy(key).agg(
-        F.max_by(F.struct(*[F.col(c) for c in PAYLOAD if c != key]), order_struct).alias("_w")
-    )
-    winners = last.select(key, *[F.col(f"_w.{c}").alias(c) for c in PAYLOAD if c != key]).withColumn(
-        "_accept", F.lit(True)
+        F.expr(f"max_by(struct({', '.join(rest)}), struct({', '.join(seq)}))").alias("_w")
     )
+    winners = last.selectExpr(key, *[f"_w.{c} AS {c}" for c in rest], "true AS _accept")
     return _merge_rows(target, winners, as_of, key), actions
 
 

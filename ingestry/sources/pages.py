@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 RECORD_KEYS = ("data", "students", "items", "results")
 
 
-def extract_records(pages: DataFrame, *, body: str = "body", keep: tuple[str, ...] = ()) -> DataFrame:
+def extract_records(
+    pages: DataFrame, *, body: str = "body", keep: tuple[str, ...] = (), with_position: bool = False
+) -> DataFrame:
     """The record list of each page as rows (`item` VARIANT) plus `page_error`.
 
     A top-level array, else the first of data/students/items/results whose value
@@ -23,14 +25,16 @@ def extract_records(pages: DataFrame, *, body: str = "body", keep: tuple[str, ..
     parsed = pages.selectExpr(*ks, f"try_parse_json(`{body}`) AS _v").selectExpr(
         *ks, f"coalesce({lists}) AS _items"
     )
+    pos = ["item_pos"] if with_position else []
     errors = parsed.filter("_items IS NULL").selectExpr(
-        *ks, "CAST(NULL AS VARIANT) AS item", "'could not find a record list in the API response' AS page_error"
+        *ks, *(["CAST(NULL AS INT) AS item_pos"] if with_position else []),
+        "CAST(NULL AS VARIANT) AS item", "'could not find a record list in the API response' AS page_error",
     )
     items = (
         parsed.filter("_items IS NOT NULL")
         .selectExpr(*ks, "posexplode(_items) AS (item_pos, item)")
         .filter("schema_of_variant(item) LIKE 'OBJECT%'")
-        .selectExpr(*ks, "item", "CAST(NULL AS STRING) AS page_error")
+        .selectExpr(*ks, *pos, "item", "CAST(NULL AS STRING) AS page_error")
     )
     return items.unionByName(errors)
 

@@ -105,9 +105,12 @@ def run_csv_job(
     as_of_sql: str = "current_timestamp()",
     correlation_id: str = "run",
     stale_after_seconds: int = 3600,
+    processed_root: str | None = None,
 ) -> DataFrame:
     """Scan landing, claim new/failed/stale file versions, ingest, merge, record.
 
+    With `processed_root`, committed unchanged files are then archived (K5).
+
     Returns the run summaries (one row per processed file); files whose content
     changed after listing are failed in the ledger and reported with status
     'failed', the others still complete (T7).
@@ -220,6 +223,11 @@ def run_csv_job(
         )
     )
     summary = M.run_summary(tagged)
+    if processed_root:
+        from ingestry.sources.landing import archive
+
+        bad_paths = {r.path for r in changed.collect()}  # failed files: tiny list
+        archive(spark, [(r.path, r.name, r.version) for r in claimed if r.path not in bad_paths], processed_root)
     status = claimed_df.join(changed, "path", "left_semi").select(F.col("name").alias("source_object"), F.lit("failed").alias("status"))
     return summary.join(status, "source_object", "full_outer").selectExpr("*", "coalesce(status, 'completed') AS run_status").drop("status")
 

@@ -74,3 +74,32 @@ def version_mismatches(rows: DataFrame, claimed: DataFrame) -> DataFrame:
     """
     read = rows.groupBy("path").agg(F.max("read_version").alias("read_version"), F.min("read_version").alias("_min"))
     return claimed.join(read, "path", "inner").filter("read_version <> version OR _min <> version")
+
+
+def archive(spark: SparkSession, moves: list[tuple[str, str, str]], processed_root: str) -> list[str]:
+    """K5: move committed files landing -> processed, only if unchanged since listing.
+
+    `moves` are (path, relative name, claimed version). Runs after the ledger
+    commit; a failed move is only reported (the ledger, not the move, decides
+    reprocessing), so it never fails the job. Uses the Hadoop FileSystem API, which
+    works for any store Spark can read.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    failed = []
+    for path, name, version in moves:
+        try:
+            src = jvm.org.apache.hadoop.fs.Path(path)
+            fs = src.getFileSystem(conf)
+            st = fs.getFileStatus(src)
+            current = f"{st.getLen()}-{st.getModificationTime() * 1000}"
+            if current != version:
+                failed.append(name)
+                continue
+            dst = jvm.org.apache.hadoop.fs.Path(f"{processed_root.rstrip('/')}/{name}")
+            fs.mkdirs(dst.getParent())
+            if not fs.rename(src, dst):
+                failed.append(name)
+        except Exception:  # noqa: BLE001 - reported, never raised
+            failed.append(name)
+    return failed

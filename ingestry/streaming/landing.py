@@ -76,6 +76,7 @@ def start(
     checkpoint: str,
     as_of_sql: str = "current_timestamp()",
     max_files_per_trigger: int = 1000,
+    archive_dir: str | None = None,
 ):
     """Start an availableNow stream; returns the StreamingQuery (call awaitTermination)."""
     store = StateStore(spark, state_root.rstrip("/"))
@@ -88,6 +89,7 @@ def start(
         .option("columnNameOfCorruptRecord", "_corrupt_record")
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .option("pathGlobFilter", "*.[cC][sS][vV]")
+        .options(**({"cleanSource": "archive", "sourceArchiveDir": archive_dir} if archive_dir else {}))
         .csv(landing_root)
         .selectExpr("*", "_metadata.file_path AS path")
     )

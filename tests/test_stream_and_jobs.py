@@ -79,3 +79,34 @@ def test_available_now_stream(spark, landing, tmp_path):
     again = STREAM.start(spark, root, state, checkpoint=str(tmp_path / "ckpt"), as_of_sql=AS_OF)
     again.awaitTermination(300)
     assert StateStore(spark, state).target().count() == 6
+
+
+def test_archive_after_commit(spark, landing, tmp_path):
+    root = landing({"a.csv": FX.VALID})
+    processed = str(tmp_path / "processed")
+    run_csv_job(spark, root, str(tmp_path / "s"), as_of_sql=AS_OF, processed_root=processed).collect()
+    assert not os.path.exists(os.path.join(root, "a.csv"))
+    assert os.path.exists(os.path.join(processed, "a.csv"))
+
+
+def test_stateful_latest_actions(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from ingestry.streaming.latest_state import latest_actions
+
+    src = tmp_path / "rows"
+    src.mkdir()
+    rows = [("k1", "2026-07-30 08:00:00", 1), ("k1", "2026-07-30 08:00:00", 2), ("k2", "2026-07-30 08:00:00", 3),
+            ("k1", "2026-07-30 09:00:00", 4), ("k2", "2026-07-30 07:00:00", 5)]
+    spark.createDataFrame(rows, "student_id string, t string, o long").selectExpr(
+        "student_id", "CAST(t AS TIMESTAMP) AS updated_at", "o").write.parquet(str(src / "b1"))
+    stream = spark.readStream.schema("student_id string, updated_at timestamp, o long").parquet(str(src / "b1"))
+    q = (latest_actions(stream, order="o").writeStream.format("memory").queryName("latest_actions_t")
+         .option("checkpointLocation", str(tmp_path / "ck")).outputMode("append").trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = sorted(tuple(r) for r in spark.table("latest_actions_t").select("student_id", F.col("updated_at").cast("string"), "action").collect())
+    assert got == [
+        ("k1", "2026-07-30 08:00:00", "inserted"), ("k1", "2026-07-30 08:00:00", "skipped"),
+        ("k1", "2026-07-30 09:00:00", "updated"), ("k2", "2026-07-30 07:00:00", "skipped"),
+        ("k2", "2026-07-30 08:00:00", "inserted"),
+    ]

@@ -55,11 +55,10 @@ class StateStore:
     root: str
 
     def _exists(self, sub: str) -> bool:
-        try:
-            self.spark.read.format("text").load(f"{self.root}/{sub}").limit(1).count()
-            return True
-        except Exception:  # noqa: BLE001 - a missing folder means "empty table"
-            return False
+        """A table folder exists (Hadoop FS metadata call; a missing folder = empty table)."""
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
+        return bool(path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path))
 
     # -- target snapshots
     def target_version(self) -> int:

@@ -49,16 +49,16 @@ def micro_batch_records(batch: DataFrame, header: Sequence[str], *, chunk_size:
         ],
     )
     first = rows.groupBy("path").agg(F.min("_mid").alias("_mid0"))
-    files = rows.select("path").distinct().selectExpr(
-        "path", f"regexp_extract(path, '([^/]*)$', 1) AS {S.SOURCE_OBJECT}",
-    )
+    # File order (O1) is ranked over the per-file rows only (one row per file), then
+    # joined back, so no window ever spans the micro-batch's data rows.
+    files = first.selectExpr(
+        "path", f"regexp_extract(path, '([^/]*)$', 1) AS {S.SOURCE_OBJECT}", "_mid0"
+    ).selectExpr("*", f"row_number() OVER (ORDER BY {S.SOURCE_OBJECT}) AS {S.FILE_ORDINAL}")
     out = (
-        rows.join(first, "path")
-        .join(files, "path")
+        rows.join(files, "path")
         .selectExpr(
             "*",
             f"CAST(_mid - _mid0 + 1 AS BIGINT) AS {S.ROW_ORDINAL}",
-            f"dense_rank() OVER (ORDER BY {S.SOURCE_OBJECT}) AS {S.FILE_ORDINAL}",
             f"true AS {S.IS_CSV}",
         )
         .drop("_mid", "_mid0")

@@ -71,3 +71,16 @@ def missed_runs(traces: DataFrame, *, event: str, window_hours: int) -> DataFram
         f"CAST(hour - make_dt_interval(0, {window_hours - 1}, 0, 0) AS TIMESTAMP_NTZ) AS window_start",
         "CAST(hour + INTERVAL 1 HOUR AS TIMESTAMP_NTZ) AS window_end",
     )
+
+
+def pipeline_failures_stream(logs: DataFrame, *, minutes: int = 5, lateness: str = "10 minutes") -> DataFrame:
+    """M1 (T6) over a log stream: event-time watermark bounds the window state;
+    windows are emitted once closed (append mode)."""
+    term = _TERM.format("|".join(FAILURE_EVENTS))
+    hits = with_event(logs).filter(f"event RLIKE '{term}' OR item_type = 'exception'")
+    return (
+        hits.withWatermark("timestamp", lateness)
+        .groupBy(F.window("timestamp", f"{minutes} minutes").alias("w"))
+        .agg(F.count(F.lit(1)).alias("failures"))
+        .selectExpr("w.start AS window_start", "w.end AS window_end", "failures")
+    )

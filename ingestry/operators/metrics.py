@@ -57,3 +57,11 @@ def per_chunk_counts(tagged: DataFrame) -> DataFrame:
 def watermark_candidates(valid_students: DataFrame, *, key: str) -> DataFrame:
     """A4: freshest updated_at over VALID rows (merge-skipped rows included)."""
     return valid_students.groupBy(F.col(key).alias("source")).agg(F.max("updated_at").alias("watermark"))
+
+
+def job_totals(summaries: DataFrame) -> DataFrame:
+    """Rows written over a job (inserted + updated) and files processed."""
+    return summaries.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.coalesce(F.sum(F.col("inserted") + F.col("updated")), F.lit(0)).cast("bigint").alias("rows_written"),
+    )

@@ -473,6 +473,13 @@ oracle(
     "count(*) FILTER (WHERE action = 'updated') AS updated, count(*) FILTER (WHERE action = 'skipped') AS skipped, "
     "max(ts) AS max_updated_at FROM run_tagged GROUP BY run",
 )
+oracle(
+    "job_totals",
+    _Q,
+    "SELECT count(*) AS files, CAST(coalesce(sum(i + u), 0) AS BIGINT) AS rows_written FROM ("
+    "SELECT run, count(*) FILTER (WHERE action = 'inserted') AS i, count(*) FILTER (WHERE action = 'updated') AS u "
+    "FROM run_tagged GROUP BY run)",
+)
 oracle(
     "chunk_progress",
     _Q,

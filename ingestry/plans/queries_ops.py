@@ -123,6 +123,11 @@ def run_summary(spark, sf_dir):
     return s.select(*[c for c in s.columns if c != "max_updated_at"], ntz("max_updated_at").alias("max_updated_at"))
 
 
+@query
+def job_totals(spark, sf_dir):
+    return M.job_totals(M.run_summary(_run_tagged(spark, sf_dir)))
+
+
 @query
 def chunk_progress(spark, sf_dir):
     per = M.per_chunk_counts(_run_tagged(spark, sf_dir))

@@ -66,8 +66,9 @@ def widen(df):
     """Spread a scan narrower than the cluster (few small files / one row group)
     over all cores before CPU-heavy per-row work. A no-op at scale, where the
     scan already has more partitions than cores; never narrows."""
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        narrow = df.rdd.getNumPartitions() < target
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: leave the plan as it is
+        return df
+    return df.repartition(target) if narrow else df

@@ -110,3 +110,40 @@ def test_stateful_latest_actions(spark, tmp_path):
         ("k1", "2026-07-30 09:00:00", "updated"), ("k2", "2026-07-30 07:00:00", "skipped"),
         ("k2", "2026-07-30 08:00:00", "inserted"),
     ]
+
+
+def test_quarantine_read_back(spark, landing, tmp_path):
+    from ingestry.operators import quarantine as Q
+
+    root = landing({"b.csv": FX.MALFORMED})
+    state = str(tmp_path / "s")
+    run_csv_job(spark, root, state, as_of_sql=AS_OF).collect()
+    back = Q.read_back(spark, state + "/quarantine")
+    counts = {r.reason_code: r.n for r in Q.reason_counts(back).collect()}
+    assert counts == {"MISSING_REQUIRED_FIELD": 1, "INVALID_EMAIL": 1, "INVALID_GRADE_LEVEL": 1,
+                      "UNKNOWN_ENROLLMENT_STATUS": 1, "INVALID_TIMESTAMP": 1, "MALFORMED_ROW": 2,
+                      "DUPLICATE_STUDENT_ID": 1}
+    # rerun of the same chunk overwrites, never duplicates
+    run_csv_job(spark, root, state + "2", as_of_sql=AS_OF).collect()
+    assert back.count() == 8
+
+
+def test_failure_alert_stream(spark, tmp_path):
+    from ingestry.operators.alerts import pipeline_failures_stream
+
+    src = tmp_path / "logs"
+    import datetime as dt
+
+    rows = [
+        (dt.datetime(2026, 8, 1, 10, 1), "trace", '{"event": "csv.file_failed"}'),
+        (dt.datetime(2026, 8, 1, 10, 2), "exception", "{}"),
+        (dt.datetime(2026, 8, 1, 10, 7), "trace", '{"event": "chunk.persisted"}'),
+        (dt.datetime(2026, 8, 1, 11, 0), "trace", '{"event": "api.sync_failed"}'),
+    ]
+    spark.createDataFrame(rows, "timestamp timestamp, item_type string, message string").write.parquet(str(src))
+    stream = spark.readStream.schema("timestamp timestamp, item_type string, message string").parquet(str(src))
+    q = (pipeline_failures_stream(stream).writeStream.format("memory").queryName("fail_alerts_t")
+         .outputMode("append").option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    q.awaitTermination(300)
+    got = [(str(r.window_start), r.failures) for r in spark.table("fail_alerts_t").collect()]
+    assert ("2026-08-01 10:00:00", 2) in got

@@ -41,8 +41,15 @@ def _batch(spark: SparkSession, sf_dir: str, *, files: str = "all") -> core.Batc
     return core.process(recs, as_of=X.AS_OF_SQL)
 
 
+def _half(df: DataFrame, files: str) -> DataFrame:
+    """Even files = already merged target, odd files = the incoming run. The dedupe
+    scope is per file, so one batch over all files split afterwards equals two
+    batches, with one scan and one cascade (the exchange below is reused)."""
+    return df.filter(f"`{S.FILE_ORDINAL}` % 2 = {0 if files == 'target' else 1}")
+
+
 def _target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    students = _batch(spark, sf_dir, files="target").students
+    students = _half(_batch(spark, sf_dir).students, "target")
     return U.initial_target(students, written_at=X.as_of() - F.expr("INTERVAL 1 DAY"))
 
 
@@ -248,7 +255,7 @@ RANK_SQL = f"`{S.FILE_ORDINAL}` * 1000000000 + `{S.ROW_ORDINAL}` AS _rank"
 
 def _incoming(spark, sf_dir):
     """Incoming canonical rows with a unique source-order tiebreak `_rank`."""
-    return _batch(spark, sf_dir, files="incoming").students.selectExpr("*", RANK_SQL)
+    return _half(_batch(spark, sf_dir).students, "incoming").selectExpr("*", RANK_SQL)
 
 
 @query

@@ -112,9 +112,12 @@ def resume_filter(spark, sf_dir):
 
 # ---------------------------------------------------------------- A1 / A2
 def _run_tagged(spark, sf_dir):
-    b = _batch(spark, sf_dir, files="incoming")
-    actions = U.sequential_actions(_target(spark, sf_dir), b.students)
-    return M.tagged_rows(b.records, b.quarantine, actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX)
+    from ingestry.plans.queries import _half
+
+    b = _batch(spark, sf_dir)
+    actions = U.sequential_actions(_target(spark, sf_dir), _half(b.students, "incoming"))
+    odd = f"CAST(regexp_extract(source_object, '([0-9]+)[.]csv$', 1) AS BIGINT) % 2 = 1"
+    return M.tagged_rows(_half(b.records, "incoming"), b.quarantine.filter(odd), actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX)
 
 
 @query

@@ -79,18 +79,17 @@ def status_sql(t: str) -> str:
 
 
 def grade_sql(t: str) -> str:
+    """Alias, else an integer, else an integral decimal; then the -1..12 range.
+    Each regex appears once (the range test sits inside its branch)."""
     alias = f"try_element_at({_map_sql(S.GRADE_ALIASES)}, {alias_key_sql(t)})"
     dec = f"try_cast({t} AS DOUBLE)"
-    number = (
-        f"CASE WHEN NOT contains({t}, '.') AND {t} RLIKE {sql_str(INT_TEXT)} THEN {dec} "
-        f"WHEN contains({t}, '.') AND {t} RLIKE {sql_str(DECIMAL_TEXT)} "
-        f"AND {dec} = floor({dec}) THEN {dec} END"
-    )
-    ranged = (
-        f"CASE WHEN ({number}) BETWEEN {S.MIN_GRADE_LEVEL} AND {S.MAX_GRADE_LEVEL} "
-        f"THEN ({number}) END"
+    ranged = f"CASE WHEN {dec} BETWEEN {S.MIN_GRADE_LEVEL} AND {S.MAX_GRADE_LEVEL} THEN {dec} END"
+    return (
+        f"CAST(CASE WHEN {alias} IS NOT NULL THEN {alias} "
+        f"WHEN NOT contains({t}, '.') AND {t} RLIKE {sql_str(INT_TEXT)} THEN {ranged} "
+        f"WHEN contains({t}, '.') AND {t} RLIKE {sql_str(DECIMAL_TEXT)} AND {dec} = floor({dec}) "
+        f"THEN {ranged} END AS SMALLINT)"
     )
-    return f"CAST(coalesce({alias}, {ranged}) AS SMALLINT)"
 
 
 def timestamp_raw_sql(t: str) -> str:

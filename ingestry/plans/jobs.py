@@ -206,19 +206,24 @@ def run_csv_job(
     )
     store.append_ledger(progress_events)
     latest = L.latest_state(store.ledger_events())
-    bad = claimed_df.join(changed, "path", "left_semi").select("run")
-    final = latest.join(claimed_df.select(F.col("run").alias("run_id"), "path"), "run_id")
-    final = final.join(bad.select(F.col("run").alias("run_id"), F.lit(True).alias("_bad")), "run_id", "left")
+    bad = claimed_df.join(changed, "path", "left_semi").select(F.col("run").alias("run_id"), F.lit(True).alias("_bad"))
+    # Every claimed run gets a final event, including runs that failed before any
+    # chunk was committed (no progress rows yet).
+    final = (
+        claimed_df.selectExpr("run AS run_id", "source_object_id AS _obj", "source_version AS _ver")
+        .join(latest, "run_id", "left")
+        .join(bad, "run_id", "left")
+    )
     store.append_ledger(
         final.selectExpr(
-            "run_id", f"{base} + 999999 AS seq", "source", "source_object_id", "source_version",
-            "correlation_id",
+            "run_id", f"{base} + 999999 AS seq", "'csv' AS source", "_obj AS source_object_id",
+            "_ver AS source_version", f"'{correlation_id}' AS correlation_id",
             "CASE WHEN _bad THEN 'failed' ELSE 'completed' END AS status",
             "coalesce(last_chunk, 0) AS last_chunk", "coalesce(rows_read, 0) AS rows_read",
             "coalesce(rows_valid, 0) AS rows_valid", "coalesce(rows_quarantined, 0) AS rows_quarantined",
             "coalesce(rows_written, 0) AS rows_written",
             f"CASE WHEN _bad THEN {L.fail_event_sql(chr(39) + 'ObjectVersionMismatchError: source object changed after listing' + chr(39))} END AS error",
-            "started_at", f"{as_of_sql} AS completed_at",
+            f"coalesce(started_at, {as_of_sql}) AS started_at", f"{as_of_sql} AS completed_at",
         )
     )
     summary = M.run_summary(tagged)

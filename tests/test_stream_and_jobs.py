@@ -147,3 +147,28 @@ def test_failure_alert_stream(spark, tmp_path):
     q.awaitTermination(300)
     got = [(str(r.window_start), r.failures) for r in spark.table("fail_alerts_t").collect()]
     assert ("2026-08-01 10:00:00", 2) in got
+
+
+def test_changed_file_fails_alone(spark, landing, tmp_path, monkeypatch):
+    import time
+
+    from ingestry.plans import jobs
+    from ingestry.sources import csv as CSV
+
+    root = landing({"a.csv": FX.VALID, "b.csv": FX.VALID.replace("T100", "T500")})
+    original = CSV.read_landing
+
+    def read_after_change(spark_, listing, **kw):
+        time.sleep(0.01)
+        with open(os.path.join(root, "b.csv"), "a") as f:  # changes size and mtime after listing
+            f.write("T5999,Z,Z,1,SCH-01,z@example.edu,active,2026-07-30T08:00:00Z,\n")
+        return original(spark_, listing, **kw)
+
+    monkeypatch.setattr(jobs.CSV, "read_landing", read_after_change)
+    state = str(tmp_path / "s")
+    out = {r.source_object: r for r in jobs.run_csv_job(spark, root, state, as_of_sql=AS_OF).collect()}
+    assert out["a.csv"].run_status == "completed" and out["b.csv"].run_status == "failed"
+    ids = {r.student_id for r in StateStore(spark, state).target().collect()}
+    assert ids == {"T1001", "T1002", "T1003", "T1004", "T1005"}
+    ledger = {r.source_object_id: r.status for r in StateStore(spark, state).ledger().collect()}
+    assert ledger == {"a.csv": "completed", "b.csv": "failed"}

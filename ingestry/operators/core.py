@@ -46,15 +46,19 @@ class Batch:
         payload_sql: str | None = None,
         scope: Sequence[str] = (S.SOURCE_OBJECT, S.CHUNK_INDEX),
         classified: DataFrame | None = None,
+        marked: DataFrame | None = None,
     ) -> None:
         self.records = records
         self.as_of = as_of
-        self.system_sql = source_system if source_system.startswith("`") else C.sql_str(source_system)
+        quoted = source_system.startswith("`") or source_system.startswith("'")
+        self.system_sql = source_system if quoted else C.sql_str(source_system)
         self.cols = [c for c in file_columns if c in records.columns]
         self.payload_sql = payload_sql or P.raw_payload_sql(self.cols)
         self.scope = tuple(scope)
         if classified is not None:
             self.__dict__["classified"] = classified
+        if marked is not None:  # e.g. the marked batch staged once by a job
+            self.__dict__["marked"] = marked
 
     @cached_property
     def classified(self) -> DataFrame:
@@ -70,15 +74,25 @@ class Batch:
 
     @cached_property
     def marked(self) -> DataFrame:
-        return D.mark_chunk_duplicates(self.valid, scope=self.scope)
+        """Dedupe windows over ALL classified rows, validity as an extra partition key
+        (rejects never mix with valid rows). Rejects, survivors and losers are then
+        filters above one window, so they share its input exchange and the cascade
+        runs once per plan. The filters test `reason_code` (not the partition key) so
+        they are not pushed below the window."""
+        flagged = self.classified.selectExpr("*", f"{R.REASON} IS NULL AS _valid")
+        return D.mark_chunk_duplicates(flagged, scope=(*self.scope, "_valid"))
 
     @cached_property
     def survivors(self) -> DataFrame:
-        return D.survivors(self.marked)
+        return D.survivors(self.marked.filter(f"{R.REASON} IS NULL"))
 
     @cached_property
     def losers(self) -> DataFrame:
-        return D.losers(self.marked)
+        return D.losers(self.marked.filter(f"{R.REASON} IS NULL"))
+
+    @cached_property
+    def marked_rejects(self) -> DataFrame:
+        return self.marked.filter(f"{R.REASON} IS NOT NULL")
 
     @cached_property
     def students(self) -> DataFrame:
@@ -90,12 +104,25 @@ class Batch:
             f"{self.payload_sql} AS raw_payload",
         )
 
+    def staged(self, path: str) -> Batch:
+        """Write the marked batch once (all columns) and return a Batch reading it:
+        students, rejects and losers are then cheap filters of one stored table."""
+        self.marked.write.mode("overwrite").parquet(path)
+        stored = self.marked.sparkSession.read.parquet(path)
+        return Batch(
+            self.records,
+            as_of=self.as_of,
+            source_system=self.system_sql,
+            file_columns=self.cols,
+            payload_sql=self.payload_sql,
+            scope=self.scope,
+            marked=stored,
+        )
+
     @cached_property
     def transform_failed(self) -> DataFrame:
         tf = P.transform_failure_sql()
         return self.survivors.filter(f"({tf}) IS NOT NULL").selectExpr(
-            "*",
-        ).selectExpr(
             *[f"`{c}`" for c in self.survivors.columns if c not in (R.REASON, R.DETAIL, R.FIELD)],
             f"'{S.TRANSFORM_FAILED}' AS {R.REASON}",
             f"{tf} AS {R.DETAIL}",
@@ -120,7 +147,7 @@ class Batch:
     def quarantine(self) -> DataFrame:
         """Rule rejects + duplicate losers + transform failures."""
         return (
-            self._quarantine_rows(self.rejected)
+            self._quarantine_rows(self.marked_rejects)
             .unionByName(self._quarantine_rows(self.losers))
             .unionByName(self._quarantine_rows(self.transform_failed))
         )

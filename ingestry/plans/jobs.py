@@ -142,11 +142,14 @@ def run_csv_job(
     groups = CSV.read_landing(spark, claimed_df, chunk_size=chunk_size)
     tag = f"{correlation_id}-{store.target_version()}"
     students, rejects, reads = [], [], []
-    for header, rows in groups.items():
+    stage = f"{store.root}/staging/{tag}"
+    for gi, (header, rows) in enumerate(groups.items()):
         rows = rows.join(
             claimed_df.select("path", "version", "run", "resume_from"), "path"
         ).filter(f"`{S.CHUNK_INDEX}` > resume_from")
-        batch = core.Batch(rows.filter("_read_version = version"), as_of=as_of_sql, file_columns=list(dict.fromkeys(header)))
+        batch = core.Batch(
+            rows.filter("_read_version = version"), as_of=as_of_sql, file_columns=list(dict.fromkeys(header))
+        ).staged(f"{stage}/marked/group={gi}")
         students.append(batch.students)
         rejects.append(batch.quarantine)
         # `_probe` keeps one parsed column in the scan: Spark refuses CSV scans
@@ -166,9 +169,9 @@ def run_csv_job(
     read = reads[0]
     for d in reads[1:]:
         read = read.unionByName(d)
-    # Write the run's rows once; everything after reads these files (no recompute,
-    # short lineage, survives executor loss).
-    stage = f"{store.root}/staging/{tag}"
+    # The marked batch was written once per header group; write the derived rows
+    # once too, everything after reads these files (short lineage, survives
+    # executor loss, no recomputation of the cascade).
     stu.write.mode("overwrite").parquet(f"{stage}/students")
     rej.write.mode("overwrite").parquet(f"{stage}/quarantine")
     read.write.mode("overwrite").parquet(f"{stage}/read")
@@ -304,8 +307,10 @@ def run_api_job(
             *[f"try_variant_get(item, '$.{f}', 'string') AS {f}" for f in S.CANONICAL_FIELDS],
         )
     )
-    batch = core.Batch(recs, as_of=as_of_sql, source_system=S.API_SOURCE_SYSTEM, payload_sql="_payload")
     stage = f"{store.root}/staging/{correlation_id}"
+    batch = core.Batch(recs, as_of=as_of_sql, source_system=S.API_SOURCE_SYSTEM, payload_sql="_payload").staged(
+        f"{stage}/marked"
+    )
     batch.students.write.mode("overwrite").parquet(f"{stage}/students")
     batch.quarantine.write.mode("overwrite").parquet(f"{stage}/quarantine")
     students = spark.read.parquet(f"{stage}/students")

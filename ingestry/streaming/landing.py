@@ -98,8 +98,8 @@ def start(
         # Row ids are taken on the micro-batch's own file scan (static inside foreachBatch).
         batch = batch.selectExpr("*", "monotonically_increasing_id() AS _mid")
         records = micro_batch_records(batch, header, chunk_size=chunk_size)
-        b = core.Batch(records, as_of=as_of_sql, file_columns=list(dict.fromkeys(header)))
         stage = f"{store.root}/staging/stream-{batch_id}"
+        b = core.Batch(records, as_of=as_of_sql, file_columns=list(dict.fromkeys(header))).staged(f"{stage}/marked")
         b.students.write.mode("overwrite").parquet(f"{stage}/students")
         b.quarantine.write.mode("overwrite").parquet(f"{stage}/quarantine")
         students = spark.read.parquet(f"{stage}/students")

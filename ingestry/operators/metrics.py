@@ -30,6 +30,22 @@ def tagged_rows(records: DataFrame, quarantine: DataFrame, actions: DataFrame, *
     return r.unionByName(q).unionByName(a)
 
 
+def tagged_from_marked(marked: DataFrame, actions: DataFrame, *, run: str, chunk: str, tf_sql: str) -> DataFrame:
+    """Same tagged rows from ONE pass over the marked batch: every row was read; a
+    row is quarantined if a rule failed, it lost a duplicate, or the transform
+    guard fired (the union of the three quarantine branches)."""
+    q = f"reason_code IS NOT NULL OR _kept_at IS NOT NULL OR ({tf_sql}) IS NOT NULL"
+    m = marked.selectExpr(
+        f"`{run}` AS _run", f"`{chunk}` AS _chunk", "1 AS _read", f"CASE WHEN {q} THEN 1 ELSE 0 END AS _q",
+        "0 AS _valid", "CAST(NULL AS STRING) AS _action", "CAST(NULL AS TIMESTAMP) AS _ts",
+    )
+    a = actions.selectExpr(
+        f"`{run}` AS _run", f"`{chunk}` AS _chunk", "0 AS _read", "0 AS _q", "1 AS _valid",
+        "action AS _action", "updated_at AS _ts",
+    )
+    return m.unionByName(a)
+
+
 def run_summary(tagged: DataFrame) -> DataFrame:
     """A1: per run chunks, read, valid, quarantined, inserted, updated, skipped, max_updated_at."""
     return tagged.groupBy(F.col("_run").alias("source_object")).agg(

@@ -116,8 +116,11 @@ def _run_tagged(spark, sf_dir):
 
     b = _batch(spark, sf_dir)
     actions = U.sequential_actions(_target(spark, sf_dir), _half(b.students, "incoming"))
-    odd = f"CAST(regexp_extract(source_object, '([0-9]+)[.]csv$', 1) AS BIGINT) % 2 = 1"
-    return M.tagged_rows(_half(b.records, "incoming"), b.quarantine.filter(odd), actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX)
+    from ingestry.functions.payload import transform_failure_sql
+
+    return M.tagged_from_marked(
+        _half(b.marked, "incoming"), actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX, tf_sql=transform_failure_sql()
+    )
 
 
 @query

@@ -16,11 +16,12 @@ def _plan(spark, df):
 
 
 def test_cascade_runs_once_and_fits_codegen(spark):
+    # direct split: the filter stays above the cascade projection (barrier referenced)
+    plan = _plan(spark, QUERIES["valid_records"](spark, SF))
+    assert "_task" in plan and plan.count("RLIKE") <= 4
+    # dedupe: one shuffle keyed by (file, chunk, validity, key); filters sit above the window
     plan = _plan(spark, QUERIES["dedupe_survivors"](spark, SF))
-    # the split filter stays above the cascade projection (barrier column referenced)
-    assert "_task" in plan
     assert plan.count("RLIKE") <= 4
-    # one shuffle for the dedupe windows, keyed by (file, chunk, key)
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert len(keys) == 1 and "_chunk_index" in keys[0] and "_c_student_id" in keys[0]
 

@@ -145,12 +145,22 @@ class Batch:
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        """Rule rejects + duplicate losers + transform failures."""
-        return (
-            self._quarantine_rows(self.marked_rejects)
-            .unionByName(self._quarantine_rows(self.losers))
-            .unionByName(self._quarantine_rows(self.transform_failed))
+        """Rule rejects + duplicate losers + transform failures, as ONE filtered
+        projection of the marked batch (one pass, one exchange)."""
+        tf = P.transform_failure_sql()
+        dup_detail = D.loser_detail_sql()
+        rows = self.marked.filter(
+            f"{R.REASON} IS NOT NULL OR {D.KEPT_AT} IS NOT NULL OR ({tf}) IS NOT NULL"
+        ).selectExpr(
+            *[f"`{c}`" for c in self.marked.columns if c not in (R.REASON, R.DETAIL, R.FIELD)],
+            f"CASE WHEN {R.REASON} IS NOT NULL THEN {R.REASON} WHEN {D.KEPT_AT} IS NOT NULL "
+            f"THEN '{S.DUPLICATE_STUDENT_ID}' ELSE '{S.TRANSFORM_FAILED}' END AS {R.REASON}",
+            f"CASE WHEN {R.REASON} IS NOT NULL THEN {R.DETAIL} WHEN {D.KEPT_AT} IS NOT NULL "
+            f"THEN {dup_detail} ELSE {tf} END AS {R.DETAIL}",
+            f"CASE WHEN {R.REASON} IS NOT NULL THEN {R.FIELD} WHEN {D.KEPT_AT} IS NOT NULL "
+            f"THEN 'student_id' END AS {R.FIELD}",
         )
+        return self._quarantine_rows(rows)
 
 
 def process(records: DataFrame, **kwargs) -> Batch:

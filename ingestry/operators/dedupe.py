@@ -56,12 +56,17 @@ def survivors(marked: DataFrame) -> DataFrame:
     return marked.filter(f"{KEPT_AT} IS NULL")
 
 
-def losers(marked: DataFrame, *, ts: str = "_ts") -> DataFrame:
-    """Displaced rows with the reference's explanation text."""
-    detail = (
+def loser_detail_sql(ts: str = "_ts") -> str:
+    """The reference's duplicate explanation: winner's time at that moment vs the loser's."""
+    return (
         "concat('duplicate student_id in the same chunk; kept the row updated at ', "
         f"{iso_utc_sql(KEPT_AT)}, ' instead of ', {iso_utc_sql(ts)})"
     )
+
+
+def losers(marked: DataFrame, *, ts: str = "_ts") -> DataFrame:
+    """Displaced rows with the reference's explanation text."""
+    detail = loser_detail_sql(ts)
     cols = [f"`{c}`" for c in marked.columns if c not in (R.REASON, R.DETAIL, R.FIELD)]
     return marked.filter(f"{KEPT_AT} IS NOT NULL").selectExpr(
         *cols,

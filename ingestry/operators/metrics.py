@@ -10,9 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_TAGGED = ("_run", "_chunk", "_read", "_q", "_valid", "_action", "_ts")
-
-
 def tagged_rows(records: DataFrame, quarantine: DataFrame, actions: DataFrame, *, run: str, chunk: str) -> DataFrame:
     """Union of records (read), quarantine rows and per-survivor merge actions."""
     r = records.selectExpr(

@@ -22,7 +22,6 @@ from ingestry.operators.dedupe import latest_per_key
 INSERTED = "inserted"
 UPDATED = "updated"
 SKIPPED = "skipped"
-UNTOUCHED = "untouched"
 
 BLOCK_CHUNKS = 64
 PAYLOAD = tuple(c for c in S.TARGET_COLUMNS if c not in ("ingested_at", "last_written_at"))

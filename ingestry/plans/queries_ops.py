@@ -209,7 +209,11 @@ def alert_missed_api_runs(spark, sf_dir):
 
 # ---------------------------------------------------------------- S4 / S6 / K6
 def _staged_pages(spark, sf_dir):
-    """Each conversation packed as one API page; envelope shape by conv_id % 5."""
+    """Each conversation packed as one API page; envelope shape by conv_id % 5.
+
+    `collect_list` per conversation is bounded by one conversation's turns (a page),
+    not by the table; pages are built in parallel across conversations.
+    """
     c = X.table(spark, sf_dir, "conversations")
     items = c.groupBy("conv_id").agg(
         F.expr(

@@ -172,3 +172,26 @@ def test_changed_file_fails_alone(spark, landing, tmp_path, monkeypatch):
     assert ids == {"T1001", "T1002", "T1003", "T1004", "T1005"}
     ledger = {r.source_object_id: r.status for r in StateStore(spark, state).ledger().collect()}
     assert ledger == {"a.csv": "completed", "b.csv": "failed"}
+
+
+def test_failed_file_is_picked_up_next_run(spark, landing, tmp_path, monkeypatch):
+    from ingestry.plans import jobs
+    from ingestry.sources import csv as CSV
+
+    root = landing({"b.csv": FX.VALID.replace("T100", "T500")})
+    original = CSV.read_landing
+    calls = []
+
+    def change_once(spark_, listing, **kw):
+        if not calls:
+            with open(os.path.join(root, "b.csv"), "a") as f:
+                f.write("T5999,Z,Z,1,SCH-01,z@example.edu,active,2026-07-30T08:00:00Z,\n")
+        calls.append(1)
+        return original(spark_, listing, **kw)
+
+    monkeypatch.setattr(jobs.CSV, "read_landing", change_once)
+    state = str(tmp_path / "s")
+    first = jobs.run_csv_job(spark, root, state, as_of_sql=AS_OF).first()
+    assert first.run_status == "failed"
+    second = jobs.run_csv_job(spark, root, state, as_of_sql="TIMESTAMP'2026-08-02 00:00:00'").first()
+    assert second.run_status == "completed" and second.inserted == 6

@@ -140,6 +140,20 @@ def run_csv_job(
         "source_object_id string, source_version string",
     )
     groups = CSV.read_landing(spark, claimed_df, chunk_size=chunk_size)
+    base = f"unix_seconds({as_of_sql}) * 1000000"
+    if not groups:
+        # Only empty / header-only files: they complete with zero rows (never re-claimed).
+        store.append_ledger(
+            claimed_df.selectExpr(
+                "run AS run_id", f"{base} + 999999 AS seq", "'csv' AS source", "source_object_id",
+                "source_version", f"'{correlation_id}' AS correlation_id", "'completed' AS status",
+                "CAST(0 AS BIGINT) AS last_chunk", "CAST(0 AS BIGINT) AS rows_read",
+                "CAST(0 AS BIGINT) AS rows_valid", "CAST(0 AS BIGINT) AS rows_quarantined",
+                "CAST(0 AS BIGINT) AS rows_written", "CAST(NULL AS STRING) AS error",
+                f"{as_of_sql} AS started_at", f"{as_of_sql} AS completed_at",
+            )
+        )
+        return spark.createDataFrame([], "source_object string, run_status string")
     tag = f"{correlation_id}-{store.target_version()}"
     students, rejects, reads = [], [], []
     stage = f"{store.root}/staging/{tag}"
@@ -198,7 +212,6 @@ def run_csv_job(
     per_chunk = M.per_chunk_counts(tagged)
     prog = L.progress(per_chunk, run_col="_run", chunk_col="_chunk").withColumnRenamed("_run", "name")
     ident = claimed_df.select("name", "run", "source_object_id", "source_version")
-    base = f"unix_seconds({as_of_sql}) * 1000000"
     prior = ledger.select(F.col("run_id").alias("run"), F.col("rows_read").alias("p_read"), F.col("rows_valid").alias("p_valid"), F.col("rows_quarantined").alias("p_q"), F.col("rows_written").alias("p_w"))
     progress_events = prog.join(ident, "name").join(prior, "run", "left").selectExpr(
         "run AS run_id", f"{base} + last_chunk AS seq", "'csv' AS source", "source_object_id",

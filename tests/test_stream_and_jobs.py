@@ -195,3 +195,11 @@ def test_failed_file_is_picked_up_next_run(spark, landing, tmp_path, monkeypatch
     assert first.run_status == "failed"
     second = jobs.run_csv_job(spark, root, state, as_of_sql="TIMESTAMP'2026-08-02 00:00:00'").first()
     assert second.run_status == "completed" and second.inserted == 6
+
+
+def test_only_empty_files(spark, landing, tmp_path):
+    root = landing({"e.csv": "", "h.csv": FX.HEADER + "\n"})
+    state = str(tmp_path / "s")
+    assert run_csv_job(spark, root, state, as_of_sql=AS_OF).count() == 0
+    assert {r.status for r in StateStore(spark, state).ledger().collect()} == {"completed"}
+    assert run_csv_job(spark, root, state, as_of_sql=AS_OF).count() == 0

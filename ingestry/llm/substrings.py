@@ -37,9 +37,9 @@ from ingestry.llm.common import stage
 
 LENGTH = 400
 GRAM = 32
-MAX_CONTEXTS = 20_000
+MAX_CONTEXTS = 6_000  # of one anchor under one suffix array: at most 5 MB of text
 PIECE = 1 << 22  # bytes of a text whose anchors are found at once
-SORT_BYTES = 1 << 21  # bytes of contexts under one suffix array (a whole anchor at least)
+SORT_BYTES = 1 << 20  # bytes of contexts under one suffix array (a whole anchor at least)
 MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -129,17 +129,17 @@ def suffix_ranks(text: bytes, left, length: int):
     def ranked(at, keys):
         order = np.argsort(keys)
         keys = keys[order]
-        rank[at[order]] = np.cumsum(np.concatenate([[0], keys[1:] != keys[:-1]]))
+        rank[at[order]] = np.cumsum(np.concatenate([[False], keys[1:] != keys[:-1]]), dtype=np.int32)
 
-    rank = np.zeros(len(text), dtype=np.int64)
-    at = np.flatnonzero(left >= 8)
+    rank = np.zeros(len(text), dtype=np.int32)
+    at = np.flatnonzero(left >= 8).astype(np.int32)
     ranked(at, np.ndarray(len(text) - 7, dtype=">u8", buffer=text, strides=(1,))[at].astype(np.uint64))
     size = 8
     while size < length:
         step = min(size, length - size)
         size += step
-        at = np.flatnonzero(left >= size)
-        ranked(at, rank[at] * len(rank) + rank[at + step])
+        at = np.flatnonzero(left >= size).astype(np.int32)
+        ranked(at, rank[at].astype(np.int64) * len(rank) + rank[at + step])
     return at, rank[at]
 
 
@@ -151,7 +151,7 @@ def repeats(contexts: list[bytes], length: int, keep: str) -> list[list[tuple[in
     text = b"".join(contexts)
     sizes = np.array([len(c) for c in contexts])
     edges = np.concatenate([[0], np.cumsum(sizes)])
-    left = np.repeat(edges[1:], sizes) - np.arange(len(text))
+    left = np.repeat(edges[1:].astype(np.int32), sizes) - np.arange(len(text), dtype=np.int32)
     starts, ranks = suffix_ranks(text, left, length)
     by = np.argsort(ranks, kind="stable")  # the suffix array, ties by place
     order, ranks = starts[by], ranks[by]

@@ -32,10 +32,11 @@ SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
 SAMPLE = 32_768  # points that fit the tree; bounds what the driver gets
-LEAF = 4_096  # points a leaf is meant to hold
-BLOCK = 16_384  # points or visitors a task compares with as many
+LEAF = 16_384  # points a leaf is meant to hold: fewer levels, so fewer visitors
+BLOCK = 65_536  # points or visitors a task compares with as many
 ROUTE_ROWS = 100_000
-CELLS = 1 << 20  # comparisons in memory at once
+CELLS = 1 << 16  # comparisons in memory at once; they stay in the cache
+HITS = 1 << 20  # links held before they are joined
 SHINGLES_AT_ONCE = 100_000
 
 
@@ -133,31 +134,51 @@ def route(nodes, points, reach: int) -> list[tuple[int, object, object]]:
     return found
 
 
+def _joined(parent, u, v):
+    """Union-find over arrays: parent with u[i] and v[i] joined, every node at its root."""
+    import numpy as np
+
+    while True:
+        ru, rv = parent[u], parent[v]
+        apart = ru != rv
+        if not apart.any():
+            return parent
+        u, v, ru, rv = u[apart], v[apart], ru[apart], rv[apart]
+        np.minimum.at(parent, np.maximum(ru, rv), np.minimum(ru, rv))
+        while True:
+            up = parent[parent]
+            if (up == parent).all():
+                break
+            parent = up
+
+
 def forest(home, others, reach: int):
     """Links of the graph {home} x {others}, at most reach bits apart, reduced to stars:
-    arrays (point, root)."""
+    arrays (point, root). A point equals only itself."""
     import numpy as np
 
     points = np.unique(np.concatenate([home, others]))
     parent = np.arange(len(points))
-    at = np.searchsorted(points, home)
-    rows = max(1, CELLS // max(1, len(home)))
+    at, asks = np.searchsorted(points, home), np.searchsorted(points, others)
+    n = max(1, len(home))
+    rows = max(1, CELLS // n)
+    apart, bits = np.empty((rows, len(home)), dtype=np.uint64), np.empty((rows, len(home)), dtype=np.uint8)
+    us, vs, held = [], [], 0
     for k in range(0, len(others), rows):
         some = others[k : k + rows]
-        q, h = np.nonzero(np.bitwise_count(some[:, None] ^ home[None, :]) <= reach)
-        u, v = np.searchsorted(points, some)[q], at[h]
-        while True:
-            ru, rv = parent[u], parent[v]
-            apart = ru != rv
-            if not apart.any():
-                break
-            u, v, ru, rv = u[apart], v[apart], ru[apart], rv[apart]
-            np.minimum.at(parent, np.maximum(ru, rv), np.minimum(ru, rv))
-            while True:
-                up = parent[parent]
-                if (up == parent).all():
-                    break
-                parent = up
+        x = np.bitwise_xor(some[:, None], home[None, :], out=apart[: len(some)])
+        c = np.bitwise_count(x, out=bits[: len(some)])
+        np.subtract(c, 1, out=c)  # a point against itself becomes 255
+        hit = np.flatnonzero((c < reach).ravel())
+        if len(hit):
+            us.append(asks[k + hit // n])
+            vs.append(at[hit % n])
+            held += len(hit)
+        if held > HITS:
+            parent = _joined(parent, np.concatenate(us), np.concatenate(vs))
+            us, vs, held = [], [], 0
+    if held:
+        parent = _joined(parent, np.concatenate(us), np.concatenate(vs))
     moved = np.flatnonzero(parent != np.arange(len(points)))
     return points[moved], points[parent[moved]]
 

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Bytes 09-0D and 20 separate words; everything else is part of one. Listed singly:
 # Java's regular expressions test a list by one lookup, ranges by a chain of calls.
@@ -37,3 +38,9 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """The same rows, as generated columns: the optimizer doesn't push filters on them into
+    the expressions below, which it would copy once per reference."""
+    return df.select(F.inline(F.array(F.struct(*df.columns))))

@@ -18,6 +18,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ingestry.llm.common import settled
 from ingestry.llm.license_rules import BASE_PHRASES, BASE_WEIGHT, gate_words, rules
 
 # [^\x00-\x2F\x3A-\x60\x7B-\x7F]+, listed singly: a list is one lookup, a range a call
@@ -80,7 +81,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     own = F.array_compact(
         F.array(*(F.when(F.size(f"at_{k}") > 0, F.lit(label)) for k, label in enumerate(base)))
     )
-    return df.select(
+    df = df.select(
         F.col("_id").alias(id_col),
         "n_words",
         F.size(at).cast("long").alias("n_base"),
@@ -91,3 +92,4 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
         F.greatest("best", F.when(F.size(at) > 0, F.lit(BASE_WEIGHT)).otherwise(F.lit(0.0))).alias("score"),
         "detections",
     )
+    return settled(df)

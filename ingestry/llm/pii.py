@@ -12,7 +12,8 @@ and a pseudonym is as valid as the original:
 * US social security numbers: the 898 x 99 x 9999 valid ones
 * IBANs: letters and digits of the account part; new check digits
 * phone numbers: the digits after the country code, layout kept
-* e-mail addresses and access keys: letters and digits, each within its own class
+* e-mail addresses, access keys and password=... values: letters and digits, each within its
+  own class
 
 Equal numbers link across layouts (4111-1111... and 4111 1111...), dates across year-first
 and day-first notations,
@@ -29,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ingestry.llm.common import settled
+
 ROUNDS = 8
 DAYS = (189, 773)  # their product is the days of 400 years
 FIRST_DAY, LAST_DAY = "1800-01-01", "2199-12-31"
@@ -46,7 +49,7 @@ KINDS = (
     ("card", _B + "[0-9](?:[ -]?[0-9]){12,18}" + _E),
     ("phone", r"(?<![0-9A-Za-z+])(?:[+][0-9]{1,3}[ .-]?)?(?:[(][0-9]{2,4}[)][ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,3}" + _E),
     ("key", _B + "AKIA[0-9A-Z]{16}" + _E),
-    ("secret", "(?<=password=|passwd=|secret=|token=)[0-9A-Za-z]{8,64}" + _E),
+    ("secret", _B + "(?:password|passwd|secret|token)=[0-9A-Za-z]{8,64}" + _E),
 )
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
 
@@ -195,7 +198,8 @@ def _pseudonym(kind: str, key: str, reverse: bool) -> str:
         return _let(rest, "z", _let(_digits("z"), "x", f"if(length(x) between 7 and 15, {shown}, null)"))
     if kind == "key":
         return f"concat(left(m, 4), {_permute_chars('substr(m, 5)', key, kind, reverse)})"
-    return _permute_chars("m", key, kind, reverse)
+    name = "locate('=', m)"
+    return f"concat(left(m, {name}), {_permute_chars(f'substr(m, {name} + 1)', key, kind, reverse)})"
 
 
 def pseudonymise(
@@ -217,12 +221,13 @@ def pseudonymise(
     joined = F.expr("array_join(transform(pieces, (x, i) -> concat(x, coalesce(get(vs, i).v, ''))), '')")
     found = F.expr("filter(transform(vs, v -> v.k), k -> k is not null)")
     df = df.select("_id", "t", "vs", F.when(F.size("vs") > 0, pieces).alias("pieces"))
-    return df.select(
+    df = df.select(
         F.col("_id").alias(id_col),
         F.when(F.size("vs") > 0, joined).otherwise(F.col("t")).alias("text"),
         F.size(found).cast("long").alias("n_values"),
         F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("kinds"),
     )
+    return settled(df)
 
 
 def _anchored() -> list[tuple[str, str]]:

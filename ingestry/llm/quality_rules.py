@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestry.llm.common import HAS_WORD, WORD_BREAKS
+from ingestry.llm.common import HAS_WORD, WORD_BREAKS, settled
 
 SYMBOLS = "#*$%&|<>"
 # Characters that prose uses rarely; more than one for every second word is noise.
@@ -117,7 +117,7 @@ def _measured(rows: DataFrame, max_loss: float, exact: bool) -> DataFrame:
     )
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     enough = F.octet_length("cleaned") >= (1 - max_loss) * F.octet_length("t")
-    return df.select(
+    df = df.select(
         "_row",
         "n_words",
         "word_chars",
@@ -128,6 +128,7 @@ def _measured(rows: DataFrame, max_loss: float, exact: bool) -> DataFrame:
         (~failed & enough).alias("kept"),
         "cleaned",
     )
+    return settled(df)
 
 
 def _rows(docs: DataFrame, text_col: str) -> DataFrame:

@@ -32,8 +32,13 @@ TS_GUARD = (
     r"|[0-9]{4}T[0-9]{2}([0-9]{2}([0-9]{2}([.,][0-9]+)?)?)?)"
     r"(Z|[+-][0-9]{2}(:?[0-9]{2}(:?[0-9]{2}(\.[0-9]{1,6})?)?)?)$"
 )
-TS_EXTENDED = "yyyy-MM-dd'T'HH[:mm[:ss[.SSSSSS]]][XXXXX][XX][X]"
-TS_BASIC = "yyyyMMdd'T'HH[mm[ss[.SSSSSS]]][XXXXX][XX][X]"
+TS_EXTENDED = "yyyy-MM-dd'T'HH[:mm[:ss[.SSSSSS]]]"
+TS_BASIC = "yyyyMMdd'T'HH[mm[ss[.SSSSSS]]]"
+ZONES = "[XXXXX][XX][X]"
+# Zones that the patterns read themselves; the others, up to a day, are moved by arithmetic.
+TS_NEAR = r"(Z|[+-](0[0-9]|1[0-7])(:?[0-5][0-9](:?[0-5][0-9])?)?)$"
+TS_ZONE = r"(Z|[+-][0-9]{2}(:?[0-9]{2}(:?[0-9]{2}(\.[0-9]{1,6})?)?)?)$"
+TS_OFFSET = r"^[+-]([01][0-9]|2[0-3])([0-5][0-9]([0-5][0-9](\.[0-9]+)?)?)?$"
 
 
 def sql_str(value: str) -> str:
@@ -95,10 +100,27 @@ def grade_sql(t: str) -> str:
 def timestamp_raw_sql(t: str) -> str:
     """Guarded ISO 8601 parse (before the year floor of `timestamp_floor_sql`)."""
     norm = f"regexp_replace(translate({t}, ',', '.'), {sql_str(r'(\.[0-9]{6})[0-9]+')}, '$1')"
+    near = (
+        f"coalesce(try_to_timestamp({norm}, {sql_str(TS_EXTENDED + ZONES)}), "
+        f"try_to_timestamp({norm}, {sql_str(TS_BASIC + ZONES)}))"
+    )
+    # A farther zone: the local time is read as UTC, then moved by its offset.
+    let = "get(transform(array({0}), {1} -> {2}), 0)"
+    zone = f"replace(regexp_extract({t}, {sql_str(TS_ZONE)}, 1), ':', '')"
+    local = f"regexp_replace(translate(regexp_replace({t}, {sql_str(TS_ZONE)}, ''), ',', '.'), {sql_str(r'(\.[0-9]{6})[0-9]+')}, '$1')"
+    parsed = let.format(local, "l", f"coalesce(try_to_timestamp(l, {sql_str(TS_EXTENDED)}), try_to_timestamp(l, {sql_str(TS_BASIC)}))")
+    part = "coalesce(try_cast(nullif(substr(z, {0}, {1}), '') AS {2}), 0)"
+    micros = (
+        f"CAST(({part.format(2, 2, 'BIGINT')} * 3600 + {part.format(4, 2, 'BIGINT')} * 60 "
+        f"+ {part.format(6, 9, 'DECIMAL(12,6)')}) * 1000000 AS BIGINT)"
+    )
+    moved = (
+        f"CASE WHEN z = 'Z' THEN {parsed} WHEN z RLIKE {sql_str(TS_OFFSET)} "
+        f"THEN timestampadd(MICROSECOND, if(left(z, 1) = '-', 1, -1) * {micros}, {parsed}) END"
+    )
     return (
-        f"CASE WHEN {t} RLIKE {sql_str(TS_GUARD)} THEN coalesce("
-        f"try_to_timestamp({norm}, {sql_str(TS_EXTENDED)}), "
-        f"try_to_timestamp({norm}, {sql_str(TS_BASIC)})) END"
+        f"CASE WHEN {t} RLIKE {sql_str(TS_GUARD)} THEN "
+        f"CASE WHEN {t} RLIKE {sql_str(TS_NEAR)} THEN {near} ELSE {let.format(zone, 'z', moved)} END END"
     )
 
 

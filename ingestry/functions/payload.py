@@ -7,24 +7,33 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from ingestry import schema as S
+from ingestry.functions.clean import sql_str
 
 _JSON_OPTS = "map('ignoreNullFields', 'false')"
 
 
+# The source columns of a file in one map, by header name: its payload, and whether the row
+# had too few values.
+MAP_PAYLOAD_SQL = "to_json(_src)"
+MAP_MISSING_SQL = "exists(map_values(_src), v -> v IS NULL)"
+
+
 def raw_payload_sql(file_columns: Sequence[str]) -> str:
     """Source record as received (source spelling and order), bookkeeping keys removed."""
     if not file_columns:
         return "'{}'"
-    pairs = ", ".join(f"'{c}', `{c}`" for c in file_columns)
+    pairs = ", ".join(f"{sql_str(c)}, `{c.replace('`', '``')}`" for c in file_columns)
     return f"to_json(named_struct({pairs}), {_JSON_OPTS})"
 
 
-def record_sql(file_columns: Sequence[str]) -> str:
-    """The quarantined record: source values plus the adapter's bookkeeping keys."""
-    pairs = [f"'{c}', `{c}`" for c in file_columns]
-    pairs.append(f"'{S.EXTRA_COLUMNS}', `{S.EXTRA_COLUMNS}`")
-    pairs.append(f"'_source_line', `{S.ROW_ORDINAL}`")
-    return f"to_json(named_struct({', '.join(pairs)}), {_JSON_OPTS})"
+def record_sql(payload: str, line: str = S.ROW_ORDINAL) -> str:
+    """The quarantined record of a CSV row: the source values, the surplus values where
+    there are any, and the line."""
+    return (
+        f"concat(left({payload}, length({payload}) - 1), CASE WHEN {payload} = '{{}}' THEN '' ELSE ',' END, "
+        f"CASE WHEN `{S.EXTRA_COLUMNS}` IS NOT NULL THEN concat('\"{S.EXTRA_COLUMNS}\":', to_json(`{S.EXTRA_COLUMNS}`), ',') "
+        f"ELSE '' END, '\"_source_line\":', CAST(`{line}` AS STRING), '}}')"
+    )
 
 
 CANONICAL_SQL = (

@@ -44,6 +44,8 @@ class Batch:
         source_system: str = S.CSV_SOURCE_SYSTEM,
         file_columns: Sequence[str] = S.CANONICAL_FIELDS,
         payload_sql: str | None = None,
+        record_sql: str | None = None,
+        missing_sql: str | None = None,
         scope: Sequence[str] = (S.SOURCE_OBJECT, S.CHUNK_INDEX),
         classified: DataFrame | None = None,
         marked: DataFrame | None = None,
@@ -54,6 +56,9 @@ class Batch:
         self.system_sql = source_system if quoted else C.sql_str(source_system)
         self.cols = [c for c in file_columns if c in records.columns]
         self.payload_sql = payload_sql or P.raw_payload_sql(self.cols)
+        line = "_source_line" if "_source_line" in records.columns else S.ROW_ORDINAL
+        self.record_sql = record_sql or P.record_sql(self.payload_sql, line)
+        self.missing_sql = missing_sql
         self.scope = tuple(scope)
         if classified is not None:
             self.__dict__["classified"] = classified
@@ -62,7 +67,7 @@ class Batch:
 
     @cached_property
     def classified(self) -> DataFrame:
-        return R.classify(self.records, as_of=self.as_of, file_columns=self.cols)
+        return R.classify(self.records, as_of=self.as_of, file_columns=self.cols, missing_sql=self.missing_sql)
 
     @cached_property
     def valid(self) -> DataFrame:
@@ -90,10 +95,6 @@ class Batch:
     def losers(self) -> DataFrame:
         return D.losers(self.marked.filter(f"{R.REASON} IS NULL"))
 
-    @cached_property
-    def marked_rejects(self) -> DataFrame:
-        return self.marked.filter(f"{R.REASON} IS NOT NULL")
-
     @cached_property
     def students(self) -> DataFrame:
         keep = [f"`{c}`" for c in BOOKKEEPING if c in self.records.columns]
@@ -115,20 +116,12 @@ class Batch:
             source_system=self.system_sql,
             file_columns=self.cols,
             payload_sql=self.payload_sql,
+            record_sql=self.record_sql,
+            missing_sql=self.missing_sql,
             scope=self.scope,
             marked=stored,
         )
 
-    @cached_property
-    def transform_failed(self) -> DataFrame:
-        tf = P.transform_failure_sql()
-        return self.survivors.filter(f"({tf}) IS NOT NULL").selectExpr(
-            *[f"`{c}`" for c in self.survivors.columns if c not in (R.REASON, R.DETAIL, R.FIELD)],
-            f"'{S.TRANSFORM_FAILED}' AS {R.REASON}",
-            f"{tf} AS {R.DETAIL}",
-            f"CAST(NULL AS STRING) AS {R.FIELD}",
-        )
-
     def _quarantine_rows(self, df: DataFrame) -> DataFrame:
         return df.selectExpr(
             f"{self.system_sql} AS source_system",
@@ -140,7 +133,7 @@ class Batch:
             R.REASON,
             R.DETAIL,
             R.FIELD,
-            f"{P.record_sql(self.cols)} AS record",
+            f"{self.record_sql} AS record",
         )
 
     @cached_property

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ingestry import schema as S
+from ingestry.functions.clean import sql_str
 
 IDENTITY = ("source", "source_object_id", "source_version")
 NEW, RESUMED, STALE, SKIP = "new", "resumed", "stale_reclaimed", "skipped"
@@ -36,20 +37,27 @@ def claim_decisions(
     as_of_sql: str,
     stale_after_seconds: int = 3600,
     keys: Sequence[str] = IDENTITY,
+    owner: str | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
     """New / resumed (failed) / stale_reclaimed (running too long) / skipped.
 
+    A run that is still `running` under the caller's own correlation id (`owner`) is the
+    caller's, left by an attempt that ended early, and is resumed. `carry` names further
+    ledger columns to bring along.
+
     `resume_from` is the last committed chunk for reclaimed runs, else 0.
     """
     if stale_after_seconds < 1:
         raise ValueError("stale_after_seconds must be at least 1")
-    g = ledger.select(*keys, "run_id", "status", "last_chunk", "started_at")
+    g = ledger.select(*keys, "run_id", "status", "last_chunk", "started_at", *carry)
+    mine = f" OR (status = 'running' AND correlation_id = {sql_str(owner)})" if owner else ""
     stale = (
         f"status = 'running' AND started_at <= ({as_of_sql}) - "
         f"make_dt_interval(0, 0, 0, {stale_after_seconds})"
     )
     decision = (
-        f"CASE WHEN run_id IS NULL THEN '{NEW}' WHEN status = 'failed' THEN '{RESUMED}' "
+        f"CASE WHEN run_id IS NULL THEN '{NEW}' WHEN status = 'failed'{mine} THEN '{RESUMED}' "
         f"WHEN {stale} THEN '{STALE}' ELSE '{SKIP}' END"
     )
     return (
@@ -90,15 +98,16 @@ def progress(per_chunk: DataFrame, *, run_col: str, chunk_col: str) -> DataFrame
 
 
 def fail_event_sql(error: str) -> str:
-    """K3: the stored error text is cut to the reference's limit."""
+    """K3: the stored error text is cut to a fixed limit."""
     return f"substring({error}, 1, {S.ERROR_TEXT_LIMIT})"
 
 
 def latest_state(events: DataFrame) -> DataFrame:
-    """Latest ledger row per run from append-only ledger events (seq orders them)."""
-    cols = [c for c in events.columns if c not in ("run_id", "seq")]
+    """Latest ledger row per run from append-only ledger events: the last attempt's last
+    phase (claimed, in progress, ended), within it the last chunk."""
+    cols = [c for c in events.columns if c not in ("run_id", "phase")]
     return events.groupBy("run_id").agg(
-        F.max_by(F.struct(*cols), F.col("seq")).alias("_s")
+        F.max_by(F.struct(*cols), F.struct("attempt", "phase", "last_chunk")).alias("_s")
     ).select("run_id", *[F.col(f"_s.{c}").alias(c) for c in cols])
 
 

@@ -2,8 +2,7 @@
 
 Layout `{root}/source_system=../run_id=../chunk_index=../part-*.json` (JSON Lines,
 sorted keys per record). Dynamic partition overwrite replaces exactly the chunks a
-rerun touches; a chunk without rejects writes nothing and keeps an older file,
-like the reference.
+rerun touches; a chunk without rejects writes nothing and keeps an older file.
 """
 
 from __future__ import annotations
@@ -11,17 +10,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ingestry.functions.clean import sql_str
+
 _KEYS = ("correlation_id", "detail", "field", "reason_code", "record", "source_object", "source_system")
 
 
 def as_json_lines(quarantine: DataFrame, *, run_id_col: str, correlation_id: str) -> DataFrame:
-    """One JSON object per reject with the reference's 7 keys in sorted order."""
+    """One JSON object per reject with its 7 keys in sorted order."""
     return quarantine.selectExpr(
         "source_system",
         f"CAST(`{run_id_col}` AS STRING) AS run_id",
         "chunk_index",
         "to_json(named_struct("
-        f"'correlation_id', '{correlation_id}', 'detail', detail, 'field', field, "
+        f"'correlation_id', {sql_str(correlation_id)}, 'detail', detail, 'field', field, "
         "'reason_code', reason_code, 'record', parse_json(record), "
         "'source_object', source_object, 'source_system', source_system), "
         "map('ignoreNullFields', 'false')) AS value",
@@ -32,6 +33,7 @@ def write(quarantine: DataFrame, root: str, *, run_id_col: str, correlation_id:
     """K1: overwrite only the (source_system, run_id, chunk_index) partitions present."""
     (
         as_json_lines(quarantine, run_id_col=run_id_col, correlation_id=correlation_id)
+        .repartition("run_id", "chunk_index")  # one file per chunk; a chunk bounds its rows
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("source_system", "run_id", "chunk_index")

@@ -63,9 +63,10 @@ def student_rules(
     file_columns: Sequence[str],
     extra_col: str = S.EXTRA_COLUMNS,
     is_csv_col: str = S.IS_CSV,
+    missing_sql: str | None = None,
 ) -> list[Rule]:
-    """The reference's rule order (order decides the reported reason); SQL predicates."""
-    any_missing = " OR ".join(f"`{f}` IS NULL" for f in file_columns) or "false"
+    """The rules in order (it decides the reported reason); SQL predicates."""
+    any_missing = missing_sql or " OR ".join(f"`{f}` IS NULL" for f in file_columns) or "false"
     c = cleaned_name
     rules = [
         Rule(S.MALFORMED_ROW, None, S.DETAIL_MORE_VALUES, f"`{extra_col}` IS NOT NULL"),
@@ -127,6 +128,7 @@ def classify(
     file_columns: Sequence[str] | None = None,
     extra_col: str = S.EXTRA_COLUMNS,
     is_csv_col: str = S.IS_CSV,
+    missing_sql: str | None = None,
 ) -> DataFrame:
     """Add parsed columns plus `reason_code`, `detail`, `field` (null on valid rows).
 
@@ -138,7 +140,7 @@ def classify(
         df = df.withColumn(is_csv_col, F.lit(False))
     cols = [c for c in (file_columns or S.CANONICAL_FIELDS) if c in df.columns]
     parsed = parsed_columns(df)
-    rules = student_rules(as_of, file_columns=cols, extra_col=extra_col, is_csv_col=is_csv_col)
+    rules = student_rules(as_of, file_columns=cols, extra_col=extra_col, is_csv_col=is_csv_col, missing_sql=missing_sql)
     # `_task` (spark_partition_id, nondeterministic) is an optimizer barrier: the
     # split filters reference it, so they are not pushed through this projection
     # with the whole cascade inlined (double regex work, codegen overflow).

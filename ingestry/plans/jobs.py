@@ -1,18 +1,23 @@
 """End-to-end batch jobs over a state folder (shared storage).
 
 Layout under `state_root` (all written by Spark, readable by any reader):
-  target/v=<n>/           versioned Parquet snapshots of the keyed table (§7.4)
+  target/v=<n>/           versioned Parquet snapshots of the keyed table
   target_manifest/        one JSON row per committed version; readers take the max
-  ledger/                 append-only run-ledger events; latest state = max seq per run
+  ledger/                 append-only run-ledger events; the latest state is an aggregate
+  checkpoints/            append-only watermarks per source
   quarantine/             JSON Lines per source_system/run_id/chunk_index (K1)
-  staging/<tag>/          the run's canonical rows and rejects, written once (cuts lineage)
+  archive_failures/       files that could not be moved after their commit (K5)
+  staging/<run>/          what one job read and derived, each written once (cuts lineage)
 
-Commit order per run: quarantine -> snapshot -> ledger -> (watermark). Each step
-is idempotent, so a crash between any two only repeats work on the next run.
+Order of a run: claim (`running` rows) -> read -> quarantine -> snapshot -> progress ->
+end (`completed` or `failed`). Each step is idempotent, so a crash between any two only
+repeats work on the next run. A file that fails, fails alone: the others complete, its
+own whole chunks before the fault are kept, and the job raises at its end, naming it.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +25,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ingestry import schema as S
+from ingestry.functions import payload as P
+from ingestry.functions.clean import sql_str, timestamp_sql
 from ingestry.operators import core
 from ingestry.operators import ledger as L
 from ingestry.operators import metrics as M
@@ -28,10 +35,14 @@ from ingestry.operators import upsert as U
 from ingestry.session import ensure_session
 from ingestry.sources import csv as CSV
 
+CLAIMED, PROGRESS, ENDED = 0, 1, 2
+SHOWN_FAILURES = 20  # names in an error message; the ledger has them all
+
 LEDGER_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.LongType()),
-        T.StructField("seq", T.LongType()),
+        T.StructField("attempt", T.LongType()),
+        T.StructField("phase", T.IntegerType()),
         T.StructField("source", T.StringType()),
         T.StructField("source_object_id", T.StringType()),
         T.StructField("source_version", T.StringType()),
@@ -92,9 +103,98 @@ class StateStore:
         return L.latest_state(self.ledger_events())
 
     def append_ledger(self, events: DataFrame) -> None:
+        """One row per run and event; `phase` and `attempt` order them."""
         events.select(*LEDGER_SCHEMA.fieldNames()).write.mode("append").parquet(f"{self.root}/ledger")
 
 
+SUMMARY_SCHEMA = (
+    "source_object string, chunks long, read long, valid long, quarantined long, inserted long, "
+    "updated long, skipped long, max_updated_at timestamp, run_status string, error string"
+)
+
+
+class JobError(RuntimeError):
+    """Some files failed; the others are committed. `summaries` has a row for every file."""
+
+    def __init__(self, message: str, summaries: DataFrame | None = None) -> None:
+        super().__init__(message)
+        self.summaries = summaries
+
+
+class ApiRunError(RuntimeError):
+    """The staged pages cannot be paged through safely; nothing was committed."""
+
+
+def _staged(df: DataFrame, path: str) -> DataFrame:
+    """Written once under the run's own folder, then read: later steps share it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _event(run: DataFrame, phase: int, status: str, as_of_sql: str, correlation: str, **values: str) -> DataFrame:
+    """Ledger events for claimed runs; `values` override a column's SQL."""
+    sql = {
+        "run_id": "run", "attempt": "attempt", "phase": str(phase), "source": "source",
+        "source_object_id": "source_object_id", "source_version": "source_version",
+        "correlation_id": sql_str(correlation), "status": status, "last_chunk": "CAST(resume_from AS BIGINT)",
+        "rows_read": "p_read", "rows_valid": "p_valid", "rows_quarantined": "p_quarantined", "rows_written": "p_written",
+        "error": "CAST(NULL AS STRING)", "started_at": as_of_sql, "completed_at": "CAST(NULL AS TIMESTAMP)",
+    } | values
+    return run.selectExpr(*[f"{e} AS {c}" for c, e in sql.items()])
+
+
+def _claim(store: StateStore, wanted: DataFrame, path: str, *, as_of_sql: str, stale_after_seconds: int, correlation: str) -> DataFrame:
+    """J3 + K3: the runs this job takes, recorded as `running` before any work on them."""
+    counters = ("rows_read", "rows_valid", "rows_quarantined", "rows_written")
+    decided = L.claim_decisions(
+        wanted, store.ledger(), as_of_sql=as_of_sql, stale_after_seconds=stale_after_seconds,
+        owner=correlation, carry=("correlation_id", "attempt", *counters),
+    )
+    claims = decided.filter(f"decision <> '{L.SKIP}'").selectExpr(
+        "*", "coalesce(run_id, xxhash64(source, source_object_id, source_version)) AS run",
+    ).selectExpr(
+        *wanted.columns, "run", "CAST(resume_from AS BIGINT) AS resume_from", "coalesce(attempt, 0) + 1 AS attempt_",
+        *[f"coalesce({c}, 0) AS p_{c.removeprefix('rows_')}" for c in counters],
+    ).withColumnRenamed("attempt_", "attempt")
+    claims = _staged(claims, path)
+    store.append_ledger(_event(claims, CLAIMED, "'running'", as_of_sql, correlation))
+    return claims
+
+
+def _commit(store: StateStore, batch: core.Batch, runs: DataFrame, stage: str, *, as_of_sql: str, correlation: str) -> DataFrame:
+    """Quarantine, merge and snapshot of one staged batch; returns its tagged rows. `runs`
+    maps source_object to run."""
+    Q.write(batch.quarantine.join(runs, "source_object"), f"{store.root}/quarantine", run_id_col="run", correlation_id=correlation)
+    # Chunk after chunk within a file, file after file by name.
+    new_target, actions = U.sequential_upsert(
+        store.target(), batch.students, as_of=F.expr(as_of_sql), seq=(S.SOURCE_OBJECT, S.CHUNK_INDEX)
+    )
+    actions = _staged(actions.select("student_id", S.SOURCE_OBJECT, S.CHUNK_INDEX, "updated_at", "action"), f"{stage}/actions")
+    if actions.filter(F.col("action") != U.SKIPPED).limit(1).count():
+        store.commit_target(new_target)
+    return M.tagged_from_marked(
+        batch.marked, actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX, tf_sql=P.transform_failure_sql()
+    )
+
+
+def _record(store: StateStore, claims: DataFrame, tagged: DataFrame, errors: DataFrame, *, as_of_sql: str, correlation: str, name: str) -> None:
+    """Progress per chunk, then the end of every claimed run; `errors` (run, error)."""
+    prog = L.progress(M.per_chunk_counts(tagged), run_col="_run", chunk_col="_chunk").withColumnRenamed("_run", name)
+    counts = {f"rows_{c}": f"p_{c} + rows_{c}" for c in ("read", "valid", "quarantined", "written")}
+    store.append_ledger(
+        _event(claims.join(prog, name), PROGRESS, "'running'", as_of_sql, correlation, last_chunk="last_chunk", **counts)
+    )
+    latest = store.ledger().selectExpr("run_id AS run", "last_chunk", "rows_read", "rows_valid", "rows_quarantined", "rows_written")
+    ended = claims.join(latest, "run", "left").join(errors, "run", "left")
+    same = {c: f"coalesce({c}, 0)" for c in ("last_chunk", "rows_read", "rows_valid", "rows_quarantined", "rows_written")}
+    store.append_ledger(
+        _event(
+            ended, ENDED, "CASE WHEN error IS NULL THEN 'completed' ELSE 'failed' END", as_of_sql, correlation,
+            error=L.fail_event_sql("error"), completed_at=as_of_sql, **same,
+        )
+    )
+
+
 def run_csv_job(
     spark: SparkSession,
     landing_root: str,
@@ -102,154 +202,107 @@ def run_csv_job(
     *,
     chunk_size: int = S.DEFAULT_CHUNK_SIZE,
     as_of_sql: str = "current_timestamp()",
-    correlation_id: str = "run",
+    correlation_id: str | None = None,
     stale_after_seconds: int = 3600,
     processed_root: str | None = None,
+    raise_on_failure: bool = True,
 ) -> DataFrame:
-    """Scan landing, claim new/failed/stale file versions, ingest, merge, record.
-
-    With `processed_root`, committed unchanged files are then archived (K5).
+    """Scan landing, claim new, failed and stale file versions, ingest, merge, record.
 
-    Returns the run summaries (one row per processed file); files whose content
-    changed after listing are failed in the ledger and reported with status
-    'failed', the others still complete (T7).
+    Returns one summary row per processed file, those without rows included. If files
+    failed, the others still complete (T7) and JobError names the failed ones, unless
+    `raise_on_failure` is off. With `processed_root`, completed unchanged files are then
+    archived (K5).
     """
+    return ingest_files(
+        spark, CSV.eligible_files(spark, landing_root), state_root, chunk_size=chunk_size, as_of_sql=as_of_sql,
+        correlation_id=correlation_id, stale_after_seconds=stale_after_seconds, processed_root=processed_root,
+        raise_on_failure=raise_on_failure,
+    )
+
+
+def ingest_files(
+    spark: SparkSession,
+    listing: DataFrame,
+    state_root: str,
+    *,
+    chunk_size: int = S.DEFAULT_CHUNK_SIZE,
+    as_of_sql: str = "current_timestamp()",
+    correlation_id: str | None = None,
+    stale_after_seconds: int = 3600,
+    processed_root: str | None = None,
+    raise_on_failure: bool = True,
+) -> DataFrame:
+    """`run_csv_job` over a given listing (`path`, `name`, `version`)."""
+    if chunk_size < 1:
+        raise ValueError("chunk_size must be at least 1")
     ensure_session(spark)
     store = StateStore(spark, state_root.rstrip("/"))
-    listing = CSV.listing_with_ordinals(spark, landing_root).selectExpr(
-        "*",
-        "'csv' AS source",
-        "name AS source_object_id",
+    run = uuid.uuid4().hex
+    correlation = correlation_id or run
+    stage = f"{store.root}/staging/{run}"
+    wanted = listing.selectExpr(
+        "path", "name", "version", "'csv' AS source", "name AS source_object_id",
         f"{L.source_version_sql('version', str(chunk_size))} AS source_version",
     )
-    ledger = store.ledger()
-    claims = L.claim_decisions(
-        listing, ledger, as_of_sql=as_of_sql, stale_after_seconds=stale_after_seconds
-    ).filter(f"decision <> '{L.SKIP}'")
-    claims = claims.selectExpr(
-        "*",
-        "coalesce(run_id, xxhash64(source, source_object_id, source_version)) AS run",
+    claims = _claim(
+        store, wanted, f"{stage}/claims", as_of_sql=as_of_sql, stale_after_seconds=stale_after_seconds, correlation=correlation
     )
-    # File list of this run: metadata only (one row per claimed file).
-    claimed = claims.select("path", "name", "file_ordinal", "version", "run", "resume_from", "source_object_id", "source_version").collect()
-    if not claimed:
-        return spark.createDataFrame([], "source_object string, status string")
-    claimed_df = spark.createDataFrame(
-        [r.asDict() for r in claimed],
-        "path string, name string, file_ordinal int, version string, run long, resume_from int, "
-        "source_object_id string, source_version string",
+    if not claims.limit(1).count():
+        return spark.createDataFrame([], SUMMARY_SCHEMA)
+
+    # The only read of the landing files; everything after reads the staged rows.
+    rows = _staged(CSV.read_files(claims), f"{stage}/rows")
+    closing = rows.filter(f"{S.ROW_ORDINAL} IS NULL").select("path", "_rows", "_usable", "_error")
+    data = rows.filter(f"{S.ROW_ORDINAL} IS NOT NULL").drop("_rows", "_usable", "_error")
+    seen = data.groupBy("path").agg(F.count("*").alias("_seen"))
+    lost = "CASE WHEN _rows IS NULL OR _rows <> coalesce(_seen, 0) THEN 'rows read and rows kept differ' END"
+    files = claims.join(closing, "path", "left").join(seen, "path", "left").selectExpr(
+        "path", "name", "version", "run", "resume_from", f"coalesce(_error, {lost}) AS error",
+        # of a file that fails the whole chunks before the fault count, of an altered one none
+        f"CASE WHEN _error IS NULL THEN CASE WHEN {lost} IS NULL THEN _rows ELSE 0 END "
+        f"ELSE floor(_usable / {chunk_size}) * {chunk_size} END AS usable",
     )
-    groups = CSV.read_landing(spark, claimed_df, chunk_size=chunk_size)
-    base = f"unix_seconds({as_of_sql}) * 1000000"
-    if not groups:
-        # Only empty / header-only files: they complete with zero rows (never re-claimed).
-        store.append_ledger(
-            claimed_df.selectExpr(
-                "run AS run_id", f"{base} + 999999 AS seq", "'csv' AS source", "source_object_id",
-                "source_version", f"'{correlation_id}' AS correlation_id", "'completed' AS status",
-                "CAST(0 AS BIGINT) AS last_chunk", "CAST(0 AS BIGINT) AS rows_read",
-                "CAST(0 AS BIGINT) AS rows_valid", "CAST(0 AS BIGINT) AS rows_quarantined",
-                "CAST(0 AS BIGINT) AS rows_written", "CAST(NULL AS STRING) AS error",
-                f"{as_of_sql} AS started_at", f"{as_of_sql} AS completed_at",
-            )
-        )
-        return spark.createDataFrame([], "source_object string, run_status string")
-    tag = f"{correlation_id}-{store.target_version()}"
-    students, rejects, reads = [], [], []
-    stage = f"{store.root}/staging/{tag}"
-    for gi, (header, rows) in enumerate(groups.items()):
-        rows = rows.join(
-            claimed_df.select("path", "version", "run", "resume_from"), "path"
-        ).filter(f"`{S.CHUNK_INDEX}` > resume_from")
-        batch = core.Batch(
-            rows.filter("_read_version = version"), as_of=as_of_sql, file_columns=list(dict.fromkeys(header))
-        ).staged(f"{stage}/marked/group={gi}")
-        students.append(batch.students)
-        rejects.append(batch.quarantine)
-        # `_probe` keeps one parsed column in the scan: Spark refuses CSV scans
-        # that would read nothing but the corrupt-record column.
-        reads.append(
-            rows.selectExpr(
-                "path", "_read_version <> version AS changed", f"`{S.SOURCE_OBJECT}`",
-                f"`{S.CHUNK_INDEX}`", f"`{header[0]}` IS NULL AS _probe",
-            )
-        )
-    stu = students[0]
-    for d in students[1:]:
-        stu = stu.unionByName(d)
-    rej = rejects[0]
-    for d in rejects[1:]:
-        rej = rej.unionByName(d)
-    read = reads[0]
-    for d in reads[1:]:
-        read = read.unionByName(d)
-    # The marked batch was written once per header group; write the derived rows
-    # once too, everything after reads these files (short lineage, survives
-    # executor loss, no recomputation of the cascade).
-    stu.write.mode("overwrite").parquet(f"{stage}/students")
-    rej.write.mode("overwrite").parquet(f"{stage}/quarantine")
-    read.write.mode("overwrite").parquet(f"{stage}/read")
-    stu = spark.read.parquet(f"{stage}/students")
-    rej = spark.read.parquet(f"{stage}/quarantine")
-    read = spark.read.parquet(f"{stage}/read")
-    changed = read.filter("changed").select("path").distinct()
-    ok_read = read.join(changed, "path", "left_anti")
-
-    # 1) quarantine, keyed by the ledger run id
-    runs = claimed_df.select(F.col("name").alias("source_object"), "run")
-    q_rows = rej.join(runs, "source_object")
-    Q.write(q_rows, f"{store.root}/quarantine", run_id_col="run", correlation_id=correlation_id)
-
-    # 2) merge (sequential semantics across chunks and files) + snapshot commit
-    target = store.target()
-    new_target, actions = U.sequential_upsert(target, stu, as_of=F.expr(as_of_sql))
-    actions.write.mode("overwrite").parquet(f"{stage}/actions")
-    actions = spark.read.parquet(f"{stage}/actions")
-    store.commit_target(new_target)
-
-    # 3) ledger: per-chunk progress + completion (or failure) per run
-    tagged = M.tagged_rows(ok_read, rej, actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX)
-    per_chunk = M.per_chunk_counts(tagged)
-    prog = L.progress(per_chunk, run_col="_run", chunk_col="_chunk").withColumnRenamed("_run", "name")
-    ident = claimed_df.select("name", "run", "source_object_id", "source_version")
-    prior = ledger.select(F.col("run_id").alias("run"), F.col("rows_read").alias("p_read"), F.col("rows_valid").alias("p_valid"), F.col("rows_quarantined").alias("p_q"), F.col("rows_written").alias("p_w"))
-    progress_events = prog.join(ident, "name").join(prior, "run", "left").selectExpr(
-        "run AS run_id", f"{base} + last_chunk AS seq", "'csv' AS source", "source_object_id",
-        "source_version", f"'{correlation_id}' AS correlation_id", "'running' AS status", "last_chunk",
-        "rows_read + coalesce(p_read, 0) AS rows_read", "rows_valid + coalesce(p_valid, 0) AS rows_valid",
-        "rows_quarantined + coalesce(p_q, 0) AS rows_quarantined", "rows_written + coalesce(p_w, 0) AS rows_written",
-        "CAST(NULL AS STRING) AS error", f"{as_of_sql} AS started_at", "CAST(NULL AS TIMESTAMP) AS completed_at",
-    )
-    store.append_ledger(progress_events)
-    latest = L.latest_state(store.ledger_events())
-    bad = claimed_df.join(changed, "path", "left_semi").select(F.col("run").alias("run_id"), F.lit(True).alias("_bad"))
-    # Every claimed run gets a final event, including runs that failed before any
-    # chunk was committed (no progress rows yet).
-    final = (
-        claimed_df.selectExpr("run AS run_id", "source_object_id AS _obj", "source_version AS _ver")
-        .join(latest, "run_id", "left")
-        .join(bad, "run_id", "left")
+    files = _staged(files, f"{stage}/files")
+    data = data.join(files.selectExpr("path", f"name AS {S.SOURCE_OBJECT}", "resume_from", "usable"), "path")
+    data = CSV.assign_chunks(CSV.with_fields(data.filter(f"{S.ROW_ORDINAL} <= usable")), chunk_size=chunk_size)
+    data = data.filter(f"{S.CHUNK_INDEX} > resume_from").drop("path", "resume_from", "usable")
+    batch = core.Batch(
+        data, as_of=as_of_sql, payload_sql=P.MAP_PAYLOAD_SQL, missing_sql=P.MAP_MISSING_SQL
+    ).staged(f"{stage}/marked")
+    runs = claims.selectExpr("name AS source_object", "run")
+    tagged = _commit(store, batch, runs, stage, as_of_sql=as_of_sql, correlation=correlation)
+    errors = files.filter("error IS NOT NULL").select("run", "error")
+    _record(store, claims, tagged, errors, as_of_sql=as_of_sql, correlation=correlation, name="name")
+    summaries = files.selectExpr(
+        "name AS source_object", "CASE WHEN error IS NULL THEN 'completed' ELSE 'failed' END AS run_status", "error"
+    ).join(M.run_summary(tagged), "source_object", "left")
+    summaries = _staged(
+        summaries.fillna(0, ["chunks", "read", "valid", "quarantined", "inserted", "updated", "skipped"]).select(
+            *[F.col(c.split()[0]) for c in SUMMARY_SCHEMA.split(", ")]
+        ),
+        f"{stage}/summaries",
     )
-    store.append_ledger(
-        final.selectExpr(
-            "run_id", f"{base} + 999999 AS seq", "'csv' AS source", "_obj AS source_object_id",
-            "_ver AS source_version", f"'{correlation_id}' AS correlation_id",
-            "CASE WHEN _bad THEN 'failed' ELSE 'completed' END AS status",
-            "coalesce(last_chunk, 0) AS last_chunk", "coalesce(rows_read, 0) AS rows_read",
-            "coalesce(rows_valid, 0) AS rows_valid", "coalesce(rows_quarantined, 0) AS rows_quarantined",
-            "coalesce(rows_written, 0) AS rows_written",
-            f"CASE WHEN _bad THEN {L.fail_event_sql(chr(39) + 'ObjectVersionMismatchError: source object changed after listing' + chr(39))} END AS error",
-            f"coalesce(started_at, {as_of_sql}) AS started_at", f"{as_of_sql} AS completed_at",
-        )
-    )
-    summary = M.run_summary(tagged)
     if processed_root:
-        from ingestry.sources.landing import archive
-
-        bad_paths = {r.path for r in changed.collect()}  # failed files: tiny list
-        archive(spark, [(r.path, r.name, r.version) for r in claimed if r.path not in bad_paths], processed_root)
-    status = claimed_df.join(changed, "path", "left_semi").select(F.col("name").alias("source_object"), F.lit("failed").alias("status"))
-    return summary.join(status, "source_object", "full_outer").selectExpr("*", "coalesce(status, 'completed') AS run_status").drop("status")
+        _archive(spark, store, files.filter("error IS NULL"), processed_root, as_of_sql)
+    failed = errors.count()
+    if failed and raise_on_failure:
+        names = files.filter("error IS NOT NULL").orderBy("name").limit(SHOWN_FAILURES).collect()
+        more = f" and {failed - len(names)} more" if failed > len(names) else ""
+        raise JobError(f"{failed} CSV file(s) failed: {', '.join(r['name'] for r in names)}{more}", summaries)
+    return summaries
+
+
+def _archive(spark: SparkSession, store: StateStore, done: DataFrame, processed_root: str, as_of_sql: str) -> None:
+    """K5 after the commit; files that stay behind are listed in `archive_failures`."""
+    from ingestry.sources.landing import archive
+
+    moves = ((r["path"], r["name"], r["version"]) for r in done.select("path", "name", "version").toLocalIterator())
+    left = archive(spark, moves, processed_root)
+    if left:
+        spark.createDataFrame([(n,) for n in left], "name string").selectExpr("name", f"{as_of_sql} AS at").write.mode(
+            "append"
+        ).json(f"{store.root}/archive_failures")
 
 
 CHECKPOINT_SCHEMA = T.StructType(
@@ -258,14 +311,10 @@ CHECKPOINT_SCHEMA = T.StructType(
 )
 
 
-class ApiRunError(RuntimeError):
-    """The staged pages cannot be paged through safely; nothing was committed."""
-
-
 def read_checkpoints(spark: SparkSession, state_root: str) -> DataFrame:
     store = StateStore(spark, state_root.rstrip("/"))
     if not store._exists("checkpoints"):
-        return spark.createDataFrame([], CHECKPOINT_SCHEMA)
+        return spark.createDataFrame([], "source string, watermark timestamp")
     events = spark.read.schema(CHECKPOINT_SCHEMA).parquet(f"{store.root}/checkpoints")
     return events.groupBy("source").agg(F.max("watermark").alias("watermark"))
 
@@ -277,67 +326,82 @@ def run_api_job(
     *,
     source_object: str = "/students",
     as_of_sql: str = "current_timestamp()",
-    correlation_id: str = "api-run",
+    correlation_id: str | None = None,
+    incremental: bool = True,
 ) -> DataFrame:
-    """Staged API pages -> audit (S6) -> envelopes (S4) -> core -> merge -> watermark (K4).
-
-    A page is a chunk (dedupe scope), pages merge in page order. The chain audit
-    and envelope errors are checked BEFORE anything is written; the watermark
-    moves only after the snapshot commit and never backwards.
+    """Staged API pages -> claim -> audit (S6) -> envelopes (S4) -> newer than the watermark
+    (S5) -> core -> merge -> progress -> watermark (K4) -> end.
+
+    Every run is a fresh one under its own id. A page is a chunk (dedupe scope) and pages
+    merge in page order; pages without a number are numbered by file name. Chain and
+    envelopes are checked before anything is committed; the watermark moves only after the
+    snapshot commit and never backwards. A run that fails is recorded as failed and raises.
+    `incremental` leaves out records that are not newer than the stored watermark; those
+    without a readable time are kept, to be quarantined.
     """
-    from ingestry.sources import pages as PG
-
     ensure_session(spark)
     store = StateStore(spark, state_root.rstrip("/"))
-    raw = spark.read.option("wholetext", "true").text(pages_root).selectExpr(
-        "value AS body", "_metadata.file_name AS page_file"
+    run = uuid.uuid4().hex
+    correlation = correlation_id or run
+    stage = f"{store.root}/staging/{run}"
+    wanted = spark.range(1).selectExpr(
+        f"'{S.API_SOURCE_SYSTEM}' AS source", f"{sql_str(source_object)} AS source_object_id", f"{sql_str(run)} AS source_version"
     )
-    parsed = raw.selectExpr("*", "try_parse_json(body) AS _v").selectExpr(
-        "page_file", "body",
-        "coalesce(try_variant_get(_v, '$.page', 'bigint'), 1) AS page",
-        "try_variant_get(_v, '$.next_page', 'string') AS next_page",
-        "coalesce(try_variant_get(_v, '$.next', 'string'), try_variant_get(_v, '$.next_url', 'string')) AS next_url",
-        "0 AS run_id",
-    )
-    # Guard checks are tiny results (violations / failed pages), safe to bring back.
-    problems = PG.chain_violations(parsed).limit(20).collect()
-    if problems:
-        raise ApiRunError(f"page chain is not safe: {[tuple(p) for p in problems]}")
-    items = PG.extract_records(parsed, keep=("page",))
-    if items.filter("page_error IS NOT NULL").limit(1).count():
-        raise ApiRunError("could not find a record list in the API response")
-    recs = (
-        PG.extract_records(parsed, keep=("page",), with_position=True)
-        .filter("page_error IS NULL")
-        .selectExpr(
-            f"'{source_object}' AS {S.SOURCE_OBJECT}",
-            f"CAST(0 AS BIGINT) AS {S.FILE_ORDINAL}",
-            f"CAST(page AS BIGINT) AS {S.CHUNK_INDEX}",
-            f"CAST(item_pos + 1 AS BIGINT) AS {S.ROW_ORDINAL}",
-            f"false AS {S.IS_CSV}",
-            f"CAST(NULL AS ARRAY<STRING>) AS {S.EXTRA_COLUMNS}",
-            "to_json(item) AS _payload",
-            *[f"try_variant_get(item, '$.{f}', 'string') AS {f}" for f in S.CANONICAL_FIELDS],
+    claims = _claim(store, wanted, f"{stage}/claims", as_of_sql=as_of_sql, stale_after_seconds=3600, correlation=correlation)
+    try:
+        return _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql, correlation, incremental)
+    except Exception as failure:
+        error = sql_str(f"{type(failure).__name__}: {failure}")
+        store.append_ledger(
+            _event(claims, ENDED, "'failed'", as_of_sql, correlation, error=L.fail_event_sql(error), completed_at=as_of_sql)
         )
+        raise
+
+
+def _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql, correlation, incremental) -> DataFrame:
+    from ingestry.sources import pages as PG
+
+    # The only read of the page bodies: numbers, links and records, as JSON text.
+    raw = spark.read.option("wholetext", "true").text(pages_root).selectExpr("value AS body", "_metadata.file_name AS page_file")
+    pages = _staged(PG.staged_pages(raw), f"{stage}/pages")
+    # One small row per page of this pull.
+    order = pages.selectExpr("page_file", "coalesce(page, row_number() OVER (ORDER BY page_file)) AS page_no")
+    pages = pages.join(order, "page_file")
+    problems = _staged(
+        PG.chain_violations(pages.selectExpr("0 AS run_id", "page_no AS page", "next_page", "next_url"))
+        .unionByName(pages.filter("records IS NULL").selectExpr("0 AS run_id", "page_no AS page", "'no_record_list' AS problem")),
+        f"{stage}/problems",
+    )
+    n = problems.count()
+    if n:
+        shown = [(r["page"], r["problem"]) for r in problems.orderBy("page", "problem").limit(SHOWN_FAILURES).collect()]
+        raise ApiRunError(f"{n} problem(s) in the pages, listed in {stage}/problems: {shown}")
+    recs = pages.selectExpr("page_no", "posexplode(records) AS (item_pos, _payload)").selectExpr(
+        "*", "parse_json(_payload) AS item"
+    ).selectExpr(
+        f"{sql_str(source_object)} AS {S.SOURCE_OBJECT}",
+        f"CAST(page_no AS BIGINT) AS {S.CHUNK_INDEX}",
+        f"CAST(item_pos + 1 AS BIGINT) AS {S.ROW_ORDINAL}",
+        f"false AS {S.IS_CSV}",
+        f"CAST(NULL AS ARRAY<STRING>) AS {S.EXTRA_COLUMNS}",
+        "_payload",
+        *[f"try_variant_get(item, '$.{f}', 'string') AS {f}" for f in S.CANONICAL_FIELDS],
     )
-    stage = f"{store.root}/staging/{correlation_id}"
-    batch = core.Batch(recs, as_of=as_of_sql, source_system=S.API_SOURCE_SYSTEM, payload_sql="_payload").staged(
-        f"{stage}/marked"
+    if incremental:
+        since = read_checkpoints(spark, store.root).filter(f"source = '{S.API_SOURCE_SYSTEM}'").agg(F.max("watermark")).first()[0]
+        if since is not None:
+            newer = F.expr(timestamp_sql("btrim(updated_at)")) > F.lit(since)
+            recs = recs.filter(F.coalesce(newer, F.lit(True)))
+    batch = core.Batch(
+        recs, as_of=as_of_sql, source_system=S.API_SOURCE_SYSTEM, payload_sql="_payload", record_sql="_payload"
+    ).staged(f"{stage}/marked")
+    runs = claims.selectExpr("source_object_id AS source_object", "run")
+    tagged = _commit(store, batch, runs, stage, as_of_sql=as_of_sql, correlation=correlation)
+    cand = batch.students.groupBy(F.lit(S.API_SOURCE_SYSTEM).alias("source")).agg(F.max("updated_at").alias("watermark"))
+    adv = L.advance_watermarks(read_checkpoints(spark, store.root), cand)
+    adv.filter("advanced").selectExpr("source", "watermark", f"{as_of_sql} AS updated_at").write.mode("append").parquet(
+        f"{store.root}/checkpoints"
     )
-    batch.students.write.mode("overwrite").parquet(f"{stage}/students")
-    batch.quarantine.write.mode("overwrite").parquet(f"{stage}/quarantine")
-    students = spark.read.parquet(f"{stage}/students")
-    rejects = spark.read.parquet(f"{stage}/quarantine")
-    Q.write(rejects.withColumn("_run", F.lit(correlation_id)), f"{store.root}/quarantine",
-            run_id_col="_run", correlation_id=correlation_id)
-    new_target, actions = U.sequential_upsert(store.target(), students, as_of=F.expr(as_of_sql))
-    actions.write.mode("overwrite").parquet(f"{stage}/actions")
-    actions = spark.read.parquet(f"{stage}/actions")
-    store.commit_target(new_target)
-    cand = students.groupBy(F.lit(S.API_SOURCE_SYSTEM).alias("source")).agg(F.max("updated_at").alias("watermark"))
-    adv = L.advance_watermarks(read_checkpoints(spark, state_root), cand)
-    adv.filter("advanced").selectExpr("source", "watermark", f"{as_of_sql} AS updated_at").write.mode(
-        "append"
-    ).parquet(f"{store.root}/checkpoints")
-    tagged = M.tagged_rows(recs, rejects, actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX)
+    errors = spark.createDataFrame([], "run long, error string")
+    _record(store, claims, tagged, errors, as_of_sql=as_of_sql, correlation=correlation, name="source_object_id")
     return M.run_summary(tagged)

@@ -1,13 +1,13 @@
 """Canonical record shape, rule constants and reason codes.
 
-Fixed values: these must equal the reference's for identical results.
+Fixed values: records, rules and texts that must be just so for identical results.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# --- fixed values (must match the reference exactly) ---------------------------------
+# --- fixed values (must match exactly) ---------------------------------
 CANONICAL_FIELDS = (
     "student_id",
     "first_name",
@@ -95,9 +95,6 @@ DETAIL_TIMESTAMP = "updated_at is not an ISO 8601 timestamp"
 DETAIL_FUTURE = "updated_at is too far in the future"
 DETAIL_GRADE = "grade_level is not a supported grade (PK, K, 1-12)"
 DETAIL_TOO_LONG = "{field} is longer than {limit} characters"
-DETAIL_DUPLICATE = (
-    "duplicate student_id in the same chunk; kept the row updated at {kept} instead of {loser}"
-)
 
 CSV_SOURCE_SYSTEM = "csv"
 API_SOURCE_SYSTEM = "api"
@@ -105,6 +102,12 @@ DEFAULT_CHUNK_SIZE = 5000
 ERROR_TEXT_LIMIT = 2000
 
 RUN_STATUSES = ("running", "completed", "failed")
+
+EXCEL_SUFFIXES = (".xls", ".xlsx", ".xlsm", ".xlsb")
+IMAGE_SUFFIXES = (".bmp", ".gif", ".jpeg", ".jpg", ".png", ".tif", ".tiff", ".webp")
+WORD_SUFFIXES = (".doc", ".docx")
+RECORD_LIST_KEYS = ("data", "students", "items", "results")
+FAILURE_EVENTS = ("job_failed", "sync_failed", "file_failed")
 # --- end of fixed values -------------------------------------------------------------
 
 # Bookkeeping columns the adapters add. Never part of raw_payload; kept in quarantine.

@@ -1,34 +1,46 @@
-"""CSV landing files (S3, S3a-S3g).
-
-Spark's CSV reader parses (quotes, doubled quotes, embedded newlines, BOM). An
-explicit schema is applied by POSITION, so files are grouped by header signature
-and line ending and each group is one `spark.read.csv` scan:
-
-1. headers: every file's first record is read on the executors (`mapInPandas`
-   over the listing; only the first bytes of each file are touched);
-2. per group: header skipped, all-string positional schema + `_corrupt_record`;
-3. rows whose token count differs from the header are re-split exactly by a
-   pandas UDF that only sees those (corrupt) rows: extra values go to
-   `_extra_columns`, missing trailing values stay null (V1/V2);
-4. `_row_ordinal` = data-row number in the file (monotonically_increasing_id on
-   the scan minus the file's minimum; multiLine files are never split and a
-   partition reads its files one after another), then chunks (S3g).
+"""CSV landing files (S3, S3a-S3g): every listed file is read once, by one task.
+
+Landing files differ in header, width, line endings and shape within a file, which one
+`spark.read.csv` schema can't express without losing rows. So the listing is spread over the
+tasks and each task streams its files through a CSV reader, whatever mix of line endings
+they have, into rows of one schema:
+
+    path, _row_ordinal, _source_line, _src (header name -> value), _extra_columns
+
+and one closing row per file with its number of rows and its error, if any. A file that
+can't be read to its end, or that isn't the listed version, fails alone. Only a batch of
+rows is in memory at a time. Source columns stay inside `_src`, so no header name can
+collide with a column of ours.
 """
 
 from __future__ import annotations
 
 import csv
 import io
-from collections.abc import Iterator, Sequence
+import sys
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ingestry import schema as S
 
-_HEAD_BYTES = 1 << 16
+# The functions below travel to the workers by value: they need no copy of the package there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+BATCH_ROWS = 2000
+CHANGED = "the source object changed after it was listed"
+ROW_SCHEMA = (
+    f"path string, {S.ROW_ORDINAL} long, _source_line long, _src map<string,string>, "
+    f"{S.EXTRA_COLUMNS} array<string>, _rows long, _usable long, _error string"
+)
+_KINDS = (
+    pa.string(), pa.int64(), pa.int64(), pa.map_(pa.string(), pa.string()),
+    pa.list_(pa.string()), pa.int64(), pa.int64(), pa.string(),
+)
+_NAMES = ("path", S.ROW_ORDINAL, "_source_line", "_src", S.EXTRA_COLUMNS, "_rows", "_usable", "_error")
 
 
 def assign_chunks(df: DataFrame, *, chunk_size: int, ordinal: str = S.ROW_ORDINAL) -> DataFrame:
@@ -40,164 +52,86 @@ def assign_chunks(df: DataFrame, *, chunk_size: int, ordinal: str = S.ROW_ORDINA
     )
 
 
-def _open(path: str):
+def parse(raw) -> Iterator[tuple[int, dict[str, str | None], list[str] | None]]:
+    """Line number, values by name and surplus values of each data row of a byte stream.
+
+    BOM removed, header trimmed and lower-cased; of columns with one name the last counts;
+    missing trailing values are null; blank lines are no rows. Bytes that aren't UTF-8 raise.
+    """
+    reader = csv.reader(io.TextIOWrapper(raw, encoding="utf-8-sig", newline=""))
+    names = [name.strip().lower() for name in next(reader, [])]
+    for row in reader:
+        if row:
+            values: dict[str, str | None] = dict(zip(names, row))
+            for name in names[len(row):]:
+                values[name] = None
+            yield reader.line_num, values, row[len(names):] or None
+
+
+def _filesystem(path: str):
     from pyarrow import fs
 
-    uri = path
-    if uri.startswith("file:") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:"):]
-    filesystem, inner = fs.FileSystem.from_uri(uri)
-    return filesystem.open_input_stream(inner)
+    if path.startswith("file:"):
+        return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
+    return fs.FileSystem.from_uri(path)
 
 
-def _first_record(path: str) -> tuple[list[str] | None, str]:
-    """Header names (trim + lower, BOM removed) and the file's line ending.
+def _version(filesystem, inner: str) -> str:
+    info = filesystem.get_file_info(inner)
+    return f"{info.size}-{info.mtime_ns // 1_000_000 * 1000}"
 
-    Only the first `_HEAD_BYTES` of the file are read.
-    """
-    with _open(path) as f:
-        head = f.read(_HEAD_BYTES)
-    text = head.decode("utf-8-sig", errors="replace")
-    try:
-        first = next(csv.reader(io.StringIO(text, newline="")))
-    except StopIteration:
-        return None, "\n"
-    newline = text.find("\n")
-    ending = "\r\n" if newline > 0 and text[newline - 1] == "\r" else "\n"
-    return [h.strip().lower() for h in first], ending
-
-
-HEADER_SCHEMA = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("header", T.ArrayType(T.StringType())),
-        T.StructField("line_ending", T.StringType()),
-    ]
-)
 
+def _packed(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), _KINDS)], names=list(_NAMES))
 
-def _headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        out = [(p, *_first_record(p)) for p in b["path"]]
-        yield pd.DataFrame(out, columns=["path", "header", "line_ending"])
 
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, version in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            n, usable, error, rows = 0, 0, None, []
+            try:
+                filesystem, inner = _filesystem(path)
+                if _version(filesystem, inner) != version:
+                    raise RuntimeError(CHANGED)
+                with filesystem.open_input_stream(inner) as raw:
+                    for line, values, extra in parse(raw):
+                        n += 1
+                        rows.append((path, n, line, list(values.items()), extra, None, None, None))
+                        if len(rows) >= BATCH_ROWS:
+                            yield _packed(rows)
+                            rows = []
+                usable = n
+                if _version(filesystem, inner) != version:
+                    usable = 0
+                    raise RuntimeError(CHANGED)
+            except Exception as failure:  # noqa: BLE001 - the file fails alone; its closing row says why
+                error = str(failure) if str(failure) == CHANGED else f"{type(failure).__name__}: {failure}"
+                usable = 0 if str(failure) == CHANGED else n
+            rows.append((path, None, None, None, None, n, usable, error))
+            yield _packed(rows)
 
-def discover_headers(listing: DataFrame) -> DataFrame:
-    """path, header (normalised names) and line ending for every listed file."""
-    return listing.select("path").mapInPandas(_headers, HEADER_SCHEMA)
 
+def read_files(files: DataFrame) -> DataFrame:
+    """Rows and closing rows (`_row_ordinal` null) of the listed files (`path`, `version`)."""
+    spark = files.sparkSession
+    width = spark.sparkContext.defaultParallelism
+    return files.select("path", "version").repartition(max(width, 1), "path").mapInArrow(_read, ROW_SCHEMA)
 
-def _split_record(raw: pd.Series) -> pd.Series:
-    """Exact Python csv tokens of a raw (possibly multi-line) record."""
-    out = []
-    for text in raw:
-        if text is None:
-            out.append(None)
-            continue
-        rows = list(csv.reader(io.StringIO(text, newline="")))
-        out.append(rows[0] if rows else [])
-    return pd.Series(out)
 
+def with_fields(rows: DataFrame) -> DataFrame:
+    """The canonical fields as columns beside `_src`; absent ones are null."""
+    return rows.selectExpr("*", *[f"_src['{f}'] AS {f}" for f in S.CANONICAL_FIELDS], f"true AS {S.IS_CSV}")
 
-_split_udf = F.pandas_udf(_split_record, T.ArrayType(T.StringType()))
 
+def read_landing(spark: SparkSession, listing: DataFrame, *, chunk_size: int = S.DEFAULT_CHUNK_SIZE) -> DataFrame:
+    """Data rows of the listed files with file name, ordinal and chunk."""
+    rows = read_files(listing).filter(f"{S.ROW_ORDINAL} IS NOT NULL").drop("_rows", "_usable", "_error")
+    names = listing.select("path", F.col("name").alias(S.SOURCE_OBJECT))
+    return assign_chunks(with_fields(rows).join(names, "path"), chunk_size=chunk_size)
 
-def _group_scan(
-    spark: SparkSession, paths: Sequence[str], header: Sequence[str], line_ending: str
-) -> DataFrame:
-    width = len(header)
-    schema = T.StructType(
-        [T.StructField(f"_c{i}", T.StringType()) for i in range(width)]
-        + [T.StructField("_corrupt_record", T.StringType())]
-    )
-    df = (
-        spark.read.schema(schema)
-        .option("header", "true")
-        .option("enforceSchema", "true")
-        .option("multiLine", "true")
-        .option("escape", '"')
-        .option("lineSep", line_ending)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .csv(list(paths))
-        .selectExpr(
-            "*",
-            "_metadata.file_path AS path",
-            "concat(CAST(_metadata.file_size AS STRING), '-', "
-            "CAST(unix_micros(_metadata.file_modification_time) AS STRING)) AS _read_version",
-            "monotonically_increasing_id() AS _mid",
-        )
-    )
-    # Names in first-occurrence order, value from the LAST column of that name
-    # (a dict built from the header keeps the first key position, last value).
-    last = {name: i for i, name in enumerate(header)}
-    names = list(dict.fromkeys(header))
-    good = df.filter("_corrupt_record IS NULL").selectExpr(
-        "path", "_mid", "_read_version",
-        "CAST(NULL AS ARRAY<STRING>) AS _extra_columns",
-        *[f"coalesce(_c{last[n]}, '') AS `{n}`" for n in names],
-    )
-    def token(n: str, i: int) -> str:
-        pos = last[n]
-        expr = f"CASE WHEN size(_tok) > {pos} THEN element_at(_tok, {pos + 1}) END"
-        # Spark refuses scans that read only the corrupt-record column; the parsed
-        # value (null exactly when the token is missing) keeps a data column read.
-        return f"coalesce({expr}, CASE WHEN size(_tok) > {pos} THEN _c{pos} END) AS `{n}`" if i == 0 else f"{expr} AS `{n}`"
-
-    bad = (
-        df.filter("_corrupt_record IS NOT NULL")
-        .withColumn("_tok", _split_udf("_corrupt_record"))
-        .selectExpr(
-            "path", "_mid", "_read_version",
-            f"CASE WHEN size(_tok) > {width} THEN slice(_tok, {width + 1}, size(_tok) - {width}) END AS _extra_columns",
-            *[token(n, i) for i, n in enumerate(names)],
-        )
-    )
-    # Ordinal base per file from the unfiltered scan (a second, column-free scan of
-    # the same files: same partitions, so the same ids). One row per file.
-    first = df.groupBy("path").agg(F.min("_mid").alias("_mid0"))
-    return good.unionByName(bad), first
-
-
-def read_landing(
-    spark: SparkSession,
-    listing: DataFrame,
-    *,
-    chunk_size: int = S.DEFAULT_CHUNK_SIZE,
-) -> dict[tuple[str, ...], DataFrame]:
-    """Read listed CSV files; one DataFrame per header signature.
-
-    `listing` has `path`, `name`, `file_ordinal` (order by name, see O1). Each
-    result carries the bookkeeping columns (`_source_object`, `_file_ordinal`,
-    `_row_ordinal`, `_chunk_index`, `_is_csv`, `_extra_columns`) plus the file's
-    own columns. Empty and header-only files yield no rows.
-    """
-    if chunk_size < 1:
-        raise ValueError("chunk_size must be at least 1")
-    heads = discover_headers(listing).filter("header IS NOT NULL")
-    # Paths are metadata (one row per file); the reader needs them on the driver.
-    groups: dict[tuple[tuple[str, ...], str], list[str]] = {}
-    for r in heads.collect():
-        groups.setdefault((tuple(r["header"]), r["line_ending"]), []).append(r["path"])
-    files = listing.select("path", F.col("name").alias(S.SOURCE_OBJECT), F.col("file_ordinal").alias(S.FILE_ORDINAL))
-    out: dict[tuple[str, ...], DataFrame] = {}
-    for (header, ending), paths in sorted(groups.items()):
-        rows, first = _group_scan(spark, paths, header, ending)
-        rows = (
-            rows.join(first, "path")
-            .join(files, "path")
-            .withColumn(S.ROW_ORDINAL, (F.col("_mid") - F.col("_mid0") + 1).cast("bigint"))
-            .withColumn(S.IS_CSV, F.lit(True))
-            .drop("_mid", "_mid0")
-        )
-        rows = assign_chunks(rows, chunk_size=chunk_size)
-        out[header] = out[header].unionByName(rows) if header in out else rows
-    return out
-
-
-def listing_with_ordinals(spark: SparkSession, root: str) -> DataFrame:
-    """S1 + S2 + O1: eligible CSV objects under `root`, `file_ordinal` by name."""
-    from ingestry.sources.landing import is_csv_sql, list_objects
-
-    objs = list_objects(spark, root).filter(is_csv_sql("name"))
-    return objs.selectExpr("*", "row_number() OVER (ORDER BY name) AS file_ordinal")
+
+def eligible_files(spark: SparkSession, root: str) -> DataFrame:
+    """S1 + S2: the CSV objects under `root`, empty ones included."""
+    from ingestry.sources.landing import empty_objects, is_csv_sql, list_objects
+
+    return list_objects(spark, root).unionByName(empty_objects(spark, root)).filter(is_csv_sql("name"))

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-_EXCEL = (".xls", ".xlsx", ".xlsm", ".xlsb")
-_IMAGE = (".bmp", ".gif", ".jpeg", ".jpg", ".png", ".tif", ".tiff", ".webp")
-_WORD = (".doc", ".docx")
+from ingestry.schema import EXCEL_SUFFIXES as _EXCEL
+from ingestry.schema import IMAGE_SUFFIXES as _IMAGE
+from ingestry.schema import WORD_SUFFIXES as _WORD
 
 
 def list_objects(spark: SparkSession, root: str, *, glob: str | None = None) -> DataFrame:
@@ -19,7 +20,12 @@ def list_objects(spark: SparkSession, root: str, *, glob: str | None = None) ->
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    df = reader.load(root).select("path", "length", "modificationTime")
+    return described(reader.load(root), root)
+
+
+def described(files: DataFrame, root: str) -> DataFrame:
+    """path, name below root, size, version and time of listed (or streamed) objects."""
+    df = files.select("path", "length", "modificationTime")
     base = root.rstrip("/")
     return df.selectExpr(
         "path",
@@ -30,6 +36,20 @@ def list_objects(spark: SparkSession, root: str, *, glob: str | None = None) ->
     )
 
 
+def empty_objects(spark: SparkSession, root: str) -> DataFrame:
+    """The objects of zero bytes, which Spark's file sources leave out of a listing: one
+    metadata pass of the driver, which keeps the empty ones only."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    found, files = [], path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
+    while files.hasNext():
+        status = files.next()
+        if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
+            found.append((status.getPath().toString(), 0, status.getModificationTime()))
+    df = spark.createDataFrame(found, "path string, length long, ms long")
+    return described(df.selectExpr("path", "length", "timestamp_millis(ms) AS modificationTime"), root)
+
+
 def _sql(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -66,17 +86,7 @@ def upload_triage(candidates: DataFrame, *, name: str, now_sql: str, unique_id_s
     )
 
 
-def version_mismatches(rows: DataFrame, claimed: DataFrame) -> DataFrame:
-    """Files whose rows were read from a different version than the claimed one.
-
-    `rows` must carry `_metadata.file_path/file_size/file_modification_time`
-    captured at scan time as `path`, `read_version`; the file fails alone.
-    """
-    read = rows.groupBy("path").agg(F.max("read_version").alias("read_version"), F.min("read_version").alias("_min"))
-    return claimed.join(read, "path", "inner").filter("read_version <> version OR _min <> version")
-
-
-def archive(spark: SparkSession, moves: list[tuple[str, str, str]], processed_root: str) -> list[str]:
+def archive(spark: SparkSession, moves: Iterable[tuple[str, str, str]], processed_root: str) -> list[str]:
     """K5: move committed files landing -> processed, only if unchanged since listing.
 
     `moves` are (path, relative name, claimed version). Runs after the ledger

@@ -5,7 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-RECORD_KEYS = ("data", "students", "items", "results")
+from ingestry.schema import RECORD_LIST_KEYS as RECORD_KEYS
+
+
+def _list_sql() -> str:
+    """SQL: the record list of the parsed body `_v`, null if there is none."""
+    lists = ", ".join(
+        ["try_variant_get(_v, '$', 'array<variant>')"]
+        + [f"try_variant_get(_v, '$.{k}', 'array<variant>')" for k in RECORD_KEYS]
+    )
+    return f"coalesce({lists})"
+
+
+def staged_pages(raw: DataFrame, *, body: str = "body", name: str = "page_file") -> DataFrame:
+    """One row per page from one parse of its body: number and links where it has them, and
+    its records (objects of the list, as JSON text; null if there is no list)."""
+    return raw.selectExpr(f"`{name}` AS page_file", f"try_parse_json(`{body}`) AS _v").selectExpr(
+        "page_file",
+        "try_variant_get(_v, '$.page', 'bigint') AS page",
+        "try_variant_get(_v, '$.next_page', 'string') AS next_page",
+        "nullif(coalesce(try_variant_get(_v, '$.next', 'string'), try_variant_get(_v, '$.next_url', 'string')), '') AS next_url",
+        f"transform(filter({_list_sql()}, x -> schema_of_variant(x) LIKE 'OBJECT%'), x -> to_json(x)) AS records",
+    )
 
 
 def extract_records(
@@ -17,13 +38,9 @@ def extract_records(
     IS a list (an object under `data` is passed over); non-object items are dropped.
     A page without a list yields one row with `page_error` set (the run must fail).
     """
-    lists = ", ".join(
-        ["try_variant_get(_v, '$', 'array<variant>')"]
-        + [f"try_variant_get(_v, '$.{k}', 'array<variant>')" for k in RECORD_KEYS]
-    )
     ks = [f"`{k}`" for k in keep]
     parsed = pages.selectExpr(*ks, f"try_parse_json(`{body}`) AS _v").selectExpr(
-        *ks, f"coalesce({lists}) AS _items"
+        *ks, f"{_list_sql()} AS _items"
     )
     pos = ["item_pos"] if with_position else []
     errors = parsed.filter("_items IS NULL").selectExpr(

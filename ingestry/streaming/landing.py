@@ -1,69 +1,25 @@
 """Structured Streaming landing ingest.
 
-`readStream` over immutable, uniquely named CSV objects (K6 naming guarantees
-that) with one header signature, `trigger(availableNow=True)` for bounded
-scheduled runs, and `foreachBatch` running the same batch core and the
-"strictly newer wins" merge into the versioned snapshot. Replaying a batch after
-a failure changes nothing: equal `updated_at` values are skipped (T2).
+The stream only discovers files (names, sizes and times below the landing root, subfolders
+included); every micro-batch hands its listing to the batch job, so headers, line endings,
+surplus values, versions, ledger and summaries are treated in one way. A micro-batch that
+is replayed after a failure resumes its own claims, and what it had committed is skipped.
 
-The stream's own checkpoint (under the shared folder) records which files were
-consumed; a rewritten file at the same path is NOT re-read by the file source,
-so changed versions go through the batch job's ledger instead (SURVEY §7.5).
+The file source doesn't see a rewritten file at a path it has consumed; the scheduled batch
+job does, by its version in the ledger.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ingestry import schema as S
-from ingestry.operators import core
-from ingestry.operators import quarantine as Q
-from ingestry.operators import upsert as U
-from ingestry.plans.jobs import StateStore
-from ingestry.sources.csv import assign_chunks
+from ingestry.plans.jobs import ingest_files
+from ingestry.sources.landing import described
 
-
-def _schema(header: Sequence[str]) -> T.StructType:
-    return T.StructType(
-        [T.StructField(f"_c{i}", T.StringType()) for i in range(len(header))]
-        + [T.StructField("_corrupt_record", T.StringType())]
-    )
-
-
-def micro_batch_records(batch: DataFrame, header: Sequence[str], *, chunk_size: int) -> DataFrame:
-    """Bookkeeping columns for one micro-batch (files are read whole: multiLine)."""
-    last = {n: i for i, n in enumerate(header)}
-    names = list(dict.fromkeys(header))
-    rows = batch.selectExpr(
-        "path",
-        "_mid",
-        f"CASE WHEN _corrupt_record IS NOT NULL AND size(split(_corrupt_record, ',')) > {len(header)} "
-        "THEN array('extra') END AS _extra_columns",
-        *[
-            f"CASE WHEN _corrupt_record IS NULL THEN coalesce(_c{last[n]}, '') ELSE _c{last[n]} END AS `{n}`"
-            for n in names
-        ],
-    )
-    first = rows.groupBy("path").agg(F.min("_mid").alias("_mid0"))
-    # File order (O1) is ranked over the per-file rows only (one row per file), then
-    # joined back, so no window ever spans the micro-batch's data rows.
-    files = first.selectExpr(
-        "path", f"regexp_extract(path, '([^/]*)$', 1) AS {S.SOURCE_OBJECT}", "_mid0"
-    ).selectExpr("*", f"row_number() OVER (ORDER BY {S.SOURCE_OBJECT}) AS {S.FILE_ORDINAL}")
-    out = (
-        rows.join(files, "path")
-        .selectExpr(
-            "*",
-            f"CAST(_mid - _mid0 + 1 AS BIGINT) AS {S.ROW_ORDINAL}",
-            f"true AS {S.IS_CSV}",
-        )
-        .drop("_mid", "_mid0")
-    )
-    return assign_chunks(out, chunk_size=chunk_size)
+FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def start(
@@ -71,43 +27,31 @@ def start(
     landing_root: str,
     state_root: str,
     *,
-    header: Sequence[str] = S.CANONICAL_FIELDS,
     chunk_size: int = S.DEFAULT_CHUNK_SIZE,
     checkpoint: str,
     as_of_sql: str = "current_timestamp()",
     max_files_per_trigger: int = 1000,
-    archive_dir: str | None = None,
+    processed_root: str | None = None,
 ):
-    """Start an availableNow stream; returns the StreamingQuery (call awaitTermination)."""
-    store = StateStore(spark, state_root.rstrip("/"))
+    """Start an availableNow stream; returns the StreamingQuery (call awaitTermination).
+
+    Files that fail are recorded in the ledger and don't stop the stream."""
     stream = (
-        spark.readStream.schema(_schema(header))
-        .option("header", "true")
-        .option("multiLine", "true")
-        .option("escape", '"')
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "_corrupt_record")
-        .option("maxFilesPerTrigger", max_files_per_trigger)
+        spark.readStream.format("binaryFile")
+        .schema(FILE_SCHEMA)
+        .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", "*.[cC][sS][vV]")
-        .options(**({"cleanSource": "archive", "sourceArchiveDir": archive_dir} if archive_dir else {}))
-        .csv(landing_root)
-        .selectExpr("*", "_metadata.file_path AS path")
+        .option("maxFilesPerTrigger", max_files_per_trigger)
+        .load(landing_root)
+        .select("path", "length", "modificationTime")
     )
+    owner = uuid.uuid5(uuid.NAMESPACE_URL, checkpoint).hex
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        # Row ids are taken on the micro-batch's own file scan (static inside foreachBatch).
-        batch = batch.selectExpr("*", "monotonically_increasing_id() AS _mid")
-        records = micro_batch_records(batch, header, chunk_size=chunk_size)
-        stage = f"{store.root}/staging/stream-{batch_id}"
-        b = core.Batch(records, as_of=as_of_sql, file_columns=list(dict.fromkeys(header))).staged(f"{stage}/marked")
-        b.students.write.mode("overwrite").parquet(f"{stage}/students")
-        b.quarantine.write.mode("overwrite").parquet(f"{stage}/quarantine")
-        students = spark.read.parquet(f"{stage}/students")
-        rejects = spark.read.parquet(f"{stage}/quarantine")
-        Q.write(rejects.withColumn("_run", F.lit(f"stream-{batch_id}")), f"{store.root}/quarantine",
-                run_id_col="_run", correlation_id=f"stream-{batch_id}")
-        new_target, _ = U.sequential_upsert(store.target(), students, as_of=F.expr(as_of_sql))
-        store.commit_target(new_target)
+        ingest_files(
+            batch.sparkSession, described(batch, landing_root), state_root, chunk_size=chunk_size, as_of_sql=as_of_sql,
+            correlation_id=f"stream-{owner}-{batch_id}", processed_root=processed_root, raise_on_failure=False,
+        )
 
     return (
         stream.writeStream.foreachBatch(process)

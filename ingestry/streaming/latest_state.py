@@ -1,10 +1,10 @@
 """T5: latest-per-key state in a stream (optional path after foreachBatch).
 
-`applyInPandasWithState` keyed by `student_id` keeps the stored `updated_at`
-of each key in Spark's fault-tolerant state store and emits, per incoming row,
-inserted / updated / skipped with the same strictly-newer rule as the merge. A
-key's state is one timestamp, so state grows with distinct keys, not with rows;
-within a micro-batch the rows of a key are folded in arrival order.
+`applyInPandasWithState` keyed by `student_id` keeps the stored `updated_at` of each key in
+Spark's fault-tolerant state store and emits, per incoming row, inserted / updated / skipped
+with the same strictly-newer rule as the merge. A key's state is one timestamp, so state
+grows with distinct keys, not with rows. A key's rows of a micro-batch are ordered as a
+whole, also where Spark hands them over in several parts; the micro-batch bounds them.
 """
 
 from __future__ import annotations
@@ -20,21 +20,18 @@ STATE_SCHEMA = "updated_at timestamp"
 
 
 def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    stored = state.get[0] if state.exists else None
-    out = []
-    for b in batches:
-        for ts in b.sort_values("_order")["updated_at"]:
-            if stored is None:
-                out.append((key[0], ts, "inserted"))
-                stored = ts
-            elif ts > stored:
-                out.append((key[0], ts, "updated"))
-                stored = ts
-            else:
-                out.append((key[0], ts, "skipped"))
-    if stored is not None:
-        state.update((stored,))
-    yield pd.DataFrame(out, columns=["student_id", "updated_at", "action"])
+    rows = pd.concat(list(batches)).sort_values("_order", ignore_index=True)
+    best = rows["updated_at"].cummax()
+    before = best.shift()  # the newest time before each row, the stored one included
+    if state.exists:
+        stored = pd.Timestamp(state.get[0])
+        before = before.fillna(stored).clip(lower=stored)
+        best = best.clip(lower=stored)
+    rows["action"] = "skipped"
+    rows.loc[before.isna(), "action"] = "inserted"
+    rows.loc[rows["updated_at"] > before, "action"] = "updated"
+    state.update((best.iloc[-1],))
+    yield rows.assign(student_id=key[0])[["student_id", "updated_at", "action"]]
 
 
 def latest_actions(students: DataFrame, *, order: str) -> DataFrame:

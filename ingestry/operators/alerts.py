@@ -2,8 +2,8 @@
 
 Input: `timestamp`, `message` (JSON text with an `event` field), `item_type`
 ('trace' or 'exception'). Tumbling alerts are grouped windows; "missed run"
-alerts need windows with ZERO events, so they run over a dense hourly spine
-built from the log's own time range (size = hours covered, not rows).
+alerts need windows with ZERO events, so they run over the hours up to the time of
+evaluation.
 """
 
 from __future__ import annotations
@@ -11,8 +11,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FAILURE_EVENTS = ("job_failed", "sync_failed", "file_failed")
-_TERM = "(^|[^A-Za-z0-9_])({})($|[^A-Za-z0-9_])"
+from ingestry.functions.clean import sql_str
+from ingestry.schema import FAILURE_EVENTS
+
+# A term stands between characters that are neither letters nor digits, in any case.
+_TERM = "(?i)(^|[^A-Za-z0-9])({})($|[^A-Za-z0-9])"
 
 
 def with_event(logs: DataFrame) -> DataFrame:
@@ -43,31 +46,30 @@ def quarantine_spike(traces: DataFrame, *, threshold: int = 100, hours: int = 1)
     )
 
 
-def missed_runs(traces: DataFrame, *, event: str, window_hours: int) -> DataFrame:
-    """M3/M4: hourly evaluation times T with no `event` in [T - window, T).
+def missed_runs(
+    traces: DataFrame, *, event: str, window_hours: int, as_of_sql: str = "current_timestamp()", lookback_hours: int = 720
+) -> DataFrame:
+    """M3/M4: the hourly evaluation times T of the last `lookback_hours` up to `as_of` with
+    no `event` in [T - window, T). Evaluation doesn't depend on there being logs: a pipeline
+    that stopped logging, or never logged, is reported.
 
-    Hourly counts are joined to a dense hourly spine on equality, then a ROWS
+    The hours are a fixed number of rows. Hourly counts join them on equality, then a ROWS
     frame of `window_hours` rows sums them: no range join, no per-row fan-out.
-    T ranges over the log's observed span where a full window fits.
     """
-    logs = with_event(traces)
+    spark = traces.sparkSession
+    end = f"date_trunc('hour', {as_of_sql})"
+    hours = spark.range(lookback_hours + window_hours).selectExpr(
+        "id", f"{end} - make_dt_interval(0, CAST({lookback_hours + window_hours} - id AS INT), 0, 0) AS hour"
+    )
     hourly = (
-        logs.filter(f"event = '{event}'")
+        with_event(traces)
+        .filter(f"event = {sql_str(event)}")
         .groupBy(F.date_trunc("hour", "timestamp").alias("hour"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    span = logs.agg(
-        F.date_trunc("hour", F.min("timestamp")).alias("lo"),
-        F.date_trunc("hour", F.max("timestamp")).alias("hi"),
-    )
-    spine = span.selectExpr("explode(sequence(lo, hi, INTERVAL 1 HOUR)) AS hour", "lo")
     frame = f"ORDER BY hour ROWS BETWEEN {window_hours - 1} PRECEDING AND CURRENT ROW"
-    counted = spine.join(hourly, "hour", "left").selectExpr(
-        "hour", "lo", f"sum(coalesce(n, 0)) OVER ({frame}) AS seen"
-    )
-    return counted.filter(
-        f"seen = 0 AND hour >= lo + make_dt_interval(0, {window_hours - 1}, 0, 0)"
-    ).selectExpr(
+    counted = hours.join(hourly, "hour", "left").selectExpr("id", "hour", f"sum(coalesce(n, 0)) OVER ({frame}) AS seen")
+    return counted.filter(f"seen = 0 AND id >= {window_hours}").selectExpr(
         f"CAST(hour - make_dt_interval(0, {window_hours - 1}, 0, 0) AS TIMESTAMP_NTZ) AS window_start",
         "CAST(hour + INTERVAL 1 HOUR AS TIMESTAMP_NTZ) AS window_end",
     )

@@ -1,7 +1,7 @@
 """Deterministic duplicate handling.
 
 Within a chunk the freshest `updated_at` wins and a tie goes to the LATER row.
-The reference folds rows one by one; here the same outcome is computed with two
+Folding rows one by one gives the same outcome; here it is computed with two
 window passes over `(source_object, chunk, key)` partitions, which are bounded by
 the chunk size, so a hot key is spread over as many tasks as it has chunks.
 """
@@ -57,7 +57,7 @@ def survivors(marked: DataFrame) -> DataFrame:
 
 
 def loser_detail_sql(ts: str = "_ts") -> str:
-    """The reference's duplicate explanation: winner's time at that moment vs the loser's."""
+    """The duplicate explanation: winner's time at that moment vs the loser's."""
     return (
         "concat('duplicate student_id in the same chunk; kept the row updated at ', "
         f"{iso_utc_sql(KEPT_AT)}, ' instead of ', {iso_utc_sql(ts)})"
@@ -65,7 +65,7 @@ def loser_detail_sql(ts: str = "_ts") -> str:
 
 
 def losers(marked: DataFrame, *, ts: str = "_ts") -> DataFrame:
-    """Displaced rows with the reference's explanation text."""
+    """Displaced rows with the explanation text."""
     detail = loser_detail_sql(ts)
     cols = [f"`{c}`" for c in marked.columns if c not in (R.REASON, R.DETAIL, R.FIELD)]
     return marked.filter(f"{KEPT_AT} IS NOT NULL").selectExpr(

@@ -1,4 +1,4 @@
-"""Reporting reads the reference's indexes serve (O3): newest-first top-k reads.
+"""Reporting reads (O3): newest-first top-k reads.
 
 `orderBy(...).limit(k)` plans as TakeOrderedAndProject: each task keeps its own
 top k, so only k rows per task reach the final merge. Sort keys end in a unique

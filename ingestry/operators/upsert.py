@@ -24,17 +24,18 @@ UPDATED = "updated"
 SKIPPED = "skipped"
 
 BLOCK_CHUNKS = 64
-PAYLOAD = tuple(c for c in S.TARGET_COLUMNS if c not in ("ingested_at", "last_written_at"))
+WRITTEN = ("ingested_at", "last_written_at")
+PAYLOAD = tuple(c for c in S.TARGET_COLUMNS if c not in WRITTEN)
 
 
-def _merge_rows(target: DataFrame, winners: DataFrame, as_of: Column, key: str) -> DataFrame:
+def _merge_rows(target: DataFrame, winners: DataFrame, as_of: Column, key: str, payload: Sequence[str]) -> DataFrame:
     """Full outer join of unique-key sides; `winners` carry `_accept` (bool)."""
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in S.TARGET_COLUMNS])
-    w = winners.select(*[F.col(c).alias(f"s_{c}") for c in (*PAYLOAD, "_accept")])
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in (*payload, *WRITTEN)])
+    w = winners.select(*[F.col(c).alias(f"s_{c}") for c in (*payload, "_accept")])
     joined = t.join(w, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer").withColumn("_as_of", as_of)
     take = "coalesce(s__accept, false)"
     return joined.selectExpr(
-        *[f"CASE WHEN {take} THEN s_{c} ELSE t_{c} END AS {c}" for c in PAYLOAD],
+        *[f"CASE WHEN {take} THEN s_{c} ELSE t_{c} END AS {c}" for c in payload],
         f"CASE WHEN t_{key} IS NULL THEN _as_of ELSE t_ingested_at END AS ingested_at",
         f"CASE WHEN {take} THEN _as_of ELSE t_last_written_at END AS last_written_at",
     )
@@ -47,19 +48,23 @@ def conditional_upsert(
     as_of: Column,
     key: str = "student_id",
     order: str = S.ROW_ORDINAL,
+    payload: Sequence[str] = PAYLOAD,
 ) -> tuple[DataFrame, DataFrame]:
     """Returns (new_target, actions[key, updated_at, action, submitted]).
 
+    `payload` names the columns carried through the merge; a reader of few columns pays
+    for those only.
+
     `DISTINCT ON (key) ORDER BY updated_at DESC` first (tie -> larger `order`),
     then ONE full outer join with the stored table: an update only when the
     incoming `updated_at` is strictly greater. Both outputs come from that join.
     """
-    cols = [*PAYLOAD, order]
+    cols = [*payload, order]
     latest = latest_per_key(
         incoming.select(*cols), key=key, ts="updated_at", tiebreak=order, count_as="_n"
     )
-    t = target.select(*[F.col(c).alias(f"t_{c}") for c in S.TARGET_COLUMNS])
-    w = latest.select(*[F.col(c).alias(f"s_{c}") for c in (*PAYLOAD, "_n")])
+    t = target.select(*[F.col(c).alias(f"t_{c}") for c in (*payload, *WRITTEN)])
+    w = latest.select(*[F.col(c).alias(f"s_{c}") for c in (*payload, "_n")])
     joined = t.join(w, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer").selectExpr(
         "*",
         f"CASE WHEN s_{key} IS NULL THEN NULL WHEN t_{key} IS NULL THEN '{INSERTED}' "
@@ -67,7 +72,7 @@ def conditional_upsert(
     ).withColumn("_as_of", as_of)
     take = f"coalesce(action IN ('{INSERTED}', '{UPDATED}'), false)"
     new_target = joined.selectExpr(
-        *[f"CASE WHEN {take} THEN s_{c} ELSE t_{c} END AS {c}" for c in PAYLOAD],
+        *[f"CASE WHEN {take} THEN s_{c} ELSE t_{c} END AS {c}" for c in payload],
         f"CASE WHEN t_{key} IS NULL THEN _as_of ELSE t_ingested_at END AS ingested_at",
         f"CASE WHEN {take} THEN _as_of ELSE t_last_written_at END AS last_written_at",
     )
@@ -145,6 +150,7 @@ def sequential_upsert(
     as_of: Column,
     key: str = "student_id",
     seq: Sequence[str] = (S.FILE_ORDINAL, S.CHUNK_INDEX),
+    payload: Sequence[str] = PAYLOAD,
 ) -> tuple[DataFrame, DataFrame]:
     """W4 + J1 for a whole run: (new_target, per-survivor actions).
 
@@ -153,19 +159,20 @@ def sequential_upsert(
     """
     actions = sequential_actions(target, survivors, key=key, seq=seq)
     accepted = actions.filter(F.col("action") != SKIPPED)
-    rest = [c for c in PAYLOAD if c != key]
+    rest = [c for c in payload if c != key]
     last = accepted.groupBy(key).agg(
         F.expr(f"max_by(struct({', '.join(rest)}), struct({', '.join(seq)}))").alias("_w")
     )
     winners = last.selectExpr(key, *[f"_w.{c} AS {c}" for c in rest], "true AS _accept")
-    return _merge_rows(target, winners, as_of, key), actions
+    return _merge_rows(target, winners, as_of, key, payload), actions
 
 
-def initial_target(students: DataFrame, *, written_at: Column, key: str = "student_id") -> DataFrame:
+def initial_target(
+    students: DataFrame, *, written_at: Column, key: str = "student_id", payload: Sequence[str] = PAYLOAD
+) -> DataFrame:
     """A stored table from canonical rows (latest per key; earliest row wins ties)."""
-    rank = -(F.col(S.FILE_ORDINAL) * F.lit(1_000_000_000) + F.col(S.ROW_ORDINAL))
-    ranked = students.withColumn("_rank", rank)
-    latest = latest_per_key(ranked.select(*PAYLOAD, "_rank"), key=key, ts="updated_at", tiebreak="_rank")
+    ranked = students.selectExpr("*", f"struct(-`{S.FILE_ORDINAL}` AS f, -`{S.ROW_ORDINAL}` AS r) AS _rank")
+    latest = latest_per_key(ranked.select(*payload, "_rank"), key=key, ts="updated_at", tiebreak="_rank")
     return latest.select(
-        *PAYLOAD, written_at.alias("ingested_at"), written_at.alias("last_written_at")
+        *payload, written_at.alias("ingested_at"), written_at.alias("last_written_at")
     )

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingestry import schema as S
-from ingestry.session import ensure_session, widen
+from ingestry.session import ensure_session
 
 ROWS_PER_FILE = 500
 CHUNK_SIZE = 100
@@ -82,6 +82,8 @@ DIRTY_RECORD_COLUMNS = [
 ]
 
 
-def dirty_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = widen(table(spark, sf_dir, "events"))
-    return e.selectExpr(*DIRTY_RECORD_COLUMNS)
+def dirty_records(spark: SparkSession, sf_dir: str, *, by_chunk: bool = False) -> DataFrame:
+    """`by_chunk` deals the rows out by file and chunk, the scope of the dedupe windows: the
+    rule cascade then runs behind that one exchange, and the windows need no other."""
+    records = table(spark, sf_dir, "events").selectExpr(*DIRTY_RECORD_COLUMNS)
+    return records.repartition(S.SOURCE_OBJECT, S.CHUNK_INDEX) if by_chunk else records

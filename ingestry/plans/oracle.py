@@ -1,18 +1,35 @@
 """DuckDB oracle SQL for the driver queries (views: the driver tables).
 
-Written independently of the Spark code in DuckDB's dialect: the rule order,
-alias tables and formats are spelled out again here, timestamps are parsed by
-splitting the local part from the offset, and survivors use ROW_NUMBER. Only
-the derivation of `dirty_records` from `events` is shared by construction.
+Written in DuckDB's dialect: alias tables, white space and time formats are written out
+again here, timestamps are parsed by splitting the local part from the offset, and
+survivors use ROW_NUMBER. Reason codes, texts and field lists come from the schema module,
+and the derivation of `dirty_records` from `events` is shared by construction. Where an
+oracle repeats a definition (losers, page chains, audits), its agreement shows an equal
+translation; the plain folds in tests/ check the definitions.
 """
 
 from __future__ import annotations
 
 from ingestry import schema as S
-from ingestry.functions.clean import PY_WHITESPACE, TS_GUARD
 from ingestry.plans.derived import AS_OF, CHUNK_SIZE, ROWS_PER_FILE
 
-_WS = " || ".join(f"chr({ord(ch)})" for ch in PY_WHITESPACE)
+# Fixed values, written out here a second time: white space, accepted times, aliases.
+_SPACES = (
+    *range(9, 14), *range(28, 33), 133, 160, 5760, *range(8192, 8203), 8232, 8233, 8239, 8287, 12288,
+)
+_WS = " || ".join(f"chr({c})" for c in _SPACES)
+_TIME = (
+    r"\d{4}(-\d\d-\d\dT\d\d(:\d\d(:\d\d([.,]\d+)?)?)?|\d{4}T\d\d(\d\d(\d\d([.,]\d+)?)?)?)"
+    r"(Z|[+-]\d\d(:?\d\d(:?\d\d(\.\d{1,6})?)?)?)"
+)
+_STATUSES = {
+    "active": "active enrolled enrolled_active",
+    "inactive": "inactive unenrolled not_enrolled on_leave",
+    "graduated": "graduated grad",
+    "transferred": "transferred transfer transferred_out",
+    "withdrawn": "withdrawn withdrew dropped",
+}
+_GRADES = {-1: "pk prek pre_k", 0: "k kg kindergarten"}
 _ISO = "%Y-%m-%dT%H:%M:%S"
 _H = "date_trunc('hour', ts)"
 
@@ -30,10 +47,10 @@ def _key(t: str) -> str:
 
 
 _STATUS_CASE = "CASE {k} " + " ".join(
-    f"WHEN {_q(a)} THEN {_q(v)}" for a, v in S.STATUS_ALIASES.items()
+    f"WHEN {_q(a)} THEN {_q(v)}" for v, names in _STATUSES.items() for a in names.split()
 ) + " END"
 _GRADE_ALIAS_CASE = "CASE {k} " + " ".join(
-    f"WHEN {_q(a)} THEN {v}" for a, v in S.GRADE_ALIASES.items()
+    f"WHEN {_q(a)} THEN {v}" for v, names in _GRADES.items() for a in names.split()
 ) + " END"
 
 CTES: dict[str, str] = {}
@@ -102,7 +119,7 @@ SELECT *,
          WHEN contains(c_grade_level, '.') AND regexp_full_match(c_grade_level, '[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?')
               AND TRY_CAST(c_grade_level AS DOUBLE) = floor(TRY_CAST(c_grade_level AS DOUBLE))
               AND TRY_CAST(c_grade_level AS DOUBLE) BETWEEN -1 AND 12 THEN TRY_CAST(c_grade_level AS DOUBLE) END) AS SMALLINT) AS p_grade,
-  CASE WHEN regexp_full_match(c_updated_at, {_q(TS_GUARD)}) THEN
+  CASE WHEN regexp_full_match(c_updated_at, {_q(_TIME)}) THEN
     regexp_replace(replace(c_updated_at, ',', '.'), '(\\.[0-9]{{6}})[0-9]+', '\\1') END AS ts_norm
 FROM cleaned
 """
@@ -451,10 +468,12 @@ oracle(
 # ---------------------------------------------------------------- A1 / A2
 CTES["quarantine_all"] = """
 SELECT _file_ordinal, _source_object AS source_object, _chunk_index AS chunk_index, _row_ordinal AS row_ordinal,
-  student_id, reason_code, field, detail FROM rejected
+  student_id, reason_code, field, detail, student_id AS r_student_id, email AS r_email,
+  CASE WHEN _has_extra THEN '["unexpected"]' END AS r__extra_columns, CAST(_row_ordinal AS VARCHAR) AS r__source_line,
+  CAST(CASE WHEN _has_extra THEN 11 ELSE 10 END AS BIGINT) AS n_keys FROM rejected
 UNION ALL
 SELECT _file_ordinal, _source_object, _chunk_index, _row_ordinal, student_id,
-  'DUPLICATE_STUDENT_ID', 'student_id', dup_detail FROM losers
+  'DUPLICATE_STUDENT_ID', 'student_id', dup_detail, student_id, email, NULL, CAST(_row_ordinal AS VARCHAR), 10 FROM losers
 """
 CTES["run_tagged"] = """
 SELECT _source_object AS run, _chunk_index AS chunk, 1 AS rd, 0 AS q, 0 AS v, NULL AS action, NULL::TIMESTAMP AS ts
@@ -491,20 +510,33 @@ oracle(
     "WINDOW w AS (PARTITION BY run ORDER BY chunk ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)",
 )
 
+# ---------------------------------------------------------------- S3
+oracle(
+    "csv_parse",
+    (),
+    f"""SELECT 'file-' || CAST(event_id // {ROWS_PER_FILE} AS VARCHAR) AS source_object,
+  row_number() OVER (PARTITION BY event_id // {ROWS_PER_FILE} ORDER BY event_id) AS row_ordinal, CAST(event_id AS VARCHAR) AS event_id,
+  CASE event_id % 7 WHEN 1 THEN event_type || ', "' || CAST(user_id AS VARCHAR) || '"'
+    WHEN 2 THEN event_type || chr(10) || CAST(user_id AS VARCHAR) ELSE event_type END AS kind,
+  CASE WHEN event_id % 11 <> 3 THEN CAST(user_id AS VARCHAR) WHEN event_id % 13 = 5 THEN 'surplus' END AS "user",
+  CASE WHEN event_id % 13 = 5 THEN CASE WHEN event_id % 11 = 3 THEN ' one' ELSE 'surplus| one' END END AS surplus,
+  3 AS n_names
+FROM events""",
+)
+
 # ---------------------------------------------------------------- U1 / A3 / V11
 _QU = (*_CLS, "valid", "rejected", "marked", "losers", "quarantine_all")
-oracle("quarantine_union", _QU, "SELECT source_object, chunk_index, row_ordinal, student_id, reason_code, field, detail FROM quarantine_all")
+oracle("quarantine_union", _QU, "SELECT source_object, chunk_index, row_ordinal, student_id, reason_code, field, detail, r_student_id, r_email, r__extra_columns, r__source_line, n_keys FROM quarantine_all")
 oracle("quarantine_reason_counts", _QU, "SELECT reason_code, count(*) AS n FROM quarantine_all GROUP BY reason_code")
 _VIOL = [
     *[f"SELECT _source_object, _row_ordinal, '{n}_not_null' AS violation FROM parsed WHERE {src} IS NULL"
       for n, src in (("student_id", "c_student_id"), ("first_name", "c_first_name"), ("last_name", "c_last_name"),
-                     ("school_id", "c_school_id"), ("email", "p_email"), ("enrollment_status", "p_status"),
+                     ("school_id", "c_school_id"), ("email", "p_email"), ("enrollment_status", "c_enrollment_status"),
                      ("updated_at", "p_ts"))],
     "SELECT _source_object, _row_ordinal, 'grade_level_range' FROM parsed WHERE regexp_full_match(c_grade_level, '[+-]?[0-9]+') "
     "AND TRY_CAST(c_grade_level AS DOUBLE) NOT BETWEEN -1 AND 12",
-    "SELECT _source_object, _row_ordinal, 'enrollment_status_enum' FROM parsed WHERE lower(c_enrollment_status) "
-    "NOT IN ('active', 'inactive', 'graduated', 'transferred', 'withdrawn')",
-    *[f"SELECT _source_object, _row_ordinal, '{f}_length' FROM parsed WHERE length(c_{f}) > {n}"
+    "SELECT _source_object, _row_ordinal, 'enrollment_status_enum' FROM parsed WHERE c_enrollment_status IS NOT NULL AND p_status IS NULL",
+    *[f"SELECT _source_object, _row_ordinal, '{f}_length' FROM parsed WHERE length({'p_email' if f == 'email' else 'c_' + f}) > {n}"
       for f, n in S.MAX_FIELD_LENGTHS if f != "enrollment_status"],
     "SELECT _source_object, _row_ordinal, 'student_id_unique' FROM parsed WHERE c_student_id IN "
     "(SELECT c_student_id FROM parsed WHERE c_student_id IS NOT NULL GROUP BY 1 HAVING count(*) > 1)",
@@ -534,7 +566,7 @@ oracle(
     ("logs",),
     "SELECT time_bucket(INTERVAL 5 MINUTE, timestamp) AS window_start, "
     "time_bucket(INTERVAL 5 MINUTE, timestamp) + INTERVAL 5 MINUTE AS window_end, count(*) AS failures "
-    "FROM logs WHERE item_type = 'exception' OR regexp_matches(event, '(^|[^A-Za-z0-9_])(job_failed|sync_failed|file_failed)($|[^A-Za-z0-9_])') "
+    "FROM logs WHERE item_type = 'exception' OR regexp_matches(event, '(?i)(^|[^A-Za-z0-9])(job_failed|sync_failed|file_failed)($|[^A-Za-z0-9])') "
     "GROUP BY 1, 2",
 )
 oracle(
@@ -548,13 +580,11 @@ oracle(
 
 def _missed(event: str, hours: int) -> str:
     return f"""
-SELECT h - INTERVAL {hours - 1} HOUR AS window_start, h + INTERVAL 1 HOUR AS window_end
-FROM (SELECT unnest(generate_series(lo, hi, INTERVAL 1 HOUR)) AS h, lo
-      FROM (SELECT date_trunc('hour', min(timestamp)) AS lo, date_trunc('hour', max(timestamp)) AS hi
-            FROM logs WHERE item_type = 'trace')) s
-WHERE h >= lo + INTERVAL {hours - 1} HOUR
-  AND NOT EXISTS (SELECT 1 FROM logs l WHERE l.item_type = 'trace' AND l.event = '{event}'
-                  AND date_trunc('hour', l.timestamp) BETWEEN s.h - INTERVAL {hours - 1} HOUR AND s.h)
+SELECT t - INTERVAL {hours} HOUR AS window_start, t AS window_end
+FROM (SELECT unnest(generate_series(date_trunc('hour', TIMESTAMP '{AS_OF}') - INTERVAL 719 HOUR,
+                                    date_trunc('hour', TIMESTAMP '{AS_OF}'), INTERVAL 1 HOUR)) AS t)
+WHERE NOT EXISTS (SELECT 1 FROM logs l WHERE l.item_type = 'trace' AND l.event = '{event}'
+                  AND l.timestamp >= t - INTERVAL {hours} HOUR AND l.timestamp < t)
 """
 
 
@@ -562,13 +592,18 @@ oracle("alert_missed_csv_runs", ("logs",), _missed("trigger.csv_finished", 26))
 oracle("alert_missed_api_runs", ("logs",), _missed("trigger.api_finished", 2))
 
 # ---------------------------------------------------------------- S4 / S6 / K6
-oracle("envelope_extract", (), "SELECT conv_id, turn, role, text FROM conversations")
+oracle(
+    "envelope_extract",
+    (),
+    "SELECT conv_id, turn, role, text, NULL AS failed_page FROM conversations WHERE NOT (conv_id % 5 = 4 AND conv_id % 7 = 0) "
+    "UNION ALL SELECT DISTINCT NULL, NULL, NULL, NULL, conv_id FROM conversations WHERE conv_id % 5 = 4 AND conv_id % 7 = 0",
+)
 CTES["page_chain"] = """
 SELECT CAST(floor(page_id / 10) AS BIGINT) AS run_id,
   CASE WHEN page_id % 43 = 9 AND page_id % 10 > 0 THEN page_id % 10 ELSE page_id % 10 + 1 END AS page,
   CASE WHEN page_id % 37 = 5 THEN CAST(page_id % 10 + 1 AS VARCHAR) WHEN page_id % 41 = 7 THEN 'abc'
        WHEN page_id % 10 = 9 THEN NULL ELSE CAST(page_id % 10 + 2 AS VARCHAR) END AS next_page,
-  CASE WHEN page_id % 7 = 3 AND page_id % 10 < 9 THEN 'https://api.example.edu/students?page=' || CAST(page_id % 10 + 2 AS VARCHAR) END AS next_url
+  CASE WHEN page_id % 7 = 3 AND page_id % 10 < 9 THEN url || '?cursor=x&page=' || CAST(page_id % 10 + 2 AS VARCHAR) END AS next_url
 FROM pages
 """
 CTES["page_links"] = """
@@ -588,17 +623,17 @@ oracle(
 )
 CTES["candidates_files"] = """
 SELECT page_id, CASE page_id % 10
-  WHEN 0 THEN '../bad path/students final.csv'
-  WHEN 1 THEN 'Roster ' || CAST(page_id AS VARCHAR) || '.XLSX'
-  WHEN 2 THEN 'scan-' || CAST(page_id AS VARCHAR) || '.pdf'
-  WHEN 3 THEN 'photo_' || CAST(page_id AS VARCHAR) || '.JPG'
-  WHEN 4 THEN 'notes ' || CAST(page_id AS VARCHAR) || '.docx'
-  WHEN 5 THEN 'export_' || CAST(page_id AS VARCHAR) || '.txt'
-  WHEN 6 THEN 'C:\\Users\\staff\\roster ' || CAST(page_id AS VARCHAR) || '.CSV'
-  WHEN 7 THEN '...---'
-  WHEN 8 THEN '__students__' || CAST(page_id AS VARCHAR) || '.csv.'
-  ELSE 'dir/sub/' || 'na' || chr(239) || 've ' || CAST(page_id AS VARCHAR) || '.csv' END AS candidate
-FROM pages
+  WHEN 0 THEN '../bad path/students ' || slug || ' final.csv'
+  WHEN 1 THEN 'Roster ' || slug || '.XLSX'
+  WHEN 2 THEN 'scan-' || slug || '.pdf'
+  WHEN 3 THEN 'photo_' || slug || '.JPG'
+  WHEN 4 THEN 'notes ' || slug || '.docx'
+  WHEN 5 THEN 'export_' || slug || '.txt'
+  WHEN 6 THEN 'C:\\Users\\staff\\roster ' || slug || '.CSV'
+  WHEN 7 THEN CASE WHEN page_id % 20 = 7 THEN '...---' ELSE slug || '...---' END
+  WHEN 8 THEN '__students__' || slug || '.csv.'
+  ELSE 'dir/sub/' || 'na' || chr(239) || 've ' || slug || '.csv' END AS candidate
+FROM (SELECT page_id, right(regexp_extract(url, '([^/]*)/?$', 1), 40) AS slug FROM pages)
 """
 CTES["triaged"] = """
 SELECT *, lower(regexp_extract(safe_name, '^.+(\\.[^.]*)$', 1)) AS ext FROM (

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,24 +34,21 @@ def ntz(c: Column | str) -> Column:
 
 
 def _batch(spark: SparkSession, sf_dir: str, *, files: str = "all") -> core.Batch:
-    recs = X.dirty_records(spark, sf_dir)
-    if files == "target":
-        recs = recs.filter(F.col(S.FILE_ORDINAL) % 2 == 0)
-    elif files == "incoming":
-        recs = recs.filter(F.col(S.FILE_ORDINAL) % 2 == 1)
+    """Even files = already merged target, odd files = the incoming run. The dedupe scope
+    is per file, so each half is filtered before its windows and cascade."""
+    recs = X.dirty_records(spark, sf_dir, by_chunk=True)
+    if files != "all":
+        recs = recs.filter(F.col(S.FILE_ORDINAL) % 2 == (0 if files == "target" else 1))
     return core.process(recs, as_of=X.AS_OF_SQL)
 
 
-def _half(df: DataFrame, files: str) -> DataFrame:
-    """Even files = already merged target, odd files = the incoming run. The dedupe
-    scope is per file, so one batch over all files split afterwards equals two
-    batches, with one scan and one cascade (the exchange below is reused)."""
-    return df.filter(f"`{S.FILE_ORDINAL}` % 2 = {0 if files == 'target' else 1}")
+# The merge queries return no raw payload, so none is built or carried.
+COLUMNS = tuple(c for c in U.PAYLOAD if c != "raw_payload")
 
 
-def _target(spark: SparkSession, sf_dir: str) -> DataFrame:
-    students = _half(_batch(spark, sf_dir).students, "target")
-    return U.initial_target(students, written_at=X.as_of() - F.expr("INTERVAL 1 DAY"))
+def _target(spark: SparkSession, sf_dir: str, payload=COLUMNS) -> DataFrame:
+    students = _batch(spark, sf_dir, files="target").students
+    return U.initial_target(students, written_at=X.as_of() - F.expr("INTERVAL 1 DAY"), payload=payload)
 
 
 # ---------------------------------------------------------------- P1-P5 scalars
@@ -197,7 +195,7 @@ def distinct_on_latest(spark, sf_dir):
     ranked = valid.select(
         F.col("_c_student_id").alias("student_id"),
         F.col("_ts").alias("updated_at"),
-        (F.col(S.FILE_ORDINAL) * F.lit(1_000_000_000) + F.col(S.ROW_ORDINAL)).alias("_rank"),
+        F.struct(S.FILE_ORDINAL, S.ROW_ORDINAL).alias("_rank"),
         F.col(S.SOURCE_OBJECT).alias("source_object"),
         F.col(S.ROW_ORDINAL).alias("row_ordinal"),
     )
@@ -232,6 +230,58 @@ def chunk_assignment(spark, sf_dir):
     )
 
 
+# ---------------------------------------------------------------- S3 CSV text
+# Events as CSV files of 500 rows with every line ending, quoted commas and newlines, blank
+# lines, doubled quotes, and rows with a value too many or too few.
+_ENDING = "CASE f % 3 WHEN 0 THEN '\\n' WHEN 1 THEN '\\r\\n' ELSE '\\r' END"
+_CSV_LINE = (
+    "concat(CAST(event_id AS STRING), ',', "
+    "CASE event_id % 7 WHEN 1 THEN concat('\"', event_type, ', \"\"', CAST(user_id AS STRING), '\"\"\"') "
+    "WHEN 2 THEN concat('\"', event_type, '\\n', CAST(user_id AS STRING), '\"') ELSE event_type END, "
+    "CASE WHEN event_id % 11 = 3 THEN '' ELSE concat(',', CAST(user_id AS STRING)) END, "
+    "CASE WHEN event_id % 13 = 5 THEN ',surplus, one' ELSE '' END, "
+    "CASE WHEN event_id % 17 = 4 THEN '\\n' WHEN event_id % 5 = 1 THEN '\\r' ELSE '' END)"
+)
+
+
+def csv_files(spark, sf_dir) -> DataFrame:
+    """(name, body): the rendered files; a file's rows, at most 500, are gathered."""
+    e = X.table(spark, sf_dir, "events").selectExpr(
+        "event_id", f"CAST(floor(event_id / {X.ROWS_PER_FILE}) AS BIGINT) AS f", f"{_CSV_LINE} AS line"
+    )
+    files = e.groupBy("f").agg(F.sort_array(F.collect_list(F.struct("event_id", "line"))).alias("rows"))
+    return files.selectExpr(
+        "concat('file-', CAST(f AS STRING)) AS name",
+        f"CAST(concat(' Event_ID ,KIND,user', {_ENDING}, array_join(transform(rows, r -> r.line), {_ENDING})) AS BINARY) AS body",
+    )
+
+
+def _parse_bodies(batches):
+    import io
+
+    from ingestry.sources.csv import parse
+
+    for batch in batches:
+        rows = []
+        for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            rows += [(name, n, list(v.items()), x) for n, (_, v, x) in enumerate(parse(io.BytesIO(body)), 1)]
+        kinds = (pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string()))
+        cols = list(zip(*rows)) or [[]] * 4
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, type=k) for c, k in zip(cols, kinds)], names=["source_object", "row_ordinal", "src", "extra"]
+        )
+
+
+@query
+def csv_parse(spark, sf_dir):
+    schema = "source_object string, row_ordinal long, src map<string,string>, extra array<string>"
+    rows = csv_files(spark, sf_dir).mapInArrow(_parse_bodies, schema)
+    return rows.selectExpr(
+        "source_object", "row_ordinal", "src['event_id'] AS event_id", "src['kind'] AS kind", "src['user'] AS user",
+        "array_join(extra, '|') AS surplus", "size(src) AS n_names",
+    )
+
+
 # ---------------------------------------------------------------- J1 / W4 / A5
 def _target_out(df: DataFrame) -> DataFrame:
     return df.select(
@@ -250,41 +300,42 @@ def _target_out(df: DataFrame) -> DataFrame:
     )
 
 
-RANK_SQL = f"`{S.FILE_ORDINAL}` * 1000000000 + `{S.ROW_ORDINAL}` AS _rank"
+RANK_SQL = f"struct(`{S.FILE_ORDINAL}`, `{S.ROW_ORDINAL}`) AS _rank"
 
 
 def _incoming(spark, sf_dir):
     """Incoming canonical rows with a unique source-order tiebreak `_rank`."""
-    return _half(_batch(spark, sf_dir).students, "incoming").selectExpr("*", RANK_SQL)
+    return _batch(spark, sf_dir, files="incoming").students.selectExpr("*", RANK_SQL)
 
 
 @query
 def conditional_upsert(spark, sf_dir):
-    new_target, _ = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank")
+    new_target, _ = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank", payload=COLUMNS)
     return _target_out(new_target)
 
 
 @query
 def upsert_actions(spark, sf_dir):
-    _, actions = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank")
+    _, actions = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank", payload=COLUMNS)
     return actions.select("student_id", ntz("updated_at").alias("updated_at"), "action", "submitted")
 
 
 @query
 def upsert_counts(spark, sf_dir):
-    _, actions = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank")
+    _, actions = U.conditional_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), order="_rank", payload=COLUMNS)
     return U.upsert_counts(actions)
 
 
 @query
 def sequential_upsert_counts(spark, sf_dir):
-    acts = U.sequential_actions(_target(spark, sf_dir), _incoming(spark, sf_dir))
+    narrow = _incoming(spark, sf_dir).select("student_id", "updated_at", S.FILE_ORDINAL, S.CHUNK_INDEX)
+    acts = U.sequential_actions(_target(spark, sf_dir, payload=("student_id", "updated_at")), narrow)
     return acts.groupBy("action").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def sequential_upsert_target(spark, sf_dir):
-    new_target, _ = U.sequential_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of())
+    new_target, _ = U.sequential_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of(), payload=COLUMNS)
     return _target_out(new_target)
 
 
@@ -294,12 +345,13 @@ def cross_source_latest(spark, sf_dir):
     s = _batch(spark, sf_dir).students
     csv = s.filter(F.col(S.ROW_ORDINAL) % 2 == 1).withColumn("source_system", F.lit("csv"))
     api = s.filter(F.col(S.ROW_ORDINAL) % 2 == 0).withColumn("source_system", F.lit("api"))
-    rank = F.col(S.FILE_ORDINAL) * F.lit(1_000_000_000) + F.col(S.ROW_ORDINAL)
+    rank = F.struct(S.FILE_ORDINAL, S.ROW_ORDINAL)
     csv = csv.withColumn("_rank", rank)
     api = api.withColumn("_rank", rank)
     empty = spark.createDataFrame([], S.STUDENT_SCHEMA)
-    after_csv, _ = U.conditional_upsert(empty, csv, as_of=X.as_of(), order="_rank")
-    after_api, _ = U.conditional_upsert(after_csv, api, as_of=X.as_of(), order="_rank")
+    few = ("student_id", "updated_at", "source_system", "email")
+    after_csv, _ = U.conditional_upsert(empty, csv, as_of=X.as_of(), order="_rank", payload=few)
+    after_api, _ = U.conditional_upsert(after_csv, api, as_of=X.as_of(), order="_rank", payload=few)
     return after_api.select("student_id", ntz("updated_at").alias("updated_at"), "source_system", "email")
 
 from ingestry.plans import queries_ops as _ops  # noqa: E402,F401  (registers the rest)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ingestry import schema as S
+from ingestry.functions.payload import transform_failure_sql
 from ingestry.operators import alerts as A
 from ingestry.operators import audit as V
 from ingestry.operators import ledger as L
@@ -112,14 +113,11 @@ def resume_filter(spark, sf_dir):
 
 # ---------------------------------------------------------------- A1 / A2
 def _run_tagged(spark, sf_dir):
-    from ingestry.plans.queries import _half
-
-    b = _batch(spark, sf_dir)
-    actions = U.sequential_actions(_target(spark, sf_dir), _half(b.students, "incoming"))
-    from ingestry.functions.payload import transform_failure_sql
-
+    b = _batch(spark, sf_dir, files="incoming")
+    narrow = b.students.select("student_id", "updated_at", S.SOURCE_OBJECT, S.FILE_ORDINAL, S.CHUNK_INDEX)
+    actions = U.sequential_actions(_target(spark, sf_dir, payload=("student_id", "updated_at")), narrow)
     return M.tagged_from_marked(
-        _half(b.marked, "incoming"), actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX, tf_sql=transform_failure_sql()
+        b.marked, actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX, tf_sql=transform_failure_sql()
     )
 
 
@@ -144,7 +142,11 @@ def chunk_progress(spark, sf_dir):
 @query
 def quarantine_union(spark, sf_dir):
     q = _batch(spark, sf_dir).quarantine
-    return q.select("source_object", "chunk_index", "row_ordinal", "student_id", R.REASON, R.FIELD, R.DETAIL)
+    record = [f"get_json_object(record, '$.{k}') AS r_{k}" for k in ("student_id", "email", "_extra_columns", "_source_line")]
+    return q.selectExpr(
+        "source_object", "chunk_index", "row_ordinal", "student_id", R.REASON, R.FIELD, R.DETAIL, *record,
+        "CAST(size(json_object_keys(record)) AS BIGINT) AS n_keys",
+    )
 
 
 @query
@@ -154,11 +156,17 @@ def quarantine_reason_counts(spark, sf_dir):
 
 @query
 def constraint_audit(spark, sf_dir):
-    parsed = R.parsed_columns(X.dirty_records(spark, sf_dir))
-    v = V.constraint_violations(parsed, id_cols=(S.SOURCE_OBJECT, S.ROW_ORDINAL))
-    return v.select(
-        F.col(S.SOURCE_OBJECT).alias("source_object"), F.col(S.ROW_ORDINAL).alias("row_ordinal"), "violation"
+    """The table as it would be stored if nothing were rejected: typed columns, unmapped
+    statuses as they came."""
+    stored = R.parsed_columns(X.dirty_records(spark, sf_dir)).selectExpr(
+        f"`{S.SOURCE_OBJECT}` AS source_object", f"`{S.ROW_ORDINAL}` AS row_ordinal",
+        "_c_student_id AS student_id", "_c_first_name AS first_name", "_c_last_name AS last_name",
+        "_c_school_id AS school_id", "_email AS email", "_ts AS updated_at",
+        "coalesce(_status, lower(_c_enrollment_status)) AS enrollment_status",
+        "CASE WHEN _c_grade_level RLIKE '^[+-]?[0-9]+$' THEN try_cast(_c_grade_level AS DOUBLE) END AS grade_level",
+        "_c_guardian_contact AS guardian_contact",
     )
+    return V.stored_violations(stored, id_cols=("source_object", "row_ordinal"))
 
 
 # ---------------------------------------------------------------- M1-M4
@@ -198,13 +206,13 @@ def alert_quarantine_spike(spark, sf_dir):
 @query
 def alert_missed_csv_runs(spark, sf_dir):
     traces, _ = _logs(spark, sf_dir)
-    return A.missed_runs(traces, event="trigger.csv_finished", window_hours=26)
+    return A.missed_runs(traces, event="trigger.csv_finished", window_hours=26, as_of_sql=X.AS_OF_SQL)
 
 
 @query
 def alert_missed_api_runs(spark, sf_dir):
     traces, _ = _logs(spark, sf_dir)
-    return A.missed_runs(traces, event="trigger.api_finished", window_hours=2)
+    return A.missed_runs(traces, event="trigger.api_finished", window_hours=2, as_of_sql=X.AS_OF_SQL)
 
 
 # ---------------------------------------------------------------- S4 / S6 / K6
@@ -228,23 +236,24 @@ def _staged_pages(spark, sf_dir):
     )
     return items.selectExpr(
         "conv_id AS page_id",
-        "CASE conv_id % 5 "
+        "CASE WHEN conv_id % 5 = 4 AND conv_id % 7 = 0 THEN '{\"status\": \"no list\"}' ELSE CASE conv_id % 5 "
         "WHEN 0 THEN concat('{\"page\": ', CAST(conv_id AS STRING), ', \"data\": ', items, '}') "
         "WHEN 1 THEN concat('{\"students\": ', items, ', \"next_page\": null}') "
         "WHEN 2 THEN concat('{\"items\": ', items, '}') "
         "WHEN 3 THEN items "
-        "ELSE concat('{\"data\": {\"note\": \"x\"}, \"results\": ', items, '}') END AS body",
+        "ELSE concat('{\"data\": {\"note\": \"x\"}, \"results\": ', items, '}') END END AS body",
     )
 
 
 @query
 def envelope_extract(spark, sf_dir):
     recs = PG.extract_records(_staged_pages(spark, sf_dir), keep=("page_id",))
-    return recs.filter("page_error IS NULL").selectExpr(
+    return recs.selectExpr(
         "try_variant_get(item, '$.conv_id', 'bigint') AS conv_id",
         "try_variant_get(item, '$.turn', 'bigint') AS turn",
         "try_variant_get(item, '$.role', 'string') AS role",
         "try_variant_get(item, '$.text', 'string') AS text",
+        "CASE WHEN page_error IS NOT NULL THEN page_id END AS failed_page",
     )
 
 
@@ -258,7 +267,7 @@ def _page_chain(spark, sf_dir):
         "WHEN page_id % 10 = 9 THEN CAST(NULL AS STRING) "
         "ELSE CAST(page_id % 10 + 2 AS STRING) END AS next_page",
         "CASE WHEN page_id % 7 = 3 AND page_id % 10 < 9 THEN "
-        "concat('https://api.example.edu/students?page=', CAST(page_id % 10 + 2 AS STRING)) END AS next_url",
+        "concat(url, '?cursor=x&page=', CAST(page_id % 10 + 2 AS STRING)) END AS next_url",
     )
 
 
@@ -267,24 +276,26 @@ def page_chain_audit(spark, sf_dir):
     return PG.chain_violations(_page_chain(spark, sf_dir))
 
 
+# The last part of the page's address stands in each name.
+SLUG_SQL = "right(regexp_extract(url, '([^/]*)/?$', 1), 40)"
 FILE_NAME_SQL = (
     "CASE page_id % 10 "
-    "WHEN 0 THEN '../bad path/students final.csv' "
-    "WHEN 1 THEN concat('Roster ', CAST(page_id AS STRING), '.XLSX') "
-    "WHEN 2 THEN concat('scan-', CAST(page_id AS STRING), '.pdf') "
-    "WHEN 3 THEN concat('photo_', CAST(page_id AS STRING), '.JPG') "
-    "WHEN 4 THEN concat('notes ', CAST(page_id AS STRING), '.docx') "
-    "WHEN 5 THEN concat('export_', CAST(page_id AS STRING), '.txt') "
-    "WHEN 6 THEN concat('C:\\\\Users\\\\staff\\\\roster ', CAST(page_id AS STRING), '.CSV') "
-    "WHEN 7 THEN '...---' "
-    "WHEN 8 THEN concat('__students__', CAST(page_id AS STRING), '.csv.') "
-    "ELSE concat('dir/sub/', 'na\\u00efve ', CAST(page_id AS STRING), '.csv') END"
+    "WHEN 0 THEN concat('../bad path/students ', slug, ' final.csv') "
+    "WHEN 1 THEN concat('Roster ', slug, '.XLSX') "
+    "WHEN 2 THEN concat('scan-', slug, '.pdf') "
+    "WHEN 3 THEN concat('photo_', slug, '.JPG') "
+    "WHEN 4 THEN concat('notes ', slug, '.docx') "
+    "WHEN 5 THEN concat('export_', slug, '.txt') "
+    "WHEN 6 THEN concat('C:\\\\Users\\\\staff\\\\roster ', slug, '.CSV') "
+    "WHEN 7 THEN if(page_id % 20 = 7, '...---', concat(slug, '...---')) "
+    "WHEN 8 THEN concat('__students__', slug, '.csv.') "
+    "ELSE concat('dir/sub/', 'na\\u00efve ', slug, '.csv') END"
 )
 
 
 @query
 def file_triage(spark, sf_dir):
-    p = X.table(spark, sf_dir, "pages").selectExpr("page_id", f"{FILE_NAME_SQL} AS candidate")
+    p = X.table(spark, sf_dir, "pages").selectExpr("page_id", f"{SLUG_SQL} AS slug").selectExpr("page_id", f"{FILE_NAME_SQL} AS candidate")
     t = LD.upload_triage(
         p, name="candidate", now_sql=X.AS_OF_SQL, unique_id_sql="concat('p', CAST(page_id AS STRING))"
     )
@@ -293,16 +304,10 @@ def file_triage(spark, sf_dir):
     )
 
 
-@query
-def landing_scan(spark, sf_dir):
-    return LD.list_objects(spark, sf_dir, glob="*.parquet").selectExpr(
-        "name", "size", f"{LD.is_csv_sql('name')} AS eligible"
-    )
-
-
 # ---------------------------------------------------------------- O3
 def _merged(spark, sf_dir):
-    new_target, _ = U.sequential_upsert(_target(spark, sf_dir), _incoming(spark, sf_dir), as_of=X.as_of())
+    few = ("student_id", "updated_at", "school_id", "enrollment_status")
+    new_target, _ = U.sequential_upsert(_target(spark, sf_dir, payload=few), _incoming(spark, sf_dir), as_of=X.as_of(), payload=few)
     return new_target
 
 

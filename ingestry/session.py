@@ -1,18 +1,10 @@
-"""Session defaults and shared-folder helpers.
-
-The library never invents machine-local scratch space on a cluster: lineage is
-cut by ``checkpoint()`` or by written tables under the folder the cluster names in
-``spark.checkpoint.dir``. Only when that setting is absent (local tests) do we
-fall back to a fresh temporary folder.
-"""
+"""Session defaults: the runtime settings that the operators assume."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-# Settings every query relies on. The reference reasons in UTC throughout.
+# Settings every query relies on; all times are UTC.
 SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -30,21 +22,6 @@ def ensure_session(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temp folder only when unset (tests)."""
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current.rstrip("/")
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None
-    )
-    if not configured:
-        configured = tempfile.mkdtemp(prefix="ingestry-ckpt-")
-    sc.setCheckpointDir(configured)
-    return (sc.getCheckpointDir() or configured).rstrip("/")
-
-
 def build_local_session(app: str = "ingestry", cores: int = 8, partitions: int = 8) -> SparkSession:
     """Local session used by tests and the bench (never by library code on a cluster)."""
     spark = (
@@ -60,15 +37,3 @@ def build_local_session(app: str = "ingestry", cores: int = 8, partitions: int =
     )
     spark.sparkContext.setLogLevel("ERROR")
     return ensure_session(spark)
-
-
-def widen(df):
-    """Spread a scan narrower than the cluster (few small files / one row group)
-    over all cores before CPU-heavy per-row work. A no-op at scale, where the
-    scan already has more partitions than cores; never narrows."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        narrow = df.rdd.getNumPartitions() < target
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect: leave the plan as it is
-        return df
-    return df.repartition(target) if narrow else df

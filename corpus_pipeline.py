@@ -4,7 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last
 columns of documents. Between stages the rows are written to the shared folder and reread.
 
 A null text is rejected by the first stage like an empty one. Extra columns of documents,
-whatever their names, pass through all but the last stage.
+whatever their names, pass through all but the last stage. Stages that drop documents tell
+them apart by id and text, so rows without an id are judged by their own text; of rows that
+repeat both, the near-duplicate stage keeps one. Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -26,22 +28,40 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.dedup(docs).filter(F.length("text") > 0)
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Each row whole, and its key: 128 bits of its id and text."""
+    key = F.struct(F.xxhash64("doc_id", "text").alias("a"), F.xxhash64(F.lit(1), "doc_id", "text").alias("b"))
+    return docs.select(F.struct("*").alias("_row"), key.alias("_key"))
+
+
+def _unkeyed(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    return rows.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document of the smallest id stays."""
-    found = simhash.near_duplicates(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
-    kept = found.filter("doc_id <=> component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"))
-    rows = rows.join(kept, rows["_id"].eqNullSafe(kept["_kept"]), "left_semi")
-    return rows.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+    rows = _keyed(docs)
+    # smallest first: rows with an id, by id, then by key
+    order = F.struct(F.col("_row.doc_id").isNull().alias("n"), F.col("_row.doc_id").alias("id"), "_key")
+    found = simhash.near_duplicates(
+        rows.select(order.alias("place"), F.col("_row.text").alias("text")),
+        shingle=simhash.SHINGLE,
+        max_bits=simhash.MAX_BITS,
+        id_col="place",
+    )
+    kept = found.select(F.col("component_id._key").alias("_key")).distinct()
+    return _unkeyed(rows.join(kept, "_key", "left_semi").dropDuplicates(["_key"]), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
-    found = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    bad = found.select(F.col("doc_id").alias("_bad")).distinct()
-    rows = docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_id"))
-    rows = rows.join(bad, rows["_id"].eqNullSafe(bad["_bad"]), "left_anti")
-    return rows.select(*(F.col("_row")[c].alias(c) for c in docs.columns))
+    rows = _keyed(docs)
+    found = decontaminate.contaminated(
+        rows.select("_key", F.col("_row.text").alias("text")),
+        spark.read.parquet(f"{sf_dir}/benchmark.parquet"),
+        id_col="_key",
+    )
+    return _unkeyed(rows.join(found.select("_key").distinct(), "_key", "left_anti"), docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

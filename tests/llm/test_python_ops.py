@@ -288,6 +288,20 @@ def test_pipeline(spark, tmp_path):
         stage(spark, odd(spark), str(tmp_path)).count()
 
 
+def test_pipeline_rows_without_ids_and_repeated_rows(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    leak, clean, other = (line(rng, 60) for _ in range(3))
+    spark.createDataFrame([(1, leak)], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    rows = [(None, clean), (None, f"{other} {leak}"), (None, other), (7, clean), (7, clean), (8, other), (8, line(rng, 70))]
+    docs = frame(spark, rows)
+    kept = corpus_pipeline.decontamination(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted((str(k), t) for k, t in rows if leak not in t)
+    kept = corpus_pipeline.near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert sorted((str(r.doc_id), r.text) for r in kept) == sorted([("7", clean), ("8", other), ("None", rows[1][1]), ("8", rows[6][1])])
+
+
 @pytest.mark.parametrize("name", [f"op{k}" for k in range(1, 11)] + ["pipeline"])
 def test_registered(name):
     import __spark_entry__

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Bytes 09-0D and 20 separate words; everything else is part of one. Listed singly:
@@ -44,3 +44,13 @@ def settled(df: DataFrame) -> DataFrame:
     """The same rows, as generated columns: the optimizer doesn't push filters on them into
     the expressions below, which it would copy once per reference."""
     return df.select(F.inline(F.array(F.struct(*df.columns))))
+
+
+def chosen(rows: DataFrame, total: int, wanted: int, *cols: str | Column) -> DataFrame:
+    """About ``wanted`` of ``total`` rows (all, if there are no more), the same ones every
+    time: those whose hash is small. Each task decides alone, so nothing is ranked or sent
+    anywhere to be cut."""
+    if total <= wanted:
+        return rows
+    span = 1 << 40
+    return rows.filter(F.pmod(F.xxhash64(F.lit(wanted), *cols), F.lit(span)) < int(span * wanted / total))

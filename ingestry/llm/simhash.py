@@ -1,7 +1,7 @@
 """Operator 1, SimHash near-dedup: vantage-point tree over fingerprints.
 
 1. Every text's 64-bit fingerprint, in Arrow batches; equal fingerprints are one point.
-2. A vantage-point tree, fitted on at most ``SAMPLE`` points, splits the space into leaves:
+2. A vantage-point tree, fitted on about ``SAMPLE`` points, splits the space into leaves:
    a point within a node's radius goes inside, others outside. By the triangle inequality a
    pair at most ``max_bits`` apart can only be separated where the outer point lies less
    than max_bits beyond the radius; those points also visit the inner side, and a visitor
@@ -25,13 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingestry.llm.common import stage
+from ingestry.llm.common import chosen, stage
 from ingestry.llm.components import components
 
 SHINGLE = 3
 MAX_BITS = 3
 SEED = 42
-SAMPLE = 32_768  # points that fit the tree; bounds what the driver gets
+SAMPLE = 32_768  # points, about, that fit the tree; all that the driver gets
 LEAF = 16_384  # points a leaf is meant to hold: fewer levels, so fewer visitors
 BLOCK = 65_536  # points or visitors a task compares with as many
 ROUTE_ROWS = 100_000
@@ -190,8 +190,9 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS, leaf: int = LEAF, block: int
 
     spark = fps.sparkSession
     total = fps.count()
-    sample = fps.orderBy(F.xxhash64("fp"), "fp").limit(SAMPLE).collect()
-    points = np.array([r["fp"] for r in sample], dtype=np.int64).view(np.uint64)
+    # About SAMPLE points, whatever the input's size.
+    sample = [r["fp"] for r in chosen(fps, total, SAMPLE, "fp").collect()]
+    points = np.array(sorted(sample), dtype=np.int64).view(np.uint64)
     nodes = fit_tree(points, total, leaf)
 
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,6 +1,6 @@
 """Operator 3, toxicity: gradient-boosted trees over dense features, isotonic calibration.
 
-Labels are learned from at most ``TRAIN_ROWS`` labelled documents outside the held-out fifth
+Labels are learned from about ``TRAIN_ROWS`` labelled documents outside the held-out fifth
 (crc32 of the id as text, mod 5). Three of the remaining four parts teach the lexicon (words
 and word beginnings that mark toxic documents, by smoothed log odds) and the trees; the
 fourth calibrates the margin by isotonic regression. Features are densities of lexicon words
@@ -27,9 +27,9 @@ from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestry.llm.common import stage
+from ingestry.llm.common import chosen, stage
 
-TRAIN_ROWS = 20_000  # labelled documents that lexicon, trees and calibration see at most
+TRAIN_ROWS = 20_000  # labelled documents, about, that lexicon, trees and calibration see
 LEXICON_TERMS = 4_000
 MIN_TOXIC = 3  # toxic documents that a lexicon term must occur in
 MIN_LOG_ODDS = 1.5
@@ -222,8 +222,9 @@ def score(
     rows = docs.select(F.col(id_col).alias("_id"), held.alias("_held"), F.col(text_col).alias("text"))
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).dropna()
     known = known.groupBy("_id").agg(F.max("label").alias("label")).withColumn("part", _bucket("_id"))
-    known = known.filter("part != 0").orderBy(F.xxhash64("_id"), "_id").limit(train_rows)
-    # At most train_rows rows of three numbers are broadcast.
+    known = known.filter("part != 0")
+    known = chosen(known, known.count(), train_rows, "_id")
+    # About train_rows rows of three numbers are broadcast.
     chosen = stage(rows.join(F.broadcast(known), "_id").select("_id", "text", "label", "part"), "labelled")
     tally = {(r["fit"], r["label"]): r["n"] for r in chosen.groupBy((F.col("part") != 1).alias("fit"), "label").agg(F.count("*").alias("n")).collect()}
     if len(tally) < 4:  # a part lacks one of the two labels

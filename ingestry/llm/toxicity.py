@@ -225,14 +225,14 @@ def score(
     known = known.filter("part != 0")
     known = chosen(known, known.count(), train_rows, "_id")
     # About train_rows rows of three numbers are broadcast.
-    chosen = stage(rows.join(F.broadcast(known), "_id").select("_id", "text", "label", "part"), "labelled")
-    tally = {(r["fit"], r["label"]): r["n"] for r in chosen.groupBy((F.col("part") != 1).alias("fit"), "label").agg(F.count("*").alias("n")).collect()}
+    labelled = stage(rows.join(F.broadcast(known), "_id").select("_id", "text", "label", "part"), "labelled")
+    tally = {(r["fit"], r["label"]): r["n"] for r in labelled.groupBy((F.col("part") != 1).alias("fit"), "label").agg(F.count("*").alias("n")).collect()}
     if len(tally) < 4:  # a part lacks one of the two labels
         share = (sum(n for (_, y), n in tally.items() if y) + 0.5) / (sum(tally.values()) + 1) if tally else 0.0
         return _scored(rows.select("_id", "_held", F.lit(float(share)).alias("score")), id_col)
-    terms = lexicon(chosen.filter("part != 1"))
+    terms = lexicon(labelled.filter("part != 1"))
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    known = vectors.transform(stage(with_features(chosen, terms), "features"))
+    known = vectors.transform(stage(with_features(labelled, terms), "features"))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7, cacheNodeIds=False).fit(known.filter("part != 1"))
     margin = vector_to_array("rawPrediction")[1].alias("margin")
     held_back = trees.transform(known.filter("part = 1")).select("label", margin)

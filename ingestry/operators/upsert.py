@@ -3,9 +3,11 @@
 J1  one batch against the stored table: full outer join on the key, both sides
     unique per key (incoming reduced by W3 first), so the join is skew-free.
 W4  a whole run at once with the counts a chunk-by-chunk merge would give. The
-    running max per key over earlier chunks is computed in two levels: inside
-    blocks of BLOCK_CHUNKS chunks, then across per-block maxima, so a hot key is
-    spread over (key, block) partitions instead of one task.
+    running max per key over earlier chunks is computed in three levels: inside
+    blocks of BLOCK_CHUNKS chunks of a file, across the blocks of BLOCK_FILES
+    files, and across those groups of files. So a hot key is spread over (key,
+    block) and (key, group) partitions, and a window by key alone sees one row
+    per group of files.
 A5  outcome counts.
 """
 
@@ -24,6 +26,7 @@ UPDATED = "updated"
 SKIPPED = "skipped"
 
 BLOCK_CHUNKS = 64
+BLOCK_FILES = 256
 WRITTEN = ("ingested_at", "last_written_at")
 PAYLOAD = tuple(c for c in S.TARGET_COLUMNS if c not in WRITTEN)
 
@@ -107,12 +110,14 @@ def sequential_actions(
     key: str = "student_id",
     seq: Sequence[str] = (S.FILE_ORDINAL, S.CHUNK_INDEX),
     block_chunks: int = BLOCK_CHUNKS,
+    block_files: int = BLOCK_FILES,
 ) -> DataFrame:
     """Classify each chunk survivor as if chunks were merged one by one.
 
     prev = greatest(stored updated_at, max updated_at of the key in earlier chunks)
     inserted if prev is null, updated if updated_at > prev, else skipped.
-    `survivors` hold at most one row per (key, seq) (after W1).
+    `survivors` hold at most one row per (key, seq) (after W1); `seq` names the ordinals of
+    file and chunk.
     """
     major, minor = seq
     blk = F.floor(F.col(minor) / block_chunks).cast("bigint")
@@ -121,13 +126,21 @@ def sequential_actions(
     in_block = Window.partitionBy(*part).orderBy(minor).rowsBetween(Window.unboundedPreceding, -1)
     s = s.withColumn("_prev_in_block", F.max("updated_at").over(in_block))
 
-    per_block = s.groupBy(*part).agg(F.max("updated_at").alias("_bmax"))
-    across = Window.partitionBy(key).orderBy(major, "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    group = F.expr(f"`{major}` div {block_files}").alias("_group")
+    per_block = s.groupBy(*part, group).agg(F.max("updated_at").alias("_bmax"))
+    in_group = Window.partitionBy(key, "_group").orderBy(major, "_blk").rowsBetween(Window.unboundedPreceding, -1)
+    per_group = per_block.groupBy(key, "_group").agg(F.max("_bmax").alias("_gmax"))
+    across = Window.partitionBy(key).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
     stored = target.select(key, F.col("updated_at").alias("_stored"))
-    per_block = (
-        per_block.withColumn("_before", F.max("_bmax").over(across))
+    per_group = (
+        per_group.withColumn("_earlier", F.max("_gmax").over(across))
         .join(stored, key, "left")
-        .select(*part, F.greatest("_stored", "_before").alias("_base"))
+        .select(key, "_group", F.greatest("_stored", "_earlier").alias("_ground"))
+    )
+    per_block = (
+        per_block.withColumn("_before", F.max("_bmax").over(in_group))
+        .join(per_group, [key, "_group"])
+        .select(*part, F.greatest("_ground", "_before").alias("_base"))
     )
     prev = F.greatest(F.col("_base"), F.col("_prev_in_block"))
     return (

@@ -131,6 +131,19 @@ def _staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def _numbered(df: DataFrame, by: str, name: str, path: str) -> DataFrame:
+    """`df`, staged, with ordinals from 1 in the order of `by`: sorted by ranges, numbered in
+    each task, and moved on by the sizes of the ranges before, one row for each of them."""
+    at, bits = "_at", 33  # monotonically_increasing_id keeps a task's own count in its low bits
+    placed = df.repartitionByRange(by).sortWithinPartitions(by).withColumn(at, F.monotonically_increasing_id())
+    placed = _staged(placed, path).withColumn("_range", F.shiftright(at, bits))
+    before = placed.groupBy("_range").agg(F.count("*").alias("_n")).selectExpr(
+        "_range", "coalesce(sum(_n) OVER (ORDER BY _range ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before"
+    )
+    own = f"_before + ({at} & {(1 << bits) - 1}) + 1 AS `{name}`"
+    return placed.join(before, "_range").selectExpr(*[f"`{c}`" for c in df.columns], own)
+
+
 def _event(run: DataFrame, phase: int, status: str, as_of_sql: str, correlation: str, **values: str) -> DataFrame:
     """Ledger events for claimed runs; `values` override a column's SQL."""
     sql = {
@@ -167,7 +180,7 @@ def _commit(store: StateStore, batch: core.Batch, runs: DataFrame, stage: str, *
     Q.write(batch.quarantine.join(runs, "source_object"), f"{store.root}/quarantine", run_id_col="run", correlation_id=correlation)
     # Chunk after chunk within a file, file after file by name.
     new_target, actions = U.sequential_upsert(
-        store.target(), batch.students, as_of=F.expr(as_of_sql), seq=(S.SOURCE_OBJECT, S.CHUNK_INDEX)
+        store.target(), batch.students, as_of=F.expr(as_of_sql), seq=(S.FILE_ORDINAL, S.CHUNK_INDEX)
     )
     actions = _staged(actions.select("student_id", S.SOURCE_OBJECT, S.CHUNK_INDEX, "updated_at", "action"), f"{stage}/actions")
     if actions.filter(F.col("action") != U.SKIPPED).limit(1).count():
@@ -263,8 +276,8 @@ def ingest_files(
         f"CASE WHEN _error IS NULL THEN CASE WHEN {lost} IS NULL THEN _rows ELSE 0 END "
         f"ELSE floor(_usable / {chunk_size}) * {chunk_size} END AS usable",
     )
-    files = _staged(files, f"{stage}/files")
-    data = data.join(files.selectExpr("path", f"name AS {S.SOURCE_OBJECT}", "resume_from", "usable"), "path")
+    files = _numbered(files, "name", S.FILE_ORDINAL, f"{stage}/files")
+    data = data.join(files.selectExpr("path", f"name AS {S.SOURCE_OBJECT}", S.FILE_ORDINAL, "resume_from", "usable"), "path")
     data = CSV.assign_chunks(CSV.with_fields(data.filter(f"{S.ROW_ORDINAL} <= usable")), chunk_size=chunk_size)
     data = data.filter(f"{S.CHUNK_INDEX} > resume_from").drop("path", "resume_from", "usable")
     batch = core.Batch(
@@ -364,9 +377,8 @@ def _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql,
     # The only read of the page bodies: numbers, links and records, as JSON text.
     raw = spark.read.option("wholetext", "true").text(pages_root).selectExpr("value AS body", "_metadata.file_name AS page_file")
     pages = _staged(PG.staged_pages(raw), f"{stage}/pages")
-    # One small row per page of this pull.
-    order = pages.selectExpr("page_file", "coalesce(page, row_number() OVER (ORDER BY page_file)) AS page_no")
-    pages = pages.join(order, "page_file")
+    order = _numbered(pages.select("page_file", "page"), "page_file", "nth", f"{stage}/page_order")
+    pages = pages.join(order.selectExpr("page_file", "coalesce(page, nth) AS page_no"), "page_file")
     problems = _staged(
         PG.chain_violations(pages.selectExpr("0 AS run_id", "page_no AS page", "next_page", "next_url"))
         .unionByName(pages.filter("records IS NULL").selectExpr("0 AS run_id", "page_no AS page", "'no_record_list' AS problem")),
@@ -380,6 +392,7 @@ def _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql,
         "*", "parse_json(_payload) AS item"
     ).selectExpr(
         f"{sql_str(source_object)} AS {S.SOURCE_OBJECT}",
+        f"CAST(0 AS BIGINT) AS {S.FILE_ORDINAL}",
         f"CAST(page_no AS BIGINT) AS {S.CHUNK_INDEX}",
         f"CAST(item_pos + 1 AS BIGINT) AS {S.ROW_ORDINAL}",
         f"false AS {S.IS_CSV}",

@@ -49,8 +49,8 @@ def test_sequential_actions_match_fold(spark):
     base = dt.datetime(2026, 7, 30)
     target = [(f"k{i}", base + dt.timedelta(hours=rng.randrange(5))) for i in range(0, 8, 2)]
     surv = []
-    for f in range(3):
-        for c in range(1, 90):
+    for f in range(9):
+        for c in range(1, 40):
             for k in rng.sample(range(8), 3):
                 surv.append((f, c, f"k{k}", base + dt.timedelta(hours=rng.randrange(8))))
     stored = dict(target)
@@ -65,7 +65,7 @@ def test_sequential_actions_match_fold(spark):
     tdf = spark.createDataFrame(target, schema)
     sdf = spark.createDataFrame(surv, f"{S.FILE_ORDINAL} long, {S.CHUNK_INDEX} long, student_id string, updated_at timestamp")
     got = {(r[S.FILE_ORDINAL], r[S.CHUNK_INDEX], r.student_id): r.action
-           for r in U.sequential_actions(tdf, sdf, block_chunks=8).collect()}
+           for r in U.sequential_actions(tdf, sdf, block_chunks=8, block_files=2).collect()}
     assert got == expect
 
 

@@ -256,3 +256,17 @@ def test_missed_runs_without_logs_and_after_the_last(spark):
     logs = spark.createDataFrame([(dt.datetime(2031, 5, 1, 20, 10), '{"event": "done"}', "trace")], schema)
     ends = sorted(str(r.window_end)[5:13] for r in missed_runs(logs, **kw).collect())
     assert ends == [f"05-01 {h}" for h in range(13, 21)] + ["05-01 23", "05-02 00"]
+
+
+def test_numbers_run_through_all_ranges(spark, tmp_path):
+    names = [f"f{n:04}" for n in range(700)]
+    df = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = jobs._numbered(df, "name", "nth", str(tmp_path / "n"))
+        assert len({r.name: r.nth for r in got.collect()}) == 700
+        assert [r.name for r in got.orderBy("nth").collect()] == names
+        assert got.selectExpr("min(nth)", "max(nth)", "count(DISTINCT nth)").first() == (1, 700, 700)
+        assert jobs._numbered(df.limit(0), "name", "nth", str(tmp_path / "none")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")

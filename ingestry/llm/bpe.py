@@ -1,7 +1,7 @@
 """Operator 6, byte-level BPE encoding and decoding: two-tier lookup.
 
 Tier one: a minimal perfect hash over the vocabulary resolves every pre-token that is a
-vocabulary entry itself, a whole batch at once. Tier two: a pre-token that isn't is merged
+vocabulary entry itself. Tier two: a pre-token that isn't is merged
 from its bytes with a heap of candidate pairs over a linked list, so a run of n bytes takes
 n log n steps. The vocabulary file is read on the driver and broadcast (its size is fixed by
 the file, about 2 MB); texts are split by Spark's partitions and encoded in Arrow batches.
@@ -14,74 +14,58 @@ of the input are ignored; an empty table gives an empty result.
 from __future__ import annotations
 
 import base64
+from array import array
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh64_intdigest as digest
 
-CACHE_ENTRIES = 300_000  # resolved pre-tokens a task remembers; a full cache is emptied
-BATCH_BYTES = 8_000_000  # input bytes behind one output batch
+CACHE_ENTRIES = 200_000  # resolved pre-tokens a task remembers, and as many older ones
+CACHED_CHARS = 256  # longer pre-tokens are not remembered
+BATCH_CHARS = 4_000_000  # input behind one output batch
 
 
 class MinimalHash:
-    """A minimal perfect hash by hash-and-displace: n keys in n slots."""
+    """A minimal perfect hash by hash-and-displace: n keys in n slots. A bucket's
+    displacement is the seed that spreads its keys over free slots, or, below zero, the slot
+    of its only key."""
 
     def __init__(self, keys: list[bytes]):
-        import numpy as np
-
         n = len(keys)
         self.n, self.m = n, n // 2 + 1
-        hashes = self.hashes(keys)
         buckets: list[list[int]] = [[] for _ in range(self.m)]
-        for k, b in enumerate((hashes % np.uint64(self.m)).tolist()):
-            buckets[b].append(k)
-        self.moves = np.zeros(self.m, dtype=np.int64)
-        slots = [-1] * n
-        order = sorted(range(self.m), key=lambda b: -len(buckets[b]))
+        for k, key in enumerate(keys):
+            buckets[digest(key) % self.m].append(k)
+        self.moves = [0] * self.m
+        self.keys = [-1] * n  # slot -> index of its key
         free = None
-        for b in order:
+        for b in sorted(range(self.m), key=lambda b: -len(buckets[b])):
             own = buckets[b]
             if len(own) > 1:
                 move = 1
                 while True:
-                    at = self.slots(hashes[own], np.full(len(own), move)).tolist()
-                    if len(set(at)) == len(at) and all(slots[s] < 0 for s in at):
+                    at = {digest(keys[k], move) % n for k in own}
+                    if len(at) == len(own) and all(self.keys[s] < 0 for s in at):
                         break
                     move += 1
                 self.moves[b] = move
-                for k, s in zip(own, at):
-                    slots[s] = k
+                for k in own:
+                    self.keys[digest(keys[k], move) % n] = k
             elif own:
                 if free is None:
-                    free = iter([s for s in range(n) if slots[s] < 0])
+                    free = iter([s for s in range(n) if self.keys[s] < 0])
                 s = next(free)
                 self.moves[b] = -s - 1
-                slots[s] = own[0]
-        self.keys = np.array(slots, dtype=np.int64)  # slot -> index of its key
-
-    @staticmethod
-    def hashes(keys: list[bytes]):
-        import numpy as np
-        import xxhash
-
-        return np.array([xxhash.xxh64_intdigest(k) for k in keys], dtype=np.uint64)
+                self.keys[s] = own[0]
 
-    def slots(self, hashes, moves):
-        import numpy as np
-
-        x = (hashes ^ (moves.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))) * np.uint64(0xBF58476D1CE4E5B9)
-        x ^= x >> np.uint64(29)
-        return ((x * np.uint64(0x94D049BB133111EB)) >> np.uint64(32)) % np.uint64(self.n)
-
-    def find(self, keys: list[bytes]):
-        """For each key the index of the only vocabulary entry that it can be."""
-        import numpy as np
-
-        h = self.hashes(keys)
-        moves = self.moves[h % np.uint64(self.m)]
-        slots = np.where(moves < 0, -moves - 1, self.slots(h, moves).astype(np.int64))
-        return self.keys[slots]
+    def find(self, key: bytes) -> int:
+        """The index of the only vocabulary entry that key can be."""
+        move = self.moves[digest(key) % self.m]
+        return self.keys[-move - 1 if move < 0 else digest(key, move) % self.n]
 
 
 class Vocabulary:
@@ -100,101 +84,117 @@ class Vocabulary:
             self._ranks = dict(zip(self.tokens, self.ids))
         return self._ranks
 
-    def words(self) -> dict[int, bytes]:
-        if not hasattr(self, "_words"):
-            self._words = dict(zip(self.ids, self.tokens))
-        return self._words
-
-    def resolve(self, pretokens: list[bytes]) -> list[tuple[int, ...]]:
-        """Ids of each pre-token: the perfect hash first, merging for the rest."""
-        if not pretokens:
-            return []
-        ranks = self.ranks()
-        return [
-            (self.ids[k],) if self.tokens[k] == t else merged(t, ranks)
-            for t, k in zip(pretokens, self.hash.find(pretokens).tolist())
-        ]
-
-
-def merged(text: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
+    def by_id(self) -> pa.Array:
+        """The bytes of every id, null where no token has it."""
+        words: list[bytes | None] = [None] * (max(self.ids, default=-1) + 1)
+        for k, token in zip(self.ids, self.tokens):
+            words[k] = token
+        return pa.array(words, type=pa.binary())
+
+    def resolve(self, pretoken: str) -> bytes:
+        """Ids of a pre-token, as packed 32-bit integers: the perfect hash first, merging
+        for the rest."""
+        text = pretoken.encode()
+        k = self.hash.find(text)
+        found = self.ids[k : k + 1] if self.tokens[k] == text else merged(text, self.ranks())
+        return array("i", found).tobytes()
+
+
+class Resolved(dict):
+    """pre-token -> packed ids, resolved when first asked for. When full, the entries become
+    the older half, and those asked for again return from there."""
+
+    def __init__(self, resolve, limit: int = CACHE_ENTRIES):
+        self.resolve, self.limit, self.older = resolve, limit, {}
+
+    def __missing__(self, pretoken: str) -> bytes:
+        if len(self) >= self.limit:
+            self.older = self.copy()
+            self.clear()
+        found = self.older.get(pretoken)
+        if found is None:
+            found = self.resolve(pretoken)
+        if len(pretoken) <= CACHED_CHARS:
+            self[pretoken] = found
+        return found
+
+
+def merged(text: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Byte-pair merges by rank, leftmost first, with a heap over linked segments.
 
-    Segment i is text[i:end[i]]; a swallowed one has end 0."""
-    import heapq
-
+    Segment i is text[i:end[i]]; now[i] is the rank of it joined with the next one. A heap
+    entry holds a rank above a place and is stale if now[i] has another rank."""
     n = len(text)
+    bits = n.bit_length()
+    low = (1 << bits) - 1
+    get = ranks.get
     end = list(range(1, n + 1))
     before = list(range(-1, n))
-    heap = []
-    for i in range(n - 1):
-        rank = ranks.get(text[i : i + 2])
-        if rank is not None:
-            heap.append((rank, i, i + 2))
-    heapq.heapify(heap)
-    pop, push, get = heapq.heappop, heapq.heappush, ranks.get
+    now = [get(text[i : i + 2]) for i in range(n - 1)]
+    now.append(None)
+    heap = [rank << bits | i for i, rank in enumerate(now) if rank is not None]
+    heapify(heap)
     while heap:
-        _, i, stop = pop(heap)
+        x = heappop(heap)
+        i = x & low
+        if now[i] != x >> bits:
+            continue
         middle = end[i]
-        if not middle or middle >= stop or end[middle] != stop:
-            continue  # a segment of this pair has changed since
-        end[i], end[middle] = stop, 0
+        end[i] = stop = end[middle]
+        now[middle] = None
         if stop < n:
             before[stop] = i
-            rank = get(text[i : end[stop]])
+            now[i] = rank = get(text[i : end[stop]])
             if rank is not None:
-                push(heap, (rank, i, end[stop]))
+                heappush(heap, rank << bits | i)
+        else:
+            now[i] = None
         j = before[i]
         if j >= 0:
-            rank = get(text[j:stop])
+            now[j] = rank = get(text[j:stop])
             if rank is not None:
-                push(heap, (rank, j, stop))
+                heappush(heap, rank << bits | j)
     out, i = [], 0
     while i < n:
         out.append(ranks[text[i : end[i]]])
         i = end[i]
-    return tuple(out)
+    return out
 
 
 def _coder(vocabulary):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from itertools import chain
-
+        import numpy as np
         import regex
 
         vocab = vocabulary.value
         split = regex.compile(vocab.pattern).findall
-        word = vocab.words().__getitem__
-        cache: dict[str, tuple[int, ...]] = {}
-
-        def packed(ids, coded, decoded):
+        ids_of = Resolved(vocab.resolve).__getitem__
+        words = vocab.by_id()
+
+        def packed(docs, coded):
+            ids = pa.Array.from_buffers(pa.int32(), sum(map(len, coded)) // 4, [None, pa.py_buffer(b"".join(coded))])
+            ends = np.concatenate([[0], np.cumsum([len(c) // 4 for c in coded])]).astype(np.int32)
+            # The words of all ids, one after the other: a text ends where its last word does.
+            told = words.take(ids)
+            at = np.concatenate([[0], np.cumsum(pc.binary_length(told).to_numpy())])[ends].astype(np.int32)
+            texts = pa.Array.from_buffers(pa.binary(), len(docs), [None, pa.py_buffer(at), told.buffers()[2] or pa.py_buffer(b"")])
             return pa.RecordBatch.from_arrays(
-                [
-                    pa.array(ids, type=id_type),
-                    pa.array(coded, type=pa.list_(pa.int32())),
-                    pa.array(decoded, type=pa.binary()),
-                ],
-                names=["_id", "ids", "decoded"],
+                [pa.array(docs, type=id_type), pa.ListArray.from_arrays(pa.array(ends), ids), texts], names=["_id", "ids", "decoded"]
             )
 
         for batch in batches:
             id_type = batch.column(0).type
-            ids, coded, decoded, size = [], [], [], 0
+            docs, coded, size = [], [], 0
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                pieces = split(text.as_py() or "")
-                if len(cache) > CACHE_ENTRIES:
-                    cache.clear()
-                new = list({p for p in pieces if p not in cache})
-                cache.update(zip(new, vocab.resolve([p.encode() for p in new])))
-                tokens = list(chain.from_iterable(map(cache.__getitem__, pieces)))
-                ids.append(doc)
-                coded.append(pa.array(tokens, type=pa.int32()).to_numpy())
-                decoded.append(b"".join(map(word, tokens)))
-                size += len(decoded[-1])
-                if size > BATCH_BYTES:
-                    yield packed(ids, coded, decoded)
-                    ids, coded, decoded, size = [], [], [], 0
-            if ids:
-                yield packed(ids, coded, decoded)
+                text = text.as_py() or ""
+                docs.append(doc)
+                coded.append(b"".join(map(ids_of, split(text))))
+                size += len(text)
+                if size > BATCH_CHARS:
+                    yield packed(docs, coded)
+                    docs, coded, size = [], [], 0
+            if docs:
+                yield packed(docs, coded)
 
     return run
 
@@ -219,7 +219,7 @@ def decode(coded: DataFrame, path: str, pattern: str, id_col: str = "doc_id", id
     vocabulary = coded.sparkSession.sparkContext.broadcast(Vocabulary(path, pattern))
 
     def run(batches):
-        word = vocabulary.value.words().__getitem__
+        word = vocabulary.value.by_id().to_pylist().__getitem__
         for batch in batches:
             texts = [None if x is None else b"".join(map(word, x)) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, type=pa.binary())], names=["_id", "decoded"])

@@ -167,8 +167,16 @@ def test_bpe(spark):
 def test_minimal_hash_is_minimal_and_perfect():
     keys = [str(k).encode() for k in range(5000)] + [b""]
     found = bpe.MinimalHash(keys)
-    assert sorted(found.keys.tolist()) == list(range(len(keys)))
-    assert found.find(keys).tolist() == list(range(len(keys)))
+    assert sorted(found.keys) == list(range(len(keys)))
+    assert [found.find(k) for k in keys] == list(range(len(keys)))
+
+
+def test_resolved_pretokens_come_back_from_the_older_half():
+    asked = []
+    ids = bpe.Resolved(lambda t: asked.append(t) or t.encode(), limit=3)
+    words = ["a", "b", "c", "d", "a", "x" * 1000, "x" * 1000, "e", "f", "a"]
+    assert [ids[w] for w in words] == [w.encode() for w in words]
+    assert asked == ["a", "b", "c", "d", "x" * 1000, "x" * 1000, "e", "f"] and len(ids) <= 3
 
 
 def bench_items(rng, n=30):

@@ -12,9 +12,13 @@ and a pseudonym is as valid as the original:
 * US social security numbers: the 898 x 99 x 9999 valid ones
 * IBANs: letters and digits of the account part; new check digits
 * phone numbers: the digits after the country code, layout kept
-* e-mail addresses, access keys and password=... values: letters and digits, each within its
+* e-mail addresses, access keys and the values of secrets: letters and digits, each within its
   own class
 
+A secret is what stands after password, passwd, secret or token in any case (also at the end
+of a longer name, as in API_TOKEN) and = or :, with or without blanks and quotes: at least 8
+characters. Name, sign and quotes stay.
+
 Equal numbers link across layouts (4111-1111... and 4111 1111...), dates across year-first
 and day-first notations,
 e-mail addresses across case. ``reverse=True`` restores the originals. One projection per
@@ -38,6 +42,9 @@ FIRST_DAY, LAST_DAY = "1800-01-01", "2199-12-31"
 
 _B, _E = "(?<![0-9A-Za-z])", "(?![0-9A-Za-z])"
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+# What stands before a secret; quotes and tabs are written so that SQL text can hold them.
+_QUOTE, _BLANK = r"[\u0022\u0027\u0060]", r"[ \u0009]{0,8}"
+NAMED = f"(?i:password|passwd|secret|token){_QUOTE}?{_BLANK}[=:]{_BLANK}{_QUOTE}?"
 # Kind and pattern; the first that matches at a place wins.
 KINDS = (
     ("email", r"(?<![0-9A-Za-z._%+-])[0-9A-Za-z._%+-]+@[0-9A-Za-z-]+(?:[.][0-9A-Za-z-]+)*[.][A-Za-z]{2,24}" + _E),
@@ -49,7 +56,7 @@ KINDS = (
     ("card", _B + "[0-9](?:[ -]?[0-9]){12,18}" + _E),
     ("phone", r"(?<![0-9A-Za-z+])(?:[+][0-9]{1,3}[ .-]?)?(?:[(][0-9]{2,4}[)][ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,3}" + _E),
     ("key", _B + "AKIA[0-9A-Z]{16}" + _E),
-    ("secret", _B + "(?:password|passwd|secret|token)=[0-9A-Za-z]{8,64}" + _E),
+    ("secret", _B + NAMED + "[0-9A-Za-z][0-9A-Za-z_+/.~-]{6,}[0-9A-Za-z]" + _E),
 )
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
 
@@ -198,8 +205,8 @@ def _pseudonym(kind: str, key: str, reverse: bool) -> str:
         return _let(rest, "z", _let(_digits("z"), "x", f"if(length(x) between 7 and 15, {shown}, null)"))
     if kind == "key":
         return f"concat(left(m, 4), {_permute_chars('substr(m, 5)', key, kind, reverse)})"
-    name = "locate('=', m)"
-    return f"concat(left(m, {name}), {_permute_chars(f'substr(m, {name} + 1)', key, kind, reverse)})"
+    name = f"regexp_extract(m, '^{NAMED}', 0)"
+    return f"concat({name}, {_permute_chars(f'substr(m, length({name}) + 1)', key, kind, reverse)})"
 
 
 def pseudonymise(
@@ -214,7 +221,7 @@ def pseudonymise(
         for kind, pattern in _anchored()
     )
     df = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("t"))
-    candidate = F.when(F.col("t").rlike("[0-9@]|password=|passwd=|secret=|token="), F.regexp_extract_all("t", F.lit(ANY), F.lit(0)))
+    candidate = F.when(F.col("t").rlike("(?i)[0-9@]|password|passwd|secret|token"), F.regexp_extract_all("t", F.lit(ANY), F.lit(0)))
     df = df.select("_id", "t", F.coalesce(candidate, F.expr("cast(array() as array<string>)")).alias("ms"))
     df = df.select("_id", "t", "ms", F.expr(f"transform(ms, m -> case {branches} else named_struct('k', cast(null as string), 'v', m) end)").alias("vs"))
     pieces: Column = F.split("t", ANY, -1)

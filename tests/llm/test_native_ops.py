@@ -152,6 +152,23 @@ def test_pii(spark):
     assert pii.pseudonymise(odd(spark)).count() == 6
 
 
+def test_pii_secrets(spark):
+    """The forms of the given documents (double quotes, blanks, capitals) and their relatives."""
+    value = "b44e15e07fa3c9d2"
+    forms = ['token = "{}"', 'TOKEN = "{}"', "Password: '{}'", '{{"secret": "{}"}}', "passwd={}", "API_TOKEN:{}", "secret\t=\t{}.", "token = {}"]
+    rows = [(k, "la " + f.format(value) + " ba") for k, f in enumerate(forms)]
+    rows += [(90, 'TOKEN = "' + "k9-Z_" * 40 + 'q"'), (91, "token = hunterhunter"), (92, "a token of trust, secret: no"), (93, "tokens = 12345678")]
+    out = pii.pseudonymise(frame(spark, rows), key="k1").cache()
+    got = {r.doc_id: r for r in out.collect()}
+    new = re.search('"(.*)"', got[0].text)[1]
+    assert new != value and re.sub("[0-9]", "9", re.sub("[a-z]", "a", new)) == re.sub("[0-9]", "9", re.sub("[a-z]", "a", value))
+    assert [got[k].text for k in range(len(forms))] == ["la " + f.format(new) + " ba" for f in forms]
+    assert all(got[k].kinds == "secret" for k in (*range(len(forms)), 90, 91)) and "k9-Z_" not in got[90].text
+    assert [got[k].text for k in (92, 93)] == [dict(rows)[k] for k in (92, 93)]
+    back = pii.pseudonymise(out, key="k1", reverse=True)
+    assert {r.doc_id: r.text for r in back.collect()} == dict(rows)
+
+
 def test_pii_is_injective(spark):
     values = [f"{y}-{m:02d}-{d:02d}" for y in (1800, 1999, 2199) for m in range(1, 13) for d in range(1, 29)]
     values += [f"10.0.{a}.{b}" for a in range(0, 256, 17) for b in range(0, 256, 5)]

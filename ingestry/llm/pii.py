@@ -19,6 +19,15 @@ A secret is what stands after password, passwd, secret or token in any case (als
 of a longer name, as in API_TOKEN) and = or :, with or without blanks and quotes: at least 8
 characters. Name, sign and quotes stay.
 
+A card may stand beside other numbers (security code, expiry, counter, phone number). Digit
+groups with single blanks or hyphens between them are one run. Valid stretches of its groups
+are cards: first unbroken or equal groups anywhere, from the left; then, where they leave room,
+the longest of equal groups with a shorter last one, or of any layout from where the run, or the
+last 19 digits tried, end. The rest is searched for dates, social security and phone numbers.
+Where a pseudonym would make another stretch of its run the valid one, it is permuted again
+until it does not, so that ``reverse`` finds it. That is rare (a card in groups beside more groups
+of their size, or one in unequal groups), and only there do equal cards get different pseudonyms.
+
 Equal numbers link across layouts (4111-1111... and 4111 1111...), dates across year-first
 and day-first notations,
 e-mail addresses across case. ``reverse=True`` restores the originals. One projection per
@@ -31,7 +40,7 @@ validate is left as it is; a document without values keeps its text byte for byt
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ingestry.llm.common import settled
@@ -53,12 +62,22 @@ KINDS = (
     ("date", _B + "[0-9]{2}(?:/[0-9]{2}/|[.][0-9]{2}[.]|-[0-9]{2}-)[0-9]{4}" + _E),
     ("ssn", _B + "[0-9]{3}-[0-9]{2}-[0-9]{4}" + _E),
     ("iban", _B + "[A-Z]{2}[0-9]{2}(?:[ ]?[0-9A-Z]{4}){2,7}(?:[ ]?[0-9A-Z]{1,3})?" + _E),
-    ("card", _B + "[0-9](?:[ -]?[0-9]){12,18}" + _E),
+    ("card", _B + "(?=(?:[0-9][ -]?){12}[0-9])[0-9]++(?![A-Za-z])(?:[ -][0-9]++(?![A-Za-z]))*+"),
     ("phone", r"(?<![0-9A-Za-z+])(?:[+][0-9]{1,3}[ .-]?)?(?:[(][0-9]{2,4}[)][ .-]?|[0-9]{2,4}[ .-])[0-9]{3,4}(?:[ .-][0-9]{2,4}){1,3}" + _E),
     ("key", _B + "AKIA[0-9A-Z]{16}" + _E),
     ("secret", _B + NAMED + "[0-9A-Za-z][0-9A-Za-z_+/.~-]{6,}[0-9A-Za-z]" + _E),
 )
 ANY = "|".join(f"(?:{p})" for _, p in KINDS)
+# What is looked for beside the cards of a run.
+BESIDE = "|".join(f"(?:{p})" for kind, p in KINDS if kind in ("iso_date", "date", "ssn", "phone"))
+# Layouts of a card beside other numbers: unbroken or in equal groups or as 4-6-4 and 4-6-5; or,
+# where there is none, in equal groups but for a shorter last one.
+EQUAL = "^(?:[0-9]+|" + "|".join(
+    [f"[0-9]{{{n}}}(?:{c}[0-9]{{{n}}})+" for n in range(4, 10) for c in " -"]
+    + [f"[0-9]{{4}}{c}[0-9]{{6}}{c}[0-9]{{4,5}}" for c in " -"]
+) + ")$"
+EVEN = "^(?:" + "|".join(f"[0-9]{{{n}}}(?:{c}[0-9]{{{n}}})*{c}[0-9]{{1,{n}}}" for n in range(4, 10) for c in " -") + ")$"
+WALKS = 64
 
 
 def _let(value: str, name: str, body: str) -> str:
@@ -209,6 +228,59 @@ def _pseudonym(kind: str, key: str, reverse: bool) -> str:
     return f"concat({name}, {_permute_chars(f'substr(m, length({name}) + 1)', key, kind, reverse)})"
 
 
+def _cards(run: str) -> str:
+    """SQL: array<struct<b, n>>, offset and length of each card in a run of digit groups."""
+    some = "trim(trailing ' -' from array_join(slice(g, gi + 1, kk), ''))"
+    made = f"named_struct('kk', kk, 'raw', {some}, 'dg', translate({some}, ' -', ''))"
+    sizes = "least(19, size(g) - gi)"
+    valid = f"cand.dg rlike '[1-9]' and {_luhn('cand.dg')} % 10 = 0"
+    fits = f"if(length(cand.dg) between 13 and 19, if({{0}}, {valid}, false), false)"
+    picked = f"get(filter(transform(sequence({{0}}, 1, -1), kk -> {made}), cand -> {{1}}), 0)"
+    equal = picked.format("least(4, size(g) - gi)", fits.format(f"cand.raw rlike '{EQUAL}'"))
+    equal = f"transform(sequence(0, size(g) - 1), gi -> {equal})"
+    # Where a run is read 19 digits at a time, those are a card in any layout.
+    full = "gi >= st.chop and length(cand.dg) + length(translate(coalesce(get(g, gi + cand.kk), '9999999999'), ' -', '')) > 19"
+    free = "not exists(slice(eq, gi + 1, cand.kk), e -> e is not null)"
+    loose = picked.format(sizes, fits.format(f"(({full}) or cand.raw rlike '{EVEN}') and {free}"))
+    pick = f"coalesce(get(eq, gi), {loose})"
+    tried = f"array_max(filter(sequence(1, {sizes}), kk -> length(translate({some}, ' -', '')) between 13 and 19))"
+    step = (
+        "named_struct('off', st.off + length(get(g, gi)), "
+        "'free', coalesce(gi + pk.kk, st.free), "
+        f"'chop', case when pk.kk is not null then gi + pk.kk when gi < st.chop then st.chop else gi + coalesce({tried}, 1) end, "
+        "'at', if(pk.kk is null, st.at, array_append(st.at, named_struct('b', st.off, 'n', length(pk.raw)))))"
+    )
+    skip = "named_struct('off', st.off + length(get(g, gi)), 'free', st.free, 'chop', st.chop, 'at', st.at)"
+    start = "named_struct('off', 0, 'free', 0, 'chop', 0, 'at', cast(array() as array<struct<b:int,n:int>>))"
+    fold = f"aggregate(sequence(0, size(g) - 1), {start}, (st, gi) -> if(gi < st.free, {skip}, {_let(pick, 'pk', step)}), st -> st.at)"
+    return _let(f"split({run}, '(?<=[ -])')", "g", _let(equal, "eq", fold))
+
+
+def _tokens(key: str, reverse: bool) -> str:
+    """SQL: the candidate ``run`` as array<struct<s, x>> in order: text (s = 0), candidates of
+    other kinds (1) and cards that are pseudonyms already (2)."""
+    none = "cast(array() as array<struct<s:int,x:string>>)"
+    ends = "array_append(sel, named_struct('b', length(run), 'n', 0))"
+    past = "coalesce(get(sel, zj - 1).b + get(sel, zj - 1).n, 0)"
+    between = f"substr({{0}}, {past} + 1, zz.b - {past})"
+    card = _let("substr(now, zz.b + 1, zz.n)", "m", _pseudonym("card", key, reverse))
+    permuted = f"array_join(transform({ends}, (zz, zj) -> concat({between.format('now')}, if(zz.n = 0, '', {card}))), '')"
+    walk = _let("wk.now", "now", _let(permuted, "nx", f"named_struct('now', nx, 'ok', {_cards('nx')} <=> sel)"))
+    new = f"aggregate(sequence(1, {WALKS}), named_struct('now', run, 'ok', size(sel) = 0), (wk, zk) -> if(wk.ok, wk, {walk}), wk -> wk.now)"
+    rest = _let(
+        f"regexp_extract_all(gap, '{BESIDE}', 0)",
+        "others",
+        f"flatten(transform(split(gap, '{BESIDE}', -1), (zp, zq) -> concat(array(named_struct('s', 0, 'x', zp)), "
+        f"if(zq < size(others), array(named_struct('s', 1, 'x', get(others, zq))), {none}))))",
+    )
+    parts = (
+        f"flatten(transform({ends}, (zz, zj) -> concat({_let(between.format('run'), 'gap', rest)}, "
+        f"if(zz.n = 0, {none}, array(named_struct('s', 2, 'x', substr(new, zz.b + 1, zz.n)))))))"
+    )
+    is_run = "translate(run, '0123456789 -', '') = '' and length(translate(run, ' -', '')) >= 13"
+    return f"if({is_run}, {_let(_cards('run'), 'sel', _let(new, 'new', parts))}, array(named_struct('s', 1, 'x', run)))"
+
+
 def pseudonymise(
     docs: DataFrame, key: str = "ingestry", id_col: str = "doc_id", text_col: str = "text", reverse: bool = False
 ) -> DataFrame:
@@ -219,18 +291,31 @@ def pseudonymise(
         f"when m rlike '^(?:{pattern})$' and {_pseudonym(kind, key, reverse)} is not null "
         f"then named_struct('k', '{kind}', 'v', {_pseudonym(kind, key, reverse)})"
         for kind, pattern in _anchored()
+        if kind != "card"
     )
     df = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("t"))
     candidate = F.when(F.col("t").rlike("(?i)[0-9@]|password|passwd|secret|token"), F.regexp_extract_all("t", F.lit(ANY), F.lit(0)))
     df = df.select("_id", "t", F.coalesce(candidate, F.expr("cast(array() as array<string>)")).alias("ms"))
-    df = df.select("_id", "t", "ms", F.expr(f"transform(ms, m -> case {branches} else named_struct('k', cast(null as string), 'v', m) end)").alias("vs"))
-    pieces: Column = F.split("t", ANY, -1)
-    joined = F.expr("array_join(transform(pieces, (x, i) -> concat(x, coalesce(get(vs, i).v, ''))), '')")
-    found = F.expr("filter(transform(vs, v -> v.k), k -> k is not null)")
-    df = df.select("_id", "t", "vs", F.when(F.size("vs") > 0, pieces).alias("pieces"))
+    df = df.select("_id", "t", "ms", F.when(F.size("ms") > 0, F.split("t", ANY, -1)).alias("pieces"))
+    tokens = (
+        "flatten(transform(pieces, (piece, i) -> concat(array(named_struct('s', 0, 'x', piece)), if(i < size(ms), "
+        f"{_let('get(ms, i)', 'run', _tokens(key, reverse))}, cast(array() as array<struct<s:int,x:string>>)))))"
+    )
+    df = df.select("_id", "t", F.expr(tokens).alias("tokens"))
+    plain = "named_struct('k', cast(null as string), 'v', {0})"
+    value = _let("z.x", "m", f"case {branches} else {plain.format('m')} end")
+    df = df.select(
+        "_id",
+        "t",
+        F.expr(
+            f"transform(tokens, z -> case z.s when 0 then {plain.format('z.x')} "
+            f"when 2 then named_struct('k', 'card', 'v', z.x) else {value} end)"
+        ).alias("vs"),
+    )
+    found = F.expr("filter(transform(coalesce(vs, array()), v -> v.k), k -> k is not null)")
     df = df.select(
         F.col("_id").alias(id_col),
-        F.when(F.size("vs") > 0, joined).otherwise(F.col("t")).alias("text"),
+        F.when(F.col("vs").isNotNull(), F.expr("array_join(transform(vs, v -> v.v), '')")).otherwise(F.col("t")).alias("text"),
         F.size(found).cast("long").alias("n_values"),
         F.array_join(F.array_sort(F.array_distinct(found)), ",").alias("kinds"),
     )

@@ -169,6 +169,26 @@ def test_pii_secrets(spark):
     assert {r.doc_id: r.text for r in back.collect()} == dict(rows)
 
 
+def test_pii_cards_beside_numbers(spark):
+    flat, even, amex = "4041894974608795", "4041 8949 7460 8795", "3782 822463 10005"
+    around = ["{} 123", "{} 12/27", "7 {}", "{} 030 1234 5678", "030 1234 5678 {}", "12 {} 123", "{}-7", "{} {}", "{} 12ab", "1 2 3 {} 4 5 6"]
+    rows = [(k, "la " + f.format(c, c) + ".") for k, (f, c) in enumerate((f, c) for c in (flat, even, amex) for f in around)]
+    counts = [(k, " ".join(f"{v % 89 + 10} {c} {v:03d}" for v in range(k, k + 9))) for k, c in zip(range(100, 160), [flat, even] * 30)]
+    many = [(200, "7 " * 20_000 + flat), (201, "1" * 30_000 + " " + flat)]
+    out = pii.pseudonymise(frame(spark, rows + counts + many), key="k1").cache()
+    got = {r.doc_id: r for r in out.collect()}
+    for k, text in rows + counts + many:
+        for c in (flat, even, amex):
+            assert c not in got[k].text
+        assert "card" in got[k].kinds and len(got[k].text) == len(text)
+    new = got[0].text[3:19]
+    assert luhn(new) and all(f"la {f.format(new, new)}." == got[k].text for k, f in enumerate(around) if "030" not in f)
+    assert all(new in got[k].text for k in range(10)) and got[10].text[3:22].replace(" ", "") == new
+    assert all("030 1234 5678" not in got[k].text and "phone" in got[k].kinds for k in (3, 4))
+    back = pii.pseudonymise(out, key="k1", reverse=True)
+    assert {r.doc_id: r.text for r in back.collect()} == dict(rows + counts + many)
+
+
 def test_pii_is_injective(spark):
     values = [f"{y}-{m:02d}-{d:02d}" for y in (1800, 1999, 2199) for m in range(1, 13) for d in range(1, 29)]
     values += [f"10.0.{a}.{b}" for a in range(0, 256, 17) for b in range(0, 256, 5)]

@@ -1,8 +1,8 @@
 """Signature rules of the license scan, in order of priority.
 
 A rule is a regular expression over a text's words; a space in it stands for one word
-boundary. Its keyword is one word that any match contains; the scan tries a rule only on
-texts that have the keyword.
+boundary. Its keyword is one word that any match contains, so a spelling in one word (agplv3, freebsd)
+is a rule of its own; the scan tries a rule only on texts that have the keyword.
 """
 
 from __future__ import annotations
@@ -14,23 +14,37 @@ NAMES = (
     ("x11", "x11", "x11", "x11"),
     ("apache-2", "apache", "apache(?: software)?(?: licen[sc]e)?(?: version)? v?2(?: 0)?", "apache 2 0"),
     ("apache-1", "apache", "apache(?: software)?(?: licen[sc]e)?(?: version)? v?1(?: [01])?", "apache 1 [01]"),
-    ("gpl-3", "gpl", "(?:gnu )?gpl ?(?:version )?v?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
+    ("gpl-3", "gpl", "(?:gnu )?gpl (?:version )?v?3(?: 0)?", "gpl 3 0(?: only| or later)?"),
     ("gpl-3", "general", "(?:gnu )?general public licen[sc]e(?: version)? v?3(?: 0)?", None),
-    ("gpl-3", "gplv3", "(?:gnu )?gplv3", None),
-    ("gpl-2", "gpl", "(?:gnu )?gpl ?(?:version )?v?2(?: [01])?", "gpl 2 0(?: only| or later)?"),
+    ("gpl-3", "gplv3", "(?:gnu )?gplv3(?: 0)?", None),
+    ("gpl-3", "gpl3", "(?:gnu )?gpl3(?: 0)?", None),
+    ("gpl-3", "gplversion", "(?:gnu )?gplversion v?3(?: 0)?", None),
+    ("gpl-2", "gpl", "(?:gnu )?gpl (?:version )?v?2(?: [01])?", "gpl 2 0(?: only| or later)?"),
     ("gpl-2", "general", "(?:gnu )?general public licen[sc]e(?: version)? v?2(?: [01])?", None),
-    ("gpl-2", "gplv2", "(?:gnu )?gplv2", None),
+    ("gpl-2", "gplv2", "(?:gnu )?gplv2(?: [01])?", None),
+    ("gpl-2", "gpl2", "(?:gnu )?gpl2(?: [01])?", None),
+    ("gpl-2", "gplversion", "(?:gnu )?gplversion v?2(?: [01])?", None),
     ("gpl", "general", "gnu general public licen[sc]e", None),
-    ("lgpl-3", "lgpl", "(?:gnu )?lgpl ?(?:version )?v?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    ("lgpl-3", "lgpl", "(?:gnu )?lgpl (?:version )?v?3(?: 0)?", "lgpl 3 0(?: only| or later)?"),
+    ("lgpl-3", "lgplv3", "(?:gnu )?lgplv3(?: 0)?", None),
+    ("lgpl-3", "lgpl3", "(?:gnu )?lgpl3(?: 0)?", None),
+    ("lgpl-3", "lgplversion", "(?:gnu )?lgplversion v?3(?: 0)?", None),
     ("lgpl-3", "lesser", "(?:gnu )?lesser general public licen[sc]e(?: version)? v?3(?: 0)?", None),
-    ("lgpl-2", "lgpl", "(?:gnu )?lgpl ?(?:version )?v?2(?: [01])?", "lgpl 2 [01](?: only| or later)?"),
+    ("lgpl-2", "lgpl", "(?:gnu )?lgpl (?:version )?v?2(?: [01])?", "lgpl 2 [01](?: only| or later)?"),
+    ("lgpl-2", "lgplv2", "(?:gnu )?lgplv2(?: [01])?", None),
+    ("lgpl-2", "lgpl2", "(?:gnu )?lgpl2(?: [01])?", None),
+    ("lgpl-2", "lgplversion", "(?:gnu )?lgplversion v?2(?: [01])?", None),
     ("lgpl-2", "lesser", "(?:gnu )?lesser general public licen[sc]e(?: version)? v?2(?: [01])?", None),
     ("lgpl", "lesser", "gnu lesser general public licen[sc]e", None),
-    ("agpl-3", "agpl", "(?:gnu )?agpl ?(?:version )?v?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    ("agpl-3", "agpl", "(?:gnu )?agpl (?:version )?v?3(?: 0)?", "agpl 3 0(?: only| or later)?"),
+    ("agpl-3", "agplv3", "(?:gnu )?agplv3(?: 0)?", None),
+    ("agpl-3", "agpl3", "(?:gnu )?agpl3(?: 0)?", None),
+    ("agpl-3", "agplversion", "(?:gnu )?agplversion v?3(?: 0)?", None),
     ("agpl-3", "affero", "(?:gnu )?affero general public licen[sc]e(?: version)? v?3(?: 0)?", None),
     ("agpl", "affero", "gnu affero general public licen[sc]e", None),
     ("gfdl", "documentation", "(?:gnu )?free documentation licen[sc]e(?: version 1(?: [123])?)?", "gfdl 1 [123]"),
-    ("bsd-2", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "bsd 2 clause"),
+    ("bsd-2", "bsd", "(?:bsd 2 clause|2 clause bsd|simplified bsd)", "bsd 2 clause"),
+    ("bsd-2", "freebsd", "freebsd", None),
     ("bsd-3", "bsd", "(?:bsd 3 clause|3 clause bsd|(?:new|revised|modified) bsd)", "bsd 3 clause"),
     ("bsd-4", "bsd", "(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd 4 clause"),
     ("bsd-0", "bsd", "(?:zero clause bsd|bsd zero clause)", "0bsd"),
@@ -122,7 +136,7 @@ NOTICES = (
     ("cc-by", "creativecommons", "creativecommons org licenses by", 1.0),
     ("zlib", "origin", "the origin of this software must not be misrepresented", 0.9),
     ("wtfpl", "fuck", "do what the fuck you want to public license", 1.0),
-    ("unlicense", "encumbered", "free and unencumbered software released into the public domain", 1.0),
+    ("unlicense", "unencumbered", "free and unencumbered software released into the public domain", 1.0),
     ("proprietary", "confidential", "(?:proprietary and confidential|confidential and proprietary)", 0.8),
     ("proprietary", "prohibited", "unauthorized (?:copying|use|distribution)(?: [^ ]+){0,8} is strictly prohibited", 0.8),
     ("proprietary", "commercial", "(?:for )?non commercial use only", 0.7),

@@ -1,6 +1,7 @@
 """The operators that are DataFrame functions only, against plain Python."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -115,6 +116,42 @@ def test_license_scan(spark):
     assert licenses.scan(frame(spark, []).limit(0)).count() == 0
 
 
+def spelled(pattern, rng):
+    """A text that the expression matches, made by rule from it."""
+    out = ""
+    for op, arg in pattern:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "MAX_REPEAT":
+            low, high, inner = arg
+            out += "".join(spelled(inner, rng) for _ in range(rng.randint(low, min(high, low + 3))))
+        elif op == "SUBPATTERN":
+            out += spelled(arg[-1], rng)
+        elif op == "BRANCH":
+            out += spelled(rng.choice(arg[1]), rng)
+        elif op == "NOT_LITERAL":
+            out += rng.choice("xyz")
+        else:
+            out += chr(rng.choice([c for kind, x in arg for c in (range(x[0], x[1] + 1) if str(kind) == "RANGE" else [x])]))
+    return out
+
+
+def test_license_gate_holds_back_no_match(spark):
+    rng = random.Random(3)
+    texts = []
+    for r in rules():
+        made = {spelled(re._parser.parse(r["p"]), rng) for _ in range(60)}
+        assert all(r["k"] in t and re.search(r["p"], t) for t in made), r
+        texts += sorted(made)[:2]
+    named = ["AGPLv3 license", "LGPLv3 license", "LGPLv2.1 license", "GPL3 license", "FreeBSD license", "GPLv3.0 license", "lgpl2 license"]
+    want = ["agpl-3", "lgpl-3", "lgpl-2", "gpl-3", "bsd-2", "gpl-3", "lgpl-2"]
+    assert [r.labels for r in licenses.scan(frame(spark, list(enumerate(named)))).orderBy("doc_id").collect()] == want
+    rows = list(enumerate(texts[::9]))
+    assert all(r["k"] in t for _, t in rows for r in rules() if re.search(r["p"], t))
+    assert {r[0]: tuple(r[1:7]) for r in licenses.scan(frame(spark, rows)).collect()} == {k: python_scan(t) for k, t in rows}
+
+
 PRIVATE = """Write to bob.42@mail8.example.com or BOB.42@mail8.example.com from 42.144.35.254,
 card 4041894974608795 or 4041-8949-7460-8795, call +1 (988) 555-2485 or 030 1234 5678,
 born 2020-02-29 or 29.02.2020 or 12/25/2020 or 01/31/1999, ssn 123-45-6789,

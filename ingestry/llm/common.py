@@ -14,6 +14,10 @@ WORD_BREAKS = r"[\x20\x09\x0A\x0B\x0C\x0D]+"
 HAS_WORD = r"[^\x20\x09\x0A\x0B\x0C\x0D]"
 
 
+def n_words(text: Column) -> Column:
+    return F.size(F.array_remove(F.split(text, WORD_BREAKS, -1), ""))
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -1,7 +1,7 @@
 """Operator 4, line dedup (native): winnowing over line hashes.
 
-The lines with a word in them, in order, are a document's sequence; a line weighs as many
-words as it has space-separated pieces. A window is the shortest stretch of lines of at
+The lines with a word in them, in order, are a document's sequence; a line weighs its
+words. A window is the shortest stretch of lines of at
 least ``min_words`` words that begins, or that ends, at a line. In each window the line of
 the smallest hash is its fingerprint, so a repeated stretch of lines of min_words words or
 more has the same fingerprints in each place (the winnowing guarantee).
@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ingestry.llm.common import HAS_WORD, stage
+from ingestry.llm.common import HAS_WORD, n_words, stage
 
 MIN_WORDS = 50
 
@@ -39,9 +39,8 @@ def _lines(docs: DataFrame) -> DataFrame:
     lines = docs.select(
         F.col("_id").alias("id"), F.xxhash64("_text").alias("th"), F.posexplode(F.split("_text", "\n", -1)).alias("pos", "line")
     )
-    pieces = F.char_length("line") - F.char_length(F.replace("line", F.lit(" "), F.lit(""))) + 1
     return lines.filter(F.col("line").rlike(HAS_WORD)).select(
-        "id", "th", "pos", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2"), pieces.cast("long").alias("n")
+        "id", "th", "pos", F.xxhash64("line").alias("h"), F.xxhash64(F.lit(1), "line").alias("h2"), n_words(F.col("line")).cast("long").alias("n")
     )
 
 

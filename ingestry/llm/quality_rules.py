@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ingestry.llm.common import HAS_WORD, WORD_BREAKS, settled
+from ingestry.llm.common import HAS_WORD, WORD_BREAKS, n_words, settled
 
 SYMBOLS = "#*$%&|<>"
 # Characters that prose uses rarely; more than one for every second word is noise.
@@ -34,15 +34,11 @@ MIN_WORDS = 50
 POSITION_BITS = 20
 
 
-def _pieces(line: Column) -> Column:
-    return F.char_length(line) - F.char_length(F.replace(line, F.lit(" "), F.lit(""))) + 1
-
-
 def line_fails(line: Column) -> Column:
     """True if any of the three line rules removes the line."""
     noise = F.char_length(F.regexp_replace(line, NOISE, ""))
     bars = F.char_length(F.regexp_replace(line, BARS, ""))
-    words = _pieces(line)
+    words = n_words(line)
     return (
         (2 * noise > words)
         | ((bars >= 3) & (4 * bars >= words))

@@ -314,3 +314,15 @@ def test_line_dedup_keeps_what_differs(spark):
     rows = [(1, f"{a}\n{a}"), (2, f"{x}\n{a}\n{y}"), (3, f"p\n{x}\n{a}\n{y}\nq"), (4, f"{y}\n{a}\n{x}")]
     got = {r.doc_id: r.text for r in line_dedup.dedup(frame(spark, rows)).collect()}
     assert got == python_dedup(rows) and got[3] == "p\nq" and got[4] == rows[3][1]
+
+
+def test_line_weight_is_its_words(spark):
+    """Words count whatever separates them; indentation and aligned blanks do not."""
+    tabs = "\t".join(f"w{i}" for i in range(60))
+    braces = "\n".join(" " * 16 + "}" for _ in range(3))
+    rows = [(1, f"a\n{tabs}\nb"), (2, f"c\n{tabs}\nd"), (3, f"x1\n{braces}\ny1"), (4, f"x2\n{braces}\ny2")]
+    got = {r.doc_id: r.text for r in line_dedup.dedup(frame(spark, rows)).collect()}
+    assert got == dict(rows) | {2: "c\nd"}
+    lines = [(1, "\t".join(["is", "it", "so?"])), (2, " " * 40 + "=== ?")]
+    fails = spark.createDataFrame(lines, "k int, x string").select("k", quality_rules.line_fails(F.col("x")).alias("f"))
+    assert {r.k: r.f for r in fails.collect()} == {1: False, 2: True}

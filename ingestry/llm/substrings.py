@@ -1,4 +1,4 @@
-"""Operator 2, suffix-array dedup: longest previous factors, over shards by anchor.
+"""Operator 2, suffix-array dedup: equal ranks of suffixes, over shards by anchor.
 
 Suffixes of all texts can't be sorted in one place, so they are split by content first. A
 string of ``length`` bytes has an anchor, its 32-byte gram of the smallest hash (the first
@@ -10,9 +10,9 @@ place are a context, a stretch of text of at most 2 x length bytes.
    them repeats. Neither needs any text.
 3. Of the anchors with different contexts, one text of each different context is fetched
    and the contexts of an anchor meet in one task: a suffix array (prefix doubling up to
-   length bytes) puts equal strings side by side, ordered by place. The previous and the
-   next smaller position in that order give the longest previous factor: a string repeats
-   earlier if its predecessor shares length bytes, and later if its successor does. An
+   length bytes) puts equal strings side by side, ordered by place: a string repeats earlier if
+   its predecessor has the same rank, and later if its successor does. Only whether length
+   bytes are shared is asked, so no LCP or longest-previous-factor values are computed. An
    anchor with more than ``max_contexts`` different contexts is compared string by string,
    by 128-bit hashes, which spreads over all tasks.
 4. The strings found give the byte spans to remove, which join the texts again.

@@ -6,9 +6,10 @@ least ``min_words`` words that begins, or that ends, at a line. In each window t
 the smallest hash is its fingerprint, so a repeated stretch of lines of min_words words or
 more has the same fingerprints in each place (the winnowing guarantee).
 
-1. Fingerprint positions are joined on the line hash: those that occur once are dropped.
-2. A match is extended both ways to all windows around its position, compared by a 128-bit
-   hash of their lines. Together those windows are just the repeated run, whichever copy
+1. Every window is staged with a 128-bit hash of its lines. Windows whose fingerprint's line
+   hash occurs once are dropped; that only prefilters, as equal windows have equal minima.
+2. The whole-window hashes decide: equal ones are copies. No fingerprint positions are joined
+   and no match is extended. Together those windows are just the repeated run, whichever copy
    shares the most with it, and no pairs of copies are built.
 3. A window that occurs earlier (in a document of smaller id, or further up) is deleted;
    overlapping ones merge into runs. The first occurrence of every window stays.

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ingestry.llm import bpe, decontaminate, licenses, line_dedup, pii, quality_rules, sharding, simhash, substrings, toxicity
+from ingestry.llm import (
+    bpe,
+    decontaminate,
+    licenses,
+    line_dedup,
+    pii,
+    quality_rules,
+    sharding,
+    simhash,
+    substrings,
+    toxicity,
+    whitening,
+)
 from ingestry.llm.common import documents
 
 
@@ -71,6 +83,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir)).drop("detections")
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -84,5 +100,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii,
         op9_quality_rules,
         op10_license_scan,
+        op12_embedding_whitening,
     )
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ingestry.llm import (
     bpe,
     decontaminate,
+    fingerprints,
     licenses,
     line_dedup,
     pii,
@@ -87,6 +88,10 @@ def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op13_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -101,5 +106,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_quality_rules,
         op10_license_scan,
         op12_embedding_whitening,
+        op13_document_fingerprints,
     )
 }

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ingestry.llm import (
     bpe,
+    conversations,
     decontaminate,
     fingerprints,
     licenses,
@@ -84,6 +85,10 @@ def op10_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(documents(spark, sf_dir)).drop("detections")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -105,6 +110,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_pii,
         op9_quality_rules,
         op10_license_scan,
+        op11_conversation_repair,
         op12_embedding_whitening,
         op13_document_fingerprints,
     )

@@ -1,8 +1,8 @@
 """DuckDB SQL of the corpus queries that SQL can express.
 
-op1-op3 and op5-op8 have none (64-bit seeded hashes, suffix arrays, trained trees, turn-wise
-table filling, BPE merges, threshold retrieval and keyed Feistel rounds); tests/llm holds
-them against brute force."""
+op1-op3, op5-op8, op12 and op13 have none (64-bit seeded hashes, suffix arrays, trained trees,
+turn-wise table filling, BPE merges, threshold retrieval, keyed Feistel rounds and
+eigenvectors); tests/llm holds them against brute force."""
 
 from __future__ import annotations
 
@@ -63,6 +63,61 @@ SELECT d.doc_id, CASE WHEN t = '' THEN 0 ELSE kept.n END AS n_lines, coalesce(n_
 FROM d JOIN kept USING (doc_id) LEFT JOIN runs USING (doc_id)
 """
 
+OP11 = r"""
+WITH RECURSIVE crc(i, k, c) AS (
+  SELECT i, 0, i FROM range(256) t(i) UNION ALL
+  SELECT i, k + 1, CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM crc WHERE k < 8),
+tab AS (SELECT list(c ORDER BY i) AS tab FROM crc WHERE k = 8),
+raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS said FROM conversations),
+hashed AS (
+  SELECT raw.* EXCLUDE said, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(1, length(said) + 1), lambda i: ascii(said[i])::BIGINT)),
+    lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295) % 20 AS d FROM raw, tab),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN d = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN d = 1 THEN '' WHEN d = 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+    unnest(CASE WHEN d = 0 THEN [] WHEN d = 3 THEN [1, 2] ELSE [1] END) AS copy FROM hashed),
+placed AS (
+  SELECT *, row_number() OVER c AS i, left(role, 1) AS x,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) > 1 AS again,
+    regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*$', 1) AS z
+  FROM damaged WINDOW c AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+faulty AS (
+  SELECT *, CASE WHEN z = '' THEN 'b' WHEN again THEN 'd' WHEN z NOT IN ('.', '!', '?') THEN 't' ELSE '' END AS f,
+    lag(x) OVER (PARTITION BY conv_id ORDER BY i) || x AS step FROM placed),
+letter(s, x, t) AS (VALUES (0, 's', 1), (0, 'u', 2), (1, 'u', 2), (2, 'a', 3), (3, 'u', 2)),
+put(s, t, said) AS (VALUES (0, 2, 'user'), (1, 2, 'user'), (2, 3, 'assistant'), (3, 2, 'user')),
+ins(s, t, n, said) AS (
+  SELECT s, s, 0, []::VARCHAR[] FROM put UNION ALL SELECT s, t, 1, [said || ':'] FROM put UNION ALL
+  SELECT a.s, b.t, 2, [a.said || ':', b.said || ':'] FROM put a JOIN put b ON b.s = a.t),
+act AS (
+  SELECT conv_id, i, s, s AS t, 3 AS c, 'D' AS e, []::VARCHAR[] AS said FROM faulty, put UNION ALL
+  SELECT conv_id, i, s, t, 2 + (f = 't')::INT, 'R', [said || ':' || text] FROM faulty, put WHERE f NOT IN ('b', 'd') UNION ALL
+  SELECT conv_id, i, s, t, (f = 't')::INT, 'K', [role || ':' || text] FROM faulty JOIN letter USING (x) WHERE f NOT IN ('b', 'd')),
+way(conv_id, i, s, c, a, said) AS (
+  SELECT DISTINCT conv_id, 0::BIGINT, 0, 0, '', []::VARCHAR[] FROM conversations UNION ALL
+  SELECT conv_id, i, t, best.c, best.a, best.said FROM (
+    SELECT way.conv_id, act.i, act.t, min({'c': way.c + 2 * ins.n + act.c, 'a': way.a || repeat('I', ins.n) || act.e,
+      'said': way.said || ins.said || act.said}) AS best
+    FROM way JOIN ins ON ins.s = way.s JOIN act ON act.conv_id IS NOT DISTINCT FROM way.conv_id AND act.i = way.i + 1 AND act.s = ins.t
+    GROUP BY ALL)),
+done AS (
+  SELECT way.conv_id, min({'c': way.c + 2 * ins.n, 'a': way.a || repeat('I', ins.n), 'said': way.said || ins.said}) AS best
+  FROM way JOIN ins ON ins.s = way.s LEFT JOIN (SELECT conv_id, count(*) AS n FROM faulty GROUP BY 1) k
+    ON k.conv_id IS NOT DISTINCT FROM way.conv_id
+  WHERE ins.t IN (0, 3) AND way.i = coalesce(k.n, 0) GROUP BY 1),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (f = 'b') AS blank,
+    count(*) FILTER (f = 'd') AS duplicate, count(*) FILTER (f = 't') AS truncated,
+    count(*) FILTER (step NOT IN ('su', 'ua', 'au')) AS illegal FROM faulty GROUP BY 1)
+SELECT done.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, best.c::BIGINT AS cost, best.a AS audit,
+  sha256(array_to_string(best.said, chr(10))) AS repaired_sha256
+FROM done LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM done.conv_id
+"""
+
 
 def op10() -> str:
     table = ",\n".join(f"({r['o']}, '{r['l']}', '{r['k']}', '{r['p']}', {r['c']}::DOUBLE)" for r in rules())
@@ -100,4 +155,5 @@ def oracle_sql() -> dict[str, str]:
         "op4_line_dedup": OP4,
         "op9_quality_rules": OP9.replace("{boilerplate}", BOILERPLATE),
         "op10_license_scan": op10(),
+        "op11_conversation_repair": OP11,
     }

@@ -1,28 +1,25 @@
 """End-to-end batch jobs over a state folder (shared storage).
 
 Layout under `state_root` (all written by Spark, readable by any reader):
-  target/v=<n>/           versioned Parquet snapshots of the keyed table
-  target_manifest/        one JSON row per committed version; readers take the max
-  ledger/                 append-only run-ledger events; the latest state is an aggregate
-  checkpoints/            append-only watermarks per source
-  quarantine/             JSON Lines per source_system/run_id/chunk_index (K1)
+  commits/, target/, ledger/, checkpoints/   the versioned state (`plans.state`)
+  quarantine/             JSON Lines of rejects (K1)
   archive_failures/       files that could not be moved after their commit (K5)
   staging/<run>/          what one job read and derived, each written once (cuts lineage)
 
-Order of a run: claim (`running` rows) -> read -> quarantine -> snapshot -> progress ->
-end (`completed` or `failed`). Each step is idempotent, so a crash between any two only
-repeats work on the next run. A file that fails, fails alone: the others complete, its
-own whole chunks before the fault are kept, and the job raises at its end, naming it.
+Order of a run: claim (`running` rows, one commit) -> read -> quarantine -> one commit of
+merged buckets, progress, ends (`completed` or `failed`) and watermark. A claim is decided on
+the ledger version that it is committed after, so two jobs never hold one file; a merge on
+buckets that others replaced meanwhile is computed again. A crash between the steps only
+repeats work on the next run. A file that fails, fails alone: the others complete, its own
+whole chunks before the fault are kept, and the job raises at its end, naming it.
 """
 
 from __future__ import annotations
 
 import uuid
-from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ingestry import schema as S
 from ingestry.functions import payload as P
@@ -31,89 +28,21 @@ from ingestry.operators import core
 from ingestry.operators import ledger as L
 from ingestry.operators import metrics as M
 from ingestry.operators import quarantine as Q
-from ingestry.operators import upsert as U
+from ingestry.plans.state import Change, Head, StateStore
+from ingestry.plans.state import staged as _staged
 from ingestry.session import ensure_session
 from ingestry.sources import csv as CSV
 
 CLAIMED, PROGRESS, ENDED = 0, 1, 2
 SHOWN_FAILURES = 20  # names in an error message; the ledger has them all
 
-LEDGER_SCHEMA = T.StructType(
-    [
-        T.StructField("run_id", T.LongType()),
-        T.StructField("attempt", T.LongType()),
-        T.StructField("phase", T.IntegerType()),
-        T.StructField("source", T.StringType()),
-        T.StructField("source_object_id", T.StringType()),
-        T.StructField("source_version", T.StringType()),
-        T.StructField("correlation_id", T.StringType()),
-        T.StructField("status", T.StringType()),
-        T.StructField("last_chunk", T.LongType()),
-        T.StructField("rows_read", T.LongType()),
-        T.StructField("rows_valid", T.LongType()),
-        T.StructField("rows_quarantined", T.LongType()),
-        T.StructField("rows_written", T.LongType()),
-        T.StructField("error", T.StringType()),
-        T.StructField("started_at", T.TimestampType()),
-        T.StructField("completed_at", T.TimestampType()),
-    ]
-)
-
-
-@dataclass
-class StateStore:
-    spark: SparkSession
-    root: str
-
-    def _exists(self, sub: str) -> bool:
-        """A table folder exists (Hadoop FS metadata call; a missing folder = empty table)."""
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{sub}")
-        return bool(path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path))
-
-    # -- target snapshots
-    def target_version(self) -> int:
-        if not self._exists("target_manifest"):
-            return 0
-        v = self.spark.read.json(f"{self.root}/target_manifest").agg(F.max("version")).first()[0]
-        return int(v or 0)
-
-    def target(self) -> DataFrame:
-        v = self.target_version()
-        if v == 0:
-            return self.spark.createDataFrame([], S.STUDENT_SCHEMA)
-        return self.spark.read.schema(S.STUDENT_SCHEMA).parquet(f"{self.root}/target/v={v}")
-
-    def commit_target(self, df: DataFrame) -> int:
-        """Write v=n+1 (never the path being read), then publish it in the manifest."""
-        v = self.target_version() + 1
-        df.select(*S.TARGET_COLUMNS).write.mode("overwrite").parquet(f"{self.root}/target/v={v}")
-        self.spark.range(1).selectExpr(f"{v} AS version", "current_timestamp() AS committed_at").write.mode(
-            "append"
-        ).json(f"{self.root}/target_manifest")
-        return v
-
-    # -- ledger
-    def ledger_events(self) -> DataFrame:
-        if not self._exists("ledger"):
-            return self.spark.createDataFrame([], LEDGER_SCHEMA)
-        return self.spark.read.schema(LEDGER_SCHEMA).parquet(f"{self.root}/ledger")
-
-    def ledger(self) -> DataFrame:
-        return L.latest_state(self.ledger_events())
-
-    def append_ledger(self, events: DataFrame) -> None:
-        """One row per run and event; `phase` and `attempt` order them."""
-        events.select(*LEDGER_SCHEMA.fieldNames()).write.mode("append").parquet(f"{self.root}/ledger")
-
-
 SUMMARY_SCHEMA = (
     "source_object string, chunks long, read long, valid long, quarantined long, inserted long, "
     "updated long, skipped long, max_updated_at timestamp, run_status string, error string"
 )
 
 
-class JobError(RuntimeError):
+class FilesFailed(RuntimeError):
     """Some files failed; the others are committed. `summaries` has a row for every file."""
 
     def __init__(self, message: str, summaries: DataFrame | None = None) -> None:
@@ -121,16 +50,10 @@ class JobError(RuntimeError):
         self.summaries = summaries
 
 
-class ApiRunError(RuntimeError):
+class UnsafePages(RuntimeError):
     """The staged pages cannot be paged through safely; nothing was committed."""
 
 
-def _staged(df: DataFrame, path: str) -> DataFrame:
-    """Written once under the run's own folder, then read: later steps share it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _numbered(df: DataFrame, by: str, name: str, path: str) -> DataFrame:
     """`df`, staged, with ordinals from 1 in the order of `by`: sorted by ranges, numbered in
     each task, and moved on by the sizes of the ranges before, one row for each of them."""
@@ -156,54 +79,80 @@ def _event(run: DataFrame, phase: int, status: str, as_of_sql: str, correlation:
     return run.selectExpr(*[f"{e} AS {c}" for c, e in sql.items()])
 
 
-def _claim(store: StateStore, wanted: DataFrame, path: str, *, as_of_sql: str, stale_after_seconds: int, correlation: str) -> DataFrame:
-    """J3 + K3: the runs this job takes, recorded as `running` before any work on them."""
+def _claim(store: StateStore, wanted: DataFrame, stage: str, *, as_of_sql: str, stale_after_seconds: int, correlation: str) -> DataFrame | None:
+    """J3 + K3: the runs this job takes, recorded as `running` before any work on them. The
+    decision and its record are one commit: if others claimed meanwhile, it is made again."""
     counters = ("rows_read", "rows_valid", "rows_quarantined", "rows_written")
-    decided = L.claim_decisions(
-        wanted, store.ledger(), as_of_sql=as_of_sql, stale_after_seconds=stale_after_seconds,
-        owner=correlation, carry=("correlation_id", "attempt", *counters),
-    )
-    claims = decided.filter(f"decision <> '{L.SKIP}'").selectExpr(
-        "*", "coalesce(run_id, xxhash64(source, source_object_id, source_version)) AS run",
-    ).selectExpr(
-        *wanted.columns, "run", "CAST(resume_from AS BIGINT) AS resume_from", "coalesce(attempt, 0) + 1 AS attempt_",
-        *[f"coalesce({c}, 0) AS p_{c.removeprefix('rows_')}" for c in counters],
-    ).withColumnRenamed("attempt_", "attempt")
-    claims = _staged(claims, path)
-    store.append_ledger(_event(claims, CLAIMED, "'running'", as_of_sql, correlation))
-    return claims
+    held: list[DataFrame] = []
 
-
-def _commit(store: StateStore, batch: core.Batch, runs: DataFrame, stage: str, *, as_of_sql: str, correlation: str) -> DataFrame:
-    """Quarantine, merge and snapshot of one staged batch; returns its tagged rows. `runs`
-    maps source_object to run."""
+    def decide(head: Head) -> Change | None:
+        decided = L.claim_decisions(
+            wanted, store.ledger(head), as_of_sql=as_of_sql, stale_after_seconds=stale_after_seconds,
+            owner=correlation, carry=("correlation_id", "attempt", *counters),
+        )
+        claims = decided.filter(f"decision <> '{L.SKIP}'").selectExpr(
+            "*", "coalesce(run_id, xxhash64(source, source_object_id, source_version)) AS run",
+        ).selectExpr(
+            *wanted.columns, "run", "CAST(resume_from AS BIGINT) AS resume_from", "coalesce(attempt, 0) + 1 AS attempt_",
+            *[f"coalesce({c}, 0) AS p_{c.removeprefix('rows_')}" for c in counters],
+        ).withColumnRenamed("attempt_", "attempt")
+        held.append(_staged(claims, f"{stage}/claims-{len(held)}"))
+        if not held[-1].limit(1).count():
+            return None
+        change = store.events(head, _event(held[-1], CLAIMED, "'running'", as_of_sql, correlation))
+        change.read_ledger = True
+        return change
+
+    return held[-1] if store.commit(decide) else None
+
+
+def _commit(
+    store: StateStore, batch: core.Batch, claims: DataFrame, errors: DataFrame, stage: str, *,
+    name: str, as_of_sql: str, correlation: str, watermark_of: str | None = None,
+) -> DataFrame:
+    """Quarantine, then one commit: merged buckets, progress per chunk, the end of every claimed
+    run and, for `watermark_of`, the source's watermark. `errors` (run, error). Returns the
+    tagged rows of the merge that was committed. `name`: the claims' source object."""
+    runs = claims.selectExpr(f"{name} AS source_object", "run")
     Q.write(batch.quarantine.join(runs, "source_object"), f"{store.root}/quarantine", run_id_col="run", correlation_id=correlation)
-    # Chunk after chunk within a file, file after file by name.
-    new_target, actions = U.sequential_upsert(
-        store.target(), batch.students, as_of=F.expr(as_of_sql), seq=(S.FILE_ORDINAL, S.CHUNK_INDEX)
-    )
-    actions = _staged(actions.select("student_id", S.SOURCE_OBJECT, S.CHUNK_INDEX, "updated_at", "action"), f"{stage}/actions")
-    if actions.filter(F.col("action") != U.SKIPPED).limit(1).count():
-        store.commit_target(new_target)
-    return M.tagged_from_marked(
-        batch.marked, actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX, tf_sql=P.transform_failure_sql()
-    )
-
+    merged: list[DataFrame] = []
 
-def _record(store: StateStore, claims: DataFrame, tagged: DataFrame, errors: DataFrame, *, as_of_sql: str, correlation: str, name: str) -> None:
-    """Progress per chunk, then the end of every claimed run; `errors` (run, error)."""
-    prog = L.progress(M.per_chunk_counts(tagged), run_col="_run", chunk_col="_chunk").withColumnRenamed("_run", name)
-    counts = {f"rows_{c}": f"p_{c} + rows_{c}" for c in ("read", "valid", "quarantined", "written")}
-    store.append_ledger(
-        _event(claims.join(prog, name), PROGRESS, "'running'", as_of_sql, correlation, last_chunk="last_chunk", **counts)
+    def build(head: Head) -> Change:
+        # Chunk after chunk within a file, file after file by name.
+        actions, change = store.merge(
+            head, batch.students, f"{stage}/merge-{len(merged)}", as_of_sql=as_of_sql, seq=(S.FILE_ORDINAL, S.CHUNK_INDEX)
+        )
+        merged.append(M.tagged_from_marked(
+            batch.marked, actions, run=S.SOURCE_OBJECT, chunk=S.CHUNK_INDEX, tf_sql=P.transform_failure_sql()
+        ))
+        events = _ends(claims, merged[-1], errors, as_of_sql=as_of_sql, correlation=correlation, name=name)
+        recorded = store.events(head, events)
+        change.ledger, change.drops = recorded.ledger, recorded.drops
+        if watermark_of:
+            newest = batch.students.groupBy(F.lit(watermark_of).alias("source")).agg(F.max("updated_at").alias("watermark"))
+            change.checkpoints = store.watermarks(head, newest, as_of_sql=as_of_sql)
+        return change
+
+    store.commit(build)
+    return merged[-1]
+
+
+def _ends(claims: DataFrame, tagged: DataFrame, errors: DataFrame, *, as_of_sql: str, correlation: str, name: str) -> DataFrame:
+    """Ledger events: progress per chunk, and the end of every claimed run."""
+    counters = ("read", "valid", "quarantined", "written")
+    per_chunk = M.per_chunk_counts(tagged)
+    prog = L.progress(per_chunk, run_col="_run", chunk_col="_chunk").withColumnRenamed("_run", name)
+    counts = {f"rows_{c}": f"p_{c} + rows_{c}" for c in counters}
+    steps = _event(claims.join(prog, name), PROGRESS, "'running'", as_of_sql, correlation, last_chunk="last_chunk", **counts)
+    totals = per_chunk.groupBy(F.col("_run").alias(name)).agg(
+        F.max("_chunk").alias("last_chunk"), *[F.sum(c).alias(f"rows_{c}") for c in counters]
     )
-    latest = store.ledger().selectExpr("run_id AS run", "last_chunk", "rows_read", "rows_valid", "rows_quarantined", "rows_written")
-    ended = claims.join(latest, "run", "left").join(errors, "run", "left")
-    same = {c: f"coalesce({c}, 0)" for c in ("last_chunk", "rows_read", "rows_valid", "rows_quarantined", "rows_written")}
-    store.append_ledger(
+    ended = claims.join(totals, name, "left").join(errors, "run", "left")
+    same = {f"rows_{c}": f"p_{c} + coalesce(rows_{c}, 0)" for c in counters}
+    return steps.unionByName(
         _event(
             ended, ENDED, "CASE WHEN error IS NULL THEN 'completed' ELSE 'failed' END", as_of_sql, correlation,
-            error=L.fail_event_sql("error"), completed_at=as_of_sql, **same,
+            last_chunk="coalesce(last_chunk, resume_from, 0)", error=L.fail_event_sql("error"), completed_at=as_of_sql, **same,
         )
     )
 
@@ -223,7 +172,7 @@ def run_csv_job(
     """Scan landing, claim new, failed and stale file versions, ingest, merge, record.
 
     Returns one summary row per processed file, those without rows included. If files
-    failed, the others still complete (T7) and JobError names the failed ones, unless
+    failed, the others still complete (T7) and FilesFailed names the failed ones, unless
     `raise_on_failure` is off. With `processed_root`, completed unchanged files are then
     archived (K5).
     """
@@ -250,7 +199,7 @@ def ingest_files(
     if chunk_size < 1:
         raise ValueError("chunk_size must be at least 1")
     ensure_session(spark)
-    store = StateStore(spark, state_root.rstrip("/"))
+    store = StateStore(spark, state_root)
     run = uuid.uuid4().hex
     correlation = correlation_id or run
     stage = f"{store.root}/staging/{run}"
@@ -259,9 +208,9 @@ def ingest_files(
         f"{L.source_version_sql('version', str(chunk_size))} AS source_version",
     )
     claims = _claim(
-        store, wanted, f"{stage}/claims", as_of_sql=as_of_sql, stale_after_seconds=stale_after_seconds, correlation=correlation
+        store, wanted, stage, as_of_sql=as_of_sql, stale_after_seconds=stale_after_seconds, correlation=correlation
     )
-    if not claims.limit(1).count():
+    if claims is None:
         return spark.createDataFrame([], SUMMARY_SCHEMA)
 
     # The only read of the landing files; everything after reads the staged rows.
@@ -283,10 +232,8 @@ def ingest_files(
     batch = core.Batch(
         data, as_of=as_of_sql, payload_sql=P.MAP_PAYLOAD_SQL, missing_sql=P.MAP_MISSING_SQL
     ).staged(f"{stage}/marked")
-    runs = claims.selectExpr("name AS source_object", "run")
-    tagged = _commit(store, batch, runs, stage, as_of_sql=as_of_sql, correlation=correlation)
     errors = files.filter("error IS NOT NULL").select("run", "error")
-    _record(store, claims, tagged, errors, as_of_sql=as_of_sql, correlation=correlation, name="name")
+    tagged = _commit(store, batch, claims, errors, stage, name="name", as_of_sql=as_of_sql, correlation=correlation)
     summaries = files.selectExpr(
         "name AS source_object", "CASE WHEN error IS NULL THEN 'completed' ELSE 'failed' END AS run_status", "error"
     ).join(M.run_summary(tagged), "source_object", "left")
@@ -302,7 +249,7 @@ def ingest_files(
     if failed and raise_on_failure:
         names = files.filter("error IS NOT NULL").orderBy("name").limit(SHOWN_FAILURES).collect()
         more = f" and {failed - len(names)} more" if failed > len(names) else ""
-        raise JobError(f"{failed} CSV file(s) failed: {', '.join(r['name'] for r in names)}{more}", summaries)
+        raise FilesFailed(f"{failed} CSV file(s) failed: {', '.join(r['name'] for r in names)}{more}", summaries)
     return summaries
 
 
@@ -318,18 +265,8 @@ def _archive(spark: SparkSession, store: StateStore, done: DataFrame, processed_
         ).json(f"{store.root}/archive_failures")
 
 
-CHECKPOINT_SCHEMA = T.StructType(
-    [T.StructField("source", T.StringType()), T.StructField("watermark", T.TimestampType()),
-     T.StructField("updated_at", T.TimestampType())]
-)
-
-
 def read_checkpoints(spark: SparkSession, state_root: str) -> DataFrame:
-    store = StateStore(spark, state_root.rstrip("/"))
-    if not store._exists("checkpoints"):
-        return spark.createDataFrame([], "source string, watermark timestamp")
-    events = spark.read.schema(CHECKPOINT_SCHEMA).parquet(f"{store.root}/checkpoints")
-    return events.groupBy("source").agg(F.max("watermark").alias("watermark"))
+    return StateStore(spark, state_root).checkpoints().select("source", "watermark")
 
 
 def run_api_job(
@@ -353,14 +290,14 @@ def run_api_job(
     without a readable time are kept, to be quarantined.
     """
     ensure_session(spark)
-    store = StateStore(spark, state_root.rstrip("/"))
+    store = StateStore(spark, state_root)
     run = uuid.uuid4().hex
     correlation = correlation_id or run
     stage = f"{store.root}/staging/{run}"
     wanted = spark.range(1).selectExpr(
         f"'{S.API_SOURCE_SYSTEM}' AS source", f"{sql_str(source_object)} AS source_object_id", f"{sql_str(run)} AS source_version"
     )
-    claims = _claim(store, wanted, f"{stage}/claims", as_of_sql=as_of_sql, stale_after_seconds=3600, correlation=correlation)
+    claims = _claim(store, wanted, stage, as_of_sql=as_of_sql, stale_after_seconds=3600, correlation=correlation)
     try:
         return _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql, correlation, incremental)
     except Exception as failure:
@@ -387,7 +324,7 @@ def _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql,
     n = problems.count()
     if n:
         shown = [(r["page"], r["problem"]) for r in problems.orderBy("page", "problem").limit(SHOWN_FAILURES).collect()]
-        raise ApiRunError(f"{n} problem(s) in the pages, listed in {stage}/problems: {shown}")
+        raise UnsafePages(f"{n} problem(s) in the pages, listed in {stage}/problems: {shown}")
     recs = pages.selectExpr("page_no", "posexplode(records) AS (item_pos, _payload)").selectExpr(
         "*", "parse_json(_payload) AS item"
     ).selectExpr(
@@ -401,20 +338,16 @@ def _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql,
         *[f"try_variant_get(item, '$.{f}', 'string') AS {f}" for f in S.CANONICAL_FIELDS],
     )
     if incremental:
-        since = read_checkpoints(spark, store.root).filter(f"source = '{S.API_SOURCE_SYSTEM}'").agg(F.max("watermark")).first()[0]
+        since = store.checkpoints().filter(f"source = '{S.API_SOURCE_SYSTEM}'").agg(F.max("watermark")).first()[0]
         if since is not None:
             newer = F.expr(timestamp_sql("btrim(updated_at)")) > F.lit(since)
             recs = recs.filter(F.coalesce(newer, F.lit(True)))
     batch = core.Batch(
         recs, as_of=as_of_sql, source_system=S.API_SOURCE_SYSTEM, payload_sql="_payload", record_sql="_payload"
     ).staged(f"{stage}/marked")
-    runs = claims.selectExpr("source_object_id AS source_object", "run")
-    tagged = _commit(store, batch, runs, stage, as_of_sql=as_of_sql, correlation=correlation)
-    cand = batch.students.groupBy(F.lit(S.API_SOURCE_SYSTEM).alias("source")).agg(F.max("updated_at").alias("watermark"))
-    adv = L.advance_watermarks(read_checkpoints(spark, store.root), cand)
-    adv.filter("advanced").selectExpr("source", "watermark", f"{as_of_sql} AS updated_at").write.mode("append").parquet(
-        f"{store.root}/checkpoints"
-    )
     errors = spark.createDataFrame([], "run long, error string")
-    _record(store, claims, tagged, errors, as_of_sql=as_of_sql, correlation=correlation, name="source_object_id")
+    tagged = _commit(
+        store, batch, claims, errors, stage, name="source_object_id", as_of_sql=as_of_sql, correlation=correlation,
+        watermark_of=S.API_SOURCE_SYSTEM,
+    )
     return M.run_summary(tagged)

@@ -5,7 +5,7 @@ import json
 import fixtures as FX
 import pytest
 
-from ingestry.plans.jobs import ApiRunError, StateStore, read_checkpoints, run_api_job
+from ingestry.plans.jobs import UnsafePages, StateStore, read_checkpoints, run_api_job
 
 
 def pages(groups, **links):
@@ -63,7 +63,7 @@ def test_pages_with_cursors(spark, landing, tmp_path):
 def test_unsafe_pages_fail_the_run(spark, landing, tmp_path, body, why):
     root = landing(pages([[api(1)], [api(2)]]) | {"p2.json": json.dumps(body)})
     state = str(tmp_path / "state")
-    with pytest.raises(ApiRunError, match=why):
+    with pytest.raises(UnsafePages, match=why):
         run_api_job(spark, root, state, as_of_sql=FX.AS_OF)
     run = StateStore(spark, state).ledger().first()
     assert run.status == "failed" and why in run.error and StateStore(spark, state).target_version() == 0

@@ -10,7 +10,7 @@ from ingestry import schema as S
 from ingestry.operators import audit as V
 from ingestry.operators import quarantine as Q
 from ingestry.plans import jobs
-from ingestry.plans.jobs import JobError, StateStore, run_csv_job
+from ingestry.plans.jobs import FilesFailed, StateStore, run_csv_job
 from ingestry.sources import csv as CSV
 from ingestry.streaming import landing as STREAM
 
@@ -79,7 +79,7 @@ def test_failed_file_fails_alone(spark, landing, tmp_path):
     sound = FX.text([FX.record(n) for n in range(20, 4000)])
     root = landing({"bad.csv": sound.encode() + b"\xff\xfe" + b"x" * 20_000, "good.csv": FX.text([FX.record(1)])})
     state = str(tmp_path / "s")
-    with pytest.raises(JobError, match="1 CSV file.* bad.csv") as failure:
+    with pytest.raises(FilesFailed, match="1 CSV file.* bad.csv") as failure:
         run_csv_job(spark, root, state, as_of_sql=FX.AS_OF, chunk_size=1000, processed_root=str(tmp_path / "done"))
     got = summary(failure.value.summaries)
     assert got["good.csv"].run_status == "completed" and got["bad.csv"].run_status == "failed"

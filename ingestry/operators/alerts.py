@@ -86,3 +86,17 @@ def pipeline_failures_stream(logs: DataFrame, *, minutes: int = 5, lateness: str
         .agg(F.count(F.lit(1)).alias("failures"))
         .selectExpr("w.start AS window_start", "w.end AS window_end", "failures")
     )
+
+
+def quarantine_spike_stream(logs: DataFrame, *, threshold: int = 100, hours: int = 1, lateness: str = "10 minutes") -> DataFrame:
+    """M2 (T6) over a log stream: the sum of a window is judged once, when the watermark closes it."""
+    records = F.expr("try_cast(get_json_object(message, '$.records') AS BIGINT)")
+    return (
+        with_event(logs)
+        .filter("event = 'quarantine.written'")
+        .withWatermark("timestamp", lateness)
+        .groupBy(F.window("timestamp", f"{hours} hours").alias("w"))
+        .agg(F.sum(records).alias("total"))
+        .filter(f"total > {threshold}")
+        .selectExpr("w.start AS window_start", "w.end AS window_end", "total")
+    )

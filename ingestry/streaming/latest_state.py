@@ -1,43 +1,66 @@
-"""T5: latest-per-key state in a stream (optional path after foreachBatch).
+"""T5: the merge as keyed state in a stream (optional path after foreachBatch).
 
-`applyInPandasWithState` keyed by `student_id` keeps the stored `updated_at` of each key in
-Spark's fault-tolerant state store and emits, per incoming row, inserted / updated / skipped
-with the same strictly-newer rule as the merge. A key's state is one timestamp, so state
-grows with distinct keys, not with rows. A key's rows of a micro-batch are ordered as a
-whole, also where Spark hands them over in several parts; the micro-batch bounds them.
+`transformWithState` keeps, per `student_id`, the time of the newest row and its ordinal in the
+state store (RocksDB: state beyond memory spills to disk). A micro-batch is a chunk of the
+merge: of a key's rows the newest counts (ties: the larger ordinal), it is inserted, updated
+or skipped by the strictly-newer rule, and the batch yields one row a key with the number of
+rows submitted. A key's rows are folded part by part as Spark hands them over, so a key that
+holds a third of a micro-batch costs two numbers, never a frame of all its rows.
+
+The state may start from the stored table (`initial`), and lives on in the checkpoint.
 """
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUTPUT_SCHEMA = "student_id string, updated_at timestamp, action string"
-STATE_SCHEMA = "updated_at timestamp"
-
-
-def _fold(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    rows = pd.concat(list(batches)).sort_values("_order", ignore_index=True)
-    best = rows["updated_at"].cummax()
-    before = best.shift()  # the newest time before each row, the stored one included
-    if state.exists:
-        stored = pd.Timestamp(state.get[0])
-        before = before.fillna(stored).clip(lower=stored)
-        best = best.clip(lower=stored)
-    rows["action"] = "skipped"
-    rows.loc[before.isna(), "action"] = "inserted"
-    rows.loc[rows["updated_at"] > before, "action"] = "updated"
-    state.update((best.iloc[-1],))
-    yield rows.assign(student_id=key[0])[["student_id", "updated_at", "action"]]
-
-
-def latest_actions(students: DataFrame, *, order: str) -> DataFrame:
-    """Streaming (or batch) canonical rows -> per-row merge action, state per key."""
-    return (
-        students.selectExpr("student_id", "updated_at", f"`{order}` AS _order")
-        .groupBy("student_id")
-        .applyInPandasWithState(_fold, OUTPUT_SCHEMA, STATE_SCHEMA, "append", GroupStateTimeout.NoTimeout)
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+STATE = "at long, place long"
+OUTPUT = "student_id string, at long, place long, action string, submitted long"
+
+
+class NewestPerKey(StatefulProcessor):
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self._stored = handle.getValueState("stored", STATE)
+
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        row = initialState.iloc[0]
+        self._stored.update((int(row["at"]), int(row["place"])))
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        best, submitted = None, 0
+        for part in rows:
+            submitted += len(part)
+            newest = part[part["at"] == part["at"].max()]
+            found = (int(newest["at"].iloc[0]), int(newest["place"].max()))
+            best = found if best is None else max(best, found)
+        stored = self._stored.get() if self._stored.exists() else None
+        action = "inserted" if stored is None else "updated" if best[0] > stored[0] else "skipped"
+        if action != "skipped":
+            self._stored.update(best)
+        yield pd.DataFrame([(key[0], *best, action, submitted)], columns=["student_id", "at", "place", "action", "submitted"])
+
+    def close(self) -> None:
+        pass
+
+
+def _narrow(rows: DataFrame, order: str) -> DataFrame:
+    return rows.selectExpr("student_id", "unix_micros(updated_at) AS at", f"CAST({order} AS BIGINT) AS place")
+
+
+def latest_actions(students: DataFrame, *, order: str, initial: DataFrame | None = None) -> DataFrame:
+    """Streaming canonical rows -> student_id, updated_at, place (ordinal of the newest row),
+    action and submitted, one row for each key of a micro-batch. `initial` is the stored table
+    (unique by key); it counts when the stream starts without a checkpoint."""
+    stored = None if initial is None else _narrow(initial, "-1").groupBy("student_id")
+    found = _narrow(students, f"`{order}`").groupBy("student_id").transformWithStateInPandas(
+        NewestPerKey(), outputStructType=OUTPUT, outputMode="Append", timeMode="None", initialState=stored
     )
+    return found.selectExpr("student_id", "timestamp_micros(at) AS updated_at", "place", "action", "submitted")

@@ -200,31 +200,6 @@ def test_stream(spark, landing, tmp_path):
     assert stored(spark, state) == rows
 
 
-def test_stateful_latest_actions(spark, tmp_path):
-    from pyspark.sql import functions as F
-
-    from ingestry.streaming.latest_state import latest_actions
-
-    src = tmp_path / "rows"
-    schema = "student_id string, updated_at timestamp, o long"
-    hours = [("k1", 8), ("k1", 8), ("k2", 8), ("k1", 9), ("k2", 7)]
-    frame = lambda rows: spark.createDataFrame(rows, "student_id string, t string, o long").selectExpr("student_id", "CAST(t AS TIMESTAMP) AS updated_at", "o")
-    frame([(k, f"2031-05-01 {h:02d}:00:00", i) for i, (k, h) in enumerate(hours)]).coalesce(1).write.parquet(str(src / "b1"))
-
-    def run():
-        q = (latest_actions(spark.readStream.schema(schema).parquet(str(src / "*")), order="o").writeStream.format("parquet")
-             .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "ck"))
-             .outputMode("append").trigger(availableNow=True).start())
-        q.awaitTermination(300)
-        rows = spark.read.parquet(str(tmp_path / "out")).select("student_id", F.hour("updated_at").alias("h"), "action").collect()
-        return sorted(tuple(r) for r in rows)
-
-    first = [("k1", 8, "inserted"), ("k1", 8, "skipped"), ("k1", 9, "updated"), ("k2", 7, "skipped"), ("k2", 8, "inserted")]
-    assert run() == first
-    frame([("k1", "2031-05-01 09:00:00", 1), ("k1", "2031-05-01 10:00:00", 2), ("k3", "2031-05-01 01:00:00", 3)]).coalesce(1).write.parquet(str(src / "b2"))
-    assert run() == sorted(first + [("k1", 9, "skipped"), ("k1", 10, "updated"), ("k3", 1, "inserted")])
-
-
 def test_failure_alert_stream(spark, tmp_path):
     import datetime as dt
 

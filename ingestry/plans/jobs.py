@@ -34,6 +34,7 @@ from ingestry.session import ensure_session
 from ingestry.sources import csv as CSV
 
 CLAIMED, PROGRESS, ENDED = 0, 1, 2
+OTHER_BYTES = "the source object holds other bytes than when its first chunks were committed"
 SHOWN_FAILURES = 20  # names in an error message; the ledger has them all
 
 SUMMARY_SCHEMA = (
@@ -75,6 +76,7 @@ def _event(run: DataFrame, phase: int, status: str, as_of_sql: str, correlation:
         "correlation_id": sql_str(correlation), "status": status, "last_chunk": "CAST(resume_from AS BIGINT)",
         "rows_read": "p_read", "rows_valid": "p_valid", "rows_quarantined": "p_quarantined", "rows_written": "p_written",
         "error": "CAST(NULL AS STRING)", "started_at": as_of_sql, "completed_at": "CAST(NULL AS TIMESTAMP)",
+        "content_digest": "p_digest",
     } | values
     return run.selectExpr(*[f"{e} AS {c}" for c, e in sql.items()])
 
@@ -88,12 +90,13 @@ def _claim(store: StateStore, wanted: DataFrame, stage: str, *, as_of_sql: str,
     def decide(head: Head) -> Change | None:
         decided = L.claim_decisions(
             wanted, store.ledger(head), as_of_sql=as_of_sql, stale_after_seconds=stale_after_seconds,
-            owner=correlation, carry=("correlation_id", "attempt", *counters),
+            owner=correlation, carry=("correlation_id", "attempt", "content_digest", *counters),
         )
         claims = decided.filter(f"decision <> '{L.SKIP}'").selectExpr(
             "*", "coalesce(run_id, xxhash64(source, source_object_id, source_version)) AS run",
         ).selectExpr(
             *wanted.columns, "run", "CAST(resume_from AS BIGINT) AS resume_from", "coalesce(attempt, 0) + 1 AS attempt_",
+            "content_digest AS p_digest",
             *[f"coalesce({c}, 0) AS p_{c.removeprefix('rows_')}" for c in counters],
         ).withColumnRenamed("attempt_", "attempt")
         held.append(_staged(claims, f"{stage}/claims-{len(held)}"))
@@ -214,18 +217,21 @@ def ingest_files(
         return spark.createDataFrame([], SUMMARY_SCHEMA)
 
     # The only read of the landing files; everything after reads the staged rows.
-    rows = _staged(CSV.read_files(claims), f"{stage}/rows")
-    closing = rows.filter(f"{S.ROW_ORDINAL} IS NULL").select("path", "_rows", "_usable", "_error")
-    data = rows.filter(f"{S.ROW_ORDINAL} IS NOT NULL").drop("_rows", "_usable", "_error")
-    seen = data.groupBy("path").agg(F.count("*").alias("_seen"))
+    pieces = _staged(CSV.read_files(claims), f"{stage}/rows")
+    seen = pieces.filter(f"{S.ROW_ORDINAL} IS NOT NULL").groupBy("path").agg(F.count("*").alias("_seen"))
     lost = "CASE WHEN _rows IS NULL OR _rows <> coalesce(_seen, 0) THEN 'rows read and rows kept differ' END"
-    files = claims.join(closing, "path", "left").join(seen, "path", "left").selectExpr(
-        "path", "name", "version", "run", "resume_from", f"coalesce(_error, {lost}) AS error",
-        # of a file that fails the whole chunks before the fault count, of an altered one none
-        f"CASE WHEN _error IS NULL THEN CASE WHEN {lost} IS NULL THEN _rows ELSE 0 END "
+    other = (
+        "CASE WHEN resume_from > 0 AND split(p_digest, ':')[0] = split(_digest, ':')[0] AND p_digest <> _digest "
+        f"THEN '{OTHER_BYTES}' END"
+    )
+    # of a file that fails the whole chunks before the fault count, of an altered one none
+    files = claims.join(CSV.closings(pieces), "path", "left").join(seen, "path", "left").selectExpr(
+        "path", "name", "version", "run", "resume_from", "_digest", f"coalesce({other}, _error, {lost}) AS error",
+        f"CASE WHEN coalesce({other}, {lost}) IS NOT NULL THEN 0 WHEN _error IS NULL THEN _rows "
         f"ELSE floor(_usable / {chunk_size}) * {chunk_size} END AS usable",
     )
     files = _numbered(files, "name", S.FILE_ORDINAL, f"{stage}/files")
+    data = CSV.numbered(pieces)
     data = data.join(files.selectExpr("path", f"name AS {S.SOURCE_OBJECT}", S.FILE_ORDINAL, "resume_from", "usable"), "path")
     data = CSV.assign_chunks(CSV.with_fields(data.filter(f"{S.ROW_ORDINAL} <= usable")), chunk_size=chunk_size)
     data = data.filter(f"{S.CHUNK_INDEX} > resume_from").drop("path", "resume_from", "usable")
@@ -233,6 +239,11 @@ def ingest_files(
         data, as_of=as_of_sql, payload_sql=P.MAP_PAYLOAD_SQL, missing_sql=P.MAP_MISSING_SQL
     ).staged(f"{stage}/marked")
     errors = files.filter("error IS NOT NULL").select("run", "error")
+    # what the next attempt must find: the bytes of this one, or of the one that it resumed
+    kept = files.selectExpr("run AS _run", "_digest", f"coalesce(error = '{OTHER_BYTES}', false) AS _other")
+    claims = claims.join(kept, F.col("run") == F.col("_run"), "left").withColumn(
+        "p_digest", F.expr("CASE WHEN _other THEN p_digest ELSE coalesce(_digest, p_digest) END")
+    ).drop("_run", "_digest", "_other")
     tagged = _commit(store, batch, claims, errors, stage, name="name", as_of_sql=as_of_sql, correlation=correlation)
     summaries = files.selectExpr(
         "name AS source_object", "CASE WHEN error IS NULL THEN 'completed' ELSE 'failed' END AS run_status", "error"

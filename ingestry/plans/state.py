@@ -58,6 +58,7 @@ LEDGER_SCHEMA = T.StructType(
         T.StructField("error", T.StringType()),
         T.StructField("started_at", T.TimestampType()),
         T.StructField("completed_at", T.TimestampType()),
+        T.StructField("content_digest", T.StringType()),
     ]
 )
 CHECKPOINT_SCHEMA = T.StructType(

@@ -26,19 +26,18 @@ INT_TEXT = r"^[+-]?[0-9]+$"
 DECIMAL_TEXT = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
 
 # ISO 8601 with a mandatory zone: extended or basic date, HH[:MM[:SS[.f]]], Z or
-# +HH[:MM[:SS]] (colons optional). One guard regex, then two parse patterns.
+# +HH[:MM[:SS]], with colons or without.
+TS_ZONE = r"(Z|[+-][0-9]{2}(:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,6})?)?|[0-9]{2}([0-9]{2}(\.[0-9]{1,6})?)?)?)$"
 TS_GUARD = (
     r"^[0-9]{4}(-[0-9]{2}-[0-9]{2}T[0-9]{2}(:[0-9]{2}(:[0-9]{2}([.,][0-9]+)?)?)?"
-    r"|[0-9]{4}T[0-9]{2}([0-9]{2}([0-9]{2}([.,][0-9]+)?)?)?)"
-    r"(Z|[+-][0-9]{2}(:?[0-9]{2}(:?[0-9]{2}(\.[0-9]{1,6})?)?)?)$"
+    r"|[0-9]{4}T[0-9]{2}([0-9]{2}([0-9]{2}([.,][0-9]+)?)?)?)" + TS_ZONE
 )
-TS_EXTENDED = "yyyy-MM-dd'T'HH[:mm[:ss[.SSSSSS]]]"
-TS_BASIC = "yyyyMMdd'T'HH[mm[ss[.SSSSSS]]]"
-ZONES = "[XXXXX][XX][X]"
-# Zones that the patterns read themselves; the others, up to a day, are moved by arithmetic.
-TS_NEAR = r"(Z|[+-](0[0-9]|1[0-7])(:?[0-5][0-9](:?[0-5][0-9])?)?)$"
-TS_ZONE = r"(Z|[+-][0-9]{2}(:?[0-9]{2}(:?[0-9]{2}(\.[0-9]{1,6})?)?)?)$"
-TS_OFFSET = r"^[+-]([01][0-9]|2[0-3])([0-5][0-9]([0-5][0-9](\.[0-9]+)?)?)?$"
+# What a cast reads as it stands: all parts, extended, a zone within its reach; years from 2 on.
+TS_PLAIN = (
+    r"^(?!000[01])[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}([.,][0-9]+)?"
+    r"(Z|[+-](0[0-9]|1[0-7])(:?[0-5][0-9])?)$"
+)
+TS_OFFSET = r"^(Z|[+-]([01][0-9]|2[0-3])([0-5][0-9]([0-5][0-9](\.[0-9]+)?)?)?)$"
 
 
 def sql_str(value: str) -> str:
@@ -97,41 +96,30 @@ def grade_sql(t: str) -> str:
     )
 
 
-def timestamp_raw_sql(t: str) -> str:
-    """Guarded ISO 8601 parse (before the year floor of `timestamp_floor_sql`)."""
-    norm = f"regexp_replace(translate({t}, ',', '.'), {sql_str(r'(\.[0-9]{6})[0-9]+')}, '$1')"
-    near = (
-        f"coalesce(try_to_timestamp({norm}, {sql_str(TS_EXTENDED + ZONES)}), "
-        f"try_to_timestamp({norm}, {sql_str(TS_BASIC + ZONES)}))"
+def timestamp_sql(t: str) -> str:
+    """Guarded ISO 8601 parse. Values as TS_PLAIN takes them are cast; the others (basic form,
+    missing minutes or seconds, far zones) are put into that form as UTC and moved by their
+    offset. No lambda: those would end whole-stage code generation for the whole cascade.
+
+    Year-0001 values with a positive offset fall before 0001-01-01 UTC; Python cannot represent
+    them, we reject them."""
+    local = f"translate(regexp_replace({t}, '(Z|[+-][0-9:.]+)$', ''), ',-:T', '.')"
+    shaped = (
+        f"regexp_replace(concat(rpad(substr({local}, 1, 14), 14, '0'), substr({local}, 15), 'Z'), "
+        "'^(....)(..)(..)(..)(..)(..)', '$1-$2-$3T$4:$5:$6')"
     )
-    # A farther zone: the local time is read as UTC, then moved by its offset.
-    let = "get(transform(array({0}), {1} -> {2}), 0)"
     zone = f"replace(regexp_extract({t}, {sql_str(TS_ZONE)}, 1), ':', '')"
-    local = f"regexp_replace(translate(regexp_replace({t}, {sql_str(TS_ZONE)}, ''), ',', '.'), {sql_str(r'(\.[0-9]{6})[0-9]+')}, '$1')"
-    parsed = let.format(local, "l", f"coalesce(try_to_timestamp(l, {sql_str(TS_EXTENDED)}), try_to_timestamp(l, {sql_str(TS_BASIC)}))")
-    part = "coalesce(try_cast(nullif(substr(z, {0}, {1}), '') AS {2}), 0)"
-    micros = (
-        f"CAST(({part.format(2, 2, 'BIGINT')} * 3600 + {part.format(4, 2, 'BIGINT')} * 60 "
-        f"+ {part.format(6, 9, 'DECIMAL(12,6)')}) * 1000000 AS BIGINT)"
-    )
-    moved = (
-        f"CASE WHEN z = 'Z' THEN {parsed} WHEN z RLIKE {sql_str(TS_OFFSET)} "
-        f"THEN timestampadd(MICROSECOND, if(left(z, 1) = '-', 1, -1) * {micros}, {parsed}) END"
-    )
-    return (
-        f"CASE WHEN {t} RLIKE {sql_str(TS_GUARD)} THEN "
-        f"CASE WHEN {t} RLIKE {sql_str(TS_NEAR)} THEN {near} ELSE {let.format(zone, 'z', moved)} END END"
-    )
 
+    def part(at: int, width: int, kind: str) -> str:
+        return f"coalesce(try_cast(nullif(substr({zone}, {at}, {width}), '') AS {kind}), 0)"
 
-def timestamp_floor_sql(x: str) -> str:
-    """Year-0001 values with a positive offset fall before 0001-01-01 UTC; Python
-    cannot represent them, we reject them."""
-    return f"CASE WHEN {x} >= TIMESTAMP'0001-01-01 00:00:00' THEN {x} END"
-
-
-def timestamp_sql(t: str) -> str:
-    return timestamp_floor_sql(f"({timestamp_raw_sql(t)})")
+    micros = f"CAST(({part(2, 2, 'BIGINT')} * 3600 + {part(4, 2, 'BIGINT')} * 60 + {part(6, 9, 'DECIMAL(12,6)')}) * 1000000 AS BIGINT)"
+    moved = f"timestampadd(MICROSECOND, if(left({zone}, 1) = '-', 1, -1) * {micros}, try_cast({shaped} AS TIMESTAMP))"
+    return (
+        f"CASE WHEN {t} RLIKE {sql_str(TS_PLAIN)} THEN try_cast(translate({t}, ',', '.') AS TIMESTAMP) "
+        f"WHEN {t} RLIKE {sql_str(TS_GUARD)} AND {zone} RLIKE {sql_str(TS_OFFSET)} AND {moved} >= TIMESTAMP'0001-01-01 00:00:00' "
+        f"THEN {moved} END"
+    )
 
 
 def iso_utc_sql(ts: str) -> str:

@@ -49,11 +49,9 @@ def parsed_columns(df: DataFrame, fields: Sequence[str] = S.CANONICAL_FIELDS) ->
             "*",
             f"{C.email_sql(c('email'))} AS _email",
             f"{C.status_sql(c('enrollment_status'))} AS _status",
-            f"{C.timestamp_raw_sql(c('updated_at'))} AS _ts_raw",
+            f"{C.timestamp_sql(c('updated_at'))} AS _ts",
             f"{C.grade_sql(c('grade_level'))} AS _grade",
         )
-        .selectExpr("*", f"{C.timestamp_floor_sql('_ts_raw')} AS _ts")
-        .drop("_ts_raw")
     )
 
 

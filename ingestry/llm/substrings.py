@@ -1,4 +1,4 @@
-"""Operator 2, suffix-array dedup: equal ranks of suffixes, over shards by anchor.
+"""Operator 2, suffix-array dedup: longest-previous-factor arrays, over shards by anchor.
 
 Suffixes of all texts can't be sorted in one place, so they are split by content first. A
 string of ``length`` bytes has an anchor, its 32-byte gram of the smallest hash (the first
@@ -6,17 +6,21 @@ of equals); equal strings have equal anchors at the same offset. All strings of
 place are a context, a stretch of text of at most 2 x length bytes.
 
 1. Every document's contexts, by 128-bit hash, with their places; narrow rows, staged.
-2. An anchor that occurs once has no repeat. If all its contexts are equal, every string in
-   them repeats. Neither needs any text.
+2. An anchor that occurs once has no repeat, and its rows are dropped before any shuffle but
+   that of the count. If all contexts of an anchor are equal, every string in them repeats.
+   Neither needs any text.
 3. Of the anchors with different contexts, one text of each different context is fetched
-   and the contexts of an anchor meet in one task: a suffix array (prefix doubling up to
-   length bytes) puts equal strings side by side, ordered by place: a string repeats earlier if
-   its predecessor has the same rank, and later if its successor does. Only whether length
-   bytes are shared is asked, so no LCP or longest-previous-factor values are computed. An
-   anchor with more than ``max_contexts`` different contexts is compared string by string,
+   and the contexts of an anchor meet in one task, in order of place. There a suffix array
+   (prefix doubling) and the common prefixes of its neighbours give, by the previous and next
+   smaller positions in suffix order, every position's longest previous factor (LPF): a string
+   repeats earlier if LPF >= length. Larger positions give the longest next factor likewise.
+   An anchor with more than ``max_contexts`` different contexts is compared string by string,
    by 128-bit hashes, which spreads over all tasks.
 4. The strings found give the byte spans to remove, which join the texts again.
 
+Whole texts are shuffled only where a sieve of fixed size (`common.sieve`) says that the
+document may be wanted: for a fetch in step 3, for a cut in step 4. All others pass through.
+
 ``keep="first"`` removes all but the first copy (by id, text hash, position); ``keep="none"``
 removes every byte of a repeated string. Strings are judged on the input.
 
@@ -33,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ingestry.llm.common import stage
+from ingestry.llm.common import sieve, sifted, stage
 
 LENGTH = 400
 GRAM = 32
@@ -121,26 +125,75 @@ def _contexts(length: int, gram: int, id_type):
 
 
 def suffix_ranks(text: bytes, left, length: int):
-    """Rank of the string of length bytes at every position that has so many left (left: the
-    bytes to the end of the position's context), by prefix doubling; equal ranks are equal
-    strings."""
+    """[(size, ranks)]: the rank of the string of `size` bytes at every position that has so many
+    left (left: the bytes to the end of the position's context), by prefix doubling up to
+    length; equal ranks are equal strings."""
     import numpy as np
 
     def ranked(at, keys):
         order = np.argsort(keys)
         keys = keys[order]
+        rank = np.zeros(len(text), dtype=np.int32)
         rank[at[order]] = np.cumsum(np.concatenate([[False], keys[1:] != keys[:-1]]), dtype=np.int32)
+        return rank
 
-    rank = np.zeros(len(text), dtype=np.int32)
     at = np.flatnonzero(left >= 8).astype(np.int32)
-    ranked(at, np.ndarray(len(text) - 7, dtype=">u8", buffer=text, strides=(1,))[at].astype(np.uint64))
-    size = 8
-    while size < length:
+    levels = [(8, ranked(at, np.ndarray(len(text) - 7, dtype=">u8", buffer=text, strides=(1,))[at].astype(np.uint64)))]
+    while levels[-1][0] < length:
+        size, rank = levels[-1]
         step = min(size, length - size)
-        size += step
-        at = np.flatnonzero(left >= size).astype(np.int32)
-        ranked(at, rank[at].astype(np.int64) * len(rank) + rank[at + step])
-    return at, rank[at]
+        at = np.flatnonzero(left >= size + step).astype(np.int32)
+        levels.append((size + step, ranked(at, rank[at].astype(np.int64) * len(rank) + rank[at + step])))
+    return levels
+
+
+def neighbour_prefixes(text: bytes, order, levels, length: int):
+    """Bytes that each suffix of `order` shares with the one before it, at most length."""
+    import numpy as np
+
+    a, b = order[:-1], order[1:]
+    whole = levels[-1][1]
+    shared = np.where(whole[a] == whole[b], length, 0)
+    rest = np.flatnonzero(shared == 0)
+    a, b = a[rest], b[rest]
+    off = np.zeros(len(rest), dtype=np.int64)
+    for size, rank in reversed(levels[:-1]):
+        # beyond length there is nothing shared here, nor a rank to look at
+        fits = off + size <= length
+        at = np.where(fits, off, 0)
+        off += np.where(fits & (rank[a + at] == rank[b + at]), size, 0)
+    raw = np.frombuffer(text, dtype=np.uint8)
+    same = np.ones(len(rest), dtype=bool)
+    for _ in range(7):
+        same &= raw[a + off] == raw[b + off]
+        off += same
+    shared[rest] = off
+    return shared
+
+
+def longest_factors(order, shared, *, previous: bool = True):
+    """For each suffix of `order` the longest prefix that it shares with one that begins earlier
+    (or later, without `previous`): the larger of those shared with its nearest neighbours in
+    suffix order that do. All pointers jump at once, over neighbours that have jumped before."""
+    import numpy as np
+
+    n = len(order)
+    key = order.astype(np.int64) if previous else -order.astype(np.int64)
+    best = np.zeros(n, dtype=np.int64)
+    for turn in (1, -1):
+        k, lcp = key[::turn], shared[::turn]
+        keyed = np.concatenate([[np.iinfo(np.int64).min], k])  # nothing beyond the end is smaller
+        to = np.arange(n + 1) - 1
+        to[0] = 0
+        least = np.concatenate([[0, 0], lcp]).astype(np.int64)  # shared with all on the way to `to`
+        work = np.arange(1, n + 1)
+        while len(work := work[keyed[to[work]] > keyed[work]]):
+            via = to[work]
+            least[work] = np.minimum(least[work], least[via])
+            to[work] = to[via]
+        found = np.where(to[1:] == 0, 0, least[1:])
+        best = np.maximum(best, found[::turn])
+    return best
 
 
 def repeats(contexts: list[bytes], length: int, keep: str) -> list[list[tuple[int, int]]]:
@@ -152,14 +205,14 @@ def repeats(contexts: list[bytes], length: int, keep: str) -> list[list[tuple[in
     sizes = np.array([len(c) for c in contexts])
     edges = np.concatenate([[0], np.cumsum(sizes)])
     left = np.repeat(edges[1:].astype(np.int32), sizes) - np.arange(len(text), dtype=np.int32)
-    starts, ranks = suffix_ranks(text, left, length)
-    by = np.argsort(ranks, kind="stable")  # the suffix array, ties by place
-    order, ranks = starts[by], ranks[by]
-    same = ranks[1:] == ranks[:-1]
+    levels = suffix_ranks(text, left, length)
+    starts = np.flatnonzero(left >= length).astype(np.int32)
+    order = starts[np.argsort(levels[-1][1][starts], kind="stable")]  # the suffix array, ties by place
+    shared = neighbour_prefixes(text, order, levels, length)
     hit = np.zeros(len(text), dtype=bool)
-    hit[order[1:][same]] = True  # the predecessor, a smaller position, shares length bytes
+    hit[order[longest_factors(order, shared) >= length]] = True
     if keep == "none":
-        hit[order[:-1][same]] = True  # so does the successor
+        hit[order[longest_factors(order, shared, previous=False) >= length]] = True
     out = []
     for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
         own = np.concatenate([[False], hit[a : b - length + 1], [False]])
@@ -172,7 +225,8 @@ _RUNS = "array<struct<low:int,high:int>>"
 
 
 def _by_suffix_array(length: int, keep: str):
-    """Batches (g, c1, c2, bytes), sorted by g and place, to (g, c1, c2, runs)."""
+    """Batches (g, c1, c2, bytes), sorted by g and place, to (g, c1, c2, runs). A context of
+    which several equal rows sent the text comes more than once, one after the other."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def packed(rows):
@@ -184,6 +238,8 @@ def _by_suffix_array(length: int, keep: str):
         rows, size = [], 0
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in range(4))):
+                if rows and rows[-1][:3] == row[:3]:
+                    continue
                 if size > SORT_BYTES and rows[-1][0] != row[0]:
                     yield packed(rows)
                     rows, size = [], 0
@@ -229,25 +285,33 @@ def _by_hash(texts: DataFrame, length: int, keep: str) -> DataFrame:
     )
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches (text, wanted array of (g, c1, c2, start, stop)) to (g, c1, c2, bytes)."""
-    for batch in batches:
-        rows, size = [], 0
+def _slices(id_type):
+    """Batches (id, th, text, wanted array of (g, c1, c2, start, stop)) to a row (g, c1, c2, id,
+    th, at, bytes) for each of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = [pa.int64(), pa.int64(), pa.int64(), id_type, pa.int64(), pa.int32(), pa.binary()]
 
         def packed(rows):
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=["g", "c1", "c2", "bytes"])
-
-        for text, wanted in zip(batch.column(0), batch.column(1)):
-            text = text.as_py()
-            for w in wanted.as_py():
-                rows.append((w["g"], w["c1"], w["c2"], text[w["start"] : w["stop"]]))
-                size += w["stop"] - w["start"]
-                if size > SORT_BYTES:
-                    yield packed(rows)
-                    rows, size = [], 0
-        if rows:
-            yield packed(rows)
+            return pa.RecordBatch.from_arrays([pa.array(c, type=k) for c, k in zip(zip(*rows), kinds)], names=SLICE)
+
+        for batch in batches:
+            rows, size = [], 0
+            for doc, th, text, wanted in zip(*(batch.column(k) for k in range(4))):
+                doc, th, text = doc.as_py(), th.as_py(), text.as_py()
+                for w in wanted.as_py():
+                    rows.append((w["g"], w["c1"], w["c2"], doc, th, w["start"], text[w["start"] : w["stop"]]))
+                    size += w["stop"] - w["start"]
+                    if size > SORT_BYTES:
+                        yield packed(rows)
+                        rows, size = [], 0
+            if rows:
+                yield packed(rows)
+
+    return run
+
+
+SLICE = ["g", "c1", "c2", "id", "th", "at", "bytes"]
 
 
 def repeated_spans(
@@ -260,34 +324,42 @@ def repeated_spans(
     kind = docs.schema["_id"].dataType
     schema = f"id {kind.simpleString()}, th long, g long, c1 long, c2 long, at array<int>, n int"
     places = stage(docs.mapInArrow(_contexts(length, gram, to_arrow_type(kind)), schema), "contexts")
+    # Anchors that stand somewhere twice; what passes their sieve is all that moves on.
+    twice = places.groupBy("g").agg(F.sum(F.size("at")).alias("all")).filter("all > 1").select("g")
+    twice = stage(twice, "anchors")
+    places = stage(sifted(places, sieve(twice, "g"), "g")[0].join(twice, "g", "left_semi"), "repeated")
     # One row per different context, with its first place.
     different = places.groupBy("g", "c1", "c2").agg(
         F.sum(F.size("at")).alias("copies"), F.min("n").alias("n"), F.min(F.struct("id", "th", F.col("at")[0].alias("at"))).alias("place")
     )
     different = stage(different, "different")
-    met = different.groupBy("g").agg(
-        F.sum("copies").alias("all"), F.min("copies").alias("fewest"), F.count("*").alias("kinds")
-    )
-    judged = stage(different.join(met.filter("all > 1"), "g"), "anchors")
+    met = different.groupBy("g").agg(F.min("copies").alias("fewest"), F.count("*").alias("kinds"))
+    judged = stage(different.join(met, "g"), "judged")
     mixed = judged.filter("kinds > 1")
     if keep == "none":
         mixed = mixed.filter("fewest = 1")  # of the others every string repeats anyway
-    wanted = mixed.select(
-        F.col("place.id").alias("id"),
-        F.col("place.th").alias("th"),
-        F.struct("g", "c1", "c2", F.col("place.at").alias("start"), (F.col("place.at") + F.col("n") + length - 1).alias("stop")).alias("w"),
-    )
-    wanted = wanted.groupBy("id", "th").agg(F.collect_list("w").alias("wanted"))
-    # Rows of equal id and text are alike: one of them is read.
-    texts = docs.join(wanted, docs["_id"].eqNullSafe(wanted["id"]) & (docs["th"] == wanted["th"])).select("_text", "wanted")
-    slices = texts.mapInArrow(_slices, "g long, c1 long, c2 long, bytes binary")
-    fetched = stage(slices.join(mixed.select("g", "c1", "c2", "place", "kinds"), ["g", "c1", "c2"]), "slices")
-    few = fetched.filter(F.col("kinds") <= max_contexts).dropDuplicates(["g", "c1", "c2"])
-    few = few.repartition("g").sortWithinPartitions("g", "place").select("g", "c1", "c2", "bytes")
-    runs = few.mapInArrow(_by_suffix_array(length, keep), f"g long, c1 long, c2 long, runs {_RUNS}")
-    if mixed.filter(F.col("kinds") > max_contexts).limit(1).count():
-        many = fetched.filter(F.col("kinds") > max_contexts).dropDuplicates(["g", "c1", "c2"])
-        runs = runs.union(_by_hash(many, length, keep))
+
+    def fetched(contexts: DataFrame) -> DataFrame:
+        """The texts of contexts, from the documents of their first places."""
+        wanted = contexts.select(
+            F.col("place.id").alias("id"),
+            F.col("place.th").alias("th"),
+            F.struct("g", "c1", "c2", F.col("place.at").alias("start"), (F.col("place.at") + F.col("n") + length - 1).alias("stop")).alias("w"),
+        )
+        wanted = wanted.groupBy("id", "th").agg(F.collect_list("w").alias("wanted"))
+        own = sifted(docs, sieve(contexts.select("place.th"), "th"), "th")[0]
+        # Rows of equal id and text are alike, and send the same.
+        texts = own.join(wanted, own["_id"].eqNullSafe(wanted["id"]) & (own["th"] == wanted["th"]))
+        texts = texts.select("id", own["th"], "_text", "wanted")
+        slices = f"g long, c1 long, c2 long, id {kind.simpleString()}, th long, at int, bytes binary"
+        return texts.mapInArrow(_slices(to_arrow_type(kind)), slices)
+
+    few = fetched(mixed.filter(F.col("kinds") <= max_contexts)).repartition("g").sortWithinPartitions("g", "id", "th", "at")
+    runs = few.select("g", "c1", "c2", "bytes").mapInArrow(_by_suffix_array(length, keep), f"g long, c1 long, c2 long, runs {_RUNS}")
+    large = mixed.filter(F.col("kinds") > max_contexts)
+    if large.limit(1).count():
+        many = stage(fetched(large), "slices").dropDuplicates(["g", "c1", "c2"])
+        runs = runs.union(_by_hash(many.withColumn("place", F.struct("id", "th", "at")), length, keep))
     whole = F.array(F.struct(F.lit(0).alias("low"), F.col("n").alias("high")))
     none = F.expr(f"cast(array() as {_RUNS})")
     judged = judged.join(runs, ["g", "c1", "c2"], "left").select("g", "c1", "c2", "place", "copies", F.coalesce("runs", none).alias("runs"))
@@ -353,7 +425,10 @@ def dedup(
     kind = docs.schema[id_col].dataType
     rows = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text_col).alias("th"), F.col(text_col).cast("binary").alias("_text"))
     spans = repeated_spans(rows, length, keep, max_contexts, gram)
-    joined = rows.join(spans, rows["_id"].eqNullSafe(spans["id"]) & (rows["th"] == spans["th"]), "left").select("_id", "_text", "spans")
+    spans = stage(spans, "spans")
+    some, rest = sifted(rows, sieve(spans, "th"), "th")
+    joined = some.join(spans, some["_id"].eqNullSafe(spans["id"]) & (some["th"] == spans["th"]), "left").select("_id", "_text", "spans")
+    joined = joined.unionByName(rest.select("_id", "_text"), allowMissingColumns=True)
     schema = f"_id {kind.simpleString()}, bytes binary, kept binary, removed array<struct<a:int,b:int>>"
     out = joined.mapInArrow(_cut(to_arrow_type(kind)), schema)
     return out.select(F.col("_id").alias(id_col), F.octet_length("bytes").cast("long").alias("n_bytes"), "kept", "removed")

@@ -315,3 +315,56 @@ def test_registered(name):
     import __spark_entry__
 
     assert sum(q == name or q.startswith(name + "_") for q in __spark_entry__.queries()) == 1
+
+
+def test_longest_factors():
+    """LPF and its mirror image against all pairs, within the contexts' ends and capped."""
+    rng = random.Random(8)
+    for length in (8, 24, 40):
+        for _ in range(25):
+            parts = [bytes(rng.choice(b"ab") for _ in range(rng.randint(length, 2 * length))) for _ in range(rng.randint(1, 6))]
+            parts += rng.sample(parts, rng.randint(0, len(parts)))
+            text = b"".join(parts)
+            ends = np.cumsum([len(p) for p in parts])
+            left = np.concatenate([e - np.arange(e - len(p), e) for p, e in zip(parts, ends)])
+            levels = substrings.suffix_ranks(text, left, length)
+            starts = np.flatnonzero(left >= length)
+            order = starts[np.argsort(levels[-1][1][starts], kind="stable")]
+            shared = substrings.neighbour_prefixes(text, order, levels, length)
+
+            def common(i, j):
+                n = 0
+                while n < length and text[i + n] == text[j + n]:
+                    n += 1
+                return n
+
+            assert shared.tolist() == [common(a, b) for a, b in zip(order, order[1:])]
+            for previous in (True, False):
+                got = dict(zip(order.tolist(), substrings.longest_factors(order, shared, previous=previous).tolist()))
+                for i in starts.tolist():
+                    others = [j for j in starts.tolist() if (j < i if previous else j > i)]
+                    assert got[i] == max((common(i, j) for j in others), default=0)
+
+
+def test_sieve(spark):
+    from ingestry.llm.common import sieve, sifted
+
+    rows = spark.range(5000).selectExpr("id", "id * 7 AS k")
+    passed, rest = sifted(rows, sieve(rows.filter("id % 10 = 3"), "k"), "k")
+    passed, rest = {r.id for r in passed.collect()}, {r.id for r in rest.collect()}
+    assert {n for n in range(5000) if n % 10 == 3} <= passed and not passed & rest and len(passed | rest) == 5000
+    assert len(passed) < 520
+    assert sifted(rows, sieve(rows.limit(0), "k"), "k")[0].count() == 0
+
+
+def test_substring_dedup_registered(spark):
+    from ingestry.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    want = python_cut(rows, 400, "none")
+    for r in QUERIES["op2_suffix_array_dedup"](spark, sf).collect():
+        n, kept, spans = want.pop(r.doc_id)
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (n, n - len(kept), len(spans))
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+    assert not want

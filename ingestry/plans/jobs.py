@@ -171,6 +171,7 @@ def run_csv_job(
     stale_after_seconds: int = 3600,
     processed_root: str | None = None,
     raise_on_failure: bool = True,
+    split: int | None = None,
 ) -> DataFrame:
     """Scan landing, claim new, failed and stale file versions, ingest, merge, record.
 
@@ -182,7 +183,7 @@ def run_csv_job(
     return ingest_files(
         spark, CSV.eligible_files(spark, landing_root), state_root, chunk_size=chunk_size, as_of_sql=as_of_sql,
         correlation_id=correlation_id, stale_after_seconds=stale_after_seconds, processed_root=processed_root,
-        raise_on_failure=raise_on_failure,
+        raise_on_failure=raise_on_failure, split=split,
     )
 
 
@@ -197,6 +198,7 @@ def ingest_files(
     stale_after_seconds: int = 3600,
     processed_root: str | None = None,
     raise_on_failure: bool = True,
+    split: int | None = None,
 ) -> DataFrame:
     """`run_csv_job` over a given listing (`path`, `name`, `version`)."""
     if chunk_size < 1:
@@ -217,7 +219,7 @@ def ingest_files(
         return spark.createDataFrame([], SUMMARY_SCHEMA)
 
     # The only read of the landing files; everything after reads the staged rows.
-    pieces = _staged(CSV.read_files(claims), f"{stage}/rows")
+    pieces = _staged(CSV.read_files(claims, split=split), f"{stage}/rows")
     seen = pieces.filter(f"{S.ROW_ORDINAL} IS NOT NULL").groupBy("path").agg(F.count("*").alias("_seen"))
     lost = "CASE WHEN _rows IS NULL OR _rows <> coalesce(_seen, 0) THEN 'rows read and rows kept differ' END"
     other = (
@@ -225,7 +227,7 @@ def ingest_files(
         f"THEN '{OTHER_BYTES}' END"
     )
     # of a file that fails the whole chunks before the fault count, of an altered one none
-    files = claims.join(CSV.closings(pieces), "path", "left").join(seen, "path", "left").selectExpr(
+    files = claims.join(CSV.closings(pieces, split=split), "path", "left").join(seen, "path", "left").selectExpr(
         "path", "name", "version", "run", "resume_from", "_digest", f"coalesce({other}, _error, {lost}) AS error",
         f"CASE WHEN coalesce({other}, {lost}) IS NOT NULL THEN 0 WHEN _error IS NULL THEN _rows "
         f"ELSE floor(_usable / {chunk_size}) * {chunk_size} END AS usable",

@@ -524,6 +524,50 @@ oracle(
 FROM events""",
 )
 
+# ---------------------------------------------------------------- whole jobs and streams
+oracle(
+    "csv_job_target",
+    _STU,
+    f"SELECT {_TARGET_COLS}, TIMESTAMP '{AS_OF}' AS ingested_at, TIMESTAMP '{AS_OF}' AS last_written_at FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY student_id ORDER BY updated_at DESC, _file_ordinal, _chunk_index) AS rn "
+    "FROM students) WHERE rn = 1",
+)
+CTES["job_actions"] = """
+SELECT *, prev IS NULL OR updated_at > prev AS written FROM (
+  SELECT *, max(updated_at) OVER (PARTITION BY student_id ORDER BY _file_ordinal, _chunk_index
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM students)
+"""
+oracle(
+    "csv_job_report",
+    (*_CLS, "valid", "rejected", "marked", "losers", "quarantine_all", "survivors", "students", "job_actions"),
+    "SELECT 'reject' AS kind, reason_code AS name, field, count(*) AS n FROM quarantine_all GROUP BY ALL UNION ALL "
+    "SELECT 'completed', 'rows_read', NULL, count(*) FROM dirty_records UNION ALL "
+    "SELECT 'completed', 'rows_valid', NULL, count(*) FROM students UNION ALL "
+    "SELECT 'completed', 'rows_quarantined', NULL, count(*) FROM quarantine_all UNION ALL "
+    "SELECT 'completed', 'rows_written', NULL, count(*) FILTER (written) FROM job_actions UNION ALL "
+    "SELECT 'archived', 'whole', NULL, 0",
+)
+oracle(
+    "csv_ranges",
+    ("dirty_records",),
+    "SELECT student_id, CASE WHEN grade_level IS NOT NULL THEN updated_at END AS updated_at, "
+    "CASE WHEN grade_level IS NOT NULL THEN guardian_contact END AS guardian_contact, "
+    "CASE WHEN _has_extra AND grade_level IS NOT NULL AND guardian_contact IS NOT NULL THEN 'unexpected' END AS surplus, "
+    "CAST(1 AS BIGINT) AS lines_above FROM dirty_records",
+)
+CTES["stream_chunks"] = """
+SELECT *, count(*) OVER (PARTITION BY student_id, g) AS submitted,
+  row_number() OVER (PARTITION BY student_id, g ORDER BY updated_at DESC, o DESC) AS rn
+FROM (SELECT *, _file_ordinal % 3 AS g, _file_ordinal * 1000 + _row_ordinal AS o FROM students)
+"""
+oracle(
+    "stream_merge_actions",
+    (*_STU, "stream_chunks"),
+    "SELECT student_id, updated_at, o AS place, CASE WHEN prev IS NULL THEN 'inserted' WHEN updated_at > prev THEN 'updated' "
+    "ELSE 'skipped' END AS action, submitted FROM (SELECT *, max(updated_at) OVER (PARTITION BY student_id ORDER BY g "
+    "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev FROM stream_chunks WHERE rn = 1)",
+)
+
 # ---------------------------------------------------------------- U1 / A3 / V11
 _QU = (*_CLS, "valid", "rejected", "marked", "losers", "quarantine_all")
 oracle("quarantine_union", _QU, "SELECT source_object, chunk_index, row_ordinal, student_id, reason_code, field, detail, r_student_id, r_email, r__extra_columns, r__source_line, n_keys FROM quarantine_all")

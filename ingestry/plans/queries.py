@@ -355,3 +355,4 @@ def cross_source_latest(spark, sf_dir):
     return after_api.select("student_id", ntz("updated_at").alias("updated_at"), "source_system", "email")
 
 from ingestry.plans import queries_ops as _ops  # noqa: E402,F401  (registers the rest)
+from ingestry.plans import queries_jobs as _jobs  # noqa: E402,F401

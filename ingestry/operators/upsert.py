@@ -32,11 +32,11 @@ PAYLOAD = tuple(c for c in S.TARGET_COLUMNS if c not in WRITTEN)
 
 
 def _merge_rows(target: DataFrame, winners: DataFrame, as_of: Column, key: str, payload: Sequence[str]) -> DataFrame:
-    """Full outer join of unique-key sides; `winners` carry `_accept` (bool)."""
+    """Full outer join of unique-key sides; a winner is taken if it is strictly newer."""
     t = target.select(*[F.col(c).alias(f"t_{c}") for c in (*payload, *WRITTEN)])
-    w = winners.select(*[F.col(c).alias(f"s_{c}") for c in (*payload, "_accept")])
+    w = winners.select(*[F.col(c).alias(f"s_{c}") for c in payload])
     joined = t.join(w, F.col(f"t_{key}") == F.col(f"s_{key}"), "full_outer").withColumn("_as_of", as_of)
-    take = "coalesce(s__accept, false)"
+    take = f"coalesce(t_{key} IS NULL OR s_updated_at > t_updated_at, false)"
     return joined.selectExpr(
         *[f"CASE WHEN {take} THEN s_{c} ELSE t_{c} END AS {c}" for c in payload],
         f"CASE WHEN t_{key} IS NULL THEN _as_of ELSE t_ingested_at END AS ingested_at",
@@ -121,13 +121,16 @@ def sequential_actions(
     """
     major, minor = seq
     blk = F.floor(F.col(minor) / block_chunks).cast("bigint")
-    s = survivors.withColumn("_blk", blk)
     part = [key, major, "_blk"]
+    # One exchange that all branches below read: filters which the optimizer infers for some of
+    # them stop above the partition id, and would else set the branches' inputs apart.
+    dealt = survivors.withColumn("_blk", blk).repartition(*part).withColumn("_dealt", F.spark_partition_id())
+    s = dealt.filter("_dealt >= 0").drop("_dealt")
     in_block = Window.partitionBy(*part).orderBy(minor).rowsBetween(Window.unboundedPreceding, -1)
     s = s.withColumn("_prev_in_block", F.max("updated_at").over(in_block))
 
     group = F.expr(f"`{major}` div {block_files}").alias("_group")
-    per_block = s.groupBy(*part, group).agg(F.max("updated_at").alias("_bmax"))
+    per_block = s.groupBy(*part, group).agg(F.max(F.greatest("updated_at", "_prev_in_block")).alias("_bmax"))
     in_group = Window.partitionBy(key, "_group").orderBy(major, "_blk").rowsBetween(Window.unboundedPreceding, -1)
     per_group = per_block.groupBy(key, "_group").agg(F.max("_bmax").alias("_gmax"))
     across = Window.partitionBy(key).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
@@ -167,17 +170,18 @@ def sequential_upsert(
 ) -> tuple[DataFrame, DataFrame]:
     """W4 + J1 for a whole run: (new_target, per-survivor actions).
 
-    The final row per key is the last accepted write in chunk order, picked by an
-    aggregate (map-side partial), then merged with one unique-key outer join.
+    A key's row after the fold is the one of its newest time, of equal ones the first in chunk
+    order, if it is newer than the stored one: later ones aren't strictly newer, earlier ones
+    were replaced. So the new table needs no actions, only that aggregate (map-side partial)
+    and one unique-key outer join.
     """
-    actions = sequential_actions(target, survivors, key=key, seq=seq)
-    accepted = actions.filter(F.col("action") != SKIPPED)
-    rest = [c for c in payload if c != key]
-    last = accepted.groupBy(key).agg(
-        F.expr(f"max_by(struct({', '.join(rest)}), struct({', '.join(seq)}))").alias("_w")
+    rest = [c for c in payload if c not in (key, "updated_at")]
+    backwards = ", ".join(f"-`{c}`" for c in seq)
+    last = survivors.groupBy(key).agg(
+        F.expr(f"max(struct(updated_at, struct({backwards}) AS _at, {', '.join(rest)}))").alias("_w")
     )
-    winners = last.selectExpr(key, *[f"_w.{c} AS {c}" for c in rest], "true AS _accept")
-    return _merge_rows(target, winners, as_of, key, payload), actions
+    winners = last.selectExpr(key, "_w.updated_at", *[f"_w.{c} AS {c}" for c in rest])
+    return _merge_rows(target, winners, as_of, key, payload), sequential_actions(target, survivors, key=key, seq=seq)
 
 
 def initial_target(

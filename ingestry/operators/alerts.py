@@ -61,8 +61,12 @@ def missed_runs(
     hours = spark.range(lookback_hours + window_hours).selectExpr(
         "id", f"{end} - make_dt_interval(0, CAST({lookback_hours + window_hours} - id AS INT), 0, 0) AS hour"
     )
+    # only the hours asked for: the bounds are on the bare column, so they reach the scan
+    recent = traces.filter(
+        f"timestamp >= {end} - make_dt_interval(0, {lookback_hours + window_hours}, 0, 0) AND timestamp < {end}"
+    )
     hourly = (
-        with_event(traces)
+        with_event(recent)
         .filter(f"event = {sql_str(event)}")
         .groupBy(F.date_trunc("hour", "timestamp").alias("hour"))
         .agg(F.count(F.lit(1)).alias("n"))

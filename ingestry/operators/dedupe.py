@@ -56,6 +56,14 @@ def survivors(marked: DataFrame) -> DataFrame:
     return marked.filter(f"{KEPT_AT} IS NULL")
 
 
+def in_source_order(rows: DataFrame) -> DataFrame:
+    """O2: rows in the order of their files, chunks and lines: dealt out by ranges of that order
+    and sorted in each, so the parts of a write, read by name, give the source's order and no
+    task holds them all."""
+    order = [S.FILE_ORDINAL, S.CHUNK_INDEX, S.ROW_ORDINAL]
+    return rows.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def loser_detail_sql(ts: str = "_ts") -> str:
     """The duplicate explanation: winner's time at that moment vs the loser's."""
     return (

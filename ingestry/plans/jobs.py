@@ -116,7 +116,7 @@ def _commit(
     """Quarantine, then one commit: merged buckets, progress per chunk, the end of every claimed
     run and, for `watermark_of`, the source's watermark. `errors` (run, error). Returns the
     tagged rows of the merge that was committed. `name`: the claims' source object."""
-    runs = claims.selectExpr(f"{name} AS source_object", "run")
+    runs = claims.selectExpr(f"{name} AS source_object", "run", "resume_from AS from_chunk")
     Q.write(batch.quarantine.join(runs, "source_object"), f"{store.root}/quarantine", run_id_col="run", correlation_id=correlation)
     merged: list[DataFrame] = []
 
@@ -257,7 +257,7 @@ def ingest_files(
         f"{stage}/summaries",
     )
     if processed_root:
-        _archive(spark, store, files.filter("error IS NULL"), processed_root, as_of_sql)
+        _archive(store, files.filter("error IS NULL"), processed_root, stage, as_of_sql)
     failed = errors.count()
     if failed and raise_on_failure:
         names = files.filter("error IS NOT NULL").orderBy("name").limit(SHOWN_FAILURES).collect()
@@ -266,16 +266,14 @@ def ingest_files(
     return summaries
 
 
-def _archive(spark: SparkSession, store: StateStore, done: DataFrame, processed_root: str, as_of_sql: str) -> None:
+def _archive(store: StateStore, done: DataFrame, processed_root: str, stage: str, as_of_sql: str) -> None:
     """K5 after the commit; files that stay behind are listed in `archive_failures`."""
     from ingestry.sources.landing import archive
 
-    moves = ((r["path"], r["name"], r["version"]) for r in done.select("path", "name", "version").toLocalIterator())
-    left = archive(spark, moves, processed_root)
-    if left:
-        spark.createDataFrame([(n,) for n in left], "name string").selectExpr("name", f"{as_of_sql} AS at").write.mode(
-            "append"
-        ).json(f"{store.root}/archive_failures")
+    moved = _staged(archive(done, processed_root), f"{stage}/moved")
+    left = moved.filter("NOT moved")
+    if left.limit(1).count():
+        left.selectExpr("name", "reason", f"{as_of_sql} AS at").write.mode("append").json(f"{store.root}/archive_failures")
 
 
 def read_checkpoints(spark: SparkSession, state_root: str) -> DataFrame:
@@ -302,17 +300,40 @@ def run_api_job(
     `incremental` leaves out records that are not newer than the stored watermark; those
     without a readable time are kept, to be quarantined.
     """
+    return _api_job(
+        spark, state_root, lambda stage: _page_records(spark, pages_root, stage), source_object=source_object,
+        as_of_sql=as_of_sql, correlation_id=correlation_id, incremental=incremental,
+    )
+
+
+def ingest_records(
+    spark: SparkSession, records: DataFrame, state_root: str, *, run_id: str, source_object: str = "/students", as_of_sql: str = "current_timestamp()"
+) -> DataFrame:
+    """`run_api_job` over records (page, item_pos, payload as JSON text) that a stream hands over.
+    A `run_id` that was completed before is skipped, one that ended early is taken up again."""
+    named = records.selectExpr("page AS page_no", "item_pos", "payload AS _payload")
+    return _api_job(
+        spark, state_root, lambda stage: _staged(named, f"{stage}/records"), source_object=source_object,
+        as_of_sql=as_of_sql, correlation_id=run_id, incremental=False, version=run_id,
+    )
+
+
+def _api_job(spark, state_root, records, *, source_object, as_of_sql, correlation_id, incremental, version=None) -> DataFrame:
+    """`records`: a function of the run's staging folder."""
     ensure_session(spark)
     store = StateStore(spark, state_root)
     run = uuid.uuid4().hex
     correlation = correlation_id or run
     stage = f"{store.root}/staging/{run}"
     wanted = spark.range(1).selectExpr(
-        f"'{S.API_SOURCE_SYSTEM}' AS source", f"{sql_str(source_object)} AS source_object_id", f"{sql_str(run)} AS source_version"
+        f"'{S.API_SOURCE_SYSTEM}' AS source", f"{sql_str(source_object)} AS source_object_id",
+        f"{sql_str(version or run)} AS source_version",
     )
     claims = _claim(store, wanted, stage, as_of_sql=as_of_sql, stale_after_seconds=3600, correlation=correlation)
+    if claims is None:
+        return spark.createDataFrame([], SUMMARY_SCHEMA).drop("run_status", "error")
     try:
-        return _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql, correlation, incremental)
+        return _api_run(spark, store, records(stage), claims, stage, source_object, as_of_sql, correlation, incremental)
     except Exception as failure:
         error = sql_str(f"{type(failure).__name__}: {failure}")
         store.append_ledger(
@@ -321,7 +342,8 @@ def run_api_job(
         raise
 
 
-def _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql, correlation, incremental) -> DataFrame:
+def _page_records(spark: SparkSession, pages_root: str, stage: str) -> DataFrame:
+    """page_no, item_pos and _payload of the staged pages, whose chain is checked first."""
     from ingestry.sources import pages as PG
 
     # The only read of the page bodies: numbers, links and records, as JSON text.
@@ -338,9 +360,11 @@ def _api_run(spark, store, pages_root, claims, stage, source_object, as_of_sql,
     if n:
         shown = [(r["page"], r["problem"]) for r in problems.orderBy("page", "problem").limit(SHOWN_FAILURES).collect()]
         raise UnsafePages(f"{n} problem(s) in the pages, listed in {stage}/problems: {shown}")
-    recs = pages.selectExpr("page_no", "posexplode(records) AS (item_pos, _payload)").selectExpr(
-        "*", "parse_json(_payload) AS item"
-    ).selectExpr(
+    return pages.selectExpr("page_no", "posexplode(records) AS (item_pos, _payload)")
+
+
+def _api_run(spark, store, records, claims, stage, source_object, as_of_sql, correlation, incremental) -> DataFrame:
+    recs = records.selectExpr("*", "parse_json(_payload) AS item").selectExpr(
         f"{sql_str(source_object)} AS {S.SOURCE_OBJECT}",
         f"CAST(0 AS BIGINT) AS {S.FILE_ORDINAL}",
         f"CAST(page_no AS BIGINT) AS {S.CHUNK_INDEX}",

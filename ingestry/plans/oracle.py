@@ -555,6 +555,12 @@ oracle(
     "CASE WHEN _has_extra AND grade_level IS NOT NULL AND guardian_contact IS NOT NULL THEN 'unexpected' END AS surplus, "
     "CAST(1 AS BIGINT) AS lines_above FROM dirty_records",
 )
+oracle(
+    "survivors_in_order",
+    (*_CLS, "valid", "survivors"),
+    "SELECT _source_object AS source_object, _row_ordinal AS row_ordinal, c_student_id AS student_id, "
+    "row_number() OVER (ORDER BY _file_ordinal, _row_ordinal) AS place FROM survivors",
+)
 CTES["stream_chunks"] = """
 SELECT *, count(*) OVER (PARTITION BY student_id, g) AS submitted,
   row_number() OVER (PARTITION BY student_id, g ORDER BY updated_at DESC, o DESC) AS rn

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingestry import schema as S
+from ingestry.operators import dedupe as D
 from ingestry.operators import quarantine as Q
 from ingestry.plans import derived as X
 from ingestry.plans.jobs import run_csv_job
@@ -55,8 +56,8 @@ def render_landing(spark: SparkSession, sf_dir: str) -> str:
 
 def _ingested(spark: SparkSession, sf_dir: str) -> StateStore:
     root = render_landing(spark, sf_dir)
-    state = f"{root}/../state"
-    run_csv_job(spark, root, state, chunk_size=X.CHUNK_SIZE, as_of_sql=X.AS_OF_SQL, split=SPLIT, processed_root=f"{root}/../processed")
+    state, processed = (f"{root.removesuffix('/landing')}/{name}" for name in ("state", "processed"))
+    run_csv_job(spark, root, state, chunk_size=X.CHUNK_SIZE, as_of_sql=X.AS_OF_SQL, split=SPLIT, processed_root=processed)
     return StateStore(spark, state)
 
 
@@ -78,7 +79,7 @@ def csv_job_report(spark, sf_dir):
     rejects = Q.read_back(spark, f"{store.root}/quarantine").groupBy("reason_code", "field").agg(F.count("*").alias("n"))
     runs = store.ledger().groupBy("status").agg(*[F.sum(c).alias(c) for c in ("rows_read", "rows_valid", "rows_quarantined", "rows_written")])
     counters = runs.unpivot(["status"], ["rows_read", "rows_valid", "rows_quarantined", "rows_written"], "counter", "n")
-    moved = LD.list_objects(spark, f"{store.root}/../processed").agg(F.lit(0).cast("long").alias("n"), F.min("size").alias("least"))
+    moved = LD.list_objects(spark, store.root.removesuffix("state") + "processed").agg(F.lit(0).cast("long").alias("n"), F.min("size").alias("least"))
     return (
         rejects.selectExpr("'reject' AS kind", "reason_code AS name", "field", "n")
         .unionByName(counters.selectExpr("status AS kind", "counter AS name", "CAST(NULL AS STRING) AS field", "n"))
@@ -98,6 +99,20 @@ def csv_ranges(spark, sf_dir):
     )
 
 
+@query
+def survivors_in_order(spark, sf_dir):
+    """O2: survivors written in source order, and the place at which each is read back."""
+    rows = _batch(spark, sf_dir).survivors.select(
+        S.FILE_ORDINAL, S.CHUNK_INDEX, S.ROW_ORDINAL, F.col(S.SOURCE_OBJECT).alias("source_object"), F.col("_c_student_id").alias("student_id")
+    )
+    path = f"{scratch(spark)}/survivors"
+    D.in_source_order(rows).write.parquet(path)
+    back = spark.read.parquet(path).selectExpr("*", "_metadata.file_name AS part", "_metadata.row_index AS at")
+    # one row a part
+    before = back.groupBy("part").agg(F.count("*").alias("n")).selectExpr("part", "sum(n) OVER (ORDER BY part) - n AS before")
+    return back.join(before, "part").selectExpr("source_object", f"{S.ROW_ORDINAL} AS row_ordinal", "student_id", "before + at + 1 AS place")
+
+
 @query
 def stream_merge_actions(spark, sf_dir):
     """T5: three micro-batches through the keyed state of a stream."""

@@ -39,6 +39,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ingestry import schema as S
+from ingestry.sources.files import filesystem
+from ingestry.sources.files import version as object_version
 
 # The functions below travel to the workers by value: they need no copy of the package there.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -176,19 +178,6 @@ class Lines:
             pass
 
 
-def _filesystem(path: str):
-    from pyarrow import fs
-
-    if path.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + path[len("file:"):].lstrip("/")
-    return fs.FileSystem.from_uri(path)
-
-
-def _version(filesystem, inner: str) -> str:
-    info = filesystem.get_file_info(inner)
-    return f"{info.size}-{info.mtime_ns // 1_000_000 * 1000}"
-
-
 def _said(failure: Exception) -> str:
     return CHANGED if str(failure) == CHANGED else f"{type(failure).__name__}: {failure}"
 
@@ -207,11 +196,11 @@ def _effects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             effect = (0, end, False, True, 0, None, None)
             if ranges > 1:
                 try:
-                    filesystem, inner = _filesystem(path)
-                    if _version(filesystem, inner) != version:
+                    files, inner = filesystem(path)
+                    if object_version(files, inner) != version:
                         raise RuntimeError(CHANGED)
                     size = int(version.split("-")[0])
-                    with filesystem.open_input_file(inner) as file:
+                    with files.open_input_file(inner) as file:
                         first, last = line_start(file, start, size), line_start(file, end, size)
                         file.seek(start)
                         data = file.read(max(end, last) - start)
@@ -233,10 +222,10 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             try:
                 if problem:
                     raise RuntimeError(problem)
-                filesystem, inner = _filesystem(path)
-                if _version(filesystem, inner) != version:
+                files, inner = filesystem(path)
+                if object_version(files, inner) != version:
                     raise RuntimeError(CHANGED)
-                with filesystem.open_input_file(inner) as file:
+                with files.open_input_file(inner) as file:
                     whole = hashlib.sha256() if ranges == 1 else None
                     names = _header(csv.reader(Lines(file, 0))) if first else None
                     lines = Lines(file, first, quoted=quoted, digest=whole)
@@ -259,7 +248,7 @@ def _records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             lines.drain()
                             digest = whole.hexdigest()
                 usable = n
-                if _version(filesystem, inner) != version:
+                if object_version(files, inner) != version:
                     raise RuntimeError(CHANGED)
             except Exception as failure:  # noqa: BLE001 - the file fails alone; its closing row says why
                 error = problem or _said(failure)
@@ -353,6 +342,6 @@ def read_landing(
 
 def eligible_files(spark: SparkSession, root: str) -> DataFrame:
     """S1 + S2: the CSV objects under `root`, empty ones included."""
-    from ingestry.sources.landing import empty_objects, is_csv_sql, list_objects
+    from ingestry.sources.landing import is_csv_sql, list_objects
 
-    return list_objects(spark, root).unionByName(empty_objects(spark, root)).filter(is_csv_sql("name"))
+    return list_objects(spark, root).filter(is_csv_sql("name"))

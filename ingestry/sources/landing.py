@@ -2,54 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ingestry.schema import EXCEL_SUFFIXES as _EXCEL
 from ingestry.schema import IMAGE_SUFFIXES as _IMAGE
 from ingestry.schema import WORD_SUFFIXES as _WORD
+from ingestry.sources import files
 
 
-def list_objects(spark: SparkSession, root: str, *, glob: str | None = None) -> DataFrame:
-    """Recursive listing (name relative to root, size, version, mtime).
-
-    `binaryFile` with only path/length/modificationTime selected: the content
-    column is pruned, so files are listed but not read. version = size-mtime.
-    """
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    return described(reader.load(root), root)
+def list_objects(spark: SparkSession, root: str) -> DataFrame:
+    """Recursive listing (path, name relative to root, size, version, time), objects of zero
+    bytes included. The driver sees the first level of folders only; tasks list what is below.
+    version = size-time."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    top = str(fs.makeQualified(path).toString())
+    folders = [str(s.getPath().toString()) for s in fs.listStatus(path) if s.isDirectory()]
+    prefixes = [(top, False)] + [(f, True) for f in folders if not f.rpartition("/")[2].startswith(("_", "."))]
+    rows = spark.createDataFrame(prefixes, "prefix string, deep boolean")
+    width = min(len(prefixes), spark.sparkContext.defaultParallelism)
+    found = rows.repartition(width, "prefix").mapInArrow(files.listed, files.LISTED)
+    return described(found.selectExpr("path", "length", "timestamp_micros(modified) AS modificationTime"), top)
 
 
-def described(files: DataFrame, root: str) -> DataFrame:
+def described(objects: DataFrame, root: str) -> DataFrame:
     """path, name below root, size, version and time of listed (or streamed) objects."""
-    df = files.select("path", "length", "modificationTime")
+    df = objects.select("path", "length", "modificationTime")
     base = root.rstrip("/")
     return df.selectExpr(
         "path",
         f"regexp_replace(path, concat('^.*?', {_sql(base.split(':', 1)[-1].lstrip('/'))}, '/?'), '') AS name",
         "length AS size",
-        "concat(CAST(length AS STRING), '-', CAST(unix_micros(modificationTime) AS STRING)) AS version",
+        "concat(CAST(length AS STRING), '-', CAST(unix_millis(modificationTime) * 1000 AS STRING)) AS version",
         "modificationTime AS modified_at",
     )
 
 
-def empty_objects(spark: SparkSession, root: str) -> DataFrame:
-    """The objects of zero bytes, which Spark's file sources leave out of a listing: one
-    metadata pass of the driver, which keeps the empty ones only."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    found, files = [], path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(path, True)
-    while files.hasNext():
-        status = files.next()
-        if status.getLen() == 0 and not status.getPath().getName().startswith(("_", ".")):
-            found.append((status.getPath().toString(), 0, status.getModificationTime()))
-    df = spark.createDataFrame(found, "path string, length long, ms long")
-    return described(df.selectExpr("path", "length", "timestamp_millis(ms) AS modificationTime"), root)
-
-
 def _sql(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -86,30 +75,13 @@ def upload_triage(candidates: DataFrame, *, name: str, now_sql: str, unique_id_s
     )
 
 
-def archive(spark: SparkSession, moves: Iterable[tuple[str, str, str]], processed_root: str) -> list[str]:
+def archive(moves: DataFrame, processed_root: str) -> DataFrame:
     """K5: move committed files landing -> processed, only if unchanged since listing.
 
-    `moves` are (path, relative name, claimed version). Runs after the ledger
-    commit; a failed move is only reported (the ledger, not the move, decides
-    reprocessing), so it never fails the job. Uses the Hadoop FileSystem API, which
-    works for any store Spark can read.
+    `moves` are (path, name, version). Runs after the commit, in tasks; a row for each file says
+    whether it is in its new place now. A failed move never fails the job (the ledger, not the
+    move, decides what is read again), and a task that runs twice finds its moves done.
     """
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    failed = []
-    for path, name, version in moves:
-        try:
-            src = jvm.org.apache.hadoop.fs.Path(path)
-            fs = src.getFileSystem(conf)
-            st = fs.getFileStatus(src)
-            current = f"{st.getLen()}-{st.getModificationTime() * 1000}"
-            if current != version:
-                failed.append(name)
-                continue
-            dst = jvm.org.apache.hadoop.fs.Path(f"{processed_root.rstrip('/')}/{name}")
-            fs.mkdirs(dst.getParent())
-            if not fs.rename(src, dst):
-                failed.append(name)
-        except Exception:  # noqa: BLE001 - reported, never raised
-            failed.append(name)
-    return failed
+    spark = moves.sparkSession
+    dealt = moves.select("path", "name", "version").repartition(spark.sparkContext.defaultParallelism, "path")
+    return dealt.mapInArrow(files.mover(processed_root), files.MOVED)

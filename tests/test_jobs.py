@@ -98,9 +98,9 @@ def test_changed_file_fails_alone_then_completes(spark, landing, tmp_path, monke
     root = landing({"a.csv": FX.text([FX.record(1)]), "b.csv": FX.text([FX.record(2)])})
     original, state = CSV.read_files, str(tmp_path / "s")
 
-    def after_change(files):
+    def after_change(files, **kw):
         put(root, "b.csv", body)
-        return original(files)
+        return original(files, **kw)
 
     monkeypatch.setattr(jobs.CSV, "read_files", after_change)
     got = summary(run_csv_job(spark, root, state, as_of_sql=FX.AS_OF, raise_on_failure=False))
@@ -165,6 +165,36 @@ def test_archive(spark, landing, tmp_path, monkeypatch):
     assert [r.name for r in spark.read.json(f"{state}/archive_failures").collect()] == ["late.csv"]
 
 
+def test_moves_repeat_harmlessly(spark, landing, tmp_path):
+    """As when the task that moved them is lost: what is in its new place is done."""
+    from ingestry.sources import landing as LD
+
+    root, done = landing({"a.csv": "a\n1\n", "sub/b.csv": "", "c.csv": "a\n"}), str(tmp_path / "done")
+    files = spark.createDataFrame(LD.list_objects(spark, root).collect())
+    assert {r.name for r in LD.archive(files, done).filter("moved").collect()} == {"a.csv", "sub/b.csv", "c.csv"}
+    assert LD.archive(files, done).filter("NOT moved").count() == 0
+    os.remove(f"{done}/a.csv")
+    put(root, "sub/b.csv", "other")
+    left = {r.name: r.reason for r in LD.archive(files, done).filter("NOT moved").collect()}
+    assert left == {"a.csv": "not found", "sub/b.csv": "changed since it was listed"}
+
+
+def test_rejects_lie_by_attempt(spark, landing, tmp_path):
+    """One folder an attempt, whatever the number of chunks; a repeated attempt replaces its own."""
+    rows = [FX.record(n, email="bad") if n % 2 else FX.record(n) for n in range(60)]
+    root, state = landing({"a.csv": FX.text(rows)}), str(tmp_path / "s")
+    run_csv_job(spark, root, state, chunk_size=5, as_of_sql=FX.AS_OF)
+    folders = [d for d, _, names in os.walk(f"{state}/quarantine") if any(n.endswith(".txt") for n in names)]
+    assert len(folders) == 1 and folders[0].endswith("from_chunk=0")
+    back = Q.read_back(spark, f"{state}/quarantine")
+    assert sorted(r.chunk_index for r in back.collect()) == sorted(n // 5 + 1 for n in range(60) if n % 2)
+    again = spark.createDataFrame([("csv", 7, "f", "E_BAD", 0, 1, "{}")], "source_system string, run long, source_object string, reason_code string, from_chunk long, chunk_index long, record string")
+    for _ in range(2):
+        Q.write(again.selectExpr("*", "'d' AS detail", "'x' AS field"), f"{state}/quarantine", run_id_col="run", correlation_id="c")
+    assert back.sparkSession and Q.read_back(spark, f"{state}/quarantine").filter("run_id = '7'").count() == 1
+    assert Q.read_back(spark, f"{state}/quarantine").count() == 31
+
+
 def test_large_job(spark, landing, tmp_path):
     root, state = landing({"big.csv": FX.text([FX.record(n) for n in range(50_000)])}), str(tmp_path / "s")
     got = run_csv_job(spark, root, state, as_of_sql=FX.AS_OF).first()
@@ -174,7 +204,7 @@ def test_large_job(spark, landing, tmp_path):
 
 def test_one_read_of_the_landing_files(spark, landing, tmp_path, monkeypatch):
     calls, original = [], CSV.read_files
-    monkeypatch.setattr(jobs.CSV, "read_files", lambda files: calls.append(1) or original(files))
+    monkeypatch.setattr(jobs.CSV, "read_files", lambda files, **kw: calls.append(1) or original(files, **kw))
     run_csv_job(spark, landing({f"{k}.csv": FX.text([FX.record(k)], [*S.CANONICAL_FIELDS, f"c{k}"]) for k in range(4)}), str(tmp_path / "s"), as_of_sql=FX.AS_OF)
     assert len(calls) == 1
 

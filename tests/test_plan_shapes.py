@@ -38,10 +38,21 @@ def test_conditional_upsert_single_merge_join(spark):
     assert joins == 1
 
 
-def test_listing_does_not_read_file_content(spark, landing):
+def test_tasks_list_what_is_below_the_first_level(spark, landing):
     from ingestry.sources.landing import list_objects
 
-    files = list_objects(spark, landing({"b/x.csv": "a\n", "y.txt": "b"}))
-    schema = re.findall(r"ReadSchema: struct<([^>]*)>", _plan(spark, files))
-    assert schema and all("content" not in s for s in schema)
-    assert sorted((r.name, r.size) for r in files.collect()) == [("b/x.csv", 2), ("y.txt", 1)]
+    bodies = {"b/x.csv": "a\n", "y.txt": "b", "b/c/d/empty.csv": "", "e.csv": "", "_tmp/z.csv": "z", "b/.hidden/z.csv": "z", "b/_z.csv": "z"}
+    files = list_objects(spark, landing(bodies))
+    assert "FileScan" not in _plan(spark, files) and "MapInArrow" in _plan(spark, files)
+    want = [("b/c/d/empty.csv", 0), ("b/x.csv", 2), ("e.csv", 0), ("y.txt", 1)]
+    assert sorted((r.name, r.size) for r in files.collect()) == want
+    stream_like = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(landing({}))
+    from ingestry.sources.landing import described
+
+    seen = {r.name: r.version for r in described(stream_like, landing({})).collect()}
+    assert seen and all(seen[r.name] == r.version for r in files.collect() if r.name in seen)
+
+
+def test_hours_of_an_alert_reach_the_scan(spark):
+    plan = _plan(spark, QUERIES["alert_missed_api_runs"](spark, SF))
+    assert re.search(r"PushedFilters: \[[^]]*GreaterThanOrEqual\(ts", plan)

@@ -532,6 +532,13 @@ oracle(
     "SELECT *, row_number() OVER (PARTITION BY student_id ORDER BY updated_at DESC, _file_ordinal, _chunk_index) AS rn "
     "FROM students) WHERE rn = 1",
 )
+oracle(
+    "stream_landing_target",
+    _STU,
+    "SELECT student_id, first_name, email, updated_at FROM ("
+    "SELECT *, row_number() OVER (PARTITION BY student_id ORDER BY updated_at DESC, _file_ordinal, _chunk_index) AS rn "
+    "FROM students) WHERE rn = 1",
+)
 CTES["job_actions"] = """
 SELECT *, prev IS NULL OR updated_at > prev AS written FROM (
   SELECT *, max(updated_at) OVER (PARTITION BY student_id ORDER BY _file_ordinal, _chunk_index

@@ -71,6 +71,17 @@ def csv_job_target(spark, sf_dir):
     )
 
 
+@query
+def stream_landing_target(spark, sf_dir):
+    """The same table from a stream that finds the files, all in one micro-batch."""
+    from ingestry.streaming import landing as STREAM
+
+    root = render_landing(spark, sf_dir)
+    state, checkpoint = (f"{root.removesuffix('/landing')}/{name}" for name in ("state", "checkpoint"))
+    STREAM.start(spark, root, state, chunk_size=X.CHUNK_SIZE, checkpoint=checkpoint, as_of_sql=X.AS_OF_SQL).awaitTermination()
+    return StateStore(spark, state).target().select("student_id", "first_name", "email", ntz("updated_at").alias("updated_at"))
+
+
 @query
 def csv_job_report(spark, sf_dir):
     """Rejects read back by reason, the ledger's counters over all files, and

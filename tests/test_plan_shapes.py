@@ -9,10 +9,12 @@ SF = "/root/testdata/sf0.001"
 
 def _plan(spark, df):
     spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
     try:
         return df._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
 
 
 def test_cascade_runs_once_and_fits_codegen(spark):

@@ -213,3 +213,28 @@ def test_died_between_folder_and_version(spark, landing, tmp_path, monkeypatch):
     assert store.target().count() == 0 and store.ledger().first().status == "running"
     assert run_csv_job(spark, root, state, as_of_sql=FX.AS_OF, correlation_id="mine").first().inserted == 1
     assert jobs.StateStore(spark, state).target().count() == 1
+
+
+def test_reports_read_their_pages_only(spark, tmp_path):
+    """Rows lie by school, status and time, and a report's condition reaches the scan."""
+    import re
+
+    from test_plan_shapes import _plan
+
+    from ingestry.operators import reports as O
+
+    store = StateStore(spark, str(tmp_path / "s"), buckets=2)
+    status = lambda n: "active" if n % 3 else "inactive"
+    for day in (3, 4):
+        store.commit(lambda h, d=day: merge(spark, store, h, [(n, at(d) | {"enrollment_status": status(n)}) for n in range(d, 90, d)], tmp_path)[1])
+    store.compact()
+    parts = store.target().selectExpr("_metadata.file_path AS f", "_metadata.row_index AS i", "*").collect()
+    for f in {r.f for r in parts}:
+        mine = [(r.school_id, r.enrollment_status, -r.updated_at.timestamp()) for r in sorted((r for r in parts if r.f == f), key=lambda r: r.i)]
+        assert mine == sorted(mine) and len(mine) > 10
+    report = O.newest(store.target(), k=5, where="school_id = 'BLDG-2' AND enrollment_status = 'active'")
+    plan = _plan(spark, report)
+    assert re.search(r"PushedFilters: .*EqualTo\(school_id,BLDG-2\), EqualTo\(enrollment_status,active\)", plan)
+    assert "TakeOrderedAndProject" in plan and "Exchange" not in plan
+    want = sorted((r for r in parts if r.school_id == "BLDG-2" and r.enrollment_status == "active"), key=lambda r: (-r.updated_at.timestamp(), r.student_id))[:5]
+    assert [r.student_id for r in report.collect()] == [r.student_id for r in want]

@@ -1,7 +1,8 @@
 """Operator 3, toxicity: gradient-boosted trees over dense features, isotonic calibration.
 
 Labels are learned from about ``TRAIN_ROWS`` labelled documents outside the held-out fifth
-(crc32 of the id as text, mod 5). Three of the remaining four parts teach the lexicon (words
+(crc32 of the id as text, mod 5), and at least ``RARE_ROWS`` of either label where there are
+so many; calibration weighs a label back that was drawn more often than the other. Three of the remaining four parts teach the lexicon (words
 and word beginnings that mark toxic documents, by smoothed log odds) and the trees; the
 fourth calibrates the margin by isotonic regression. Features are densities of lexicon words
 and beginnings, their nearness to second-person words, and rates of capitals, marks and
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier
@@ -31,6 +33,7 @@ from ingestry.llm.common import chosen, stage
 
 TRAIN_ROWS = 20_000  # labelled documents, about, that lexicon, trees and calibration see
 LEXICON_TERMS = 4_000
+RARE_ROWS = 1_000  # of each label, that the draw keeps at least, if there are so many
 MIN_TOXIC = 3  # toxic documents that a lexicon term must occur in
 MIN_LOG_ODDS = 1.5
 PREFIXES = (4, 5, 6)
@@ -209,6 +212,21 @@ def with_features(rows: DataFrame, terms: dict[str, float]) -> DataFrame:
     return rows.select(*kept, "text").mapInArrow(run, ", ".join([*kinds, *(f"{f} double" for f in FEATURES)]))
 
 
+def _drawn(known: DataFrame, train_rows: int, rare_rows: int = RARE_ROWS) -> DataFrame:
+    """About train_rows of the labelled ids, but at least rare_rows of each label (all, if there
+    are fewer); ``weight`` is how many ids of its label one stands for, relative to the others."""
+    n = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    total = sum(n.values())
+    wanted = {y: min(c, max(rare_rows, c * train_rows // total)) for y, c in n.items()}
+    if total <= train_rows or all(c * train_rows // total >= min(c, rare_rows) for c in n.values()):
+        return chosen(known, total, train_rows, "_id").withColumn("weight", F.lit(1.0))
+    parts = [
+        chosen(known.filter(F.col("label") == y), c, wanted[y], "_id").withColumn("weight", F.lit(c / wanted[y]))
+        for y, c in sorted(n.items())
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def score(
     docs: DataFrame,
     labels: DataFrame,
@@ -223,9 +241,9 @@ def score(
     known = labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("label")).dropna()
     known = known.groupBy("_id").agg(F.max("label").alias("label")).withColumn("part", _bucket("_id"))
     known = known.filter("part != 0")
-    known = chosen(known, known.count(), train_rows, "_id")
+    known = _drawn(known, train_rows)
     # About train_rows rows of three numbers are broadcast.
-    labelled = stage(rows.join(F.broadcast(known), "_id").select("_id", "text", "label", "part"), "labelled")
+    labelled = stage(rows.join(F.broadcast(known), "_id").select("_id", "text", "label", "part", "weight"), "labelled")
     tally = {(r["fit"], r["label"]): r["n"] for r in labelled.groupBy((F.col("part") != 1).alias("fit"), "label").agg(F.count("*").alias("n")).collect()}
     if len(tally) < 4:  # a part lacks one of the two labels
         share = (sum(n for (_, y), n in tally.items() if y) + 0.5) / (sum(tally.values()) + 1) if tally else 0.0
@@ -235,8 +253,8 @@ def score(
     known = vectors.transform(stage(with_features(labelled, terms), "features"))
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, stepSize=STEP, seed=7, cacheNodeIds=False).fit(known.filter("part != 1"))
     margin = vector_to_array("rawPrediction")[1].alias("margin")
-    held_back = trees.transform(known.filter("part = 1")).select("label", margin)
-    curve = IsotonicRegression(featuresCol="margin", labelCol="label").fit(held_back)
+    held_back = trees.transform(known.filter("part = 1")).select("label", margin, "weight")
+    curve = IsotonicRegression(featuresCol="margin", labelCol="label", weightCol="weight").fit(held_back)
     scored = trees.transform(vectors.transform(with_features(rows, terms))).select(
         "_id", "_held", margin, vector_to_array("probability")[1].alias("p")
     )

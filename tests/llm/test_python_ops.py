@@ -259,6 +259,31 @@ def test_toxicity(spark):
     assert toxicity.score(odd(spark), known.limit(0)).agg(F.max("score")).first()[0] == 0.0
 
 
+def test_toxicity_of_rare_labels(spark):
+    """Half a percent is toxic, and the bound on training rows is far below the input."""
+    rng = random.Random(9)
+    docs, toxic = [], set(rng.sample(range(6000), 30))
+    for k in range(6000):
+        ws = line(rng, rng.randint(15, 25)).split(" ")
+        if k in toxic:
+            ws[3:3] = ["you", "dolt", "wretch", "dolt"]
+        docs.append((k, " ".join(ws)))
+    known = spark.createDataFrame([(k, int(k in toxic)) for k, _ in docs], "doc_id long, toxic int")
+    got = {r.doc_id: r.predicted for r in toxicity.score(frame(spark, docs, clash=False), known, train_rows=200).collect()}
+    found = {k for k, p in got.items() if p}
+    assert len(found & toxic) >= 28 and len(found - toxic) <= 3
+
+
+def test_label_draw(spark):
+    known = spark.range(50_000).selectExpr("id AS _id", "CAST(id % 1000 = 0 AS INT) AS label")
+    drawn = {r.label: r for r in toxicity._drawn(known, 2000, 40).groupBy("label").agg(F.count("*").alias("n"), F.max("weight").alias("w")).collect()}
+    assert 25 <= drawn[1].n <= 50 and 1700 <= drawn[0].n <= 2300  # about 40 of 50, not 2
+    assert abs(drawn[1].w * 40 - 50) < 1e-9 and abs(drawn[0].w * 1998 - 49_950) < 1e-6
+    assert toxicity._drawn(known, 100_000).count() == 50_000
+    even = toxicity._drawn(known.selectExpr("_id", "CAST(_id % 4 = 0 AS INT) AS label"), 8000, 100)
+    assert even.filter("weight != 1").count() == 0 and 7400 < even.count() < 8600
+
+
 def test_obfuscation_and_proximity():
     marker = toxicity.Marker({"=dolt": 3.0, "^grml": 2.0})
     at = {f: k for k, f in enumerate(toxicity.FEATURES)}

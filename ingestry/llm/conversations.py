@@ -123,12 +123,10 @@ def search(steps: list, inserted, tail: bool, start: int, ends) -> tuple[int, st
     return best, min(met)
 
 
-@lru_cache(maxsize=1 << 16)
 def whole(kinds: str) -> tuple[int, str]:
     return search([ROWS[x] for x in kinds], INSERTED, True, START, ENDS)
 
 
-@lru_cache(maxsize=1 << 12)
 def part(kinds: str) -> dict:
     """{(state, state after): (cost, audit)} over some rows in the middle."""
     steps = [ROWS[x] for x in kinds]
@@ -203,12 +201,12 @@ class Run:
                 self.ends[0] = turn
             self.ends[1] = turn
 
-    def ways(self) -> dict:
+    def ways(self, part=part) -> dict:
         kinds = "".join(self.kinds)
         return joined([part(kinds[k : k + PIECE]) for k in range(0, len(kinds), PIECE)])
 
-    def repair(self) -> tuple[int, str]:
-        return whole("".join(self.kinds)) if len(self.kinds) <= PIECE else finished(self.ways())
+    def repair(self, whole=whole, part=part) -> tuple[int, str]:
+        return whole("".join(self.kinds)) if len(self.kinds) <= PIECE else finished(self.ways(part))
 
 
 COUNTS = "gaps long, blank long, duplicate long, truncated long, illegal long, cost long, audit string"
@@ -230,6 +228,8 @@ def _solved(rows: DataFrame) -> DataFrame:
         from pyspark import TaskContext
 
         place = TaskContext.get().partitionId()
+        # most conversations look like one another
+        known = lru_cache(maxsize=1 << 16)(whole), lru_cache(maxsize=1 << 12)(part)
         target = pa.schema(
             [("conv", conv_type)]
             + [(c, pa.int64()) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
@@ -241,9 +241,9 @@ def _solved(rows: DataFrame) -> DataFrame:
         def row(r: Run, border: bool) -> dict:
             found = {"conv": r.conv, **r.counts}
             if border:
-                ways = [{"s": s, "t": t, "cost": c, "audit": a} for (s, t), (c, a) in r.ways().items()] if r.rows else []
+                ways = [{"s": s, "t": t, "cost": c, "audit": a} for (s, t), (c, a) in r.ways(known[1]).items()] if r.rows else []
                 return found | {"place": place, "n_rows": r.rows, "initials": r.initials, "ends": r.ends, "ways": ways}
-            cost, audit = r.repair()
+            cost, audit = r.repair(*known)
             return found | {"gaps": _gaps(r.ends, r.counts["turns"]), "cost": cost, "audit": audit}
 
         now, first, out = None, True, []

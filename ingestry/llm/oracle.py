@@ -17,7 +17,7 @@ twice AS (SELECT doc_id, g FROM g GROUP BY doc_id, g HAVING count(*) > 1),
 r AS (SELECT doc_id, count(DISTINCT i + o) AS n FROM g JOIN twice USING (doc_id, g), (VALUES (0), (1), (2)) v(o) GROUP BY doc_id),
 l AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS x, generate_subscripts(string_split(t, chr(10)), 1) AS k FROM d),
 judged AS (
-  SELECT *, length(x) - length(replace(x, ' ', '')) + 1 AS words,
+  SELECT *, len(regexp_extract_all(x, '[^\x20\x09-\x0D]+')) AS words,
     regexp_matches(x, '[^\x20\x09-\x0D]') AS has_word,
     length(regexp_replace(x, '[^#*$%&<>!?=~^_{}\\\[\]]', '', 'g')) AS noise,
     length(regexp_replace(x, '[^|»·]', '', 'g')) AS bars
@@ -41,7 +41,7 @@ FROM m
 OP4 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 every AS (SELECT doc_id, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) - 1 AS pos FROM d),
-l AS (SELECT *, length(line) - length(replace(line, ' ', '')) + 1 AS n FROM every WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+l AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n FROM every WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 c AS (SELECT *, sum(n) OVER (PARTITION BY doc_id ORDER BY pos) AS upto FROM l),
 b AS (SELECT *, upto - n AS before FROM c),
 w AS (

@@ -31,6 +31,9 @@ def corpus(seed=5):
     texts += [block + "\n\n" + block, "ü, " * 700, "la " * 400, "A" * 1500, "x" * 399, "y" * 400]
     texts += ["home | about | news | shop\n" * 30, "word!! " * 80, "a%%% b$$$ c### " * 40]
     texts += ["", None, " \t\n ", "one", "two words", "ÀÉ Kelvin K\x0bv \x1c z", line(rng, 6000)]
+    # Words apart by tabs, and indentation: a line weighs its words.
+    tabbed = "\t".join(words(rng, 60))
+    texts += [base[13] + "\n" + tabbed, tabbed + "\n" + base[14], "        }\n    }\n}\n" * 30, "        }\n    }\n}\n" * 20 + base[15]]
     return [(k, t) for k, t in enumerate(texts)]
 
 

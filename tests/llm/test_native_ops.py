@@ -28,7 +28,7 @@ def python_quality(text):
     failed = len(ws) < 50 or 100 * len(covered) > 50 * len(ws)
 
     def fails(x):
-        n = x.count(" ") + 1
+        n = len(words_of(x))
         bars = sum(c in "|»·" for c in x)
         return (
             2 * sum(c in "#*$%&<>!?=~^_{}\\[]" for c in x) > n
@@ -274,7 +274,7 @@ def python_dedup(rows, least=50):
     """Deletes every window of lines that occurs earlier, windows as the operator defines."""
     windows = []
     for k, text in rows:
-        lines = [(p, x, x.count(" ") + 1) for p, x in enumerate((text or "").split("\n")) if words_of(x)]
+        lines = [(p, x, len(words_of(x))) for p, x in enumerate((text or "").split("\n")) if words_of(x)]
         for i in range(len(lines)):
             for step in (1, -1):
                 own, total, j = [], 0, i

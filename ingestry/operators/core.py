@@ -10,7 +10,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
+from pyspark.sql import functions as F
 
 from ingestry import schema as S
 from ingestry.functions import clean as C
@@ -107,10 +108,17 @@ class Batch:
 
     def staged(self, path: str) -> Batch:
         """Write the marked batch once (all columns) and return a Batch reading it:
-        students, rejects and losers are then cheap filters of one stored table."""
-        self.marked.write.mode("overwrite").parquet(path)
+        students, rejects and losers are then cheap filters of one stored table. What the job
+        must know of the batch as a whole is observed in that write (`observed`): its rows, and
+        the newest time of a valid row (A4), null if there is none."""
+        seen = Observation()
+        valid = f"{R.REASON} IS NULL AND {D.KEPT_AT} IS NULL AND ({P.transform_failure_sql()}) IS NULL"
+        watched = self.marked.observe(
+            seen, F.count(F.lit(1)).alias("rows"), F.max(F.expr(f"CASE WHEN {valid} THEN unix_micros(_ts) END")).alias("newest")
+        )
+        watched.write.mode("overwrite").parquet(path)
         stored = self.marked.sparkSession.read.parquet(path)
-        return Batch(
+        batch = Batch(
             self.records,
             as_of=self.as_of,
             source_system=self.system_sql,
@@ -121,6 +129,8 @@ class Batch:
             scope=self.scope,
             marked=stored,
         )
+        batch.observed = seen.get
+        return batch
 
     def _quarantine_rows(self, df: DataFrame) -> DataFrame:
         return df.selectExpr(

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ingestry import schema as S
@@ -132,8 +132,10 @@ def _commit(
         recorded = store.events(head, events)
         change.ledger, change.drops = recorded.ledger, recorded.drops
         if watermark_of:
-            newest = batch.students.groupBy(F.lit(watermark_of).alias("source")).agg(F.max("updated_at").alias("watermark"))
-            change.checkpoints = store.watermarks(head, newest, as_of_sql=as_of_sql)
+            # null (no valid row) doesn't advance it
+            newest = f"timestamp_micros({batch.observed['newest']})" if batch.observed["newest"] is not None else "CAST(NULL AS TIMESTAMP)"
+            candidate = store.spark.range(1).selectExpr(f"{sql_str(watermark_of)} AS source", f"{newest} AS watermark")
+            change.checkpoints = store.watermarks(head, candidate, as_of_sql=as_of_sql)
         return change
 
     store.commit(build)
@@ -219,15 +221,21 @@ def ingest_files(
         return spark.createDataFrame([], SUMMARY_SCHEMA)
 
     # The only read of the landing files; everything after reads the staged rows.
-    pieces = _staged(CSV.read_files(claims, split=split), f"{stage}/rows")
-    seen = pieces.filter(f"{S.ROW_ORDINAL} IS NOT NULL").groupBy("path").agg(F.count("*").alias("_seen"))
-    lost = "CASE WHEN _rows IS NULL OR _rows <> coalesce(_seen, 0) THEN 'rows read and rows kept differ' END"
+    totals = Observation()
+    read = CSV.read_files(claims, split=split).observe(totals, F.count(S.ROW_ORDINAL).alias("kept"), F.sum("_rows").alias("read"))
+    pieces = _staged(read, f"{stage}/rows")
+    # Files are compared one by one only if rows read and rows kept differ over all of them.
+    lost, seen = "CASE WHEN _rows IS NULL THEN 'rows read and rows kept differ' END", None
+    if totals.get["kept"] != (totals.get["read"] or 0):
+        lost = "CASE WHEN _rows IS NULL OR _rows <> coalesce(_seen, 0) THEN 'rows read and rows kept differ' END"
+        seen = pieces.filter(f"{S.ROW_ORDINAL} IS NOT NULL").groupBy("path").agg(F.count("*").alias("_seen"))
     other = (
         "CASE WHEN resume_from > 0 AND split(p_digest, ':')[0] = split(_digest, ':')[0] AND p_digest <> _digest "
         f"THEN '{OTHER_BYTES}' END"
     )
     # of a file that fails the whole chunks before the fault count, of an altered one none
-    files = claims.join(CSV.closings(pieces, split=split), "path", "left").join(seen, "path", "left").selectExpr(
+    files = claims.join(CSV.closings(pieces, split=split), "path", "left")
+    files = (files.join(seen, "path", "left") if seen is not None else files).selectExpr(
         "path", "name", "version", "run", "resume_from", "_digest", f"coalesce({other}, _error, {lost}) AS error",
         f"CASE WHEN coalesce({other}, {lost}) IS NOT NULL THEN 0 WHEN _error IS NULL THEN _rows "
         f"ELSE floor(_usable / {chunk_size}) * {chunk_size} END AS usable",

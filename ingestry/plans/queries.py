@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -256,26 +255,11 @@ def csv_files(spark, sf_dir) -> DataFrame:
     )
 
 
-def _parse_bodies(batches):
-    import io
-
-    from ingestry.sources.csv import parse
-
-    for batch in batches:
-        rows = []
-        for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows += [(name, n, list(v.items()), x) for n, (_, v, x) in enumerate(parse(io.BytesIO(body)), 1)]
-        kinds = (pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string()))
-        cols = list(zip(*rows)) or [[]] * 4
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, type=k) for c, k in zip(cols, kinds)], names=["source_object", "row_ordinal", "src", "extra"]
-        )
-
-
 @query
 def csv_parse(spark, sf_dir):
-    schema = "source_object string, row_ordinal long, src map<string,string>, extra array<string>"
-    rows = csv_files(spark, sf_dir).mapInArrow(_parse_bodies, schema)
+    from ingestry.sources import csv as CSV
+
+    rows = csv_files(spark, sf_dir).mapInArrow(CSV.parse_bodies, CSV.BODY_SCHEMA)
     return rows.selectExpr(
         "source_object", "row_ordinal", "src['event_id'] AS event_id", "src['kind'] AS kind", "src['user'] AS user",
         "array_join(extra, '|') AS surplus", "size(src) AS n_names",

@@ -105,6 +105,20 @@ def parse(raw) -> Iterator[tuple[int, dict[str, str | None], list[str] | None]]:
             yield reader.line_num, *_named(names, row)
 
 
+BODY_SCHEMA = "source_object string, row_ordinal long, src map<string,string>, extra array<string>"
+
+
+def parse_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches (name, body) of whole files held in rows, to their rows."""
+    kinds = (pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string()))
+    for batch in batches:
+        rows = []
+        for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            rows += [(name, n, list(values.items()), extra) for n, (_, values, extra) in enumerate(parse(io.BytesIO(body)), 1)]
+        if rows:
+            yield _table(rows, ("source_object", "row_ordinal", "src", "extra"), kinds)
+
+
 def ends_in_quotes(data: bytes, begins_in_quotes: bool) -> bool:
     """Whether the line behind `data`, which are whole lines, begins inside a quoted value."""
     at = 0

@@ -106,6 +106,13 @@ RUN_STATUSES = ("running", "completed", "failed")
 EXCEL_SUFFIXES = (".xls", ".xlsx", ".xlsm", ".xlsb")
 IMAGE_SUFFIXES = (".bmp", ".gif", ".jpeg", ".jpg", ".png", ".tif", ".tiff", ".webp")
 WORD_SUFFIXES = (".doc", ".docx")
+# What an upload of another type is told.
+EMPTY_NAME = "filename is empty"
+EXCEL_REFUSED = "Excel files are not supported yet. Export as CSV."
+PDF_REFUSED = "PDF files are not supported yet. Export as CSV."
+IMAGE_REFUSED = "Image files are not supported yet. Export as CSV."
+WORD_REFUSED = "Word documents are not supported yet. Export as CSV."
+OTHER_REFUSED = "uploaded file type is not supported yet. Export as CSV."
 RECORD_LIST_KEYS = ("data", "students", "items", "results")
 FAILURE_EVENTS = ("job_failed", "sync_failed", "file_failed")
 # --- end of fixed values -------------------------------------------------------------

@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ingestry.schema import EXCEL_SUFFIXES as _EXCEL
-from ingestry.schema import IMAGE_SUFFIXES as _IMAGE
-from ingestry.schema import WORD_SUFFIXES as _WORD
+from ingestry import schema as S
 from ingestry.sources import files
 
 
@@ -55,17 +53,12 @@ def upload_triage(candidates: DataFrame, *, name: str, now_sql: str, unique_id_s
     df = candidates.selectExpr("*", f"{safe} AS safe_name")
     df = df.selectExpr("*", "lower(regexp_extract(safe_name, '^.+(\\\\.[^.]*)$', 1)) AS extension")
 
-    def isin(vals):
-        return "extension IN (" + ", ".join(f"'{v}'" for v in vals) + ")"
-
+    refused = ((S.EXCEL_SUFFIXES, S.EXCEL_REFUSED), ((".pdf",), S.PDF_REFUSED), (S.IMAGE_SUFFIXES, S.IMAGE_REFUSED), (S.WORD_SUFFIXES, S.WORD_REFUSED))
+    whens = " ".join(
+        f"WHEN extension IN ({', '.join(map(_sql, suffixes))}) THEN {_sql(text)}" for suffixes, text in refused
+    )
     message = (
-        "CASE WHEN safe_name = '' THEN 'filename is empty' "
-        "WHEN extension = '.csv' THEN NULL "
-        f"WHEN {isin(_EXCEL)} THEN 'Excel files are not supported yet. Export as CSV.' "
-        "WHEN extension = '.pdf' THEN 'PDF files are not supported yet. Export as CSV.' "
-        f"WHEN {isin(_IMAGE)} THEN 'Image files are not supported yet. Export as CSV.' "
-        f"WHEN {isin(_WORD)} THEN 'Word documents are not supported yet. Export as CSV.' "
-        "ELSE 'uploaded file type is not supported yet. Export as CSV.' END"
+        f"CASE WHEN safe_name = '' THEN {_sql(S.EMPTY_NAME)} WHEN extension = '.csv' THEN NULL {whens} ELSE {_sql(S.OTHER_REFUSED)} END"
     )
     return df.selectExpr("*", f"{message} AS message").selectExpr(
         "*",

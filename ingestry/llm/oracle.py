@@ -1,13 +1,31 @@
 """DuckDB SQL of the corpus queries that SQL can express.
 
-op1-op3, op5-op8, op12 and op13 have none (64-bit seeded hashes, suffix arrays, trained trees,
-turn-wise table filling, BPE merges, threshold retrieval, keyed Feistel rounds and
-eigenvectors); tests/llm holds them against brute force."""
+op1, op3, op5-op8, op12 and op13 have none (64-bit seeded hashes, trained trees, turn-wise
+table filling, BPE merges, threshold retrieval, keyed Feistel rounds and eigenvectors);
+tests/llm holds them against brute force."""
 
 from __future__ import annotations
 
 from ingestry.llm.license_rules import BASE_PHRASES, BASE_WEIGHT, rules
 
+OP2 = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, encode(coalesce(text, '')) AS raw FROM documents),
+p AS (SELECT doc_id, raw, unnest(range(0, greatest(length(h) // 2 - 399, 0))) AS i FROM d),
+s AS (SELECT doc_id, i, md5(array_slice(raw, i + 1, i + 400)) AS m FROM p),
+c AS (SELECT m FROM s GROUP BY m HAVING count(*) > 1),
+hit AS (SELECT doc_id, i, i > 400 + lag(i) OVER (PARTITION BY doc_id ORDER BY i) AS apart FROM s SEMI JOIN c USING (m)),
+run AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b FROM
+  (SELECT *, count(*) FILTER (apart) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM hit) GROUP BY doc_id, k),
+piece AS (
+  SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS since, b FROM run),
+kept AS (
+  SELECT doc_id, string_agg(substring(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) || substring(any_value(h), 2 * max(b) + 1) AS k,
+    sum(b - a) AS n_removed, count(*) AS n_spans FROM piece JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 OP9 = r"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
@@ -152,6 +170,7 @@ def oracle_sql() -> dict[str, str]:
     from ingestry.llm.quality_rules import BOILERPLATE
 
     return {
+        "op2_suffix_array_dedup": OP2,
         "op4_line_dedup": OP4,
         "op9_quality_rules": OP9.replace("{boilerplate}", BOILERPLATE),
         "op10_license_scan": op10(),

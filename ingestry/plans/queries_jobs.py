@@ -133,11 +133,13 @@ def stream_merge_actions(spark, sf_dir):
         "student_id", "updated_at", f"`{S.FILE_ORDINAL}` * 1000 + `{S.ROW_ORDINAL}` AS o", f"`{S.FILE_ORDINAL}` % 3 AS g"
     )
     root = scratch(spark)
-    for g in range(3):  # files are taken by age
-        rows.filter(f"g = {g}").drop("g").coalesce(1).write.parquet(f"{root}/in/g={g}")
-    stream = spark.readStream.schema("student_id string, updated_at timestamp, o long").option("maxFilesPerTrigger", 1)
+    rows.write.partitionBy("g").parquet(f"{root}/rows")  # the cascade runs once, for all three
+    kept = spark.read.schema(rows.schema).parquet(f"{root}/rows")
+    stream = spark.readStream.schema("student_id string, updated_at timestamp, o long")
     found = latest_actions(stream.parquet(f"{root}/in/*"), order="o")
-    run = found.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
-    run.outputMode("append").trigger(availableNow=True).start().awaitTermination()
+    for g in range(3):  # the stream takes all files there are as one micro-batch, and resumes behind them
+        kept.filter(f"g = {g}").drop("g").write.parquet(f"{root}/in/g={g}")
+        run = found.writeStream.format("parquet").option("path", f"{root}/out").option("checkpointLocation", f"{root}/checkpoint")
+        run.outputMode("append").trigger(availableNow=True).start().awaitTermination()
     done: DataFrame = spark.read.schema(found.schema).parquet(f"{root}/out")
     return done.select("student_id", ntz("updated_at").alias("updated_at"), "place", "action", "submitted")

@@ -4,8 +4,8 @@
 state store (RocksDB: state beyond memory spills to disk). A micro-batch is a chunk of the
 merge: of a key's rows the newest counts (ties: the larger ordinal), it is inserted, updated
 or skipped by the strictly-newer rule, and the batch yields one row a key with the number of
-rows submitted. A key's rows are folded part by part as Spark hands them over, so a key that
-holds a third of a micro-batch costs two numbers, never a frame of all its rows.
+rows submitted. A key's rows are folded one by one as Spark hands them over, so a key that holds a
+third of a micro-batch costs two numbers, and one that holds a single row no frame of its own.
 
 The state may start from the stored table (`initial`), and lives on in the checkpoint.
 """
@@ -15,9 +15,8 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
-import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,22 +29,23 @@ class NewestPerKey(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self._stored = handle.getValueState("stored", STATE)
 
-    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
-        row = initialState.iloc[0]
-        self._stored.update((int(row["at"]), int(row["place"])))
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:
+        self._stored.update((initialState["at"], initialState["place"]))
 
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
         best, submitted = None, 0
-        for part in rows:
-            submitted += len(part)
-            newest = part[part["at"] == part["at"].max()]
-            found = (int(newest["at"].iloc[0]), int(newest["place"].max()))
-            best = found if best is None else max(best, found)
+        for row in rows:
+            submitted += 1
+            found = (row["at"], row["place"])
+            if None not in found and (best is None or found > best):
+                best = found
+        if best is None:
+            raise ValueError(f"no row of {key[0]!r} has a time and a place")
         stored = self._stored.get() if self._stored.exists() else None
         action = "inserted" if stored is None else "updated" if best[0] > stored[0] else "skipped"
         if action != "skipped":
             self._stored.update(best)
-        yield pd.DataFrame([(key[0], *best, action, submitted)], columns=["student_id", "at", "place", "action", "submitted"])
+        yield Row(student_id=key[0], at=best[0], place=best[1], action=action, submitted=submitted)
 
     def close(self) -> None:
         pass
@@ -60,7 +60,7 @@ def latest_actions(students: DataFrame, *, order: str, initial: DataFrame | None
     action and submitted, one row for each key of a micro-batch. `initial` is the stored table
     (unique by key); it counts when the stream starts without a checkpoint."""
     stored = None if initial is None else _narrow(initial, "-1").groupBy("student_id")
-    found = _narrow(students, f"`{order}`").groupBy("student_id").transformWithStateInPandas(
+    found = _narrow(students, f"`{order}`").groupBy("student_id").transformWithState(
         NewestPerKey(), outputStructType=OUTPUT, outputMode="Append", timeMode="None", initialState=stored
     )
     return found.selectExpr("student_id", "timestamp_micros(at) AS updated_at", "place", "action", "submitted")

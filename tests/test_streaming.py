@@ -131,3 +131,32 @@ def test_quarantine_spike_stream(spark, tmp_path):
     q.awaitTermination(300)
     found = spark.table("spikes_t").select(F.col("window_start").cast("string").alias("w"), "total").collect()
     assert sorted((r.w, r.total) for r in found) == [("2031-05-01 01:00:00", 101), ("2031-05-01 03:00:00", 101)]
+
+
+def test_micro_batches_are_written_and_folded_in_parts(spark, tmp_path, monkeypatch):
+    """The input of a micro-batch isn't one task's, and three micro-batches it is all the same."""
+    import glob
+
+    from ingestry.plans import queries_jobs
+
+    monkeypatch.setattr(queries_jobs, "scratch", lambda spark: str(tmp_path / "shared"))
+    sf, held = str(tmp_path / "sf"), {"spark.sql.files.maxPartitionBytes": "4k", "spark.sql.files.openCostInBytes": "0"}
+    rows = spark.range(0, 6000, 1, 6).selectExpr(
+        "id AS event_id", "timestamp_seconds(1704067200 + id * 60) AS ts", "id % 97 AS user_id", "'view' AS event_type", "1.0D AS value", "'{}' AS props"
+    )
+    rows.write.parquet(f"{sf}/events.parquet")
+    old = {k: spark.conf.get(k, None) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        got = queries_jobs.stream_merge_actions(spark, sf).collect()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    for g in range(3):
+        assert len(glob.glob(f"{tmp_path}/shared/in/g={g}/*.parquet")) > 1
+    seen = {}
+    for r in got:
+        seen.setdefault(r.student_id, []).append(r.action)
+    assert all(a.count("inserted") == 1 and len(a) <= 3 for a in seen.values())
+    assert max(map(len, seen.values())) == 3

@@ -109,14 +109,21 @@ BODY_SCHEMA = "source_object string, row_ordinal long, src map<string,string>, e
 
 
 def parse_bodies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Batches (name, body) of whole files held in rows, to their rows."""
+    """Batches (name, body) of whole files held in rows, to their rows: one body and a batch of
+    rows are Python objects at a time, however many files a batch holds."""
+    names = ("source_object", "row_ordinal", "src", "extra")
     kinds = (pa.string(), pa.int64(), pa.map_(pa.string(), pa.string()), pa.list_(pa.string()))
+    rows = []
     for batch in batches:
-        rows = []
-        for name, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            rows += [(name, n, list(values.items()), extra) for n, (_, values, extra) in enumerate(parse(io.BytesIO(body)), 1)]
-        if rows:
-            yield _table(rows, ("source_object", "row_ordinal", "src", "extra"), kinds)
+        for name, body in zip(batch.column(0), batch.column(1)):
+            name = name.as_py()
+            for n, (_, values, extra) in enumerate(parse(io.BytesIO(body.as_py())), 1):
+                rows.append((name, n, list(values.items()), extra))
+                if len(rows) >= BATCH_ROWS:
+                    yield _table(rows, names, kinds)
+                    rows = []
+    if rows:
+        yield _table(rows, names, kinds)
 
 
 def ends_in_quotes(data: bytes, begins_in_quotes: bool) -> bool:

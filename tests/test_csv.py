@@ -88,3 +88,15 @@ def test_other_schema_is_rejected_row_by_row(spark, landing):
     root = landing({"w.csv": "room,teacher\n1,Ms A\n2,Mr B\n"})
     got = [(r.reason_code, r.field) for r in batch(read(spark, root)).quarantine.collect()]
     assert got == [("MISSING_REQUIRED_FIELD", "student_id")] * 2
+
+
+def test_bodies_are_parsed_in_bounded_batches():
+    import pyarrow as pa
+
+    body = b"id,v\n" + b"".join(b"%d,x\n" % n for n in range(1, 3001))
+    files = pa.RecordBatch.from_pydict({"name": ["a", "b", "c"], "body": [body, b"id\n", body]})
+    got = list(CSV.parse_bodies(iter([files, files])))
+    assert max(b.num_rows for b in got) <= CSV.BATCH_ROWS
+    rows = [(r["source_object"], r["row_ordinal"], dict(r["src"])["id"]) for b in got for r in b.to_pylist()]
+    assert rows == [(f, n, str(n)) for f in ("a", "c") * 2 for n in range(1, 3001)]
+    assert list(CSV.parse_bodies(iter([files.slice(1, 1)]))) == []

@@ -28,7 +28,7 @@ from ingestry.operators import core
 from ingestry.operators import ledger as L
 from ingestry.operators import metrics as M
 from ingestry.operators import quarantine as Q
-from ingestry.plans.state import Change, Head, StateStore
+from ingestry.plans.state import Change, Head, StateStore, beside
 from ingestry.plans.state import staged as _staged
 from ingestry.session import ensure_session
 from ingestry.sources import csv as CSV
@@ -111,12 +111,13 @@ def _claim(store: StateStore, wanted: DataFrame, stage: str, *, as_of_sql: str,
 
 def _commit(
     store: StateStore, batch: core.Batch, claims: DataFrame, errors: DataFrame, stage: str, *,
-    name: str, as_of_sql: str, correlation: str, watermark_of: str | None = None,
+    name: str, as_of_sql: str, correlation: str, n_claims: int, watermark_of: str | None = None,
 ) -> DataFrame:
     """Quarantine, then one commit: merged buckets, progress per chunk, the end of every claimed
     run and, for `watermark_of`, the source's watermark. `errors` (run, error). Returns the
     tagged rows of the merge that was committed. `name`: the claims' source object."""
-    runs = claims.selectExpr(f"{name} AS source_object", "run", "resume_from AS from_chunk")
+    # a few large files would else gather their rejects in as many tasks
+    runs = beside(n_claims)(claims.selectExpr(f"{name} AS source_object", "run", "resume_from AS from_chunk"))
     Q.write(batch.quarantine.join(runs, "source_object"), f"{store.root}/quarantine", run_id_col="run", correlation_id=correlation)
     merged: list[DataFrame] = []
 
@@ -242,7 +243,9 @@ def ingest_files(
     )
     files = _numbered(files, "name", S.FILE_ORDINAL, f"{stage}/files")
     data = CSV.numbered(pieces)
-    data = data.join(files.selectExpr("path", f"name AS {S.SOURCE_OBJECT}", S.FILE_ORDINAL, "resume_from", "usable"), "path")
+    n_claims = claims.count()
+    placed = files.selectExpr("path", f"name AS {S.SOURCE_OBJECT}", S.FILE_ORDINAL, "resume_from", "usable")
+    data = data.join(beside(n_claims)(placed), "path")
     data = CSV.assign_chunks(CSV.with_fields(data.filter(f"{S.ROW_ORDINAL} <= usable")), chunk_size=chunk_size)
     data = data.filter(f"{S.CHUNK_INDEX} > resume_from").drop("path", "resume_from", "usable")
     batch = core.Batch(
@@ -254,7 +257,7 @@ def ingest_files(
     claims = claims.join(kept, F.col("run") == F.col("_run"), "left").withColumn(
         "p_digest", F.expr("CASE WHEN _other THEN p_digest ELSE coalesce(_digest, p_digest) END")
     ).drop("_run", "_digest", "_other")
-    tagged = _commit(store, batch, claims, errors, stage, name="name", as_of_sql=as_of_sql, correlation=correlation)
+    tagged = _commit(store, batch, claims, errors, stage, name="name", as_of_sql=as_of_sql, correlation=correlation, n_claims=n_claims)
     summaries = files.selectExpr(
         "name AS source_object", "CASE WHEN error IS NULL THEN 'completed' ELSE 'failed' END AS run_status", "error"
     ).join(M.run_summary(tagged), "source_object", "left")
@@ -392,7 +395,7 @@ def _api_run(spark, store, records, claims, stage, source_object, as_of_sql, cor
     ).staged(f"{stage}/marked")
     errors = spark.createDataFrame([], "run long, error string")
     tagged = _commit(
-        store, batch, claims, errors, stage, name="source_object_id", as_of_sql=as_of_sql, correlation=correlation,
+        store, batch, claims, errors, stage, name="source_object_id", as_of_sql=as_of_sql, correlation=correlation, n_claims=1,
         watermark_of=S.API_SOURCE_SYSTEM,
     )
     return M.run_summary(tagged)

@@ -68,6 +68,11 @@ CHECKPOINT_SCHEMA = T.StructType(
 )
 
 
+def beside(n: int) -> Callable[[DataFrame], DataFrame]:
+    """Marks a side of `n` rows, one a key, for a broadcast if that number allows."""
+    return F.broadcast if n <= BROADCAST_KEYS else (lambda df: df)
+
+
 def staged(df: DataFrame, path: str) -> DataFrame:
     """Written once under the run's own folder, then read: later steps share it."""
     df.write.mode("overwrite").parquet(path)
@@ -236,10 +241,10 @@ class StateStore:
             f"{stage}/keys",
         )
         size = keys.agg(F.count("*").alias("n"), F.collect_set("bucket").alias("b")).first()
-        beside = F.broadcast if size["n"] <= BROADCAST_KEYS else (lambda df: df)
+        near = beside(size["n"])
         known = staged(
             self.target(head, size["b"]).select("student_id", "updated_at", "ingested_at").join(
-                beside(keys.select("student_id")), "student_id"
+                near(keys.select("student_id")), "student_id"
             ),
             f"{stage}/known",
         )
@@ -248,20 +253,20 @@ class StateStore:
         place = F.struct(*seq)
         accepted = actions.filter(F.col("action") != U.SKIPPED).groupBy("student_id").agg(F.max(place).alias("_at"))
         last = accepted.select("student_id", *[F.col(f"_at.{c}").alias(c) for c in seq])
-        won = students.join(last, ["student_id", *seq]).join(known.selectExpr("student_id", "ingested_at AS _since"), "student_id", "left")
+        won = students.join(near(last), ["student_id", *seq]).join(known.selectExpr("student_id", "ingested_at AS _since"), "student_id", "left")
         written = won.selectExpr(
             *U.PAYLOAD, f"coalesce(_since, {as_of_sql}) AS ingested_at", f"{as_of_sql} AS last_written_at",
             f"{self.bucket_sql(head.buckets)} AS bucket",
         )
         written = staged(written, f"{stage}/written")
         changed = written.agg(F.collect_set("bucket")).first()[0]
-        return actions, self._rewrite(head, changed, written, beside, frozenset(size["b"]))
+        return actions, self._rewrite(head, changed, written, near, frozenset(size["b"]))
 
-    def _rewrite(self, head: Head, changed: list[int], written: DataFrame, beside, read: frozenset[int]) -> Change:
+    def _rewrite(self, head: Head, changed: list[int], written: DataFrame, near, read: frozenset[int]) -> Change:
         if not changed:
             return Change(read_buckets=read)
         folder = self._folder("target")
-        rows = self.kept(head, changed, beside(written.select("student_id"))).unionByName(written.repartition("bucket"))
+        rows = self.kept(head, changed, near(written.select("student_id"))).unionByName(written.repartition("bucket"))
         self._write(rows, folder)
         return Change(target=dict.fromkeys(changed, folder), read_buckets=read)
 

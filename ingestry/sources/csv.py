@@ -48,7 +48,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 BATCH_ROWS = 2000
 BLOCK = 1 << 18
 SPLIT_BYTES = 32 << 20
-TASK_BYTES = 64 << 20  # ranges are dealt over so many tasks that each has about as much
+TASK_BYTES = 32 << 20  # ranges are dealt over so many tasks that each has about as much
 CHANGED = "the source object changed after it was listed"
 ROW_SCHEMA = (
     f"path string, nth int, {S.ROW_ORDINAL} long, _source_line long, _src map<string,string>, "
@@ -294,7 +294,9 @@ def read_files(files: DataFrame, *, split: int | None = None) -> DataFrame:
     size = ranges.agg(F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("bytes")).first()
     width = files.sparkSession.sparkContext.defaultParallelism
     tasks = max(-(-(size["bytes"] or 0) // TASK_BYTES), min(size["n"], width), 1)
-    effects = ranges.repartition(tasks, "path", "nth").mapInArrow(_effects, EFFECT)
+    # Ranges of a hash, not the hash itself: every task gets as many, and neighbours part.
+    dealt = F.xxhash64("path", "nth")
+    effects = ranges.repartitionByRange(tasks, dealt).mapInArrow(_effects, EFFECT)
     # A range behind which the state is the same whatever it was before, and how often the
     # state was turned round since the last such range.
     before = "OVER (PARTITION BY path ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
@@ -312,18 +314,20 @@ def read_files(files: DataFrame, *, split: int | None = None) -> DataFrame:
         "coalesce(_since.state, false) <> (pmod(_turns - _turn - coalesce(_since.turns, 0), 2) = 1) AS quoted",
         "lines_before", "digest", "problem",
     )
-    return placed.repartition(tasks, "path", "nth").mapInArrow(_records, ROW_SCHEMA)
+    return placed.repartitionByRange(tasks, dealt).mapInArrow(_records, ROW_SCHEMA)
 
 
 def numbered(pieces: DataFrame) -> DataFrame:
-    """The data rows of `read_files` with their ordinals in the file."""
+    """The data rows of `read_files` with their ordinals in the file. The first range of a file
+    has no rows before it; what is before the others, one narrow row for each `split` bytes, goes
+    to the rows, which stay where they are."""
     closing = pieces.filter(f"{S.ROW_ORDINAL} IS NULL").selectExpr(
         "path", "nth",
-        "coalesce(sum(_rows) OVER (PARTITION BY path ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS _before",
+        "sum(_rows) OVER (PARTITION BY path ORDER BY nth ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS _before",
     )
-    rows = pieces.filter(f"{S.ROW_ORDINAL} IS NOT NULL").join(closing, ["path", "nth"])
+    rows = pieces.filter(f"{S.ROW_ORDINAL} IS NOT NULL").join(F.broadcast(closing.filter("nth > 0")), ["path", "nth"], "left")
     return rows.selectExpr(
-        "path", f"{S.ROW_ORDINAL} + _before AS {S.ROW_ORDINAL}", "_source_line", "_src", S.EXTRA_COLUMNS
+        "path", f"{S.ROW_ORDINAL} + coalesce(_before, 0) AS {S.ROW_ORDINAL}", "_source_line", "_src", S.EXTRA_COLUMNS
     )
 
 

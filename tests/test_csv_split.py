@@ -111,3 +111,26 @@ def test_same_size_and_time_but_other_bytes(spark, landing, tmp_path, monkeypatc
         run_csv_job(spark, root, state, chunk_size=10, as_of_sql=FX.NEXT_DAY)
     assert StateStore(spark, state).ledger().filter("source_object_id = 'a.csv'").first().last_chunk == 3
     assert S.CHUNK_INDEX
+
+
+def test_rows_stay_where_they_are_when_numbered(spark, landing):
+    """Numbering joins no two large sides, and as many ranges go to each task."""
+    from pyspark.sql import functions as F
+
+    root = landing({f"f{k}.csv": "student_id\n" + "".join(f"S{n:05}\n" for n in range(400)) for k in range(4)})
+    pieces = CSV.read_files(CSV.eligible_files(spark, root), split=300)
+    rows = CSV.numbered(pieces)
+    held = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        plan = rows.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+    got = sorted((r.path[-6:], r._row_ordinal, r._src["student_id"]) for r in rows.collect())
+    assert got == [(f"f{k}.csv", n + 1, f"S{n:05}") for k in range(4) for n in range(400)]
+    dealt = pieces.filter("_row_ordinal IS NULL").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in dealt) <= min(r["count"] for r in dealt) + 1

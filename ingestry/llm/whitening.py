@@ -115,6 +115,17 @@ def _less_mean(x, whole, rest):
     return (x - whole) - rest
 
 
+def _projected(v, directions):
+    """v @ directions, summed entry by entry: equal vectors get equal bits whatever rows are beside
+    them, which a matrix product leaves to its blocking."""
+    import numpy as np
+
+    out = np.zeros((len(v), directions.shape[1]))
+    for j in range(directions.shape[0]):
+        out += v[:, j, None] * directions[j]
+    return out
+
+
 def _scatter(fit: DataFrame, width: int, of) -> object:
     """Sum of v v' over the vectors v = of(x), as a matrix; each task hands on one."""
     import numpy as np
@@ -232,7 +243,7 @@ def fit(df: DataFrame, vector_col: str = "embedding", components: int = COMPONEN
     roots = norms[:k] / np.sqrt(n)
 
     def white(x):
-        return _less_mean(_matrix(x, width), whole, rest) @ directions / roots
+        return _projected(_less_mean(_matrix(x, width), whole, rest), directions) / roots
 
     # the mean of what was whitened, to centre it before multiplying
     with_one = _scatter(listed, width, lambda x: np.column_stack([np.ones(len(x)), white(x)]))
@@ -258,7 +269,7 @@ def apply(df: DataFrame, fitted: Whitener | None, id_col: str = "vec_id", vector
         furthest = max(abs(s) for s in sums)
         for part in _slices(batches, width):
             x = _matrix(part.column("x"), width)
-            white = _less_mean(x, whole, rest) @ fitted.directions / roots
+            white = _projected(_less_mean(x, whole, rest), fitted.directions) / roots
             reach = n * max(int(x.max(initial=0)), -int(x.min(initial=0))) + furthest
             if reach * reach * width < LONG:
                 far = ((n * x - np.array(sums, dtype=np.int64)) ** 2).sum(axis=1).tolist()
